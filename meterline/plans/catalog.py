@@ -1,3 +1,4 @@
 """Import every module that registers queries."""
 
 from meterline.plans import registry  # noqa: F401
+from meterline.plans import queries_core  # noqa: F401

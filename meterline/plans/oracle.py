@@ -223,8 +223,84 @@ def build(body: str, *needs: str) -> str:
     if not order:
         return body
     parts = ",\n".join(f"{n} AS ({CTES[n][0]}\n)" for n in order)
+    b = body.lstrip()
+    if b[:4].upper() == "WITH":
+        return f"WITH {parts},\n{b[4:].lstrip()}"
     return f"WITH {parts}\n{body}"
 
 
 def view(name: str) -> str:
     return build(f"SELECT * FROM {name}", name)
+
+
+# --- allocation ------------------------------------------------------------------
+def half_even(num: str, den: str) -> str:
+    """Exact round-half-even(num/den) on integers (HUGEINT), mirroring the rule in prose."""
+    a, b = f"abs(CAST({num} AS HUGEINT))", f"abs(CAST({den} AS HUGEINT))"
+    q = f"({a} // {b})"
+    r = f"({a} - {q} * {b})"
+    mag = f"({q} + CASE WHEN 2 * {r} > {b} OR (2 * {r} = {b} AND {q} % 2 = 1) THEN 1 ELSE 0 END)"
+    return f"(CASE WHEN (({num}) < 0) <> (({den}) < 0) THEN -1 ELSE 1 END * {mag})"
+
+
+def cents_sql(x: str) -> str:
+    return f"CAST(({x}) * 100 AS HUGEINT)"
+
+
+cte("shared", """
+SELECT a.app_id, COALESCE(a.app_name, a.cmdb_name) AS app_name, a.h_code, a.sector_id, s.sector_name
+FROM app a JOIN sectors s ON s.sector_id = a.sector_id
+WHERE s.sector_name IN ('Corporate/Shared Services', 'Global IT')
+   OR a.h_code ILIKE '%PLATFORM%' OR a.h_code ILIKE '%SHARED%' OR a.h_code ILIKE '%GLOBAL%'""", "app", "sectors")
+cte("rule_sel", """
+SELECT app_id, own_sector_id, rule_id, distribution_method FROM (
+  SELECT sh.app_id, sh.sector_id AS own_sector_id, r.rule_id, r.distribution_method,
+         ROW_NUMBER() OVER (PARTITION BY sh.app_id ORDER BY r.rule_id) AS rn
+  FROM shared sh JOIN rules r ON r.is_active AND sh.h_code IS NOT NULL
+   AND strpos(sh.h_code, r.shared_service_code) > 0) x
+WHERE rn = 1""", "shared", "rules")
+cte("amc", """
+SELECT CAST(date_trunc('month', c.ts) AS DATE) AS month_start, c.app_id, SUM(c.usd_cost) AS total_cost,
+  rs.own_sector_id, rs.distribution_method
+FROM cost c JOIN rule_sel rs ON c.app_id = rs.app_id
+GROUP BY 1, 2, rs.own_sector_id, rs.distribution_method HAVING SUM(c.usd_cost) <> 0""", "cost", "rule_sel")
+cte("smu", """
+SELECT CAST(date_trunc('month', u.ts) AS DATE) AS month_start, a.sector_id AS target_sector_id,
+  SUM(u.units_consumed) AS sector_usage
+FROM usage u JOIN app a ON a.app_id = u.app_id WHERE a.sector_id IS NOT NULL GROUP BY 1, 2""", "usage", "app")
+cte("alloc_usage_rows", """
+SELECT m.month_start, m.app_id, m.distribution_method, m.total_cost, g.target_sector_id, g.sector_usage,
+  SUM(g.sector_usage) OVER (PARTITION BY m.month_start, m.app_id) AS total_usage,
+  COUNT(*) OVER (PARTITION BY m.month_start, m.app_id) AS n_sectors
+FROM amc m JOIN smu g ON g.month_start = m.month_start AND g.target_sector_id <> m.own_sector_id
+WHERE m.distribution_method IN ('proportional_usage', 'custom_formula')""", "amc", "smu")
+_C, _u, _U = cents_sql("total_cost"), cents_sql("sector_usage"), cents_sql("total_usage")
+cte("alloc_prop", f"""
+SELECT month_start, app_id, target_sector_id AS sector_id, {half_even(f"{_C} * {_u}", _U)} AS amount_cents,
+  'allocated_shared_service' AS chargeback_cycle
+FROM alloc_usage_rows WHERE distribution_method = 'proportional_usage' AND total_usage <> 0""", "alloc_usage_rows")
+cte("alloc_custom", f"""
+SELECT month_start, app_id, target_sector_id AS sector_id,
+  CASE WHEN total_usage <> 0
+       THEN {half_even(f"{_C} * {_u} * n_sectors * 4 + {_C} * {_U} * 6", f"{_U} * n_sectors * 10")}
+       ELSE {half_even(f"{_C} * 6", "n_sectors * 10")} END AS amount_cents,
+  'allocated_custom_formula' AS chargeback_cycle
+FROM alloc_usage_rows WHERE distribution_method = 'custom_formula'""", "alloc_usage_rows")
+cte("alloc_equal", f"""
+SELECT month_start, app_id, sector_id, {half_even(_C, "n_sectors")} AS amount_cents,
+  'allocated_equal_split' AS chargeback_cycle
+FROM (SELECT m.month_start, m.app_id, m.total_cost, s.sector_id,
+             COUNT(*) OVER (PARTITION BY m.month_start, m.app_id) AS n_sectors
+      FROM amc m JOIN (SELECT DISTINCT sector_id FROM app WHERE sector_id IS NOT NULL) s
+        ON s.sector_id <> m.own_sector_id
+      WHERE m.distribution_method = 'equal_split') x""", "amc", "app")
+cte("allocations", """
+SELECT month_start, app_id, CAST(NULL AS VARCHAR) AS h_code, sector_id, 1 AS owner_id,
+  CAST(CAST(amount_cents AS DOUBLE) / 100 AS DECIMAL(12,2)) AS usd_amount, chargeback_cycle
+FROM (SELECT * FROM alloc_prop UNION ALL SELECT * FROM alloc_equal UNION ALL SELECT * FROM alloc_custom) x""",
+    "alloc_prop", "alloc_equal", "alloc_custom")
+cte("chargeback_all", """
+SELECT month_start, app_id, h_code, sector_id, owner_id, usd_amount, chargeback_cycle FROM chargeback
+UNION ALL
+SELECT month_start, app_id, h_code, sector_id, owner_id, usd_amount, chargeback_cycle FROM allocations""",
+    "chargeback", "allocations")

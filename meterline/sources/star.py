@@ -141,3 +141,53 @@ class Star:
     @cached_property
     def event_usage(self) -> DataFrame:
         return event_usage(self.spark, self.sf_dir)
+
+    @cached_property
+    def chargeback_all(self) -> DataFrame:
+        """Direct chargeback plus posted shared-cost allocations."""
+        from meterline.operators.allocation import allocate_shared_costs
+        alloc = allocate_shared_costs(self.cost, self.usage, self.app, self.sectors,
+                                      seeds.allocation_rules(self.spark), months=None)
+        return self.chargeback.unionByName(alloc)
+
+    # reporting views (V1-V8) at this star's as_of
+    @cached_property
+    def v1(self):
+        from meterline.operators import views as V
+        return V.v1_daily_cost_by_controller(self.cost, self.app, self.as_of)
+
+    @cached_property
+    def v2(self):
+        from meterline.operators import views as V
+        return V.v2_daily_usage_by_capability(self.usage, self.app, self.capabilities, self.as_of)
+
+    @cached_property
+    def v3(self):
+        from meterline.operators import views as V
+        return V.v3_cost_by_sector_controller(self.cost, self.app, self.sectors, self.as_of)
+
+    @cached_property
+    def v4(self):
+        from meterline.operators import views as V
+        return V.v4_cost_by_owner_controller(self.cost, self.app, self.owners, self.as_of)
+
+    @cached_property
+    def v5(self):
+        from meterline.operators import views as V
+        return V.v5_architecture_metrics(self.usage, self.cost, self.app, self.architectures,
+                                         self.capabilities, self.as_of)
+
+    @cached_property
+    def v6(self):
+        from meterline.operators import views as V
+        return V.v6_app_cost_rankings_monthly(self.cost, self.app, self.sectors, self.owners, self.as_of)
+
+    @cached_property
+    def v7(self):
+        from meterline.operators import views as V
+        return V.v7_monthly_chargeback_summary(self.chargeback, self.app, self.sectors, self.as_of)
+
+    @cached_property
+    def v8(self):
+        from meterline.operators import views as V
+        return V.v8_peak_pro_comparison(self.cost, self.app, self.as_of)
