@@ -99,6 +99,11 @@ class Star:
     spark: SparkSession
     sf_dir: str
     as_of: dt.date = LINEITEM_AS_OF
+    source: str = "lineitem"   # or "events": the events table as usage (forecast input)
+
+    @classmethod
+    def events(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = EVENTS_AS_OF) -> "Star":
+        return cls(spark, sf_dir, as_of, "events")
 
     @cached_property
     def app(self) -> DataFrame:
@@ -106,8 +111,15 @@ class Star:
 
     @cached_property
     def usage(self) -> DataFrame:
+        if self.source == "events":
+            return event_usage(self.spark, self.sf_dir)
         return usage_fact(self.spark, self.sf_dir)
 
+    @cached_property
+    def forecast(self) -> DataFrame:
+        from meterline.operators.forecast import ensemble_forecast
+        return ensemble_forecast(self.usage, self.price, self.as_of)
+
     @cached_property
     def price(self) -> DataFrame:
         return seeds.prices(self.spark)
