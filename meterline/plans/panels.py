@@ -621,3 +621,81 @@ def d61(src, p):
 @panel("d62_controller_list")
 def d62(src, p):
     return src.app.where(F.col("controller").isNotNull()).select("controller").distinct()
+
+
+# --- Forecast panels (events star: costs and forecasts share one as_of) ----------------
+def _forecast_ctl(src, p):
+    f = src.forecast.join(src.app.select("app_id", "controller"), "app_id")
+    return _ctl_list(f, src, p)
+
+
+@panel("d46_forecast_vs_actual")
+def d46(src, p):
+    lo = add_months(p.as_of, -6)
+    actual = (_ctl_list(src.v1.where(F.col("cost_date") >= F.lit(lo)), src, p)
+              .groupBy("cost_date").agg(money(F.sum("total_cost")).alias("value"))
+              .select(F.col("cost_date").alias("time"), F.lit("Actual Cost").alias("metric"), "value"))
+    fc = (_forecast_ctl(src, p).where((F.col("month_start") > F.lit(p.as_of)) & (F.col("method") == p.forecast_method))
+          .groupBy(F.trunc("month_start", "MM").alias("time"))
+          .agg(money(F.sum("projected_cost").cast("double")).alias("value"))
+          .select("time", F.lit("Linear Forecast").alias("metric"), "value"))
+    return actual.unionByName(fc)
+
+
+@panel("d47_forecast_by_method")
+def d47(src, p):
+    hi = add_months(p.as_of, 12)
+    f = _forecast_ctl(src, p).where((F.col("month_start") >= F.lit(p.as_of)) & (F.col("month_start") <= F.lit(hi)))
+    g = f.groupBy("month_start", "method").agg(
+        money(F.sum("projected_cost").cast("double")).alias("projected_cost"),
+        money(F.sum("confidence_interval_low").cast("double")).alias("low_estimate"),
+        money(F.sum("confidence_interval_high").cast("double")).alias("high_estimate"))
+    return g.select(rules.year_month("month_start").alias("month"), F.col("method").alias("forecast_method"),
+                    "projected_cost", "low_estimate", "high_estimate")
+
+
+@panel("d48_forecast_bands")
+def d48(src, p):
+    hi = add_months(p.as_of, 18)
+    fc = (_forecast_ctl(src, p).where((F.col("month_start") >= F.lit(p.as_of)) & (F.col("month_start") <= F.lit(hi))
+                                      & (F.col("method") == p.forecast_method))
+          .groupBy(F.trunc("month_start", "MM").alias("time"))
+          .agg(money(F.sum("projected_cost").cast("double")).alias("value"))
+          .select("time", F.lit("Projected Cost").alias("metric"), "value"))
+    lo = add_months(p.as_of, -6)
+    monthly = (_ctl_list(src.v1.where(F.col("cost_date") >= F.lit(lo)), src, p)
+               .groupBy(F.trunc("cost_date", "MM").alias("time")).agg(F.round(F.sum("total_cost"), 2).alias("_m")))
+    # at most 7 monthly rows: a single ordered window partition is bounded
+    w = Window.orderBy("time").rowsBetween(-2, 0)
+    hist = monthly.select("time", F.lit("Historical Trend").alias("metric"), ratio(F.avg("_m").over(w)).alias("value"))
+    return fc.unionByName(hist)
+
+
+@panel("d49_seasonal_pattern")
+def d49(src, p):
+    lo = add_months(p.as_of, -24)
+    m = (_ctl_list(src.v1.where(F.col("cost_date") >= F.lit(lo)), src, p)
+         .groupBy(F.trunc("cost_date", "MM").alias("month"), F.month("cost_date").alias("month_num"))
+         .agg(F.round(F.sum("total_cost"), 2).alias("monthly_total")))
+    w = Window.partitionBy("month_num")
+    return m.select(F.col("month").alias("time"), rules.month_name_padded("month").alias("metric"),
+                    ratio(F.avg("monthly_total").over(w)).alias("value"))
+
+
+@panel("d50_capacity_planning")
+def d50(src, p):
+    lo = p.as_of - dt.timedelta(days=30)
+    cu = (_ctl_list(src.v2.where(F.col("usage_date") >= F.lit(lo)), src, p)
+          .groupBy(F.col("capability_code").alias("license_type"))
+          .agg(F.round(F.sum("total_units"), 2).alias("current_usage")))
+    target = month_start(add_months(p.as_of, 12))
+    caps = F.broadcast(src.capabilities.select("capability_id", "capability_code"))
+    fu = (_forecast_ctl(src, p).where(F.col("month_start") == F.lit(target))
+          .join(caps, "capability_id")
+          .groupBy(F.col("capability_code").alias("_code"))
+          .agg(F.sum("projected_units").cast("double").alias("_f")))
+    j = cu.join(fu, F.col("license_type") == F.col("_code"), "left")
+    proj = F.coalesce(F.col("_f"), F.col("current_usage"))
+    return j.select("license_type", "current_usage", F.round(proj, 2).alias("projected_usage_12mo"),
+                    ratio(F.when(F.col("current_usage") > 0, (proj - F.col("current_usage")) / F.col("current_usage"))
+                          .otherwise(F.lit(0.0))).alias("growth_rate"))

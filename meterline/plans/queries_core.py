@@ -11,10 +11,11 @@ from meterline.operators import allocation as AL
 from meterline.operators import chargeback as CB
 from meterline.operators import cost as CO
 from meterline.plans import oracle as O
-from meterline.plans import panel_sql
+from meterline.plans import forecast_sql, panel_sql
 from meterline.plans.panels import PANELS, PanelParams
 from meterline.plans.registry import register, star
 from meterline.sources import seeds
+from meterline.sources.star import Star
 
 AS_OF = O.AS_OF
 
@@ -128,13 +129,18 @@ def q_unallocated(spark, sf_dir):
 
 
 # --- panels -----------------------------------------------------------------------
+_EVENT_PANELS = ("d46_forecast_vs_actual", "d47_forecast_by_method", "d48_forecast_bands",
+                 "d49_seasonal_pattern", "d50_capacity_planning")
+
+
 def _panel_query(name):
     def run(spark, sf_dir):
-        s = star(spark, sf_dir)
+        s = Star.events(spark, sf_dir) if name in _EVENT_PANELS else star(spark, sf_dir)
         return PANELS[name](s, PanelParams(as_of=s.as_of))
     run.__name__ = f"q_{name}"
     return run
 
 
 for _name in PANELS:
-    register(_name, panel_sql.SQL.get(_name))(_panel_query(_name))
+    _sql = forecast_sql.SQL.get(_name) if _name in _EVENT_PANELS else panel_sql.SQL.get(_name)
+    register(_name, _sql)(_panel_query(_name))
