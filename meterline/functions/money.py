@@ -36,3 +36,14 @@ def round_half_even_ratio(num: Column, den: Column) -> Column:
 
 def from_cents(c: Column) -> Column:
     return (c.cast("decimal(38,2)") / 100).cast("decimal(12,2)")
+
+
+def round_half_up_ratio(num: Column, den: Column) -> Column:
+    """Exact round-half-away-from-zero(num / den) on integer-valued decimals (SQL ROUND semantics)."""
+    n, d = num.cast(INT38), den.cast(INT38)
+    a, b = F.abs(n), F.abs(d)
+    q = F.call_function("div", a, b).cast(INT38)
+    r = (a - q * b).cast(INT38)
+    mag = F.when((r * 2).cast(INT38) >= b, q + 1).otherwise(q).cast(INT38)
+    neg = (n < 0) != (d < 0)
+    return F.when(neg, -mag).otherwise(mag).cast(INT38)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.functions.money import cents, from_cents, round_half_up_ratio
 from meterline.functions.timeutil import date_lit, days_before, ts_lit
 from meterline.sources.seeds import DEFAULT_UNIT_RATE
 
@@ -89,12 +90,12 @@ def distribute_account_usage(account_usage: DataFrame, app_nodes: DataFrame) ->
     totals = app_nodes.groupBy("account_id").agg(F.sum("node_count").alias("_nodes_total"))
     shares = (app_nodes.join(totals, "account_id")
                        .where(F.col("_nodes_total") > 0)
-                       .select("account_id", "app_id", "node_count",
-                               (F.col("node_count").cast("double") / F.col("_nodes_total")).alias("_share")))
+                       .select("account_id", "app_id", "node_count", "_nodes_total"))
+    # exact: units (in cents) x nodes / total, rounded half-up to the cent
+    amount = round_half_up_ratio(cents(F.col("units")) * F.col("node_count"), F.col("_nodes_total"))
     return (account_usage.join(shares, "account_id")
                          .select("ts", "app_id", "capability_code", "tier",
-                                 F.round(F.col("units") * F.col("_share"), 2)
-                                  .cast("decimal(12,2)").alias("units_consumed"),
+                                 from_cents(amount).alias("units_consumed"),
                                  F.col("node_count").cast("int").alias("nodes_count")))
 
 

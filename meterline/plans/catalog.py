@@ -4,3 +4,4 @@ from meterline.plans import registry  # noqa: F401
 from meterline.plans import queries_core  # noqa: F401
 from meterline.plans import queries_forecast  # noqa: F401
 from meterline.plans import queries_reconcile  # noqa: F401
+from meterline.plans import queries_ingest  # noqa: F401

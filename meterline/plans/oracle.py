@@ -8,7 +8,7 @@ Each query is ``WITH <needed CTEs> <body>``; CTEs are resolved from ``CTES``.
 
 from __future__ import annotations
 
-from meterline.functions.timeutil import (add_months, days_before, month_start, months_before,
+from meterline.functions.timeutil import (add_months, days_before, month_start, months_before,  # noqa: F401
                                           sql_date, sql_ts)
 from meterline.sources import seeds
 from meterline.sources.star import EVENTS_AS_OF, LINEITEM_AS_OF
@@ -243,6 +243,14 @@ def half_even(num: str, den: str) -> str:
     return f"(CASE WHEN (({num}) < 0) <> (({den}) < 0) THEN -1 ELSE 1 END * {mag})"
 
 
+def half_up(num: str, den: str) -> str:
+    """Exact round-half-away-from-zero(num/den) on integers."""
+    a, b = f"abs(CAST({num} AS HUGEINT))", f"abs(CAST({den} AS HUGEINT))"
+    q = f"({a} // {b})"
+    r = f"({a} - {q} * {b})"
+    return f"(CASE WHEN (({num}) < 0) <> (({den}) < 0) THEN -1 ELSE 1 END * ({q} + CASE WHEN 2 * {r} >= {b} THEN 1 ELSE 0 END))"
+
+
 def cents_sql(x: str) -> str:
     return f"CAST(({x}) * 100 AS HUGEINT)"
 
