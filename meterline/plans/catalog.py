@@ -6,3 +6,4 @@ from meterline.plans import queries_forecast  # noqa: F401
 from meterline.plans import queries_reconcile  # noqa: F401
 from meterline.plans import queries_ingest  # noqa: F401
 from meterline.plans import queries_sinks  # noqa: F401
+from meterline.plans import queries_quality  # noqa: F401
