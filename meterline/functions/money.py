@@ -20,12 +20,15 @@ def cents(c: Column) -> Column:
     return (c * 100).cast(INT38)
 
 
+def _quotient(a: Column, b: Column) -> Column:
+    """floor(a / b) for non-negative integer decimals, exact: (a - a mod b) is a multiple of b."""
+    return ((a - F.pmod(a, b)).cast(INT38) / b).cast(INT38)
+
+
 def round_half_even_ratio(num: Column, den: Column) -> Column:
     n, d = num.cast(INT38), den.cast(INT38)
     a, b = F.abs(n), F.abs(d)
-    # ``a div b`` is SQL integral division (bigint result); amounts are cents
-    # and the quotient never exceeds the amount being split, so it fits.
-    q = F.call_function("div", a, b).cast(INT38)
+    q = _quotient(a, b)
     r = (a - q * b).cast(INT38)
     twice = (r * 2).cast(INT38)
     up = (twice > b) | ((twice == b) & (F.pmod(q, F.lit(2)) == 1))
@@ -42,7 +45,7 @@ def round_half_up_ratio(num: Column, den: Column) -> Column:
     """Exact round-half-away-from-zero(num / den) on integer-valued decimals (SQL ROUND semantics)."""
     n, d = num.cast(INT38), den.cast(INT38)
     a, b = F.abs(n), F.abs(d)
-    q = F.call_function("div", a, b).cast(INT38)
+    q = _quotient(a, b)
     r = (a - q * b).cast(INT38)
     mag = F.when((r * 2).cast(INT38) >= b, q + 1).otherwise(q).cast(INT38)
     neg = (n < 0) != (d < 0)

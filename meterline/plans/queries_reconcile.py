@@ -39,7 +39,7 @@ WITH dedup AS (SELECT lower(name) AS k, max(sys_id) AS sys_id FROM cmdb_services
 rec AS (SELECT d.k, c.sys_id, c.name, c.support_group FROM dedup d JOIN cmdb_services c ON c.sys_id = d.sys_id),
 j AS (SELECT a.app_id, a.app_name, r.sys_id, r.name, r.support_group FROM app a JOIN rec r ON lower(a.app_name) = r.k
       WHERE a.monitoring_id IS NOT NULL AND a.app_name IS NOT NULL)
-SELECT app_id, app_name, sys_id AS cmdb_id, name AS cmdb_name, support_group, 100.0 AS confidence_score FROM j
+SELECT app_id, app_name, sys_id AS cmdb_id, name AS cmdb_name, support_group, CAST(100.0 AS DOUBLE) AS confidence_score FROM j
 WHERE app_id = (SELECT MIN(j2.app_id) FROM j j2 WHERE j2.sys_id = j.sys_id)""", "cmdb_services", "app"))
 def q_exact(spark, sf_dir):
     return R.exact_match(star(spark, sf_dir).app, cmdb_services(spark, sf_dir))
