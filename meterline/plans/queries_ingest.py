@@ -125,11 +125,12 @@ def q_estimate(spark, sf_dir):
 @register("calendar", O.build("""
 WITH b AS (SELECT CAST(MIN(l_shipdate) AS DATE) AS lo, CAST(MAX(l_shipdate) AS DATE) AS hi FROM lineitem),
 d AS (SELECT CAST(x AS DATE) AS date_value FROM b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) t(x))
-SELECT date_value, year(date_value) AS year, quarter(date_value) AS quarter, month(date_value) AS month,
-  monthname(date_value) AS month_name, weekofyear(date_value) AS week, day(date_value) AS day_of_month,
-  isodow(date_value) AS day_of_week, dayname(date_value) AS day_name, isodow(date_value) >= 6 AS is_weekend,
-  FALSE AS is_holiday, year(date_value) AS fiscal_year, quarter(date_value) AS fiscal_quarter,
-  month(date_value) AS fiscal_period
+SELECT date_value, CAST(year(date_value) AS INTEGER) AS year, CAST(quarter(date_value) AS INTEGER) AS quarter,
+  CAST(month(date_value) AS INTEGER) AS month, monthname(date_value) AS month_name,
+  CAST(weekofyear(date_value) AS INTEGER) AS week, CAST(day(date_value) AS INTEGER) AS day_of_month,
+  CAST(isodow(date_value) AS INTEGER) AS day_of_week, dayname(date_value) AS day_name,
+  isodow(date_value) >= 6 AS is_weekend, FALSE AS is_holiday, CAST(year(date_value) AS INTEGER) AS fiscal_year,
+  CAST(quarter(date_value) AS INTEGER) AS fiscal_quarter, CAST(month(date_value) AS INTEGER) AS fiscal_period
 FROM d"""))
 def q_calendar(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
