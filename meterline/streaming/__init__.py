@@ -1,0 +1,5 @@
+"""No streaming operators: the reference processes batches only (day/month truncation).
+
+Incremental loading is handled in batch by the anti-join in ``operators.cost.calculate_costs``
+(``existing_cost``) and the partition-scoped merges in ``sources.sinks``.
+"""
