@@ -113,5 +113,20 @@ def peak_savings(peak_cost) -> Column:
 
 def id_suffix_number(col, start: int) -> Column:
     """Integer value of ``substring(id, start)`` (null when not numeric)."""
-    return F.expr(f"try_cast(substring({col}, {start}) AS INT)") if isinstance(col, str) \
-        else F.substring(_c(col), start, 1 << 20).try_cast("int")
+    return F.substring(_c(col), start, 1 << 20).try_cast("int")
+
+
+def merge_metadata_struct(old, new) -> Column:
+    """P12 (typed metadata): field by field, the new value wins when present (shallow merge)."""
+    o, n = _c(old), _c(new)
+    return F.struct(F.coalesce(n["description"], o["description"]).alias("description"),
+                    F.coalesce(n["tier_count"], o["tier_count"]).alias("tier_count"),
+                    F.coalesce(n["node_count"], o["node_count"]).alias("node_count"))
+
+
+def merge_metadata_map(old, new) -> Column:
+    """P12 (free-form metadata map): shallow merge, right side wins, independent of the
+    session's map key dedup policy."""
+    o, n = _c(old), _c(new)
+    kept = F.map_filter(o, lambda k, v: ~F.array_contains(F.map_keys(n), k))
+    return F.map_concat(kept, n)
