@@ -47,6 +47,11 @@ def unmatched_sides(app: DataFrame):
     b = (app.where(F.col("monitoring_id").isNull() & F.col("cmdb_name").isNotNull())
             .select(F.col("app_id").alias("b_id"), F.col("cmdb_id").alias("b_cmdb_id"),
                     F.col("cmdb_name").alias("b_name")))
+    # R-M5 (ruling R2): a record is claimed when its CMDB id is already held by a monitored app
+    holders = (app.where(F.col("monitoring_id").isNotNull() & F.col("cmdb_id").isNotNull())
+                  .groupBy(F.col("cmdb_id").alias("b_cmdb_id"))
+                  .agg(F.min_by("app_name", "app_id").alias("claimed_by")))
+    b = b.join(holders, "b_cmdb_id", "left").withColumn("b_claimed", F.col("claimed_by").isNotNull())
     return a, b
 
 
@@ -99,7 +104,9 @@ def _deferred_acceptance(cands: DataFrame, threshold: float) -> DataFrame:
     """
     spark = cands.sparkSession
     checkpoint_dir(spark)
-    edges = (cands.where(F.col("score") >= threshold).select("a_id", "b_id", "score")
+    if "b_claimed" not in cands.columns:
+        cands = cands.withColumn("b_claimed", F.lit(False))
+    edges = (cands.where(F.col("score") >= threshold).select("a_id", "b_id", "score", "b_claimed")
                   .withColumn("rank", F.row_number().over(
                       Window.partitionBy("a_id").orderBy(F.col("score").desc(), F.col("b_id").asc()))))
     edges = edges.checkpoint(eager=True)
@@ -107,8 +114,9 @@ def _deferred_acceptance(cands: DataFrame, threshold: float) -> DataFrame:
     state = edges.where(F.col("rank") == 1).select("a_id", F.col("rank").alias("p")).checkpoint(eager=True)
     for rnd in range(1, MAX_ROUNDS + 1):
         props = (edges.join(state, (edges.a_id == state.a_id) & (edges["rank"] == state.p))
-                      .select(edges.a_id, edges.b_id, edges["rank"]))
-        holders = props.groupBy("b_id").agg(F.min("a_id").alias("holder"))
+                      .select(edges.a_id, edges.b_id, edges["rank"], edges.b_claimed))
+        # a claimed record only logs a conflict: it is never taken, so nobody is rejected there
+        holders = props.where(~F.col("b_claimed")).groupBy("b_id").agg(F.min("a_id").alias("holder"))
         losers = (props.join(holders, "b_id")
                        .where(F.col("a_id") != F.col("holder")).select("a_id", F.col("rank").alias("p0")))
         # next rank for each loser, skipping services held by a lower-order app
@@ -127,13 +135,15 @@ def _deferred_acceptance(cands: DataFrame, threshold: float) -> DataFrame:
             _log.info("greedy assignment converged after %d rounds", rnd)
             st = state.select("a_id", "p")
             return (edges.join(st, (edges.a_id == st.a_id) & (edges["rank"] == st.p))
-                         .select(edges.a_id, edges.b_id, edges.score))
+                         .select(edges.a_id, edges.b_id, edges.score, edges.b_claimed))
         state = state.where(F.col("p").isNotNull()).select("a_id", "p")
     raise RuntimeError("greedy assignment did not converge within MAX_ROUNDS rounds")
 
 
 def review_candidates(cands: DataFrame, matches: DataFrame) -> DataFrame:
     """R-M3: for apps left unmatched, the best record not taken by a lower-order app; 50 <= best < 80."""
+    if "b_claimed" in matches.columns:
+        matches = matches.where(~F.col("b_claimed"))
     taken = matches.select(F.col("b_id").alias("tb"), F.col("a_id").alias("taker"))
     free = (cands.join(matches.select("a_id"), "a_id", "left_anti")
                  .join(taken, F.col("b_id") == F.col("tb"), "left")
@@ -164,6 +174,7 @@ def _greedy_in_component(pdf):
     """The literal scan-order loop, restricted to one bounded component."""
     import pandas as pd
     by_app = {}
+    claimed = set(int(b) for b, c in zip(pdf["b_id"], pdf["b_claimed"]) if c)
     for a, b, sc in zip(pdf["a_id"], pdf["b_id"], pdf["score"]):
         by_app.setdefault(int(a), []).append((int(b), float(sc)))
     taken = set()
@@ -173,7 +184,9 @@ def _greedy_in_component(pdf):
         for b, sc in sorted(by_app[a]):          # pool order = b_id
             if b not in taken and sc > best:
                 best_b, best = b, sc
-        if best >= AUTO_MATCH:
+        if best >= AUTO_MATCH and best_b in claimed:
+            out.append((a, best_b, best, "conflict"))       # logged, record stays in the pool
+        elif best >= AUTO_MATCH:
             taken.add(best_b)
             out.append((a, best_b, best, "auto_matched"))
         elif best >= REVIEW:
@@ -186,13 +199,18 @@ def match_decisions(cands: DataFrame) -> DataFrame:
     comp = connected_components(cands)
     sizes = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("edges"))
     c = cands.join(comp.select("a_id", "b_id", "comp"), ["a_id", "b_id"]).join(sizes, "comp")
-    small = (c.where(F.col("edges") <= LOCAL_COMPONENT_EDGES).select("comp", "a_id", "b_id", "score")
+    if "b_claimed" not in c.columns:
+        c = c.withColumn("b_claimed", F.lit(False))
+    small = (c.where(F.col("edges") <= LOCAL_COMPONENT_EDGES).select("comp", "a_id", "b_id", "score", "b_claimed")
               .groupBy("comp").applyInPandas(_greedy_in_component, _LOCAL_SCHEMA))
-    big = c.where(F.col("edges") > LOCAL_COMPONENT_EDGES).select("a_id", "b_id", "a_name", "b_name", "score")
+    big = c.where(F.col("edges") > LOCAL_COMPONENT_EDGES).select("a_id", "b_id", "a_name", "b_name", "score",
+                                                                  "b_claimed")
     if sizes.where(F.col("edges") > LOCAL_COMPONENT_EDGES).limit(1).count() == 0:
         return small
     matches = greedy_assignment(big, AUTO_MATCH)
-    big_auto = matches.select("a_id", "b_id", "score", F.lit("auto_matched").alias("match_status"))
+    big_auto = matches.select("a_id", "b_id", "score",
+                              F.when(F.col("b_claimed"), F.lit("conflict")).otherwise(F.lit("auto_matched"))
+                               .alias("match_status"))
     big_rev = review_candidates(big, matches).select("a_id", "b_id", "score",
                                                      F.lit("needs_review").alias("match_status"))
     return small.unionByName(big_auto).unionByName(big_rev)
@@ -202,12 +220,14 @@ def reconcile(app: DataFrame):
     """Full fuzzy reconciliation: (log, id_map). ``log`` has the reconciliation_log columns."""
     a, b = unmatched_sides(app)
     cands = fuzzy_candidates(a, b, REVIEW).checkpoint(eager=True)
-    d = match_decisions(cands).join(a, "a_id").join(b.drop("b_cmdb_id"), "b_id")
+    d = match_decisions(cands).join(a, "a_id").join(b.drop("b_cmdb_id", "b_claimed"), "b_id")
     log = d.select(F.lit(SOURCE_A).alias("source_a"), F.lit(SOURCE_B).alias("source_b"),
                    F.col("a_name").alias("match_key_a"), F.col("b_name").alias("match_key_b"),
                    F.round("score", 2).cast("decimal(5,2)").alias("confidence_score"), "match_status",
                    F.when(F.col("match_status") == "auto_matched", F.col("a_id")).alias("resolved_app_id"),
-                   F.lit(None).cast("string").alias("notes"))
+                   F.when(F.col("match_status") == "conflict",
+                          F.concat(F.lit("CMDB record already matched to "), F.coalesce(F.col("claimed_by"), F.lit("?"))))
+                    .alias("notes"))
     id_map = (d.where(F.col("match_status") == "auto_matched")
                .select(F.col("b_id").alias("old_app_id"), F.col("a_id").alias("new_app_id")))
     return log, id_map

@@ -7,7 +7,7 @@ WORDS = ["pay", "payroll", "billing", "portal", "hr", "crm", "order", "orders",
          "ledger", "gate", "auth", "auth-svc", "store", "stock", "ship", "track"]
 
 
-def _loop(A, B):
+def _loop(A, B, claimed=()):
     pool, out = list(B), []
     for aid, an in A:
         best, bs = None, 0
@@ -15,7 +15,9 @@ def _loop(A, B):
             s = score(an, bn)
             if s > bs:
                 bs, best = s, (bid, bn)
-        if bs >= 80:
+        if bs >= 80 and best[0] in claimed:
+            out.append((aid, best[0], "conflict"))          # logged; record stays in the pool
+        elif bs >= 80:
             out.append((aid, best[0], "auto_matched"))
             pool = [p for p in pool if p[0] != best[0]]
         elif bs >= 50:
@@ -27,9 +29,10 @@ def _names(rng, n):
     return [" ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 3))) for _ in range(n)]
 
 
-def _run(spark, A, B, force_distributed=False):
+def _run(spark, A, B, force_distributed=False, claimed=()):
     a = spark.createDataFrame(A, "a_id long, a_name string")
-    b = spark.createDataFrame([(i, f"c-{i}", n) for i, n in B], "b_id long, b_cmdb_id string, b_name string")
+    b = spark.createDataFrame([(i, f"c-{i}", n, i in claimed) for i, n in B],
+                              "b_id long, b_cmdb_id string, b_name string, b_claimed boolean")
     cands = R.fuzzy_candidates(a, b, R.REVIEW)
     old = R.LOCAL_COMPONENT_EDGES
     try:
@@ -68,3 +71,15 @@ def test_ties_go_to_first_record_and_scan_order(spark):
     B = [(10, "alpha"), (11, "alpha")]
     got, _ = _run(spark, A, B)
     assert got == [(1, 10, "auto_matched"), (2, 11, "auto_matched")]
+
+
+def test_claimed_records_conflict_and_stay_in_pool(spark):
+    rng = random.Random(5)
+    A = list(enumerate(_names(rng, 16)))
+    B = [(100 + i, n) for i, n in enumerate(_names(rng, 10))]
+    claimed = {100, 103, 105}
+    exp = _loop(A, B, claimed)
+    got_local, _ = _run(spark, A, B, claimed=claimed)
+    got_dist, _ = _run(spark, A, B, force_distributed=True, claimed=claimed)
+    assert got_local == exp
+    assert got_dist == exp
