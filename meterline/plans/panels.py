@@ -85,6 +85,11 @@ def _mr(src, p) -> DataFrame:
     return _ctl(v7.where(F.col("month_start") == _latest_month(v7)), p)
 
 
+def _ordered(df: DataFrame, *cols: str) -> DataFrame:
+    """Time-series panels come back ordered (ascending, NULLs last as in PostgreSQL)."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
+
+
 def _top(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
@@ -134,9 +139,10 @@ def d06(src, p):
     lo = F.trunc(F.add_months(latest, -12), "MM")
     d = _ctl(v7.where(F.col("month_start") >= lo), p)
     d = d.join(top5, F.col("sector_name") == F.col("_top"), "left_semi")
-    return (d.groupBy("month_start", "sector_name")
+    return _ordered((d.groupBy("month_start", "sector_name")
              .agg(money(F.sum("total_amount")).alias("value"))
-             .select(F.col("month_start").alias("time"), F.col("sector_name").alias("metric"), "value"))
+             .select(F.col("month_start").alias("time"), F.col("sector_name").alias("metric"), "value")), "time", "metric")
+
 
 
 @panel("d07_top20_apps")
@@ -158,8 +164,9 @@ def d08(src, p):
 def d09(src, p):
     lo = month_start(add_months(p.as_of, -24))
     d = _ctl(src.v7.where(F.col("month_start") >= F.lit(lo)), p)
-    return (d.groupBy("month_start").agg(money(F.sum("total_amount")).alias("value"))
-             .select(F.col("month_start").alias("time"), F.lit("Total Chargeback").alias("metric"), "value"))
+    return _ordered((d.groupBy("month_start").agg(money(F.sum("total_amount")).alias("value"))
+             .select(F.col("month_start").alias("time"), F.lit("Total Chargeback").alias("metric"), "value")), "time")
+
 
 
 @panel("d10_hcode_coverage")
@@ -199,15 +206,17 @@ def _cycles(src, p):
 def d13(src, p):
     """Literal: grouped by the raw cycle, labelled after (R9: several rows may share a label)."""
     g = _cycles(src, p).groupBy("month_start", "chargeback_cycle").agg(F.sum("usd_amount").alias("_v"))
-    return g.select(F.col("month_start").alias("time"), rules.cycle_label("chargeback_cycle").alias("metric"),
-                    money(F.col("_v").cast("double")).alias("value"))
+    return _ordered(g.select(F.col("month_start").alias("time"), rules.cycle_label("chargeback_cycle").alias("metric"),
+                    money(F.col("_v").cast("double")).alias("value")), "time")
+
 
 
 @panel("d13_direct_vs_shared_fixed")
 def d13_fixed(src, p):
     g = (_cycles(src, p).groupBy("month_start", rules.cycle_label_fixed("chargeback_cycle").alias("metric"))
          .agg(money(F.sum("usd_amount").cast("double")).alias("value")))
-    return g.select(F.col("month_start").alias("time"), "metric", "value")
+    return _ordered(g.select(F.col("month_start").alias("time"), "metric", "value"), "time", "metric")
+
 
 
 # --- Architecture -------------------------------------------------------------
@@ -287,10 +296,11 @@ def d19(src, p):
                .groupBy(F.col("controller").alias("_ctl"), "pattern_name")
                .agg(F.count(F.lit(1)).alias("_n")))
     j = daily.join(per_ctl, F.col("controller") == F.col("_ctl"), "left")
-    return (j.groupBy("usage_date", "pattern_name")
+    return _ordered((j.groupBy("usage_date", "pattern_name")
              .agg(money(F.sum(F.col("_u") * F.coalesce(F.col("_n"), F.lit(1)))).alias("value"))
              .select(F.col("usage_date").alias("time"),
-                     F.coalesce(F.col("pattern_name"), F.lit("Unknown")).alias("metric"), "value"))
+                     F.coalesce(F.col("pattern_name"), F.lit("Unknown")).alias("metric"), "value")), "time", "metric")
+
 
 
 @panel("d19_daily_units_by_architecture_fixed")
@@ -302,8 +312,9 @@ def d19_fixed(src, p):
     a = _ctl(src.app, p).select("app_id", "architecture_id")
     arch = F.broadcast(src.architectures.select(F.col("architecture_id").alias("_ak"), "pattern_name"))
     j = u.join(a, "app_id").join(arch, F.col("architecture_id") == F.col("_ak"), "left")
-    return (j.groupBy("time", "pattern_name").agg(money(F.sum("_u").cast("double")).alias("value"))
-             .select("time", F.coalesce(F.col("pattern_name"), F.lit("Unknown")).alias("metric"), "value"))
+    return _ordered((j.groupBy("time", "pattern_name").agg(money(F.sum("_u").cast("double")).alias("value"))
+             .select("time", F.coalesce(F.col("pattern_name"), F.lit("Unknown")).alias("metric"), "value")), "time", "metric")
+
 
 
 # --- Cost analytics -------------------------------------------------------------
@@ -335,8 +346,9 @@ def d23(src, p):
 @panel("d24_cost_trend_by_sector")
 def d24(src, p):
     d = _ctl(_pick(src.v3, p, "cost_date"), p)
-    return (d.groupBy("cost_date", "sector_name").agg(money(F.coalesce(F.sum("total_cost"), F.lit(0.0))).alias("value"))
-             .select(F.col("cost_date").alias("time"), F.col("sector_name").alias("metric"), "value"))
+    return _ordered((d.groupBy("cost_date", "sector_name").agg(money(F.coalesce(F.sum("total_cost"), F.lit(0.0))).alias("value"))
+             .select(F.col("cost_date").alias("time"), F.col("sector_name").alias("metric"), "value")), "time", "metric")
+
 
 
 @panel("d25_top_sectors")
@@ -418,8 +430,9 @@ def d32_fixed(src, p):
 
 @panel("d33_daily_cost_trend")
 def d33(src, p):
-    return (_v1p(src, p).groupBy("cost_date").agg(money(F.coalesce(F.sum("total_cost"), F.lit(0.0))).alias("value"))
-            .select(F.col("cost_date").alias("time"), F.lit("Daily Cost").alias("metric"), "value"))
+    return _ordered((_v1p(src, p).groupBy("cost_date").agg(money(F.coalesce(F.sum("total_cost"), F.lit(0.0))).alias("value"))
+            .select(F.col("cost_date").alias("time"), F.lit("Daily Cost").alias("metric"), "value")), "time")
+
 
 
 @panel("d34_distribution_by_sector")
@@ -485,9 +498,10 @@ def d39(src, p):
 @panel("d40_peak_pro_trend")
 def d40(src, p):
     t = rules.tier_norm("tier")
-    return (_v1p(src, p).groupBy("cost_date", t.alias("metric"))
+    return _ordered((_v1p(src, p).groupBy("cost_date", t.alias("metric"))
             .agg(money(F.coalesce(F.sum("total_cost"), F.lit(0.0))).alias("value"))
-            .select(F.col("cost_date").alias("time"), "metric", "value"))
+            .select(F.col("cost_date").alias("time"), "metric", "value")), "time", "metric")
+
 
 
 @panel("d41_distribution_by_tier")
@@ -512,24 +526,27 @@ def d42(src, p):
 def d43(src, p):
     lo = add_months(p.as_of, -24)
     d = _ctl_list(src.v1.where(F.col("cost_date") >= F.lit(lo)), src, p)
-    return (d.groupBy("cost_date").agg(money(F.sum("total_cost")).alias("total_cost"))
-             .withColumnRenamed("cost_date", "time"))
+    return _ordered((d.groupBy("cost_date").agg(money(F.sum("total_cost")).alias("total_cost"))
+             .withColumnRenamed("cost_date", "time")), "time")
+
 
 
 @panel("d44_sector_trend_24m")
 def d44(src, p):
     lo = add_months(p.as_of, -24)
     d = _ctl_list(src.v3.where(F.col("cost_date") >= F.lit(lo)), src, p)
-    return (d.groupBy("cost_date", "sector_name").agg(money(F.sum("total_cost")).alias("value"))
-             .select(F.col("cost_date").alias("time"), F.col("sector_name").alias("metric"), "value"))
+    return _ordered((d.groupBy("cost_date", "sector_name").agg(money(F.sum("total_cost")).alias("value"))
+             .select(F.col("cost_date").alias("time"), F.col("sector_name").alias("metric"), "value")), "time", "metric")
+
 
 
 @panel("d45_usage_by_type_24m")
 def d45(src, p):
     lo = add_months(p.as_of, -24)
     d = _ctl_list(src.v2.where(F.col("usage_date") >= F.lit(lo)), src, p)
-    return (d.groupBy("usage_date", "capability_code").agg(money(F.sum("total_units")).alias("value"))
-             .select(F.col("usage_date").alias("time"), F.col("capability_code").alias("metric"), "value"))
+    return _ordered((d.groupBy("usage_date", "capability_code").agg(money(F.sum("total_units")).alias("value"))
+             .select(F.col("usage_date").alias("time"), F.col("capability_code").alias("metric"), "value")), "time", "metric")
+
 
 
 @panel("d51_app_count_projection")
@@ -537,9 +554,10 @@ def d51(src, p):
     """Literal (R14): COUNT(DISTINCT app_count) -- distinct values, not apps."""
     lo = add_months(p.as_of, -12)
     d = _ctl_list(src.v1.where(F.col("cost_date") >= F.lit(lo)), src, p)
-    return (d.groupBy(F.trunc("cost_date", "MM").alias("time"))
+    return _ordered((d.groupBy(F.trunc("cost_date", "MM").alias("time"))
              .agg(F.countDistinct("app_count").alias("value"))
-             .select("time", F.lit("Historical Apps").alias("metric"), "value"))
+             .select("time", F.lit("Historical Apps").alias("metric"), "value")), "time")
+
 
 
 @panel("d51_app_count_projection_fixed")
@@ -550,8 +568,9 @@ def d51_fixed(src, p):
     j = _ctl_list(c.join(a, "app_id"), src, p)
     # distinct apps per month: dedupe (month, app) first, then count rows
     per = j.select(F.trunc("ts", "MM").alias("time"), "app_id").distinct()
-    return (per.groupBy("time").agg(F.count(F.lit(1)).alias("value"))
-               .select("time", F.lit("Historical Apps").alias("metric"), "value"))
+    return _ordered((per.groupBy("time").agg(F.count(F.lit(1)).alias("value"))
+               .select("time", F.lit("Historical Apps").alias("metric"), "value")), "time")
+
 
 
 # --- Usage ----------------------------------------------------------------------------
@@ -574,9 +593,10 @@ PANELS["d55_db_units"] = _cap_units("DB", "db_units")
 
 @panel("d56_usage_trend")
 def d56(src, p):
-    return (_v2p(src, p).groupBy("usage_date", "capability_code")
+    return _ordered((_v2p(src, p).groupBy("usage_date", "capability_code")
             .agg(money(F.coalesce(F.sum("total_units"), F.lit(0.0))).alias("value"))
-            .select(F.col("usage_date").alias("time"), F.col("capability_code").alias("metric"), "value"))
+            .select(F.col("usage_date").alias("time"), F.col("capability_code").alias("metric"), "value")), "time", "metric")
+
 
 
 @panel("d57_peak_units")
@@ -609,18 +629,21 @@ def d59(src, p):
 @panel("d60_controller_picker")
 def d60(src, p):
     ctl = src.app.where(F.col("controller").isNotNull()).select("controller")
-    return src.spark.createDataFrame([("All",)], "controller string").union(ctl).distinct()
+    return _ordered(src.spark.createDataFrame([("All",)], "controller string").union(ctl).distinct(), "controller")
+
 
 
 @panel("d61_sector_picker")
 def d61(src, p):
     s = src.sectors.where(F.col("sector_name").isNotNull()).select("sector_name")
-    return src.spark.createDataFrame([("All",)], "sector_name string").union(s).distinct()
+    return _ordered(src.spark.createDataFrame([("All",)], "sector_name string").union(s).distinct(), "sector_name")
+
 
 
 @panel("d62_controller_list")
 def d62(src, p):
-    return src.app.where(F.col("controller").isNotNull()).select("controller").distinct()
+    return _ordered(src.app.where(F.col("controller").isNotNull()).select("controller").distinct(), "controller")
+
 
 
 # --- Forecast panels (events star: costs and forecasts share one as_of) ----------------
@@ -639,7 +662,8 @@ def d46(src, p):
           .groupBy(F.trunc("month_start", "MM").alias("time"))
           .agg(money(F.sum("projected_cost").cast("double")).alias("value"))
           .select("time", F.lit("Linear Forecast").alias("metric"), "value"))
-    return actual.unionByName(fc)
+    return _ordered(actual.unionByName(fc), "time")
+
 
 
 @panel("d47_forecast_by_method")
@@ -668,7 +692,8 @@ def d48(src, p):
     # at most 7 monthly rows: a single ordered window partition is bounded
     w = Window.orderBy("time").rowsBetween(-2, 0)
     hist = monthly.select("time", F.lit("Historical Trend").alias("metric"), ratio(F.avg("_m").over(w)).alias("value"))
-    return fc.unionByName(hist)
+    return _ordered(fc.unionByName(hist), "time")
+
 
 
 @panel("d49_seasonal_pattern")
@@ -678,8 +703,9 @@ def d49(src, p):
          .groupBy(F.trunc("cost_date", "MM").alias("month"), F.month("cost_date").alias("month_num"))
          .agg(F.round(F.sum("total_cost"), 2).alias("monthly_total")))
     w = Window.partitionBy("month_num")
-    return m.select(F.col("month").alias("time"), rules.month_name_padded("month").alias("metric"),
-                    ratio(F.avg("monthly_total").over(w)).alias("value"))
+    return _ordered(m.select(F.col("month").alias("time"), rules.month_name_padded("month").alias("metric"),
+                    ratio(F.avg("monthly_total").over(w)).alias("value")), "time")
+
 
 
 @panel("d50_capacity_planning")

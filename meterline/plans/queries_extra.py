@@ -131,3 +131,63 @@ def q_metadata(spark, sf_dir):
                    (F.col("s_suppkey") % 9).cast("int").alias("node_count"))
     m = j.select((F.col("s_suppkey") + 1).alias("app_id"), rules.merge_metadata_struct(old, new).alias("m"))
     return m.select("app_id", "m.description", "m.tier_count", "m.node_count")
+
+
+def inventory_sources(spark: SparkSession, sf_dir: str):
+    """Application inventory payload pieces from the driver tables: one app per supplier with
+    its nation as description, the set of capabilities it serves as tiers and supplier tags;
+    one node per (supplier, line number) seen in lineitem."""
+    from meterline.plans.queries_ingest import supplier_tags
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    li = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_linenumber")
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_size")
+    tiers = (li.join(p, li.l_partkey == p.p_partkey)
+               .groupBy(F.col("l_suppkey").alias("s_suppkey"))
+               .agg(F.array_sort(F.collect_set((F.col("p_size") % 5 + 1).cast("string"))).alias("tiers")))
+    tags = supplier_tags(spark, sf_dir).select((F.col("app_id") - 1).alias("s_suppkey"), "tags")
+    apps = (s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+             .join(tiers, "s_suppkey", "left").join(tags, "s_suppkey", "left")
+             .select(F.col("s_suppkey").alias("app_key"), F.col("r_name").alias("controller"),
+                     F.col("s_name").alias("name"), F.col("n_name").alias("description"), "tiers", "tags"))
+    nodes = li.select(F.col("l_suppkey").alias("app_key"), "l_linenumber").distinct()
+    return apps, nodes
+
+
+@register("app_inventory", O.build("""
+WITH t AS (SELECT l.l_suppkey, COUNT(DISTINCT p.p_size % 5 + 1) AS tier_count
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1),
+nd AS (SELECT l_suppkey, COUNT(DISTINCT l_linenumber) AS node_count FROM lineitem GROUP BY 1)
+SELECT CAST(s.s_suppkey AS VARCHAR) AS monitoring_id, r.r_name AS controller, s.s_name AS app_name,
+  CAST(COALESCE(t.tier_count, 0) AS INTEGER) AS tier_count, COALESCE(nd.node_count, 0) AS node_count,
+  CASE WHEN COALESCE(t.tier_count, 0) >= 4 OR (COALESCE(t.tier_count, 0) >= 2 AND COALESCE(nd.node_count, 0) >= 10)
+       THEN 'Microservices' ELSE 'Monolithic' END AS architecture,
+  CASE WHEN regexp_matches(lower(concat_ws(chr(10), s.s_name, n.n_name)), 'prod|critical|enterprise|premium')
+       THEN 'Peak' ELSE 'Pro' END AS license_tier,
+  COALESCE(NULLIF(CASE WHEN s.s_suppkey % 5 = 0 THEN 'H5-' || CAST(s.s_suppkey AS VARCHAR)
+                       WHEN s.s_suppkey % 3 = 0 THEN 'H-' || CAST(s.s_suppkey AS VARCHAR) END, ''),
+           NULLIF(CASE WHEN s.s_suppkey % 4 = 0 THEN '' ELSE 'HC' || CAST(s.s_nationkey AS VARCHAR) END, ''),
+           NULLIF('X' || CAST(n.n_regionkey AS VARCHAR), '')) AS h_code,
+  n.n_name AS metadata_description, 1 AS owner_id, 1 AS sector_id
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN t ON t.l_suppkey = s.s_suppkey LEFT JOIN nd ON nd.l_suppkey = s.s_suppkey"""))
+def q_inventory(spark, sf_dir):
+    """S02 + S03 + S04: application rows derived from the inventory payload."""
+    apps, nodes = inventory_sources(spark, sf_dir)
+    inv = IG.application_inventory(apps, nodes)
+    return inv.select("monitoring_id", "controller", "app_name", "tier_count", "node_count", "architecture",
+                      "license_tier", "h_code", F.col("metadata.description").alias("metadata_description"),
+                      "owner_id", "sector_id")
+
+
+@register("recon_repointed_cost")
+def q_repointed(spark, sf_dir):
+    """R-M4: cost per app after the merged CMDB-only rows' facts move to the surviving app
+    (rows-only: depends on the fuzzy matching)."""
+    from meterline.operators import reconcile as R
+    s = star(spark, sf_dir)
+    _, id_map = R.reconcile(s.app)
+    moved = R.repoint_fact(s.cost, id_map)
+    return (moved.groupBy("app_id").agg(F.sum("usd_cost").cast("double").alias("usd_cost"),
+                                        F.count(F.lit(1)).alias("cost_rows")))
