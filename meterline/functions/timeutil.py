@@ -61,3 +61,15 @@ def sql_ts(t: dt.datetime) -> str:
 
 def sql_date(d) -> str:
     return f"DATE '{as_date(d).isoformat()}'"
+
+
+PARTITION_COL = "month"
+
+
+def since(df, t: dt.datetime, ts_col: str = "ts"):
+    """``ts >= t`` on a fact; when the fact is a month-partitioned table (has a ``month``
+    partition column) the implied ``month >= trunc(t)`` is added so whole partitions are pruned."""
+    out = df.where(F.col(ts_col) >= ts_lit(t))
+    if PARTITION_COL in df.columns:
+        out = out.where(F.col(PARTITION_COL) >= F.lit(dt.date(t.year, t.month, 1)))
+    return out

@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.functions.timeutil import add_months, as_date, days_before, month_start, ts_lit
+from meterline.functions.timeutil import since, add_months, as_date, days_before, month_start, ts_lit
 from meterline.operators.cost import with_rate_as_of
 
 KEY = ["app_id", "capability_id", "tier"]
@@ -41,7 +41,7 @@ FORECAST_COLUMNS = ["month_start", "app_id", "capability_id", "tier", "projected
 
 
 def _window(usage: DataFrame, as_of, days: int) -> DataFrame:
-    return usage.where(F.col("ts") >= ts_lit(days_before(as_of, days)))
+    return since(usage, days_before(as_of, days))
 
 
 def runrate_forecast(usage: DataFrame, prices: DataFrame, as_of, existing: DataFrame | None = None,

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.functions.timeutil import days_before, month_start, months_before, ts_lit, add_months, as_date, date_lit
+from meterline.functions.timeutil import since, days_before, month_start, months_before, ts_lit, add_months, as_date, date_lit
 
 
 def _dbl(c):
@@ -30,7 +30,7 @@ def _unknown(c: str):
 
 
 def _daily_cost_by_app(cost: DataFrame, as_of, days: int) -> DataFrame:
-    return (cost.where(F.col("ts") >= ts_lit(days_before(as_of, days)))
+    return (since(cost, days_before(as_of, days))
                 .groupBy(F.to_date("ts").alias("cost_date"), "app_id", "tier")
                 .agg(F.sum("usd_cost").alias("_s"), F.count("usd_cost").alias("_c"),
                      F.count(F.lit(1)).alias("_n")))
@@ -49,7 +49,7 @@ def v1_daily_cost_by_controller(cost: DataFrame, app: DataFrame, as_of, days: in
 
 def v2_daily_usage_by_capability(usage: DataFrame, app: DataFrame, capabilities: DataFrame,
                                  as_of, days: int = 180) -> DataFrame:
-    pre = (usage.where(F.col("ts") >= ts_lit(days_before(as_of, days)))
+    pre = (since(usage, days_before(as_of, days))
                 .groupBy(F.to_date("ts").alias("usage_date"), "app_id", "capability_id", "tier")
                 .agg(F.sum("units_consumed").alias("_u"), F.count("units_consumed").alias("_uc"),
                      F.sum("nodes_count").alias("_nd"), F.count("nodes_count").alias("_ndc"),
@@ -127,13 +127,13 @@ def v5_architecture_metrics(usage, cost, app, architectures, capabilities, as_of
     multiplicities (units x cost-row count, cost x usage-row count).
     A usage group with no cost row counts once with a NULL tier.
     """
-    since = ts_lit(days_before(as_of, days))
-    u = (usage.where(F.col("ts") >= since)
+    t0 = days_before(as_of, days)
+    u = (since(usage, t0)
               .groupBy("app_id", F.to_date("ts").alias("d"), "capability_id")
               .agg(F.sum("units_consumed").alias("u_s"), F.count("units_consumed").alias("u_c"),
                    F.sum("nodes_count").alias("n_s"), F.count("nodes_count").alias("n_c"),
                    F.count(F.lit(1)).alias("u_rows")))
-    c = (cost.where(F.col("ts") >= since)
+    c = (since(cost, t0)
              .groupBy("app_id", F.to_date("ts").alias("d"), F.col("tier").alias("ctier"))
              .agg(F.sum("usd_cost").alias("c_s"), F.count("usd_cost").alias("c_c"),
                   F.count(F.lit(1)).alias("c_rows")))
@@ -150,9 +150,9 @@ def v5_architecture_metrics(usage, cost, app, architectures, capabilities, as_of
 def v5_architecture_metrics_exact(usage, cost, app, architectures, capabilities, as_of,
                                   days: int = 90) -> DataFrame:
     """V5 at the exact grain: usage joined to cost on (ts, app, capability, tier)."""
-    since = ts_lit(days_before(as_of, days))
-    u = usage.where(F.col("ts") >= since)
-    c = (cost.where(F.col("ts") >= since)
+    t0 = days_before(as_of, days)
+    u = since(usage, t0)
+    c = (since(cost, t0)
              .select("ts", "app_id", "capability_id", F.col("tier").alias("ctier"), "usd_cost"))
     j = u.join(c, (u.ts == c.ts) & (u.app_id == c.app_id) & (u.capability_id == c.capability_id)
                & (u.tier == c.ctier), "left")
@@ -166,7 +166,7 @@ def v5_architecture_metrics_exact(usage, cost, app, architectures, capabilities,
 
 
 def v6_app_cost_rankings_monthly(cost, app, sectors, owners, as_of, months: int = 13) -> DataFrame:
-    pre = (cost.where(F.col("ts") >= ts_lit(months_before(as_of, months)))
+    pre = (since(cost, months_before(as_of, months))
                .groupBy(F.trunc("ts", "MM").alias("month_start"), "app_id", F.col("tier").alias("cost_tier"))
                .agg(F.sum("usd_cost").alias("_s"), F.count("usd_cost").alias("_c"),
                     F.count(F.lit(1)).alias("_n")))
@@ -188,8 +188,8 @@ def v6_app_cost_rankings_monthly(cost, app, sectors, owners, as_of, months: int
 
 
 def v7_monthly_chargeback_summary(chargeback, app, sectors, as_of, months: int = 24) -> DataFrame:
-    since = month_start(add_months(as_date(as_of), -months))
-    c = chargeback.where(F.col("month_start") >= date_lit(since))
+    lo = month_start(add_months(as_date(as_of), -months))
+    c = chargeback.where(F.col("month_start") >= date_lit(lo))
     s = F.broadcast(sectors.select(F.col("sector_id").alias("_sk"), "sector_name"))
     j = (c.join(app.select("app_id", "controller"), "app_id")
           .join(s, F.col("sector_id") == F.col("_sk"), "left"))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.timeutil import add_months, as_date, date_lit, days_before, month_start, ts_lit
+from meterline.functions.timeutil import since, add_months, as_date, date_lit, days_before, month_start, ts_lit
 
 # --- fixed values: pass thresholds ----------------------------------------------
 MIN_APP_MATCH_RATE = 80.0
@@ -71,7 +71,7 @@ def orphan_usage(usage: DataFrame, cost: DataFrame, as_of, days: int = 90) -> Da
 
 def forecast_coverage(usage: DataFrame, forecast: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Q05: apps with a forecast / apps with usage in the last 30 days (>= 70 %)."""
-    active = (usage.where(F.col("ts") >= ts_lit(days_before(as_of, days))).select("app_id").distinct()
+    active = (since(usage, days_before(as_of, days)).select("app_id").distinct()
                    .agg(F.count(F.lit(1)).alias("active_apps")))
     fc = forecast.select("app_id").distinct().agg(F.count(F.lit(1)).alias("forecast_apps"))
     # combine two one-row aggregates without a join

@@ -65,7 +65,25 @@ def upsert_tally(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
                  F.count_if(F.col("_o_hit").isNotNull()).alias("updated"))
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite"):
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite",
+                small: bool = False, cluster_by: list[str] | None = None):
+    """Write Parquet, optionally partitioned.
+
+    ``small`` tables (monthly grain: chargeback, forecasts) are clustered by the
+    partition value first, giving one file per partition. Large facts are only
+    sorted within each task: a month holding a third of the data is still
+    written by many tasks, each streaming one file per month it holds. With
+    ``cluster_by`` a large fact is range-partitioned on (partition, cluster)
+    columns: sampled range bounds split a hot month across tasks, each task
+    writes few files, and files are clustered for min/max skipping.
+    """
+    if partition_by:
+        if small:
+            df = df.repartition(*partition_by)
+        elif cluster_by:
+            df = df.repartitionByRange(*partition_by, *cluster_by).sortWithinPartitions(*partition_by, *cluster_by)
+        else:
+            df = df.sortWithinPartitions(*partition_by)
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -73,12 +91,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def merge_into_parquet(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
-                       partition_col: str, how: str = "replace", measures: list[str] | None = None) -> None:
+                       partition_col: str, how: str = "replace", measures: list[str] | None = None,
+                       small: bool = True) -> None:
     """Apply a merge to the partitions of ``path`` that the batch touches."""
     try:
         current = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - first write
-        write_table(batch, path, [partition_col], mode="overwrite")
+        write_table(batch, path, [partition_col], mode="overwrite", small=small)
         return
     touched = batch.select(partition_col).distinct()
     old = current.join(touched, partition_col, "left_semi")
@@ -91,9 +110,9 @@ def merge_into_parquet(spark: SparkSession, path: str, batch: DataFrame, keys: l
     else:
         raise ValueError(how)
     stage = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-    write_table(merged, stage, [partition_col])
+    write_table(merged, stage, [partition_col], small=small)
     staged = spark.read.parquet(stage).select(*current.columns)
-    write_table(staged, path, [partition_col], mode="overwrite")   # dynamic: touched partitions only
+    write_table(staged, path, [partition_col], mode="overwrite", small=small)   # dynamic: touched partitions only
 
 
 def publish_views(spark: SparkSession, views: dict, root: str) -> DataFrame:
