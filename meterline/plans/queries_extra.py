@@ -48,14 +48,18 @@ def _matched(spark, sf_dir):
     return star(spark, sf_dir).app.where(F.col("monitoring_id").isNotNull() & F.col("cmdb_id").isNotNull())
 
 
+O.cte("s06_rel", """
+SELECT DISTINCT 'c-' || CAST(l_suppkey AS VARCHAR) AS parent, 's-' || CAST(l_partkey AS VARCHAR) AS child,
+  CASE WHEN l_partkey % 7 = 0 THEN 'Runs on::Hosts' ELSE 'Depends on::Used by' END AS type
+FROM lineitem""")
 O.cte("s06_servers", """
 SELECT DISTINCT 's-' || CAST(p.p_partkey AS VARCHAR) AS sys_id, p.p_name AS server_name,
   '10.0.' || CAST(p.p_partkey % 250 AS VARCHAR) || '.' || CAST(p.p_size AS VARCHAR) AS ip_address,
   p.p_brand AS os, p.p_size % 4 IN (0, 1) AS is_virtual
 FROM part p
-WHERE p.p_partkey IN (
-  SELECT l.l_partkey FROM lineitem l JOIN app a ON a.app_id = l.l_suppkey + 1
-  WHERE a.monitoring_id IS NOT NULL AND a.cmdb_id IS NOT NULL AND l.l_partkey % 7 <> 0)""", "app")
+WHERE 's-' || CAST(p.p_partkey AS VARCHAR) IN (
+  SELECT r.child FROM s06_rel r JOIN app a ON a.cmdb_id = r.parent
+  WHERE r.type = 'Depends on::Used by' AND a.monitoring_id IS NOT NULL)""", "app", "s06_rel")
 
 
 @register("cmdb_servers", O.build("SELECT * FROM s06_servers", "s06_servers"))
@@ -65,11 +69,9 @@ def q_servers(spark, sf_dir):
 
 
 @register("app_server_edges", O.build("""
-SELECT DISTINCT a.app_id, 's-' || CAST(l.l_partkey AS VARCHAR) AS server_sys_id,
-  'Depends on::Used by' AS relationship_type
-FROM lineitem l JOIN app a ON a.app_id = l.l_suppkey + 1
-WHERE a.cmdb_id IS NOT NULL AND l.l_partkey % 7 <> 0
-  AND 's-' || CAST(l.l_partkey AS VARCHAR) IN (SELECT sys_id FROM s06_servers)""", "app", "s06_servers"))
+SELECT DISTINCT a.app_id, r.child AS server_sys_id, COALESCE(r.type, 'Unknown') AS relationship_type
+FROM s06_rel r JOIN app a ON a.cmdb_id = r.parent
+WHERE r.type = 'Depends on::Used by' AND r.child IN (SELECT sys_id FROM s06_servers)""", "app", "s06_servers", "s06_rel"))
 def q_edges(spark, sf_dir):
     servers = IG.servers_for_matched_apps(cmdb_relations(spark, sf_dir), cmdb_servers(spark, sf_dir),
                                           _matched(spark, sf_dir))
@@ -94,14 +96,18 @@ def q_latest_runs(spark, sf_dir):
 
 
 @register("a12_active_tools", O.build("""
-SELECT string_agg(r_name, ', ' ORDER BY r_name) AS active_tools, COUNT(*) AS active_count
-FROM region WHERE r_regionkey % 2 = 0"""))
+SELECT string_agg(r.r_name, ', ' ORDER BY r.r_name) AS active_tools, COUNT(*) AS active_count
+FROM region r WHERE EXISTS (SELECT 1 FROM nation n JOIN supplier s ON s.s_nationkey = n.n_nationkey
+                            WHERE n.n_regionkey = r.r_regionkey)"""))
 def q_active_tools(spark, sf_dir):
-    """A12 over a tool-configuration table (regions as tools; even keys active).
-    The list is built from a configuration table, so the collected group is bounded."""
-    t = read(spark, sf_dir, "region").select(F.col("r_name").alias("tool_name"),
-                                             (F.col("r_regionkey") % 2 == 0).alias("is_active"))
-    a = t.where("is_active")
+    """A12 over a tool-configuration table: each region is a monitoring tool (controller),
+    active when it monitors at least one application. The list comes from a configuration
+    table, so the collected group is bounded by the number of tools."""
+    r = read(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("tool_name"))
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    s = read(spark, sf_dir, "supplier").select("s_nationkey")
+    monitored = n.join(s, n.n_nationkey == s.s_nationkey, "left_semi").select(F.col("n_regionkey").alias("r_regionkey"))
+    a = r.join(monitored, "r_regionkey", "left_semi")
     return a.agg(F.concat_ws(", ", F.sort_array(F.collect_list("tool_name"))).alias("active_tools"),
                  F.count(F.lit(1)).alias("active_count"))
 
