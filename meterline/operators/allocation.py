@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.money import cents, from_cents, round_half_even_ratio
 from meterline.sources.seeds import SHARED_HCODE_MARKERS, SHARED_SECTOR_NAMES
+from meterline.session import bounded_broadcast
 
 # --- fixed values --------------------------------------------------------------
 CYCLE_BY_METHOD = {
@@ -27,7 +28,7 @@ ALLOCATION_OWNER_ID = 1
 
 def shared_services(app: DataFrame, sectors: DataFrame) -> DataFrame:
     """Apps in a shared sector, or whose h_code mentions PLATFORM/SHARED/GLOBAL."""
-    s = F.broadcast(sectors.select("sector_id", "sector_name"))
+    s = bounded_broadcast(sectors.select("sector_id", "sector_name"), sectors)
     h = F.coalesce(F.col("h_code"), F.lit(""))
     marked = F.lit(False)
     for m in SHARED_HCODE_MARKERS:
@@ -40,8 +41,8 @@ def shared_services(app: DataFrame, sectors: DataFrame) -> DataFrame:
 
 def select_rules(shared: DataFrame, rules: DataFrame) -> DataFrame:
     """First active rule (by rule_id) whose code is a case-sensitive substring of h_code."""
-    r = F.broadcast(rules.where(F.col("is_active"))
-                         .select("rule_id", "distribution_method", "shared_service_code"))
+    r = bounded_broadcast(rules.where(F.col("is_active"))
+                         .select("rule_id", "distribution_method", "shared_service_code"), rules)
     m = shared.join(r, F.col("h_code").isNotNull() & (F.instr(F.col("h_code"), F.col("shared_service_code")) > 0))
     return (m.groupBy("app_id", "sector_id")
              .agg(F.min_by(F.struct("rule_id", "distribution_method"), F.col("rule_id")).alias("r"))
@@ -108,6 +109,8 @@ def allocate_shared_costs(cost: DataFrame, usage: DataFrame, app: DataFrame, sec
     # equal split: every distinct sector of the app dimension other than own
     all_sectors = (app.where(F.col("sector_id").isNotNull())
                       .select(F.col("sector_id").alias("target_sector_id")).distinct())
+    # one row per distinct sector (a dimension): checked, then broadcast for the non-equi join
+    all_sectors = bounded_broadcast(all_sectors)
     eq = (amc.where(F.col("distribution_method") == "equal_split")
              .join(all_sectors, F.col("target_sector_id") != F.col("own_sector_id")))
     eq = (eq.withColumn("n_sectors", F.count(F.lit(1)).over(w))
@@ -138,7 +141,7 @@ def unallocated_shared(app: DataFrame, sectors: DataFrame, rules: DataFrame) ->
 
 def allocation_summary(chargeback_all: DataFrame, sectors: DataFrame, month) -> DataFrame:
     """Q12: allocated / direct / total per sector for one month."""
-    s = F.broadcast(sectors.select("sector_id", "sector_name"))
+    s = bounded_broadcast(sectors.select("sector_id", "sector_name"), sectors)
     alloc = F.col("chargeback_cycle").like("allocated%")
     return (chargeback_all.where(F.col("month_start") == F.lit(month))
             .join(s, "sector_id")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meterline.functions.money import cents, from_cents, round_half_up_ratio
 from meterline.functions.timeutil import date_lit, days_before, ts_lit
 from meterline.sources.seeds import DEFAULT_UNIT_RATE
+from meterline.session import bounded_broadcast
 
 USAGE_KEY = ["ts", "app_id", "capability_id", "tier"]
 
@@ -19,9 +20,9 @@ def price_window_join(usage: DataFrame, prices: DataFrame) -> DataFrame:
     residual predicate of a broadcast hash join; the price list is a bounded
     configuration table.
     """
-    p = F.broadcast(prices.select(
+    p = bounded_broadcast(prices.select(
         F.col("price_id"), F.col("capability_id").alias("_p_cap"), F.col("tier").alias("_p_tier"),
-        "unit_rate", "start_date", "end_date"))
+        "unit_rate", "start_date", "end_date"), prices)
     day = F.to_date(F.col("ts"))
     cond = ((F.col("capability_id") == F.col("_p_cap")) & (F.col("tier") == F.col("_p_tier"))
             & (day >= F.col("start_date")) & (day <= F.coalesce(F.col("end_date"), day)))
@@ -73,7 +74,7 @@ def price_as_of(prices: DataFrame, as_of) -> DataFrame:
 
 def with_rate_as_of(df: DataFrame, prices: DataFrame, as_of, default=DEFAULT_UNIT_RATE) -> DataFrame:
     """J02 variant: left join the rate at ``as_of``, default 0.50."""
-    r = F.broadcast(price_as_of(prices, as_of))
+    r = bounded_broadcast(price_as_of(prices, as_of), prices)
     return (df.join(r, ["capability_id", "tier"], "left")
               .withColumn("unit_rate", F.coalesce(F.col("unit_rate"),
                                                   F.lit(default).cast("decimal(10,4)"))))

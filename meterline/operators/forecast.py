@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.timeutil import since, add_months, as_date, days_before, month_start, ts_lit
 from meterline.operators.cost import with_rate_as_of
+from meterline.session import bounded_broadcast
 
 KEY = ["app_id", "capability_id", "tier"]
 
@@ -54,7 +55,7 @@ def runrate_forecast(usage: DataFrame, prices: DataFrame, as_of, existing: DataF
               .where(F.col("n") >= MIN_ROWS))
     base = month_start(as_date(as_of))
     months = F.explode(F.sequence(F.lit(1), F.lit(HORIZON))).alias("k")
-    r = F.broadcast(price_as_of(prices, as_of))
+    r = bounded_broadcast(price_as_of(prices, as_of), prices)
     f = (recent.select("*", months)
                .join(r, ["capability_id", "tier"], "inner")
                .select(F.add_months(F.lit(base), F.col("k")).alias("month_start"), *KEY,

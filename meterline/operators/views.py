@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions.timeutil import since, days_before, month_start, months_before, ts_lit, add_months, as_date, date_lit
+from meterline.session import bounded_broadcast
 
 
 def _dbl(c):
@@ -54,7 +55,7 @@ def v2_daily_usage_by_capability(usage: DataFrame, app: DataFrame, capabilities:
                 .agg(F.sum("units_consumed").alias("_u"), F.count("units_consumed").alias("_uc"),
                      F.sum("nodes_count").alias("_nd"), F.count("nodes_count").alias("_ndc"),
                      F.count(F.lit(1)).alias("_n")))
-    caps = F.broadcast(capabilities.select("capability_id", "capability_code", "capability_name"))
+    caps = bounded_broadcast(capabilities.select("capability_id", "capability_code", "capability_name"), capabilities)
     j = pre.join(caps, "capability_id").join(app.select("app_id", "controller"), "app_id")
     g = (j.groupBy("usage_date", "capability_code", "capability_name", "controller", "tier")
           .agg(*[F.sum(c).alias(c) for c in ("_u", "_uc", "_nd", "_ndc", "_n")],
@@ -70,7 +71,7 @@ def v2_daily_usage_by_capability(usage: DataFrame, app: DataFrame, capabilities:
 def _cost_by_attr(cost, app, as_of, days, dim, dim_key, dim_name, out_name):
     pre = (_daily_cost_by_app(cost, as_of, days)
            .join(app.select("app_id", "controller", dim_key), "app_id")
-           .join(F.broadcast(dim.select(F.col(dim_key).alias("_dk"), F.col(dim_name).alias("_dn"))),
+           .join(bounded_broadcast(dim.select(F.col(dim_key).alias("_dk"), F.col(dim_name).alias("_dn")), dim),
                  F.col(dim_key) == F.col("_dk"), "left"))
     g = (pre.groupBy("cost_date", "_dn", "_dk", "controller", "tier")
             .agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"), F.sum("_n").alias("_n"),
@@ -92,9 +93,9 @@ def v4_cost_by_owner_controller(cost, app, owners, as_of, days: int = 180) -> Da
 
 def _v5_finish(j: DataFrame, app: DataFrame, architectures: DataFrame, capabilities: DataFrame) -> DataFrame:
     """Group (arch, controller, capability, cost tier) from per-(app, ...) partial sums."""
-    arch = F.broadcast(architectures.select(F.col("architecture_id").alias("_ak"),
-                                            F.col("pattern_name").alias("_an")))
-    caps = F.broadcast(capabilities.select("capability_id", "capability_code", "capability_name"))
+    arch = bounded_broadcast(architectures.select(F.col("architecture_id").alias("_ak"),
+                                            F.col("pattern_name").alias("_an")), architectures)
+    caps = bounded_broadcast(capabilities.select("capability_id", "capability_code", "capability_name"), capabilities)
     a = app.select("app_id", "controller", "architecture_id")
     x = (j.join(a, "app_id")
           .join(arch, F.col("architecture_id") == F.col("_ak"), "left")
@@ -172,8 +173,8 @@ def v6_app_cost_rankings_monthly(cost, app, sectors, owners, as_of, months: int
                     F.count(F.lit(1)).alias("_n")))
     a = app.where(F.col("app_name").isNotNull()).select(
         "app_id", "app_name", "monitoring_id", "controller", "sector_id", "owner_id", "license_tier")
-    s = F.broadcast(sectors.select(F.col("sector_id").alias("_sk"), "sector_name"))
-    o = F.broadcast(owners.select(F.col("owner_id").alias("_ok"), "owner_name"))
+    s = bounded_broadcast(sectors.select(F.col("sector_id").alias("_sk"), "sector_name"), sectors)
+    o = bounded_broadcast(owners.select(F.col("owner_id").alias("_ok"), "owner_name"), owners)
     j = (pre.join(a, "app_id")
             .join(s, F.col("sector_id") == F.col("_sk"), "left")
             .join(o, F.col("owner_id") == F.col("_ok"), "left"))
@@ -190,7 +191,7 @@ def v6_app_cost_rankings_monthly(cost, app, sectors, owners, as_of, months: int
 def v7_monthly_chargeback_summary(chargeback, app, sectors, as_of, months: int = 24) -> DataFrame:
     lo = month_start(add_months(as_date(as_of), -months))
     c = chargeback.where(F.col("month_start") >= date_lit(lo))
-    s = F.broadcast(sectors.select(F.col("sector_id").alias("_sk"), "sector_name"))
+    s = bounded_broadcast(sectors.select(F.col("sector_id").alias("_sk"), "sector_name"), sectors)
     j = (c.join(app.select("app_id", "controller"), "app_id")
           .join(s, F.col("sector_id") == F.col("_sk"), "left"))
     g = (j.groupBy("month_start", "controller", "sector_name", "_sk", "h_code")

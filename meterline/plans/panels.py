@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions import rules
 from meterline.functions.timeutil import add_months, as_date, month_start
+from meterline.session import bounded_broadcast
 
 PANELS: dict[str, callable] = {}
 
@@ -290,7 +291,7 @@ def d19(src, p):
     units(day, controller) x number of apps of each pattern on that controller."""
     v2 = _pick(src.v2, p, "usage_date")
     daily = v2.groupBy("usage_date", "controller").agg(F.sum("total_units").alias("_u"))
-    arch = F.broadcast(src.architectures.select(F.col("architecture_id").alias("_ak"), "pattern_name"))
+    arch = bounded_broadcast(src.architectures.select(F.col("architecture_id").alias("_ak"), "pattern_name"), src.architectures)
     per_ctl = (src.app.where(F.col("controller").isNotNull())
                .join(arch, F.col("architecture_id") == F.col("_ak"), "left")
                .groupBy(F.col("controller").alias("_ctl"), "pattern_name")
@@ -310,7 +311,7 @@ def d19_fixed(src, p):
                         & (F.col("ts") < F.lit(p.time_to + dt.timedelta(days=1)).cast("timestamp_ntz")))
     u = u.groupBy(F.to_date("ts").alias("time"), "app_id").agg(F.sum("units_consumed").alias("_u"))
     a = _ctl(src.app, p).select("app_id", "architecture_id")
-    arch = F.broadcast(src.architectures.select(F.col("architecture_id").alias("_ak"), "pattern_name"))
+    arch = bounded_broadcast(src.architectures.select(F.col("architecture_id").alias("_ak"), "pattern_name"), src.architectures)
     j = u.join(a, "app_id").join(arch, F.col("architecture_id") == F.col("_ak"), "left")
     return _ordered((j.groupBy("time", "pattern_name").agg(money(F.sum("_u").cast("double")).alias("value"))
              .select("time", F.coalesce(F.col("pattern_name"), F.lit("Unknown")).alias("metric"), "value")), "time", "metric")
@@ -438,7 +439,7 @@ def d33(src, p):
 @panel("d34_distribution_by_sector")
 def d34(src, p):
     cb = _pick_months(src.chargeback, p, "month_start")
-    s = F.broadcast(src.sectors.select(F.col("sector_id").alias("_sk"), "sector_name"))
+    s = bounded_broadcast(src.sectors.select(F.col("sector_id").alias("_sk"), "sector_name"), src.sectors)
     j = _ctl(cb.join(s, F.col("sector_id") == F.col("_sk"), "left")
                .join(src.app.select("app_id", "controller"), "app_id"), p)
     g = j.groupBy("sector_name").agg(F.sum("usd_amount").alias("_s"))
@@ -452,7 +453,7 @@ def d35(src, p):
     hi = dt.datetime.combine(add_months(month_start(p.time_to), 1), dt.time())
     c = (src.cost.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
              .groupBy("app_id").agg(F.sum("usd_cost").alias("_c")))
-    s = F.broadcast(src.sectors.select(F.col("sector_id").alias("_sk"), "sector_name"))
+    s = bounded_broadcast(src.sectors.select(F.col("sector_id").alias("_sk"), "sector_name"), src.sectors)
     a = _ctl(src.app.where(F.col("app_name").isNotNull()), p)
     j = a.join(s, F.col("sector_id") == F.col("_sk"), "left").join(c, "app_id", "left")
     g = j.groupBy("app_name", "sector_name").agg(F.sum("_c").alias("_t"))
@@ -715,7 +716,7 @@ def d50(src, p):
           .groupBy(F.col("capability_code").alias("license_type"))
           .agg(F.round(F.sum("total_units"), 2).alias("current_usage")))
     target = month_start(add_months(p.as_of, 12))
-    caps = F.broadcast(src.capabilities.select("capability_id", "capability_code"))
+    caps = bounded_broadcast(src.capabilities.select("capability_id", "capability_code"), src.capabilities)
     fu = (_forecast_ctl(src, p).where(F.col("month_start") == F.lit(target))
           .join(caps, "capability_id")
           .groupBy(F.col("capability_code").alias("_code"))

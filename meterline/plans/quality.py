@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.timeutil import since, add_months, as_date, date_lit, days_before, month_start, ts_lit
+from meterline.session import bounded_broadcast
 
 # --- fixed values: pass thresholds ----------------------------------------------
 MIN_APP_MATCH_RATE = 80.0
@@ -137,7 +138,7 @@ def chargeback_coverage(cost: DataFrame, chargeback: DataFrame, as_of) -> DataFr
 def chargeback_summary(chargeback: DataFrame, sectors: DataFrame) -> DataFrame:
     """Q11: direct chargeback of the latest month by sector, plus a TOTAL row."""
     latest = chargeback.select(F.max("month_start")).scalar()
-    s = F.broadcast(sectors.select("sector_id", "sector_name"))
+    s = bounded_broadcast(sectors.select("sector_id", "sector_name"), sectors)
     cur = chargeback.where((F.col("month_start") == latest) & (F.col("chargeback_cycle") == "direct")).join(s, "sector_id")
     by = cur.groupBy("sector_name").agg(F.countDistinct("app_id").alias("apps"),
                                         F.sum("usd_amount").cast("double").alias("total_amount"))

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "meterline", master: str | None = None,
@@ -65,3 +66,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/meterline-tables/{name}-{os.getpid()}"
+
+
+# --- bounded broadcasts -------------------------------------------------------------
+BROADCAST_MAX_ROWS = 200_000
+
+
+def mark_bounded(df: DataFrame) -> DataFrame:
+    """Flag a DataFrame built from a literal, bounded row list (seed/config tables)."""
+    df._meterline_bounded = True  # noqa: SLF001
+    return df
+
+
+def bounded_broadcast(df: DataFrame, source: DataFrame | None = None,
+                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only behind a proven size bound.
+
+    ``source`` is the DataFrame the caller received (``df`` may be a projection of it).
+    A literal seed table is bounded by construction; anything else is checked with a
+    ``limit(max_rows + 1).count()`` (reads at most max_rows + 1 rows). Beyond the bound
+    no hint is given and the planner's size-checked choice (sort-merge / AQE) applies.
+    """
+    src = source if source is not None else df
+    if getattr(src, "_meterline_bounded", False):
+        return F.broadcast(df)
+    if src.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from meterline.functions import rules
 from meterline.functions.timeutil import as_date
+from meterline.session import bounded_broadcast
 
 # --- fixed values ------------------------------------------------------------------
 # Usage type reported by an agent -> capability code (R16: kept as data).
@@ -89,7 +90,7 @@ def flatten_usage_payload(payload: DataFrame, capabilities: DataFrame, payload_c
                    "usage_type", code.alias("capability_code"),
                    F.date_trunc("day", parsed).cast("timestamp_ntz").alias("ts"),
                    F.coalesce(F.col("avg"), F.lit(0.0)).alias("units"))
-    known = F.broadcast(capabilities.select(F.col("capability_code").alias("_cc")))
+    known = bounded_broadcast(capabilities.select(F.col("capability_code").alias("_cc")), capabilities)
     x = x.join(known, F.col("capability_code") == F.col("_cc"), "left")
     ok = F.col("_cc").isNotNull() & (F.col("units") != 0) & F.col("ts").isNotNull()
     good = x.where(ok).select("account_id", "ts", "capability_code", "tier", "units")
@@ -186,7 +187,7 @@ def usage_estimate(apps: DataFrame, as_of, capabilities: DataFrame) -> DataFrame
                   * (F.lit(APM_BASE) + F.lit(APM_SPREAD) * k / 7), 2)
     mrum = F.round(F.col("tier_count") * F.lit(MRUM_UNITS_PER_TIER)
                    * (F.lit(MRUM_BASE) + F.lit(MRUM_SPREAD) * k / 7), 2)
-    caps = F.broadcast(capabilities.select("capability_id", "capability_code"))
+    caps = bounded_broadcast(capabilities.select("capability_id", "capability_code"), capabilities)
     rows = days.select(F.col("d").cast("timestamp_ntz").alias("ts"), "app_id", F.col("license_tier").alias("tier"),
                        F.inline(F.array(
                            F.struct(F.lit("APM").alias("capability_code"), apm.alias("units"),

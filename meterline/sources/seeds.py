@@ -9,7 +9,9 @@ import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F  # noqa: F401
+
+from meterline.session import mark_bounded
 
 # --- fixed values: seed rows of the dimension tables -----------------------
 OWNERS = [
@@ -68,22 +70,22 @@ DEFAULT_UNIT_RATE = Decimal("0.50")
 
 
 def owners(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(
+    return mark_bounded(spark.createDataFrame(
         OWNERS, "owner_id int, owner_name string, email string, department string"))
 
 
 def sectors(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(
+    return mark_bounded(spark.createDataFrame(
         SECTORS, "sector_id int, sector_name string, description string"))
 
 
 def architectures(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(
+    return mark_bounded(spark.createDataFrame(
         ARCHITECTURES, "architecture_id int, pattern_name string, description string"))
 
 
 def capabilities(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(
+    return mark_bounded(spark.createDataFrame(
         CAPABILITIES,
         "capability_id int, capability_code string, capability_name string, description string"))
 
@@ -93,13 +95,13 @@ def prices(spark: SparkSession, rows=None) -> DataFrame:
     data = [(pid, cap, tier, Decimal(rate), dt.date.fromisoformat(s),
              dt.date.fromisoformat(e) if e else None)
             for pid, cap, tier, rate, s, e in rows]
-    return F.broadcast(spark.createDataFrame(
+    return mark_bounded(spark.createDataFrame(
         data, "price_id int, capability_id int, tier string, unit_rate decimal(10,4), "
               "start_date date, end_date date"))
 
 
 def allocation_rules(spark: SparkSession, rows=None) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(
+    return mark_bounded(spark.createDataFrame(
         ALLOCATION_RULES if rows is None else rows,
         "rule_id int, rule_name string, distribution_method string, "
         "shared_service_code string, applies_to_sector_id int, is_active boolean"))
