@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions import rules
-from meterline.functions.timeutil import add_months, as_date, month_start
+from meterline.functions.timeutil import add_months, as_date, month_start, ts_lit
 from meterline.session import bounded_broadcast
 
 PANELS: dict[str, callable] = {}
@@ -451,7 +451,7 @@ def d34(src, p):
 def d35(src, p):
     lo = dt.datetime.combine(month_start(p.time_from), dt.time())
     hi = dt.datetime.combine(add_months(month_start(p.time_to), 1), dt.time())
-    c = (src.cost.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+    c = (src.cost.where((F.col("ts") >= ts_lit(lo)) & (F.col("ts") < ts_lit(hi)))
              .groupBy("app_id").agg(F.sum("usd_cost").alias("_c")))
     s = bounded_broadcast(src.sectors.select(F.col("sector_id").alias("_sk"), "sector_name"), src.sectors)
     a = _ctl(src.app.where(F.col("app_name").isNotNull()), p)
@@ -564,7 +564,7 @@ def d51(src, p):
 @panel("d51_app_count_projection_fixed")
 def d51_fixed(src, p):
     lo = dt.datetime.combine(add_months(p.as_of, -12), dt.time())
-    c = src.cost.where(F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
+    c = src.cost.where(F.col("ts") >= ts_lit(lo))
     a = src.app.select("app_id", "controller")
     j = _ctl_list(c.join(a, "app_id"), src, p)
     # distinct apps per month: dedupe (month, app) first, then count rows
@@ -617,7 +617,7 @@ def d59(src, p):
     """R15 corrected: true top-10 applications by units in the picker window."""
     lo = dt.datetime.combine(p.time_from, dt.time())
     hi = dt.datetime.combine(p.time_to, dt.time())
-    u = (src.usage.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") <= F.lit(hi).cast("timestamp_ntz")))
+    u = (src.usage.where((F.col("ts") >= ts_lit(lo)) & (F.col("ts") <= ts_lit(hi)))
               .groupBy("app_id").agg(F.sum("units_consumed").alias("_u")))
     a = _ctl(src.app.where(F.col("app_name").isNotNull()), p).select("app_id", "app_name")
     g = (u.join(a, "app_id").groupBy("app_name").agg(F.sum("_u").alias("_t"))

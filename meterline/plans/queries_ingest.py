@@ -207,9 +207,9 @@ def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manual overrides derived from supplier balances (active / expired / superseded cases)."""
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     k, bal = F.col("s_suppkey"), F.col("s_acctbal")
-    t0 = F.lit(dt.datetime(2001, 1, 1)).cast("timestamp_ntz")
-    t1 = F.lit(dt.datetime(2001, 6, 1)).cast("timestamp_ntz")
-    far = F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz")
+    t0 = ts_lit(dt.datetime(2001, 1, 1))
+    t1 = ts_lit(dt.datetime(2001, 6, 1))
+    far = ts_lit(dt.datetime(2030, 1, 1))
     a = s.select((k + 1).alias("app_id"), F.lit("h_code").alias("field_name"),
                  F.concat(F.lit("OV-"), F.col("s_nationkey").cast("string")).alias("override_value"),
                  (bal > 0).alias("is_active"),

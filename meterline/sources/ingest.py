@@ -63,6 +63,13 @@ def _type_map() -> Column:
     return F.create_map(*[x for k, v in USAGE_TYPE_TO_CAPABILITY.items() for x in (F.lit(k), F.lit(v))])
 
 
+def _utc_day(instant: Column) -> Column:
+    """Midnight (UTC) of an instant, as TIMESTAMP_NTZ, independent of the session time zone:
+    whole days since the epoch, added to 1970-01-01."""
+    days = F.floor(F.unix_micros(instant) / F.lit(86_400_000_000)).cast("int")
+    return F.date_add(F.lit(dt.date(1970, 1, 1)), days).cast("timestamp_ntz")
+
+
 def flatten_usage_points(payload: DataFrame, payload_col: str = "payload") -> DataFrame:
     """S01 stage 1: one row per data point with its raw fields."""
     doc = payload.select(F.from_json(F.col(payload_col), USAGE_PAYLOAD_SCHEMA).alias("d"))
@@ -88,7 +95,7 @@ def flatten_usage_payload(payload: DataFrame, capabilities: DataFrame, payload_c
                    F.when(F.upper(F.coalesce(F.col("package"), F.lit(""))).contains(PEAK_PACKAGE_MARKER),
                           F.lit("Peak")).otherwise(F.lit("Pro")).alias("tier"),
                    "usage_type", code.alias("capability_code"),
-                   F.date_trunc("day", parsed).cast("timestamp_ntz").alias("ts"),
+                   _utc_day(parsed).alias("ts"),
                    F.coalesce(F.col("avg"), F.lit(0.0)).alias("units"))
     known = bounded_broadcast(capabilities.select(F.col("capability_code").alias("_cc")), capabilities)
     x = x.join(known, F.col("capability_code") == F.col("_cc"), "left")
