@@ -13,7 +13,7 @@ from meterline.operators import cost as CO
 from meterline.plans import oracle as O
 from meterline.plans import forecast_sql, panel_sql
 from meterline.plans.panels import PANELS, PanelParams
-from meterline.plans.registry import register, star
+from meterline.plans.registry import ORACLE, register, star
 from meterline.sources import seeds
 from meterline.sources.star import Star
 
@@ -144,3 +144,7 @@ def _panel_query(name):
 for _name in PANELS:
     _sql = forecast_sql.SQL.get(_name) if _name in _EVENT_PANELS else panel_sql.SQL.get(_name)
     register(_name, _sql)(_panel_query(_name))
+
+
+# Q12 of the survey is the allocation summary; registered under its quality key as well.
+register("q12_allocation_summary", ORACLE["alloc_summary"])(q_alloc_summary)
