@@ -44,16 +44,23 @@ def price_overlaps(prices: DataFrame) -> DataFrame:
              .select(F.col("a.price_id").alias("price_id_a"), F.col("b.price_id").alias("price_id_b")))
 
 
-def uncosted_usage(usage: DataFrame, cost: DataFrame | None) -> DataFrame:
-    """Usage rows with no cost row yet (anti-join on the full key)."""
+def uncosted_usage(usage: DataFrame, cost: DataFrame | None, extra_keys: list[str] | None = None) -> DataFrame:
+    """Usage rows with no cost row yet (anti-join on the full key).
+
+    ``extra_keys`` may add columns that are functions of the key -- e.g. the ``month``
+    partition column of both tables -- so the planner can prune the cost table's
+    partitions dynamically instead of scanning all of it.
+    """
     if cost is None:
         return usage
-    return usage.join(cost.select(*USAGE_KEY), USAGE_KEY, "left_anti")
+    keys = USAGE_KEY + list(extra_keys or [])
+    return usage.join(cost.select(*keys), keys, "left_anti")
 
 
-def calculate_costs(usage: DataFrame, prices: DataFrame, existing_cost: DataFrame | None = None) -> DataFrame:
+def calculate_costs(usage: DataFrame, prices: DataFrame, existing_cost: DataFrame | None = None,
+                    extra_keys: list[str] | None = None) -> DataFrame:
     """Cost rows for usage not yet costed: round(units * rate, 2)."""
-    todo = uncosted_usage(usage, existing_cost)
+    todo = uncosted_usage(usage, existing_cost, extra_keys)
     priced = price_window_join(todo, prices)
     return priced.select(
         "ts", "app_id", "capability_id", "tier",

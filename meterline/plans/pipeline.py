@@ -71,14 +71,24 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> D
     cb_path, fc_path = f"{root}/chargeback_fact", f"{root}/forecast_fact"
 
     def usage_step():
-        sinks.write_table(_with_month(base.usage), usage_path, [PARTITION_COL], mode="overwrite",
-                          cluster_by=["app_id"])
+        # S07a insert-if-absent: only usage keys not loaded yet are appended
+        fresh = _with_month(base.usage)
+        existing = _read(spark, usage_path)
+        if existing is not None:
+            # null-safe key equality: a reload must not re-append rows whose key has a NULL part
+            keys = USAGE_KEY + [PARTITION_COL]
+            old = existing.select(*[F.col(k).alias(f"_o_{k}") for k in keys])
+            cond = None
+            for k in keys:
+                e = F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+                cond = e if cond is None else cond & e
+            fresh = fresh.join(old, cond, "left_anti")
+        sinks.write_table(fresh, usage_path, [PARTITION_COL], mode="append", cluster_by=["app_id"])
 
     def cost_step():
         usage = spark.read.parquet(usage_path)
         existing = _read(spark, cost_path)
-        new = calculate_costs(usage.drop(PARTITION_COL), base.price,
-                              existing.select(*USAGE_KEY) if existing is not None else None)
+        new = calculate_costs(usage, base.price, existing, extra_keys=[PARTITION_COL])
         sinks.write_table(_with_month(new), cost_path, [PARTITION_COL], mode="append", cluster_by=["app_id"])
 
     def chargeback_step():

@@ -20,3 +20,5 @@ def test_pipeline_tables_reproduce_views_and_rerun_is_idempotent(spark, tmp_path
     assert all(r.status == "success" for r in st2)
     assert _rows(spark.read.parquet(f"{root}/chargeback_fact")) == cb1
     assert spark.read.parquet(f"{root}/license_cost_fact").count() == base.cost.count()
+    assert spark.read.parquet(f"{root}/license_usage_fact").count() == base.usage.count()
+    assert _rows(TableStar(Star(spark, SF_MID), root).v2) == _rows(base.v2)
