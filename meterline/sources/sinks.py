@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.session import scratch_path
+from meterline.session import cut_lineage, scratch_path
 
 
 def _joined(target: DataFrame, batch: DataFrame, keys: list[str]):
@@ -99,6 +99,8 @@ def merge_into_parquet(spark: SparkSession, path: str, batch: DataFrame, keys: l
     except Exception:  # noqa: BLE001 - first write
         write_table(batch, path, [partition_col], mode="overwrite", small=small)
         return
+    # the batch is usually a whole job (e.g. the allocation): compute it once, reliably
+    batch = cut_lineage(batch)
     touched = batch.select(partition_col).distinct()
     old = current.join(touched, partition_col, "left_semi")
     if how == "replace":
