@@ -28,7 +28,8 @@ def get_spark(app: str = "meterline", master: str | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-          .config("spark.sql.mapKeyDedupPolicy", "LAST_WIN"))
+          .config("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master and master.startswith("local"):
         # local mode: the driver JVM is the whole cluster
         b = b.config("spark.driver.memory", os.environ.get("METERLINE_DRIVER_MEMORY", "16g"))
