@@ -194,3 +194,12 @@ def constraint_checks(app: DataFrame, usage: DataFrame, cost: DataFrame, chargeb
         bad_values(cost, "tier", ("Peak", "Pro"), "cost_tier_values"),
     ]
     return reduce(DataFrame.unionByName, parts).withColumn("ok", F.col("violations") == 0)
+
+
+def chargeback_sector_distribution(chargeback: DataFrame, sectors: DataFrame, as_of) -> DataFrame:
+    """Q09 (sector part): apps and amount per sector over the last two months of chargeback."""
+    lo = month_start(add_months(as_date(as_of), -1))
+    s = bounded_broadcast(sectors.select("sector_id", "sector_name"), sectors)
+    cb = chargeback.where(F.col("month_start") >= F.lit(lo)).join(s, "sector_id", "left")
+    return (cb.groupBy(F.coalesce(F.col("sector_name"), F.lit("Unknown")).alias("sector_name"))
+              .agg(F.countDistinct("app_id").alias("apps"), F.sum("usd_amount").cast("double").alias("total_amount")))

@@ -209,3 +209,14 @@ def _dup(table, keys, name):
 def q15(spark, sf_dir):
     s = star(spark, sf_dir)
     return Q.constraint_checks(s.app, s.usage, s.cost, s.chargeback, s.price)
+
+
+@register("q09_sector_distribution", O.build(f"""
+SELECT COALESCE(s.sector_name, 'Unknown') AS sector_name, COUNT(DISTINCT c.app_id) AS apps,
+  CAST(SUM(c.usd_amount) AS DOUBLE) AS total_amount
+FROM chargeback c LEFT JOIN sectors s ON s.sector_id = c.sector_id
+WHERE c.month_start >= {sql_date(_M1)}
+GROUP BY 1""", "chargeback", "sectors"))
+def q09_sectors(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return Q.chargeback_sector_distribution(s.chargeback, s.sectors, s.as_of)

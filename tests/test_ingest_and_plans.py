@@ -73,3 +73,14 @@ def test_publish_views_versions_and_failures(spark, tmp_path):
     by = {r.view: r for r in st}
     assert by["v1"].status == "success" and by["v1"].rows == s.v1.count()
     assert by["broken"].status == "failed" and "boom" in by["broken"].error
+
+
+def test_controller_list_filter(spark):
+    s = Star(spark, SF_MID)
+    ctls = sorted(r.controller for r in PANELS["d62_controller_list"](s, PanelParams(as_of=s.as_of)).collect())
+    every = {r.time: r.total_cost for r in PANELS["d43_cost_trend_24m"](s, PanelParams(as_of=s.as_of)).collect()}
+    listed = {r.time: r.total_cost for r in
+              PANELS["d43_cost_trend_24m"](s, PanelParams(as_of=s.as_of, controllers=ctls)).collect()}
+    assert listed == every
+    one = PANELS["d43_cost_trend_24m"](s, PanelParams(as_of=s.as_of, controllers=ctls[:1])).collect()
+    assert sum(r.total_cost for r in one) < sum(every.values())
