@@ -79,11 +79,14 @@ def _post(df: DataFrame, amount_cents: str, method: str) -> DataFrame:
 
 
 def allocate_shared_costs(cost: DataFrame, usage: DataFrame, app: DataFrame, sectors: DataFrame,
-                          rules: DataFrame, months=None) -> DataFrame:
+                          rules: DataFrame, months=None, methods=None) -> DataFrame:
     """Allocation rows for every shared app-month (``months=None``: all months).
 
     Output has the chargeback schema; one row per (month, shared app, other sector).
+    ``methods`` restricts the result to some distribution methods (default: all three);
+    the other branches are then not built at all.
     """
+    methods = set(methods or CYCLE_BY_METHOD)
     selected = select_rules(shared_services(app, sectors), rules)
     amc = _app_month_cost(cost, selected, months)
     smu = _sector_month_usage(usage, app, months)
@@ -106,19 +109,28 @@ def allocate_shared_costs(cost: DataFrame, usage: DataFrame, app: DataFrame, sec
     den = F.when(U != 0, U * n * 10).otherwise(n * 10)
     cust = cust.withColumn("_amt", round_half_even_ratio(num, den))
 
-    # equal split: every distinct sector of the app dimension other than own
-    all_sectors = (app.where(F.col("sector_id").isNotNull())
-                      .select(F.col("sector_id").alias("target_sector_id")).distinct())
-    # one row per distinct sector (a dimension): checked, then broadcast for the non-equi join
-    all_sectors = bounded_broadcast(all_sectors)
-    eq = (amc.where(F.col("distribution_method") == "equal_split")
-             .join(all_sectors, F.col("target_sector_id") != F.col("own_sector_id")))
-    eq = (eq.withColumn("n_sectors", F.count(F.lit(1)).over(w))
-            .withColumn("_amt", round_half_even_ratio(cents(F.col("total_cost")), F.col("n_sectors"))))
-
-    return (_post(prop, "_amt", "proportional_usage")
-            .unionByName(_post(eq, "_amt", "equal_split"))
-            .unionByName(_post(cust, "_amt", "custom_formula")))
+    parts = []
+    if "proportional_usage" in methods:
+        parts.append(_post(prop, "_amt", "proportional_usage"))
+    if "equal_split" in methods:
+        # equal split: every distinct sector of the app dimension other than own
+        all_sectors = (app.where(F.col("sector_id").isNotNull())
+                          .select(F.col("sector_id").alias("target_sector_id")).distinct())
+        # one row per distinct sector (a dimension): checked, then broadcast for the non-equi join
+        all_sectors = bounded_broadcast(all_sectors)
+        eq = (amc.where(F.col("distribution_method") == "equal_split")
+                 .join(all_sectors, F.col("target_sector_id") != F.col("own_sector_id")))
+        eq = (eq.withColumn("n_sectors", F.count(F.lit(1)).over(w))
+                .withColumn("_amt", round_half_even_ratio(cents(F.col("total_cost")), F.col("n_sectors"))))
+        parts.append(_post(eq, "_amt", "equal_split"))
+    if "custom_formula" in methods:
+        parts.append(_post(cust, "_amt", "custom_formula"))
+    if not parts:
+        raise ValueError(f"unknown distribution methods: {sorted(methods)}")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def allocation_residuals(cost: DataFrame, allocations: DataFrame) -> DataFrame:

@@ -70,7 +70,9 @@ def q_rules(spark, sf_dir):
 
 def _alloc(spark, sf_dir, cycle):
     s = star(spark, sf_dir)
-    a = AL.allocate_shared_costs(s.cost, s.usage, s.app, s.sectors, seeds.allocation_rules(spark))
+    method = {v: k for k, v in AL.CYCLE_BY_METHOD.items()}[cycle]
+    a = AL.allocate_shared_costs(s.cost, s.usage, s.app, s.sectors, seeds.allocation_rules(spark),
+                                 methods=[method])
     return _money(a.where(F.col("chargeback_cycle") == cycle), "usd_amount")
 
 
