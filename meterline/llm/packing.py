@@ -35,9 +35,11 @@ from meterline.llm.common import cut_lineage, numbered, text_or_empty
 
 WINDOW = 2048
 CLOSING_ID = 0
-#: lengths over WINDOW / LARGE_PART are large; they are dealt into GROUPS groups
-LARGE_PART = 8
-GROUPS = 64
+#: what counts as large (over WINDOW / part) and into how many groups it is dealt; each
+#: choice is planned, and the plan with the fewest sequences is used
+CHOICES = ((8, 64), (2, 64))
+#: column generation ends when no pattern is worth more than this above its cost
+TOLERANCE = 1e-3
 
 
 # --- tokens ---------------------------------------------------------------------------------
@@ -123,7 +125,7 @@ def configurations(sizes: list[int], demand: list[int], window: int) -> list[tup
     for _ in range(20 * n):
         inverse = np.linalg.inv(basis)
         worth, items = best_pattern(np.ones(n) @ inverse)
-        if worth <= 1 + 1e-7:
+        if worth <= 1 + TOLERANCE:
             break
         step, amount = inverse @ items, inverse @ d
         ratios = np.where(step > 1e-9, amount / np.where(step > 1e-9, step, 1), np.inf)
@@ -135,10 +137,20 @@ def configurations(sizes: list[int], demand: list[int], window: int) -> list[tup
     return [([int(round(v)) for v in basis[:, j]], int(amount[j] + 1e-9)) for j in range(n) if amount[j] >= 1]
 
 
-def plan(counts: dict[int, int], window: int = WINDOW, groups: int = GROUPS) -> list[tuple[int, int, int, int, int, int]]:
+def sequences(runs) -> int:
+    return max((bin0 + -(-number // per) for _, number, _, per, bin0, _ in runs), default=0)
+
+
+def best_plan(counts: dict[int, int], window: int = WINDOW):
+    """The plan with the fewest sequences among ``CHOICES``."""
+    return min((plan(counts, window, part, groups) for part, groups in CHOICES), key=sequences)
+
+
+def plan(counts: dict[int, int], window: int, part: int, groups: int) -> list[tuple[int, int, int, int, int, int]]:
     """Runs (first piece, pieces, length, to a sequence, first sequence, offset).
 
     Pieces are numbered by length, ascending, from 0.  ``counts``: pieces of each length.
+    Lengths over ``window / part`` are large and dealt into about ``groups`` groups.
     """
     lengths = sorted(counts)
     first = dict(zip(lengths, np.cumsum([0, *[counts[x] for x in lengths]]).tolist()))
@@ -155,7 +167,7 @@ def plan(counts: dict[int, int], window: int = WINDOW, groups: int = GROUPS) ->
         take(window, number, 1, bins, 0)
         bins += number
 
-    large = [x for x in lengths if window // LARGE_PART < x < window]
+    large = [x for x in lengths if window // part < x < window]
     total = sum(counts[x] for x in large)
     members: list[list[int]] = []               # lengths of each group; groups break between lengths
     seen = 0
@@ -231,7 +243,7 @@ def pack(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = cut_lineage(rows)
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}   # at most ``window`` rows
     table, _ = numbered(rows, "length", "doc_id", "piece", "start", "ids_crc32", name="n")
-    runs = np.array(sorted(plan(counts, window)), np.int64).reshape(-1, 6)
+    runs = np.array(sorted(best_plan(counts, window)), np.int64).reshape(-1, 6)
 
     @F.pandas_udf("struct<sequence_id: long, offset: long>")
     def place(n: pd.Series) -> pd.DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.sources.tables import read
 
-from meterline.llm import packing, sharding, simhash
+from meterline.llm import bpe, packing, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +33,9 @@ def op5_simhash(spark, sf_dir):
 @query
 def op7_sharding(spark, sf_dir):
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_bpe(spark, sf_dir):
+    return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                       public_tokenizers.PATTERN)
