@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.sources.tables import read
 
-from meterline.llm import bpe, packing, sharding, simhash
+from meterline.llm import bpe, langid, packing, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,11 +20,21 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality(spark, sf_dir):
+    return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op2_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_langid(spark, sf_dir):
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
