@@ -2,7 +2,8 @@
 
 Every word of a text gets a label by forward-backward, so code-switched text is labelled
 word by word; a document's language is the one with the largest sum of word marginals, its
-score that sum's share.
+score that sum's share.  A word that a text repeats counts once, with its mean marginal: a
+phrase repeated a hundred times is no hundredfold evidence.
 
 Features of a word: hashed prefixes, suffixes and character n-grams, and the word itself if
 the training sample's lexicon has it (with the lexicon's majority language as a further
@@ -150,24 +151,26 @@ class Field:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if not self.labels:
             return names, scores
-        todo, words, sizes = [], [], []
+        todo, words, sizes, weights = [], [], [], []
 
         def flush():
             if todo:
                 starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(int)
                 first = np.zeros(len(words), bool)
                 first[starts] = True
-                share = np.add.reduceat(self.marginals(self.emissions(words), first), starts, axis=0)
-                share /= np.array(sizes)[:, None]
+                got = self.marginals(self.emissions(words), first) * np.array(weights)[:, None]
+                share = np.add.reduceat(got, starts, axis=0)
+                share /= share.sum(1, keepdims=True)
                 for i, s in zip(todo, share):
                     best = int(s.argmax())
                     names[i], scores[i] = self.labels[best], float(min(1.0, s[best]))
-            todo.clear(), words.clear(), sizes.clear()
+            todo.clear(), words.clear(), sizes.clear(), weights.clear()
 
         for i, t in enumerate(texts):
             w = words_of(t) if t else []
             if w:
-                todo.append(i), words.extend(w), sizes.append(len(w))
+                times = Counter(w)
+                todo.append(i), words.extend(w), sizes.append(len(w)), weights.extend(1 / times[x] for x in w)
                 if len(words) >= CHAIN:
                     flush()
         flush()
@@ -176,7 +179,7 @@ class Field:
 
 def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> Field:
     """A field from (language, words) windows of at most ``WINDOW`` words."""
-    samples = sorted((s for s in samples if s[1]), key=lambda s: (s[0], s[1]))
+    samples = sorted({(lang, tuple(words)) for lang, words in samples if words})     # copies count once
     labels = sorted({s[0] for s in samples})
     k = len(labels)
     number = {x: i for i, x in enumerate(labels)}

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.sources.tables import read
 
-from meterline.llm import bpe, langid, packing, quality, sharding, simhash
+from meterline.llm import (bpe, langid, licenses, maintext, neighbours, packing, quality, sharding,
+                           simhash, spotsigs)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,11 +36,21 @@ def op3_langid(spark, sf_dir):
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+@query
+def op4_spotsigs(spark, sf_dir):
+    return spotsigs.edited_likeness(read(spark, sf_dir, "documents"))
+
+
 @query
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_maintext(spark, sf_dir):
+    return maintext.main_text(read(spark, sf_dir, "pages"))
+
+
 @query
 def op7_sharding(spark, sf_dir):
     return sharding.shard_documents(read(spark, sf_dir, "documents"))
@@ -49,3 +60,13 @@ def op7_sharding(spark, sf_dir):
 def op8_bpe(spark, sf_dir):
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                        public_tokenizers.PATTERN)
+
+
+@query
+def op9_licenses(spark, sf_dir):
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op10_neighbours(spark, sf_dir):
+    return neighbours.search(read(spark, sf_dir, "embeddings"))
