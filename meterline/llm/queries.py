@@ -70,3 +70,9 @@ def op9_licenses(spark, sf_dir):
 @query
 def op10_neighbours(spark, sf_dir):
     return neighbours.search(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

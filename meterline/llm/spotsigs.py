@@ -5,8 +5,8 @@ not common; the start of the text counts as an anchor.  A run of common words is
 anchor, its last word.  A text's fingerprint is the sorted set of its signatures' 32-bit
 hashes, in hex.  Likeness of two fingerprints is the Jaccard measure of the sets.
 
-A text too short for a chain has one signature, made of all its words; a text without words has
-none, and two such texts are alike (1.0).
+A text with fewer than ``LEAST_CHAINS`` chains has its single words as signatures besides; a text
+without words has none, and two such texts are alike (1.0).
 
 ``edited_likeness`` compares every document with its edited self and with the next
 document.  Documents are dealt by id into blocks of about ``BLOCK_ROWS`` rows (bounds from approximate
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from meterline.llm.common import components, text_or_empty
 
 CHAIN = 2
+LEAST_CHAINS = 4
 BLOCK_ROWS = 64
 MOST_BLOCKS = 65_536
 LIKENESS = 0.8
@@ -68,7 +69,8 @@ def signatures(text: Column) -> Column:
     # one-element transforms name what is used twice, so that it is computed once
     made = F.get(F.transform(F.array(F.split(F.trim(marked), " ")), chains), 0)
     return F.get(F.transform(F.array(F.struct(words.alias("w"), made.alias("s"))), lambda x: F.when(
-        x["w"] == "", F.array().cast("array<bigint>")).when(F.size(x["s"]) == 0, F.array(hash32(x["w"]))).otherwise(x["s"])), 0)
+        x["w"] == "", F.array().cast("array<bigint>")).when(F.size(x["s"]) >= LEAST_CHAINS, x["s"]).otherwise(
+        F.array_sort(F.array_union(x["s"], F.transform(F.split(x["w"], " "), lambda w: hash32(w)))))), 0)
 
 
 def fingerprint(sigs: Column) -> Column:
