@@ -46,7 +46,7 @@ BUCKETS = 1 << 16
 EPOCHS = 6
 RATE = 0.3
 HELD_OUT_MOD, HELD_OUT_REST = 4, 2
-LEAST_SCORE = 0.5       # documents below are rejected by ``keep_known``
+LEAST_SCORE = 0.3       # documents below are rejected by ``keep_known``
 CHAIN = 200_000         # words labelled at once
 CACHE = 200_000         # words whose emissions a task remembers
 UNKNOWN = "und"
@@ -58,14 +58,39 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Feature buckets of a word; very long words are described by their first and last 24 letters."""
-    w = f"^{word}$" if len(word) <= 48 else f"^{word[:24]}{word[-24:]}$"
-    names = [w[:k] for k in (2, 3, 4)] + [w[-k:] for k in (2, 3, 4)]
-    names += [w[i:i + k] for k in (1, 2, 3) for i in range(len(w) - k + 1)]
-    if word in lexicon:
-        names += [f"={word}", f"lex{lexicon[word]}"]
-    return [zlib.crc32(x.encode()) % BUCKETS for x in dict.fromkeys(names)]
+def _buckets(codes: np.ndarray, at: np.ndarray, k: int, kind: int) -> np.ndarray:
+    """Hash buckets of the k letters from each place ``at`` on."""
+    h = np.full(len(at), 8 * kind + k, np.uint64)
+    for j in range(k):
+        h = (h ^ codes[at + j]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(31)
+    return (h % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def features(words: list[str]):
+    """Feature buckets of many words at once: (letter grams, their words' starts, affixes).
+
+    Letter grams: [(buckets by letter, valid)]; affixes: [(buckets by word, valid)].  Words are read with
+    a border mark on both sides; very long ones are described by their first and last 24 letters.
+    """
+    marked = [f"^{w}$" if len(w) <= 48 else f"^{w[:24]}{w[-24:]}$" for w in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    codes = np.r_[np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32), np.zeros(4, np.uint32)].astype(np.uint64)
+    letters = np.arange(ends[-1] if len(ends) else 0)
+    room = np.repeat(ends, sizes) - letters
+    grams = [(_buckets(codes, letters, k, 0), room >= k) for k in (1, 2, 3)]
+    affixes = [(_buckets(codes, starts, k, 1), sizes >= k) for k in (2, 3, 4)]
+    affixes += [(_buckets(codes, np.maximum(ends - k, 0), k, 2), sizes >= k) for k in (2, 3, 4)]
+    return grams, starts, affixes
+
+
+def lexicon_features(word: str, lexicon: dict[str, int]) -> list[int]:
+    """The word itself and its majority language, if the lexicon has it."""
+    if word not in lexicon:
+        return []
+    return [zlib.crc32(x.encode()) % BUCKETS for x in (f"={word}", f"lex{lexicon[word]}")]
 
 
 def _logsum(x, axis):
@@ -81,21 +106,26 @@ class Field:
     emit: np.ndarray            # (buckets, labels)
     move: np.ndarray            # (labels, labels)
     begin: np.ndarray           # (labels,)
-    known: dict[str, np.ndarray] = field(default_factory=dict)
+    known: dict[str, int] = field(default_factory=dict)         # word -> row of ``table``
+    table: np.ndarray | None = None
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """exp of emission scores, the largest of a word being 1; distinct words are scored once."""
+        if self.table is None or len(self.known) > CACHE:
+            self.known, self.table = {}, np.empty((0, len(self.labels)))
         known = self.known
-        if len(known) > CACHE:
-            known.clear()
         new = [w for w in dict.fromkeys(words) if w not in known]
         if new:
-            at = [features(w, self.lexicon) for w in new]
-            sizes = np.fromiter(map(len, at), int, len(at))
-            score = np.add.reduceat(self.emit[np.concatenate(at)], np.r_[0, sizes.cumsum()[:-1]], axis=0)
+            grams, starts, affixes = features(new)
+            score = sum(np.add.reduceat(self.emit[b] * ok[:, None], starts, axis=0) for b, ok in grams)
+            score += sum(self.emit[b] * ok[:, None] for b, ok in affixes)
+            for i, w in enumerate(new):
+                if w in self.lexicon:
+                    score[i] += self.emit[lexicon_features(w, self.lexicon)].sum(0)
             score = np.exp(np.maximum(score - score.max(1, keepdims=True), -50))
-            known.update(zip(new, score))
-        return np.array([known[w] for w in words])
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self.table = np.concatenate([self.table, score])
+        return self.table[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
 
     def marginals(self, e: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Word marginals of one chain of ``e`` (words, labels); ``first`` marks the texts' first words."""
@@ -158,7 +188,7 @@ class Field:
                 starts = np.r_[0, np.cumsum(sizes)[:-1]].astype(int)
                 first = np.zeros(len(words), bool)
                 first[starts] = True
-                got = self.marginals(self.emissions(words), first) * np.array(weights)[:, None]
+                got = self.marginals(self.emissions(words), first) / np.array(weights, float)[:, None]
                 share = np.add.reduceat(got, starts, axis=0)
                 share /= share.sum(1, keepdims=True)
                 for i, s in zip(todo, share):
@@ -170,7 +200,7 @@ class Field:
             w = words_of(t) if t else []
             if w:
                 times = Counter(w)
-                todo.append(i), words.extend(w), sizes.append(len(w)), weights.extend(1 / times[x] for x in w)
+                todo.append(i), words.extend(w), sizes.append(len(w)), weights.extend(map(times.__getitem__, w))
                 if len(words) >= CHAIN:
                     flush()
         flush()
@@ -192,7 +222,12 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 7) -> Field:
     if k < 2:
         return out
     vocabulary = {w: i + 1 for i, w in enumerate(seen)}                     # 0 pads
-    at = [[]] + [features(w, lexicon) for w in vocabulary]
+    grams, starts, affixes = features(list(vocabulary))
+    at: list[list[int]] = [[]] + [lexicon_features(w, lexicon) for w in vocabulary]
+    words_at = np.repeat(np.arange(len(vocabulary)), np.diff(np.r_[starts, len(grams[0][0])]))
+    for found, of in [*((g, words_at) for g in grams), *((a, np.arange(len(vocabulary))) for a in affixes)]:
+        for word, bucket in zip(of[found[1]].tolist(), found[0][found[1]].tolist()):
+            at[word + 1].append(bucket)
     widest = max(map(len, at))
     index = np.array([x + [BUCKETS] * (widest - len(x)) for x in at])       # bucket BUCKETS is always 0
     emit = np.zeros((BUCKETS + 1, k))
@@ -255,8 +290,8 @@ def fit(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Field:
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("lang").alias("lang"), F.col("text").alias("text"))
     rows = rows.where("lang is not null and text is not null and id is not null").where(~held_out("id"))
     order = F.struct(F.xxhash64("id"), "id")
-    # first the salted halves of each language, then the languages: a language may hold most rows
-    ids = rows.select("id", "lang", F.pmod(F.xxhash64("id"), F.lit(64)).alias("salt"))
+    # first salted parts of each language, then the languages: a language may hold most rows
+    ids = rows.select("id", "lang", F.pmod(F.xxhash64("id"), F.lit(16)).alias("salt"))
     for keys in (["lang", "salt"], ["lang"]):
         ids = (ids.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
                   .where(F.col("nth") <= per_language).drop("nth"))
