@@ -6,7 +6,7 @@ and a confidence.  ``rules`` builds some hundreds of them from the hand-written
 patterns of ``NAMES`` and the sentence forms of ``FORMS``.
 
 Per row, without a shuffle: one test asks whether any keyword occurs at all; only then each rule whose
-own keyword occurs marks its matches in the text, and the marks' word places give
+own keyword and context word occur marks its matches in the text, and the marks' word places give
 intervals.  Intervals are read by start, longest first, then by priority: one that lies inside
 what has been accepted is suppressed, and so is one that overlaps the last accepted interval with a
 lesser priority.  What stays gives the labels.  The phrases of ``BASE`` are rules as well; their
@@ -98,45 +98,45 @@ NAMES = [
     ("proprietary", "reserved", r"all rights reserved"),
 ]
 
-#: priority (smaller wins), confidence, sentence form around a name, and whether a bare short name may fill it
+#: priority (smaller wins), confidence, what every match holds besides the name, sentence form around a name
 FORMS = [
-    (1, 1.0, r"spdx license identifier (?:{0})(?: only| or later)?"),
-    (2, 0.95, r"(?:licensed|released|distributed|published|provided|available|redistributed|shared) under (?:the )?(?:terms of (?:the )?|conditions of (?:the )?)?(?:{0})(?: licen[cs]e)?(?: terms)?"),
-    (3, 0.9, r"under (?:the )?(?:terms of (?:the )?)?(?:{0})(?: licen[cs]e)?"),
-    (4, 0.85, r"(?:subject to|governed by|covered by|see) (?:the )?(?:terms of (?:the )?)?(?:{0})(?: licen[cs]e)?"),
-    (5, 0.85, r"licen[cs]e (?:is |type |name |text |notice )?(?:the )?(?:{0})"),
-    (6, 0.8, r"(?:the )?(?:{0}) licen[cs]ed?"),
+    (1, 1.0, " spdx ", r"spdx license identifier (?:{0})(?: only| or later)?"),
+    (2, 0.95, " under ", r"(?:licensed|released|distributed|published|provided|available|redistributed|shared) under (?:the )?(?:terms of (?:the )?|conditions of (?:the )?)?(?:{0})(?: licen[cs]e)?(?: terms)?"),
+    (3, 0.9, " under ", r"under (?:the )?(?:terms of (?:the )?)?(?:{0})(?: licen[cs]e)?"),
+    (4, 0.85, " licen", r"(?:subject to|governed by|covered by|see) (?:the )?(?:terms of (?:the )?)?(?:{0}) licen[cs]e"),
+    (5, 0.85, " licen", r"licen[cs]e (?:is |type |name |text |notice )?(?:the )?(?:{0})"),
+    (6, 0.8, " licen", r"(?:the )?(?:{0}) licen[cs]ed?"),
 ]
 #: names of two words or more need no sentence around them
-BARE = (7, 0.6, r"(?:{0})")
+BARE = (7, 0.6, " ", r"(?:{0})")
 
 
 def rules() -> list[dict]:
     """All rules in order: base phrases, then every form of every name."""
-    out = [{"label": label, "keyword": phrase.split()[-2 if phrase.endswith("license") else 0], "priority": 0, "score": 1.0,
-            "pattern": phrase, "base": True} for phrase, label in BASE.items()]
+    out = [{"label": label, "keyword": phrase.split()[-2 if phrase.endswith("license") else 0], "context": " ",
+            "priority": 0, "score": 1.0, "pattern": phrase, "base": True} for phrase, label in BASE.items()]
     for label, keyword, name in NAMES:
         forms = FORMS + ([BARE] if " " in name.split("|")[0].replace("(?: ", "") else [])
-        out += [{"label": label, "keyword": keyword, "priority": p, "score": score, "pattern": form.replace("{0}", name),
-                 "base": False} for p, score, form in forms]
+        out += [{"label": label, "keyword": keyword, "context": context, "priority": p, "score": score,
+                 "pattern": form.replace("{0}", name), "base": False} for p, score, context, form in forms]
     for r in out:
         r["pattern"] = f"(?<= )(?:{r['pattern']})(?= )"
         r["keyword"] = f" {r['keyword']}" if r["keyword"] in ("gpl", "lgpl", "agpl", "mpl") else f" {r['keyword']} "
     return out
 
 
-RULE_TYPE = "array<struct<label:string,keyword:string,priority:int,score:double,pattern:string,base:boolean>>"
+RULE_TYPE = ("array<struct<label:string,keyword:string,context:string,priority:int,score:double,"
+             "pattern:string,base:boolean>>")
 _HIT = "array<struct<start:int,less:int,priority:int,label:string,score:double,base:boolean>>"
 _STATE = "struct<end:int,priority:int,labels:array<string>,score:double>"
 
 
 def word_text(text: Column) -> Column:
     """The words, one space before, between and after them; one space if there are none."""
-    words = F.trim(F.regexp_replace(lower_az(text), NOT_WORD, " "))
-    return F.when(words == "", " ").otherwise(F.concat(F.lit(" "), words, F.lit(" ")))
+    return F.regexp_replace(F.concat(F.lit(" "), lower_az(text), F.lit(" ")), NOT_WORD, " ")
 
 
-def hits(words: Column, rule_list: Column) -> Column:
+def hits(words: Column, rule_list: Column, keywords: Column) -> Column:
     """All matches of all rules: (start, -end, priority, label, score, base), end exclusive, sorted."""
     def of_rule(r):
         # marks before and behind each match; neither character occurs in word text
@@ -152,21 +152,30 @@ def hits(words: Column, rule_list: Column) -> Column:
             s.cast("int").alias("start"), (-e).cast("int").alias("less"), r["priority"].alias("priority"),
             r["label"].alias("label"), r["score"].alias("score"), r["base"].alias("base")))
 
-    fit = F.filter(rule_list, lambda r: F.contains(words, r["keyword"]))
-    return F.array_sort(F.flatten(F.transform(fit, of_rule)))
+    def of_present(present):
+        fit = F.filter(rule_list, lambda r: F.array_contains(present, r["keyword"]) & F.array_contains(present, r["context"]))
+        return F.flatten(F.transform(fit, of_rule))
+
+    present = F.filter(keywords, lambda k: F.contains(words, k))
+    return F.array_sort(F.get(F.transform(F.array(present), of_present), 0))
 
 
 def scan(docs: DataFrame, rule_list: list[dict] | None = None) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row."""
     rule_list = rules() if rule_list is None else rule_list
     table = F.from_json(F.lit(json.dumps(rule_list)), RULE_TYPE)
+    keywords = F.from_json(F.lit(json.dumps(sorted({r[k] for r in rule_list for k in ("keyword", "context")}))), "array<string>")
     any_keyword = "(?:" + "|".join(sorted({r["keyword"].strip() for r in rule_list})) + ")"
-    rows = docs.select(F.col("doc_id"), word_text(text_or_empty()).alias("words"))
-    rows = rows.select("doc_id", "words",
-                       (F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) - 1).cast("long").alias("n_words"),
-                       F.rlike("words", F.lit(f" {any_keyword}")).alias("maybe"))
     none = F.array().cast(_HIT)
-    rows = rows.select("doc_id", "n_words", F.when(F.col("maybe"), hits(F.col("words"), table)).otherwise(none).alias("hits"))
+
+    def read(words):
+        spaces = F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit("")))
+        return F.struct((spaces - 1).cast("long").alias("n_words"),
+                        F.when(F.rlike(words, F.lit(f" {any_keyword}")), hits(words, table, keywords)).otherwise(none).alias("hits"))
+
+    # a one-element transform names the words, so that they are made once
+    rows = docs.select("doc_id", F.get(F.transform(F.array(word_text(text_or_empty())), read), 0).alias("r"))
+    rows = rows.select("doc_id", "r.n_words", "r.hits")
 
     def step(a, h):
         end = -h["less"]
