@@ -133,7 +133,7 @@ class Field:
         block = max(1, int(np.sqrt(n)))
         rows = -(-n // block)
         e = np.concatenate([e, np.ones((rows * block - n, k))]).reshape(rows, block, k)
-        restart = np.r_[first, np.zeros(rows * block - n, bool)].reshape(rows, block)
+        restart = np.r_[first, np.ones(rows * block - n, bool)].reshape(rows, block)
         move = np.exp(self.move - self.move.max())
         begin = np.exp(self.begin - self.begin.max())
 
