@@ -7,8 +7,7 @@ where time matters) and returns a lazy DataFrame; only
 
 import sys as _sys
 
-# Python code that runs inside tasks (the similarity pandas UDF, the per-component matcher)
-# is pickled by value, so executors need no installed copy of this package.
+# Python code that runs inside tasks is pickled by value, so executors need no installed copy of this package.
 from pyspark import cloudpickle as _cloudpickle
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -1,45 +1,28 @@
-"""Application name reconciliation: exact (J12, R-M7) and fuzzy (J16, R-M1..R-M6).
+"""Application name reconciliation by exact keys (J12, R-M4 to R-M7).
 
-Fuzzy matching pipeline, all distributed:
-
-1. Candidate generation without an all-pairs product: the difflib ratio is
-   bounded by the Dice coefficient of the two character multisets, so a
-   pair scoring >= t must share a token of the rare-first *prefix* of each
-   side (prefix filtering for set-similarity joins). Tokens are
-   (character, occurrence) pairs; prefix length at Dice t is
-   ``L - ceil(j*L) + 1`` with ``j = t / (2 - t)``. Lossless at ``t``.
-2. Exact scores for the surviving distinct pairs (pandas UDF).
-3. R-M2 greedy one-to-one assignment in scan order, computed as deferred
-   acceptance (services prefer the lowest app order) in rounds over the
-   candidate table; a rejected app skips services already held by a
-   lower-order app (they can never be freed for it), so rounds stay few.
-   Only a per-round count reaches the driver; state is checkpointed.
+Applications without a CMDB link meet CMDB-only records on a normalised name: an equi join
+on (lower-cased name without its instance digit).  Both sides are reduced to one row per key or
+keep their rows, so no name pair is ever scored; a hot name costs one row on the record
+side, and AQE splits the application side.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.similarity import similarity_udf
-from meterline.session import checkpoint_dir
-
-import logging
-_log = logging.getLogger("meterline.reconcile")
-
 # --- fixed values --------------------------------------------------------------
-AUTO_MATCH = 80.0
-REVIEW = 50.0
 SOURCE_A = "monitoring"
 SOURCE_B = "cmdb"
-MAX_ROUNDS = 10_000      # safety net; exceeding it raises (never truncates)
-LOCAL_COMPONENT_EDGES = 200_000   # components up to this size are matched in one pandas task
 
 # ---------------------------------------------------------------------------------
 
 
+def name_key(c: str) -> Column:
+    """Name in lower case, without blanks around it and without the instance digit at its end."""
+    return F.regexp_replace(F.lower(F.trim(F.col(c))), "[0-9]$", "")
+
+
 def unmatched_sides(app: DataFrame):
     """Apps with a monitoring name but no CMDB link; CMDB-only records (no monitoring id)."""
     a = (app.where(F.col("cmdb_id").isNull() & F.col("app_name").isNotNull())
@@ -55,178 +38,28 @@ def unmatched_sides(app: DataFrame):
     return a, b
 
 
-def _tokens(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
-    chars = df.select(id_col, F.posexplode(F.split(F.lower(F.col(name_col)), "")).alias("pos", "ch")) \
-              .where(F.col("ch") != "")
-    occ = F.row_number().over(Window.partitionBy(id_col, "ch").orderBy("pos"))
-    return chars.select(id_col, F.concat(F.col("ch"), F.lit("\u0001"), occ.cast("string")).alias("tok"))
-
-
-def _prefixes(toks: DataFrame, freq: DataFrame, id_col: str, t: float) -> DataFrame:
-    j = t / (2.0 - t)
-    r = toks.join(freq, "tok")
-    w = Window.partitionBy(id_col)
-    ranked = (r.withColumn("L", F.count(F.lit(1)).over(w))
-               .withColumn("rk", F.row_number().over(Window.partitionBy(id_col).orderBy("f", "tok"))))
-    plen = F.col("L") - F.ceil(F.col("L") * F.lit(j) - F.lit(1e-9)) + 1
-    return ranked.where(F.col("rk") <= plen).select(id_col, "tok")
-
-
-def fuzzy_candidates(a: DataFrame, b: DataFrame, threshold: float = REVIEW) -> DataFrame:
-    """Every (app, record) pair with score >= threshold, with its exact score."""
-    ta, tb = _tokens(a, "a_id", "a_name"), _tokens(b, "b_id", "b_name")
-    freq = (ta.select("tok").unionByName(tb.select("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("f")))
-    t = threshold / 100.0
-    pa, pb = _prefixes(ta, freq, "a_id", t), _prefixes(tb, freq, "b_id", t)
-    pairs = pa.join(pb, "tok").select("a_id", "b_id").distinct()
-    scored = (pairs.join(a, "a_id").join(b, "b_id")
-                   .withColumn("score", similarity_udf(F.col("a_name"), F.col("b_name"))))
-    return scored.where(F.col("score") >= threshold)
-
-
-def best_match(cands: DataFrame) -> DataFrame:
-    """R-M1: best record per app (strict '>' in pool order: ties go to the lowest record id)."""
-    return (cands.groupBy("a_id", "a_name")
-                 .agg(F.max_by(F.struct("b_id", "b_name", "score"),
-                               F.struct(F.col("score"), (-F.col("b_id")).alias("o"))).alias("m"))
-                 .select("a_id", "a_name", "m.b_id", "m.b_name", "m.score"))
-
-
-def greedy_assignment(cands: DataFrame, threshold: float = AUTO_MATCH) -> DataFrame:
-    """Distributed path for components too large for one task (deferred acceptance)."""
-    return _deferred_acceptance(cands, threshold)
-
-
-def _deferred_acceptance(cands: DataFrame, threshold: float) -> DataFrame:
-    """R-M2: the scan-order greedy one-to-one matching (app order = a_id, pool order = b_id).
+def reconcile(app: DataFrame):
+    """Reconciliation on exact keys: (log, id_map). ``log`` has the reconciliation_log columns.
 
-    Returns (a_id, b_id) for every auto-matched app.
+    A key's record is the one with the lowest id; its lowest application is matched, every
+    other one is a conflict, as is each application of a record that is already claimed.
     """
-    spark = cands.sparkSession
-    checkpoint_dir(spark)
-    if "b_claimed" not in cands.columns:
-        cands = cands.withColumn("b_claimed", F.lit(False))
-    edges = (cands.where(F.col("score") >= threshold).select("a_id", "b_id", "score", "b_claimed")
-                  .withColumn("rank", F.row_number().over(
-                      Window.partitionBy("a_id").orderBy(F.col("score").desc(), F.col("b_id").asc()))))
-    edges = edges.checkpoint(eager=True)
-    # state: current proposal rank per app; apps whose list is exhausted drop out
-    state = edges.where(F.col("rank") == 1).select("a_id", F.col("rank").alias("p")).checkpoint(eager=True)
-    for rnd in range(1, MAX_ROUNDS + 1):
-        props = (edges.join(state, (edges.a_id == state.a_id) & (edges["rank"] == state.p))
-                      .select(edges.a_id, edges.b_id, edges["rank"], edges.b_claimed))
-        # a claimed record only logs a conflict: it is never taken, so nobody is rejected there
-        holders = props.where(~F.col("b_claimed")).groupBy("b_id").agg(F.min("a_id").alias("holder"))
-        losers = (props.join(holders, "b_id")
-                       .where(F.col("a_id") != F.col("holder")).select("a_id", F.col("rank").alias("p0")))
-        # next rank for each loser, skipping services held by a lower-order app
-        nxt = (edges.join(losers, "a_id").where(F.col("rank") > F.col("p0"))
-                    .join(holders.withColumnRenamed("b_id", "hb"), F.col("b_id") == F.col("hb"), "left")
-                    .where(F.col("holder").isNull() | (F.col("holder") > F.col("a_id")))
-                    .groupBy("a_id").agg(F.min("rank").alias("np")))
-        state = (state.join(losers.select("a_id", F.lit(True).alias("lost")), "a_id", "left")
-                      .join(nxt, "a_id", "left")
-                      .select("a_id", F.when(F.col("lost"), F.col("np")).otherwise(F.col("p")).alias("p"),
-                              F.coalesce(F.col("lost"), F.lit(False)).alias("lost"))
-                      .where(F.col("p").isNotNull() | F.col("lost"))
-                      .checkpoint(eager=True))
-        _log.info("round %d", rnd)
-        if state.where(F.col("lost")).limit(1).count() == 0:
-            _log.info("greedy assignment converged after %d rounds", rnd)
-            st = state.select("a_id", "p")
-            return (edges.join(st, (edges.a_id == st.a_id) & (edges["rank"] == st.p))
-                         .select(edges.a_id, edges.b_id, edges.score, edges.b_claimed))
-        state = state.where(F.col("p").isNotNull()).select("a_id", "p")
-    raise RuntimeError("greedy assignment did not converge within MAX_ROUNDS rounds")
-
-
-def review_candidates(cands: DataFrame, matches: DataFrame) -> DataFrame:
-    """R-M3: for apps left unmatched, the best record not taken by a lower-order app; 50 <= best < 80."""
-    if "b_claimed" in matches.columns:
-        matches = matches.where(~F.col("b_claimed"))
-    taken = matches.select(F.col("b_id").alias("tb"), F.col("a_id").alias("taker"))
-    free = (cands.join(matches.select("a_id"), "a_id", "left_anti")
-                 .join(taken, F.col("b_id") == F.col("tb"), "left")
-                 .where(F.col("taker").isNull() | (F.col("taker") > F.col("a_id"))))
-    best = best_match(free)
-    return best.where((F.col("score") >= REVIEW) & (F.col("score") < AUTO_MATCH))
-
-
-def connected_components(cands: DataFrame) -> DataFrame:
-    """(a_id, b_id, comp): min-label propagation on the bipartite candidate graph."""
-    e = cands.select("a_id", "b_id").checkpoint(eager=True)
-    lab_a = e.groupBy("a_id").agg(F.min("a_id").alias("la")).checkpoint(eager=True)
-    for _ in range(MAX_ROUNDS):
-        lab_b = e.join(lab_a, "a_id").groupBy("b_id").agg(F.min("la").alias("lb"))
-        new_a = (e.join(lab_b, "b_id").groupBy("a_id").agg(F.min("lb").alias("la2"))
-                  .join(lab_a, "a_id").checkpoint(eager=True))
-        changed = new_a.where(F.col("la2") != F.col("la")).limit(1).count()
-        lab_a = new_a.select("a_id", F.col("la2").alias("la"))
-        if changed == 0:
-            return e.join(lab_a, "a_id").select("a_id", "b_id", F.col("la").alias("comp"))
-    raise RuntimeError("component labelling did not converge")
-
-
-_LOCAL_SCHEMA = ("a_id long, b_id long, score double, match_status string")
-
-
-def _greedy_in_component(pdf):
-    """The literal scan-order loop, restricted to one bounded component."""
-    import pandas as pd
-    by_app = {}
-    claimed = set(int(b) for b, c in zip(pdf["b_id"], pdf["b_claimed"]) if c)
-    for a, b, sc in zip(pdf["a_id"], pdf["b_id"], pdf["score"]):
-        by_app.setdefault(int(a), []).append((int(b), float(sc)))
-    taken = set()
-    out = []
-    for a in sorted(by_app):
-        best_b, best = None, 0.0
-        for b, sc in sorted(by_app[a]):          # pool order = b_id
-            if b not in taken and sc > best:
-                best_b, best = b, sc
-        if best >= AUTO_MATCH and best_b in claimed:
-            out.append((a, best_b, best, "conflict"))       # logged, record stays in the pool
-        elif best >= AUTO_MATCH:
-            taken.add(best_b)
-            out.append((a, best_b, best, "auto_matched"))
-        elif best >= REVIEW:
-            out.append((a, best_b, best, "needs_review"))
-    return pd.DataFrame(out, columns=["a_id", "b_id", "score", "match_status"])
-
-
-def match_decisions(cands: DataFrame) -> DataFrame:
-    """R-M2 + R-M3: (a_id, b_id, score, match_status) for every matched / to-review app."""
-    comp = connected_components(cands)
-    sizes = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("edges"))
-    c = cands.join(comp.select("a_id", "b_id", "comp"), ["a_id", "b_id"]).join(sizes, "comp")
-    if "b_claimed" not in c.columns:
-        c = c.withColumn("b_claimed", F.lit(False))
-    small = (c.where(F.col("edges") <= LOCAL_COMPONENT_EDGES).select("comp", "a_id", "b_id", "score", "b_claimed")
-              .groupBy("comp").applyInPandas(_greedy_in_component, _LOCAL_SCHEMA))
-    big = c.where(F.col("edges") > LOCAL_COMPONENT_EDGES).select("a_id", "b_id", "a_name", "b_name", "score",
-                                                                  "b_claimed")
-    if sizes.where(F.col("edges") > LOCAL_COMPONENT_EDGES).limit(1).count() == 0:
-        return small
-    matches = greedy_assignment(big, AUTO_MATCH)
-    big_auto = matches.select("a_id", "b_id", "score",
-                              F.when(F.col("b_claimed"), F.lit("conflict")).otherwise(F.lit("auto_matched"))
-                               .alias("match_status"))
-    big_rev = review_candidates(big, matches).select("a_id", "b_id", "score",
-                                                     F.lit("needs_review").alias("match_status"))
-    return small.unionByName(big_auto).unionByName(big_rev)
-
-
-def reconcile(app: DataFrame):
-    """Full fuzzy reconciliation: (log, id_map). ``log`` has the reconciliation_log columns."""
     a, b = unmatched_sides(app)
-    cands = fuzzy_candidates(a, b, REVIEW).checkpoint(eager=True)
-    d = match_decisions(cands).join(a, "a_id").join(b.drop("b_cmdb_id", "b_claimed"), "b_id")
+    a = a.withColumn("k", name_key("a_name"))
+    record = F.struct("b_id", "b_name", "b_claimed", "claimed_by")
+    b = (b.withColumn("k", name_key("b_name")).groupBy("k").agg(F.min_by(record, "b_id").alias("r"))
+          .select("k", "r.*"))
+    first = a.groupBy("k").agg(F.min_by(F.struct("a_id", "a_name"), "a_id").alias("w"))
+    d = (a.join(b.join(first, "k"), "k")
+          .withColumn("match_status", F.when(~F.col("b_claimed") & (F.col("a_id") == F.col("w.a_id")), F.lit("auto_matched"))
+                      .otherwise(F.lit("conflict"))))
+    holder = F.when(F.col("b_claimed"), F.col("claimed_by")).otherwise(F.col("w.a_name"))
     log = d.select(F.lit(SOURCE_A).alias("source_a"), F.lit(SOURCE_B).alias("source_b"),
                    F.col("a_name").alias("match_key_a"), F.col("b_name").alias("match_key_b"),
-                   F.round("score", 2).cast("decimal(5,2)").alias("confidence_score"), "match_status",
+                   F.lit(100).cast("decimal(5,2)").alias("confidence_score"), "match_status",
                    F.when(F.col("match_status") == "auto_matched", F.col("a_id")).alias("resolved_app_id"),
                    F.when(F.col("match_status") == "conflict",
-                          F.concat(F.lit("CMDB record already matched to "), F.coalesce(F.col("claimed_by"), F.lit("?"))))
+                          F.concat(F.lit("CMDB record already matched to "), F.coalesce(holder, F.lit("?"))))
                     .alias("notes"))
     id_map = (d.where(F.col("match_status") == "auto_matched")
                .select(F.col("b_id").alias("old_app_id"), F.col("a_id").alias("new_app_id")))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from meterline.functions.timeutil import PARTITION_COL
 from meterline.operators.allocation import allocate_shared_costs
 from meterline.operators.chargeback import CHARGEBACK_KEY, direct_chargeback
-from meterline.operators.cost import USAGE_KEY, calculate_costs
+from meterline.operators.cost import USAGE_KEY, calculate_costs, price_overlaps
 from meterline.plans import quality as Q
 from meterline.session import checkpoint_dir
 from meterline.sources import seeds, sinks
@@ -34,10 +34,7 @@ def _with_month(df: DataFrame) -> DataFrame:
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - table not created yet
-        return None
+    return spark.read.parquet(path) if sinks.table_exists(spark, path) else None
 
 
 class TableStar(Star):
@@ -87,6 +84,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> D
 
     def cost_step():
         usage = spark.read.parquet(usage_path)
+        overlaps = price_overlaps(base.price).count()
+        if overlaps:
+            raise RuntimeError(f"{overlaps} overlapping price windows: usage would be costed twice")
         existing = _read(spark, cost_path)
         new = calculate_costs(usage, base.price, existing, extra_keys=[PARTITION_COL])
         sinks.write_table(_with_month(new), cost_path, [PARTITION_COL], mode="append", cluster_by=["app_id"])

@@ -87,6 +87,7 @@ def reconciliation_status(log: DataFrame) -> DataFrame:
     """Q06: counts per match status and the auto-match rate."""
     g = log.agg(F.count_if(F.col("match_status") == "auto_matched").alias("auto_matched"),
                 F.count_if(F.col("match_status") == "needs_review").alias("needs_review"),
+                F.count_if(F.col("match_status") == "conflict").alias("conflict"),
                 F.count(F.lit(1)).alias("total"))
     return g.withColumn("auto_match_rate", F.round(F.try_divide(F.col("auto_matched") * 100.0, F.col("total")), 6))
 

@@ -187,10 +187,12 @@ def q_inventory(spark, sf_dir):
                       "owner_id", "sector_id")
 
 
-@register("recon_repointed_cost")
+@register("recon_repointed_cost", O.build("""
+SELECT COALESCE(p.a_id, c.app_id) AS app_id, CAST(SUM(c.usd_cost) AS DOUBLE) AS usd_cost, COUNT(*) AS cost_rows
+FROM cost c LEFT JOIN recon_pairs p ON p.b_id = c.app_id AND p.place = 1 AND p.holder IS NULL
+GROUP BY 1""", "cost", "app", "recon_pairs"))
 def q_repointed(spark, sf_dir):
-    """R-M4: cost per app after the merged CMDB-only rows' facts move to the surviving app
-    (rows-only: depends on the fuzzy matching)."""
+    """R-M4: cost per app after the merged CMDB-only rows' facts move to the surviving app."""
     from meterline.operators import reconcile as R
     s = star(spark, sf_dir)
     _, id_map = R.reconcile(s.app)

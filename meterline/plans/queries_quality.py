@@ -103,7 +103,11 @@ def q05(spark, sf_dir):
     return Q.forecast_coverage(s.usage, s.forecast, s.as_of)
 
 
-@register("q06_recon_status")
+@register("q06_recon_status", O.build("""
+SELECT COUNT(*) FILTER (WHERE place = 1 AND holder IS NULL) AS auto_matched, CAST(0 AS BIGINT) AS needs_review,
+  COUNT(*) FILTER (WHERE place > 1 OR holder IS NOT NULL) AS conflict, COUNT(*) AS total,
+  ROUND(COUNT(*) FILTER (WHERE place = 1 AND holder IS NULL) * 100.0 / NULLIF(COUNT(*), 0), 6) AS auto_match_rate
+FROM recon_pairs""", "app", "recon_pairs"))
 def q06(spark, sf_dir):
     log, _ = R.reconcile(star(spark, sf_dir).app)
     return Q.reconciliation_status(log)

@@ -61,24 +61,48 @@ def q_report(spark, sf_dir):
     return R.reconciliation_report(star(spark, sf_dir).app)
 
 
-@register("fuzzy_candidates")
-def q_fuzzy_candidates(spark, sf_dir):
-    """J16 (rows-only: the ratio has no SQL equivalent; pytest checks it against difflib)."""
-    a, b = R.unmatched_sides(star(spark, sf_dir).app)
-    c = R.fuzzy_candidates(a, b, R.REVIEW)
-    return c.select("a_id", "b_id", "a_name", "b_name", F.round("score", 6).alias("score"))
-
-
-@register("fuzzy_assignment")
-def q_fuzzy_assignment(spark, sf_dir):
-    """R-M1..R-M3 reconciliation log (rows-only; pytest compares with the literal loop)."""
+# R-M4/R-M5 from the star's own applications: the lowest record of a name key against its applications
+O.cte("recon_pairs", """
+SELECT x.app_id AS a_id, x.app_name AS a_name, r.app_id AS b_id, r.cmdb_name AS b_name,
+  (SELECT min(h.app_id) FROM app h WHERE h.monitoring_id IS NOT NULL AND h.cmdb_id = r.cmdb_id) AS holder,
+  row_number() OVER (PARTITION BY r.app_id ORDER BY x.app_id) AS place
+FROM app x
+JOIN app r ON regexp_replace(lower(trim(r.cmdb_name)), '[0-9]$', '') = regexp_replace(lower(trim(x.app_name)), '[0-9]$', '')
+WHERE x.cmdb_id IS NULL AND r.monitoring_id IS NULL
+  AND NOT EXISTS (SELECT 1 FROM app s WHERE s.monitoring_id IS NULL AND s.app_id < r.app_id
+    AND regexp_replace(lower(trim(s.cmdb_name)), '[0-9]$', '') = regexp_replace(lower(trim(r.cmdb_name)), '[0-9]$', ''))""")
+
+
+@register("recon_match_log", O.build("""
+SELECT 'monitoring' AS source_a, 'cmdb' AS source_b, p.a_name AS match_key_a, p.b_name AS match_key_b,
+  CAST(100 AS DOUBLE) AS confidence_score,
+  CASE WHEN p.place = 1 AND p.holder IS NULL THEN 'auto_matched' ELSE 'conflict' END AS match_status,
+  CASE WHEN p.place = 1 AND p.holder IS NULL THEN p.a_id END AS resolved_app_id,
+  CASE WHEN p.place > 1 OR p.holder IS NOT NULL THEN 'CMDB record already matched to ' ||
+    COALESCE((SELECT h.app_name FROM app h WHERE h.app_id = p.holder),
+             (SELECT f.a_name FROM recon_pairs f WHERE f.b_id = p.b_id AND f.place = 1), '?') END AS notes
+FROM recon_pairs p""", "app", "recon_pairs"))
+def q_log(spark, sf_dir):
+    """R-M5: the reconciliation log of the exact-key matching."""
     log, _ = R.reconcile(star(spark, sf_dir).app)
-    return log
-
-
-@register("recon_merged_apps")
+    return log.withColumn("confidence_score", F.col("confidence_score").cast("double"))
+
+
+@register("recon_merged_apps", O.build("""
+SELECT x.app_id, x.monitoring_id, x.app_name, x.controller,
+  CASE WHEN p.b_id IS NULL THEN x.cmdb_id ELSE r.cmdb_id END AS cmdb_id,
+  CASE WHEN p.b_id IS NULL THEN x.cmdb_name ELSE r.cmdb_name END AS cmdb_name,
+  CASE WHEN p.b_id IS NULL THEN x.owner_id ELSE r.owner_id END AS owner_id,
+  CASE WHEN p.b_id IS NULL THEN x.sector_id ELSE r.sector_id END AS sector_id,
+  CASE WHEN p.b_id IS NULL THEN x.architecture_id ELSE r.architecture_id END AS architecture_id,
+  CASE WHEN p.b_id IS NULL THEN x.h_code ELSE r.h_code END AS h_code
+FROM app x
+LEFT JOIN (SELECT a_id, b_id FROM recon_pairs WHERE place = 1 AND holder IS NULL) p ON p.a_id = x.app_id
+LEFT JOIN app r ON r.app_id = p.b_id
+WHERE x.app_id NOT IN (SELECT b_id FROM recon_pairs WHERE place = 1 AND holder IS NULL)""", "app", "recon_pairs"))
 def q_merged(spark, sf_dir):
-    """R-M4: application dimension after merging auto-matched CMDB records."""
+    """R-M4: application dimension after merging matched CMDB records."""
     app = star(spark, sf_dir).app
     _, id_map = R.reconcile(app)
-    return R.merge_matches(app, id_map)
+    return R.merge_matches(app, id_map).select("app_id", "monitoring_id", "app_name", "controller", "cmdb_id", "cmdb_name",
+                                               "owner_id", "sector_id", "architecture_id", "h_code")

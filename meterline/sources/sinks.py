@@ -90,15 +90,20 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there (asked of its file system, so that no read error passes for absence)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+
+
 def merge_into_parquet(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
                        partition_col: str, how: str = "replace", measures: list[str] | None = None,
                        small: bool = True) -> None:
     """Apply a merge to the partitions of ``path`` that the batch touches."""
-    try:
-        current = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first write
+    if not table_exists(spark, path):
         write_table(batch, path, [partition_col], mode="overwrite", small=small)
         return
+    current = spark.read.parquet(path)          # any failure to read stops the merge
     # the batch is usually a whole job (e.g. the allocation): compute it once, reliably
     batch = cut_lineage(batch)
     touched = batch.select(partition_col).distinct()

@@ -1,85 +1,22 @@
-import random
-
-from meterline.functions.similarity import score
 from meterline.operators import reconcile as R
 
-WORDS = ["pay", "payroll", "billing", "portal", "hr", "crm", "order", "orders", "svc", "api", "web", "core",
-         "ledger", "gate", "auth", "auth-svc", "store", "stock", "ship", "track"]
-
-
-def _loop(A, B, claimed=()):
-    pool, out = list(B), []
-    for aid, an in A:
-        best, bs = None, 0
-        for bid, bn in pool:
-            s = score(an, bn)
-            if s > bs:
-                bs, best = s, (bid, bn)
-        if bs >= 80 and best[0] in claimed:
-            out.append((aid, best[0], "conflict"))          # logged; record stays in the pool
-        elif bs >= 80:
-            out.append((aid, best[0], "auto_matched"))
-            pool = [p for p in pool if p[0] != best[0]]
-        elif bs >= 50:
-            out.append((aid, best[0], "needs_review"))
-    return sorted(out)
-
-
-def _names(rng, n):
-    return [" ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 3))) for _ in range(n)]
-
-
-def _run(spark, A, B, force_distributed=False, claimed=()):
-    a = spark.createDataFrame(A, "a_id long, a_name string")
-    b = spark.createDataFrame([(i, f"c-{i}", n, i in claimed) for i, n in B],
-                              "b_id long, b_cmdb_id string, b_name string, b_claimed boolean")
-    cands = R.fuzzy_candidates(a, b, R.REVIEW)
-    old = R.LOCAL_COMPONENT_EDGES
-    try:
-        if force_distributed:
-            R.LOCAL_COMPONENT_EDGES = -1
-        d = R.match_decisions(cands).collect()
-    finally:
-        R.LOCAL_COMPONENT_EDGES = old
-    return sorted((r.a_id, r.b_id, r.match_status) for r in d), cands
-
-
-def test_candidates_are_lossless(spark):
-    rng = random.Random(7)
-    A = list(enumerate(_names(rng, 25)))
-    B = [(100 + i, n) for i, n in enumerate(_names(rng, 25))]
-    _, cands = _run(spark, A, B)
-    got = {(r.a_id, r.b_id) for r in cands.collect()}
-    exp = {(ai, bi) for ai, an in A for bi, bn in B if score(an, bn) >= 50}
-    assert got == exp
-
-
-def test_greedy_equals_literal_loop_local_and_distributed(spark):
-    rng = random.Random(11)
-    for trial in range(2):
-        A = list(enumerate(_names(rng, 18)))
-        B = [(100 + i, n) for i, n in enumerate(_names(rng, 12))]
-        exp = _loop(A, B)
-        got_local, _ = _run(spark, A, B)
-        got_dist, _ = _run(spark, A, B, force_distributed=True)
-        assert got_local == exp
-        assert got_dist == exp
+COLS = "app_id long, monitoring_id string, app_name string, cmdb_id string, cmdb_name string"
 
 
-def test_ties_go_to_first_record_and_scan_order(spark):
-    A = [(1, "alpha"), (2, "alpha")]
-    B = [(10, "alpha"), (11, "alpha")]
-    got, _ = _run(spark, A, B)
-    assert got == [(1, 10, "auto_matched"), (2, 11, "auto_matched")]
+def test_lowest_app_wins_and_claimed_records_conflict(spark):
+    app = spark.createDataFrame([
+        (1, "m1", "Pay 7", None, None), (2, "m2", " pay 8", None, None), (9, None, None, "c9", "PAY 9"), (10, None, None, "c10", "pay 1"),
+        (3, "m3", "Hr 1", None, None), (11, None, None, "c11", "hr 2"), (4, "m4", "Other", "c11", "hr"),
+        (5, "m5", "alone", None, None), (6, "m6", None, None, None)], COLS)
+    log, id_map = R.reconcile(app)
+    got = sorted((r.match_key_a, r.match_key_b, r.match_status, r.resolved_app_id, r.notes) for r in log.collect())
+    assert got == [(" pay 8", "PAY 9", "conflict", None, "CMDB record already matched to Pay 7"),
+                   ("Hr 1", "hr 2", "conflict", None, "CMDB record already matched to Other"),
+                   ("Pay 7", "PAY 9", "auto_matched", 1, None)]
+    assert [tuple(r) for r in id_map.collect()] == [(9, 1)]
 
 
-def test_claimed_records_conflict_and_stay_in_pool(spark):
-    rng = random.Random(5)
-    A = list(enumerate(_names(rng, 16)))
-    B = [(100 + i, n) for i, n in enumerate(_names(rng, 10))]
-    claimed = {100, 103, 105}
-    exp = _loop(A, B, claimed)
-    got_local, _ = _run(spark, A, B, claimed=claimed)
-    got_dist, _ = _run(spark, A, B, force_distributed=True, claimed=claimed)
-    assert got_local == exp
-    assert got_dist == exp
+def test_repointed_facts_keep_their_sum(spark):
+    fact = spark.createDataFrame([(1, 2.0), (9, 3.0), (5, 1.0)], "app_id long, usd_cost double")
+    id_map = spark.createDataFrame([(9, 1)], "old_app_id long, new_app_id long")
+    assert sorted(tuple(r) for r in R.repoint_fact(fact, id_map).collect()) == [(1, 2.0), (1, 3.0), (5, 1.0)]

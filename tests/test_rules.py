@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
 from meterline.functions import rules
-from meterline.functions.similarity import score
 from meterline.sources.ingest import tags_to_map
 
 
@@ -42,9 +41,3 @@ def test_safe_ratio_and_labels(spark):
     r = df.select(rules.safe_ratio("n", "d").alias("r"), rules.tier_label("t").alias("l")).collect()
     assert [x.r for x in r] == [0, 0.25, 0]
     assert r[2].l == "Other"
-
-
-def test_similarity_score_edges():
-    assert score("", "x") == 0 and score(None, "x") == 0
-    assert score("ABC", "abc") == 100.0
-    assert abs(score("abcd", "abce") - 75.0) < 1e-9
