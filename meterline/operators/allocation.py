@@ -7,9 +7,12 @@ on the exact rational amount (see ``meterline.functions.money``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.functions.timeutil import add_months, as_date, since, ts_lit
 from meterline.functions.money import cents, from_cents, round_half_even_ratio
 from meterline.sources.seeds import SHARED_HCODE_MARKERS, SHARED_SECTOR_NAMES
 from meterline.session import bounded_broadcast
@@ -50,10 +53,17 @@ def select_rules(shared: DataFrame, rules: DataFrame) -> DataFrame:
                      F.col("r.rule_id").alias("rule_id"), F.col("r.distribution_method").alias("distribution_method")))
 
 
+def _in_months(fact: DataFrame, months) -> DataFrame:
+    """Rows of the given months (first days); their span bounds the scan by ``ts`` literals."""
+    first, last = min(map(as_date, months)), add_months(max(map(as_date, months)), 1)
+    fact = since(fact, dt.datetime(first.year, first.month, 1))
+    return fact.where((F.col("ts") < ts_lit(dt.datetime(last.year, last.month, 1))) & F.trunc("ts", "MM").isin(*months))
+
+
 def _app_month_cost(cost: DataFrame, selected: DataFrame, months) -> DataFrame:
     c = cost
     if months is not None:
-        c = c.where(F.trunc("ts", "MM").isin(*months))
+        c = _in_months(c, months)
     c = (c.join(selected.select("app_id"), "app_id", "left_semi")
           .groupBy(F.trunc("ts", "MM").alias("month_start"), "app_id")
           .agg(F.sum("usd_cost").alias("total_cost")))
@@ -63,7 +73,7 @@ def _app_month_cost(cost: DataFrame, selected: DataFrame, months) -> DataFrame:
 def _sector_month_usage(usage: DataFrame, app: DataFrame, months) -> DataFrame:
     u = usage
     if months is not None:
-        u = u.where(F.trunc("ts", "MM").isin(*months))
+        u = _in_months(u, months)
     pre = u.groupBy(F.trunc("ts", "MM").alias("month_start"), "app_id").agg(F.sum("units_consumed").alias("_u"))
     return (pre.join(app.select("app_id", "sector_id").where(F.col("sector_id").isNotNull()), "app_id")
                .groupBy("month_start", F.col("sector_id").alias("target_sector_id"))

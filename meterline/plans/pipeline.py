@@ -49,6 +49,9 @@ class TableStar(Star):
             .where(F.col("chargeback_cycle") == "direct")
         self.__dict__["chargeback_all"] = base.spark.read.parquet(f"{self._root}/chargeback_fact")
 
+    def chargeback_from(self, month) -> DataFrame:
+        return self.chargeback.where(F.col("month_start") >= F.lit(month))
+
 
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
     root = (root or f"{checkpoint_dir(spark).rstrip('/')}/meterline-warehouse").rstrip("/")

@@ -68,7 +68,7 @@ SELECT user_id % 10 + 1, CASE event_type WHEN 'click' THEN 'APM_APP_AGENT' WHEN
 FROM events WHERE event_type IN ('click', 'error', 'purchase', 'signup') AND COALESCE(value, 0) = 0"""))
 def q_flatten_rejects(spark, sf_dir):
     _, rej = IG.flatten_usage_payload(usage_payloads(spark, sf_dir), seeds.capabilities(spark))
-    return rej
+    return rej.drop("payload")
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,8 +86,7 @@ def q_v6(spark, sf_dir):
 
 @register("v7_chargeback_summary", O.view("v7"))
 def q_v7(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return V.v7_monthly_chargeback_summary(s.chargeback, s.app, s.sectors, s.as_of)
+    return star(spark, sf_dir).v7
 
 
 @register("v8_peak_pro", O.view("v8"))

@@ -71,21 +71,29 @@ def _utc_day(instant: Column) -> Column:
 
 
 def flatten_usage_points(payload: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """S01 stage 1: one row per data point with its raw fields."""
-    doc = payload.select(F.from_json(F.col(payload_col), USAGE_PAYLOAD_SCHEMA).alias("d"))
-    pk = doc.select(F.col("d.accountId").alias("account_id"), F.explode_outer("d.packages").alias("p"))
-    uu = pk.select("account_id", F.col("p.name").alias("package"), F.explode("p.unitUsages").alias("u"))
-    pt = uu.select("account_id", "package", F.col("u.usageType").alias("usage_type"),
-                   F.explode("u.data").alias("x"))
+    """S01 stage 1: one row per data point with its raw fields.
+
+    A document that cannot be read, or that holds no data point, leaves one row with
+    ``fault`` set and its text in ``payload``.
+    """
+    doc = payload.select(F.col(payload_col).alias("raw"), F.from_json(F.col(payload_col), USAGE_PAYLOAD_SCHEMA).alias("d"))
+    pk = doc.select("raw", F.col("d.accountId").alias("account_id"), F.col("d.packages").isNull().alias("bad"),
+                    F.explode_outer("d.packages").alias("p"))
+    uu = pk.select("raw", "account_id", "bad", F.col("p.name").alias("package"), F.explode_outer("p.unitUsages").alias("u"))
+    pt = uu.select("raw", "account_id", "bad", "package", F.col("u.usageType").alias("usage_type"),
+                   F.explode_outer("u.data").alias("x"))
+    fault = F.when(F.col("bad"), F.lit("bad_document")).when(F.col("x").isNull(), F.lit("no_usage"))
     return pt.select("account_id", "package", "usage_type", F.col("x.timestamp").alias("timestamp"),
-                     F.col("x.used.avg").alias("avg"))
+                     F.col("x.used.avg").alias("avg"), fault.alias("fault"),
+                     F.when(fault.isNotNull(), F.col("raw")).alias("payload"))
 
 
 def flatten_usage_payload(payload: DataFrame, capabilities: DataFrame, payload_col: str = "payload"):
     """Nested licence usage -> (account_id, ts, capability_code, tier, units) and rejects.
 
     Package name -> tier ('Peak' if it mentions PEAK), usage type -> capability
-    (only seeded capabilities), avg = 0/missing skipped, unparsable timestamps
+    (only seeded capabilities), avg = 0/missing skipped (documents that cannot be read or hold no
+    data point are rejects too, with their text), unparsable timestamps
     skipped, timestamps truncated to the UTC day.
     """
     pts = flatten_usage_points(payload, payload_col)
@@ -96,15 +104,17 @@ def flatten_usage_payload(payload: DataFrame, capabilities: DataFrame, payload_c
                           F.lit("Peak")).otherwise(F.lit("Pro")).alias("tier"),
                    "usage_type", code.alias("capability_code"),
                    _utc_day(parsed).alias("ts"),
-                   F.coalesce(F.col("avg"), F.lit(0.0)).alias("units"))
+                   F.coalesce(F.col("avg"), F.lit(0.0)).alias("units"), "fault", "payload")
     known = bounded_broadcast(capabilities.select(F.col("capability_code").alias("_cc")), capabilities)
     x = x.join(known, F.col("capability_code") == F.col("_cc"), "left")
-    ok = F.col("_cc").isNotNull() & (F.col("units") != 0) & F.col("ts").isNotNull()
+    ok = F.col("fault").isNull() & F.col("_cc").isNotNull() & (F.col("units") != 0) & F.col("ts").isNotNull()
     good = x.where(ok).select("account_id", "ts", "capability_code", "tier", "units")
     rejects = x.where(~ok).select(
         "account_id", "usage_type", "ts", "units",
-        F.when(F.col("_cc").isNull(), F.lit("unmapped_usage_type"))
-         .when(F.col("ts").isNull(), F.lit("bad_timestamp")).otherwise(F.lit("zero_usage")).alias("reason"))
+        F.when(F.col("fault").isNotNull(), F.col("fault"))
+         .when(F.col("_cc").isNull(), F.lit("unmapped_usage_type"))
+         .when(F.col("ts").isNull(), F.lit("bad_timestamp")).otherwise(F.lit("zero_usage")).alias("reason"),
+        "payload")
     return good, rejects
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions import rules
+from meterline.functions.timeutil import add_months, as_date, month_start, since
 from meterline.sources import seeds
 from meterline.sources.tables import read
 
@@ -197,7 +198,14 @@ class Star:
     @cached_property
     def v7(self):
         from meterline.operators import views as V
-        return V.v7_monthly_chargeback_summary(self.chargeback, self.app, self.sectors, self.as_of)
+        months = 24
+        return V.v7_monthly_chargeback_summary(self.chargeback_from(month_start(add_months(as_date(self.as_of), -months))),
+                                               self.app, self.sectors, self.as_of, months)
+
+    def chargeback_from(self, month) -> DataFrame:
+        """Direct chargeback from ``month`` (its first day) on; the bound reaches the fact scan as a ``ts`` literal."""
+        from meterline.operators.chargeback import direct_chargeback
+        return direct_chargeback(since(self.cost, dt.datetime(month.year, month.month, 1)), self.app)
 
     @cached_property
     def v8(self):

@@ -84,3 +84,23 @@ def test_controller_list_filter(spark):
     assert listed == every
     one = PANELS["d43_cost_trend_24m"](s, PanelParams(as_of=s.as_of, controllers=ctls[:1])).collect()
     assert sum(r.total_cost for r in one) < sum(every.values())
+
+
+def test_documents_without_usage_are_rejected_with_their_text(spark):
+    bad, empty = '{"accountId": 1, "packages": [', '{"accountId": 2, "packages": [{"name": "x", "unitUsages": []}]}'
+    good, rej = flatten_usage_payload(spark.createDataFrame([(bad,), (empty,)], "payload string"), seeds.capabilities(spark))
+    assert good.count() == 0
+    assert sorted((r.reason, r.payload) for r in rej.collect()) == [("bad_document", bad), ("no_usage", empty)]
+
+
+def test_unreadable_table_stops_a_merge(spark, tmp_path):
+    import pytest
+    from meterline.sources import sinks
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", "m1")], "k int, v string, month string").write.partitionBy("month").parquet(path)
+    (tmp_path / "t" / "month=m1" / "part-9.parquet").write_bytes(b"PAR1 half a file")
+    batch = spark.createDataFrame([(2, "b", "m1")], "k int, v string, month string")
+    with pytest.raises(Exception):
+        sinks.merge_into_parquet(spark, path, batch, ["k"], "month")
+    (tmp_path / "t" / "month=m1" / "part-9.parquet").unlink()
+    assert [r.k for r in spark.read.parquet(path).collect()] == [1]
