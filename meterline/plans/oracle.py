@@ -1,8 +1,9 @@
 """Independent SQL oracle (DuckDB dialect, also mostly valid Spark SQL).
 
-Written from the semantics, in the literal shape of the original
-reporting SQL (joins first, COUNT(DISTINCT), windows), so it checks the
-Spark plans -- which pre-aggregate and reshape -- rather than mirroring them.
+Written from the definitions: reporting views are groupings of wide row sets
+(joins first, no pre-aggregation), ranks and running values count or join
+what they stand for, so they check the Spark plans, which pre-aggregate and
+reshape, rather than mirroring them.
 Each query is ``WITH <needed CTEs> <body>``; CTEs are resolved from ``CTES``.
 """
 
@@ -98,112 +99,106 @@ T90 = sql_ts(days_before(AS_OF, 90))
 T13M = sql_ts(months_before(AS_OF, 13))
 M24 = sql_date(month_start(add_months(AS_OF, -24)))
 
-cte("v1", f"""
-SELECT CAST(lc.ts AS DATE) AS cost_date, COALESCE(a.controller, 'Unknown') AS controller, lc.tier,
-  CAST(SUM(lc.usd_cost) AS DOUBLE) AS total_cost, CAST(SUM(lc.usd_cost) AS DOUBLE) / COUNT(lc.usd_cost) AS avg_cost,
-  COUNT(*) AS record_count, COUNT(DISTINCT lc.app_id) AS app_count
-FROM cost lc JOIN app a ON lc.app_id = a.app_id
-WHERE lc.ts >= {T180}
-GROUP BY CAST(lc.ts AS DATE), a.controller, lc.tier""", "cost", "app")
-
-cte("v2", f"""
-SELECT CAST(lu.ts AS DATE) AS usage_date, c.capability_code, c.capability_name,
-  COALESCE(a.controller, 'Unknown') AS controller, lu.tier,
-  CAST(SUM(lu.units_consumed) AS DOUBLE) AS total_units,
-  CAST(SUM(lu.units_consumed) AS DOUBLE) / COUNT(lu.units_consumed) AS avg_units,
-  CAST(SUM(lu.nodes_count) AS BIGINT) AS total_nodes,
-  CAST(SUM(lu.nodes_count) AS DOUBLE) / COUNT(lu.nodes_count) AS avg_nodes,
-  COUNT(DISTINCT lu.app_id) AS app_count, COUNT(*) AS record_count
-FROM usage lu JOIN capabilities c ON lu.capability_id = c.capability_id
-JOIN app a ON lu.app_id = a.app_id
-WHERE lu.ts >= {T180}
-GROUP BY CAST(lu.ts AS DATE), c.capability_code, c.capability_name, a.controller, lu.tier""",
-    "usage", "capabilities", "app")
-
-for _v, _dim, _k, _n in (("v3", "sectors", "sector_id", "sector_name"), ("v4", "owners", "owner_id", "owner_name")):
-    cte(_v, f"""
-SELECT CAST(lc.ts AS DATE) AS cost_date, COALESCE(d.{_n}, 'Unknown') AS {_n}, d.{_k},
-  COALESCE(a.controller, 'Unknown') AS controller, lc.tier,
-  CAST(SUM(lc.usd_cost) AS DOUBLE) AS total_cost, CAST(SUM(lc.usd_cost) AS DOUBLE) / COUNT(lc.usd_cost) AS avg_cost,
-  COUNT(DISTINCT a.app_id) AS app_count, COUNT(*) AS record_count
-FROM cost lc JOIN app a ON lc.app_id = a.app_id
-LEFT JOIN {_dim} d ON a.{_k} = d.{_k}
-WHERE lc.ts >= {T180}
-GROUP BY CAST(lc.ts AS DATE), d.{_n}, d.{_k}, a.controller, lc.tier""", "cost", "app", _dim)
-
-_V5_SELECT = """
-SELECT COALESCE(ar.pattern_name, 'Unknown') AS architecture_name, ar.architecture_id,
-  COALESCE(a.controller, 'Unknown') AS controller, c.capability_code, c.capability_name, lc.tier,
-  COUNT(DISTINCT a.app_id) AS app_count,
-  CAST(SUM(lu.units_consumed) AS DOUBLE) AS total_units,
-  CAST(SUM(lu.units_consumed) AS DOUBLE) / COUNT(lu.units_consumed) AS avg_units_per_day,
-  CAST(SUM(lu.nodes_count) AS BIGINT) AS total_nodes,
-  CAST(SUM(lu.nodes_count) AS DOUBLE) / COUNT(lu.nodes_count) AS avg_nodes,
-  CAST(SUM(lc.usd_cost) AS DOUBLE) AS total_cost,
-  CAST(SUM(lc.usd_cost) AS DOUBLE) / NULLIF(COUNT(lc.usd_cost), 0) AS avg_cost_per_day,
-  CASE WHEN CAST(SUM(lu.nodes_count) AS DOUBLE) / COUNT(lu.nodes_count) > 0
-       THEN CAST(SUM(lu.units_consumed) AS DOUBLE) / (CAST(SUM(lu.nodes_count) AS DOUBLE) / COUNT(lu.nodes_count))
-       ELSE 0 END AS units_per_node,
-  CASE WHEN CAST(SUM(lu.nodes_count) AS DOUBLE) / COUNT(lu.nodes_count) > 0
-       THEN CAST(SUM(lc.usd_cost) AS DOUBLE) / (CAST(SUM(lu.nodes_count) AS DOUBLE) / COUNT(lu.nodes_count))
-       ELSE 0 END AS cost_per_node
-FROM app a
-LEFT JOIN architectures ar ON a.architecture_id = ar.architecture_id
-LEFT JOIN usage lu ON a.app_id = lu.app_id AND lu.ts >= {t}
-LEFT JOIN cost lc ON {cond} AND lc.ts >= {t}
-LEFT JOIN capabilities c ON lu.capability_id = c.capability_id
-WHERE lu.ts IS NOT NULL
-GROUP BY ar.pattern_name, ar.architecture_id, a.controller, c.capability_code, c.capability_name, lc.tier"""
-cte("v5", _V5_SELECT.format(t=T90, cond="a.app_id = lc.app_id AND CAST(lc.ts AS DATE) = CAST(lu.ts AS DATE)"),
-    "app", "architectures", "usage", "cost", "capabilities")
-cte("v5_exact", _V5_SELECT.format(t=T90, cond="lc.ts = lu.ts AND lc.app_id = lu.app_id "
-                                              "AND lc.capability_id = lu.capability_id AND lc.tier = lu.tier"),
-    "app", "architectures", "usage", "cost", "capabilities")
-
-cte("v6", f"""
-SELECT CAST(date_trunc('month', lc.ts) AS DATE) AS month_start, a.app_id, a.app_name, a.monitoring_id,
-  COALESCE(a.controller, 'Unknown') AS controller, COALESCE(s.sector_name, 'Unknown') AS sector_name,
-  COALESCE(o.owner_name, 'Unknown') AS owner_name, a.license_tier, lc.tier AS cost_tier,
-  CAST(SUM(lc.usd_cost) AS DOUBLE) AS total_cost,
-  CAST(SUM(lc.usd_cost) AS DOUBLE) / COUNT(lc.usd_cost) AS avg_daily_cost,
-  COUNT(*) AS days_active,
-  CAST(RANK() OVER (PARTITION BY date_trunc('month', lc.ts), a.controller
-                    ORDER BY SUM(lc.usd_cost) DESC NULLS FIRST) AS BIGINT) AS cost_rank
-FROM cost lc JOIN app a ON lc.app_id = a.app_id
-LEFT JOIN sectors s ON a.sector_id = s.sector_id
-LEFT JOIN owners o ON a.owner_id = o.owner_id
-WHERE lc.ts >= {T13M} AND a.app_name IS NOT NULL
-GROUP BY date_trunc('month', lc.ts), a.app_id, a.app_name, a.monitoring_id, a.controller,
-  s.sector_name, o.owner_name, a.license_tier, lc.tier""", "cost", "app", "sectors", "owners")
-
-cte("v7", f"""
-SELECT c.month_start, COALESCE(a.controller, 'Unknown') AS controller,
-  COALESCE(s.sector_name, 'Unknown') AS sector_name, s.sector_id, COALESCE(c.h_code, 'Unknown') AS h_code,
-  CAST(SUM(c.usd_amount) AS DOUBLE) AS total_amount,
-  CAST(SUM(c.usd_amount) AS DOUBLE) / COUNT(c.usd_amount) AS avg_amount,
-  COUNT(DISTINCT c.app_id) AS app_count, COUNT(*) AS chargeback_records
-FROM chargeback c JOIN app a ON c.app_id = a.app_id
-LEFT JOIN sectors s ON c.sector_id = s.sector_id
-WHERE c.month_start >= {M24}
-GROUP BY c.month_start, a.controller, s.sector_name, s.sector_id, c.h_code""", "chargeback", "app", "sectors")
-
+# --- reporting views -----------------------------------------------------------------
+# Defined as groupings of wide row sets: a fact row with everything its application says.
+# ``report`` groups such rows by their raw keys (NULL and a literal 'Unknown' stay apart) and
+# labels the missing names afterwards.
+cte("app_wide", """
+SELECT app.* EXCLUDE (sector_id, owner_id), sectors.sector_id, sector_name, owners.owner_id, owner_name
+FROM app LEFT JOIN sectors USING (sector_id) LEFT JOIN owners USING (owner_id)""", "app", "sectors", "owners")
+cte("cost_wide", """
+SELECT cost.*, CAST(ts AS DATE) AS cost_date, CAST(date_trunc('month', ts) AS DATE) AS month_start,
+  app_wide.* EXCLUDE (app_id)
+FROM cost JOIN app_wide USING (app_id)""", "cost", "app_wide")
+cte("usage_wide", """
+SELECT usage.*, CAST(ts AS DATE) AS usage_date, capability_code, capability_name, app_wide.* EXCLUDE (app_id)
+FROM usage JOIN app_wide USING (app_id) JOIN capabilities USING (capability_id)""",
+    "usage", "app_wide", "capabilities")
+cte("ledger_wide", """
+SELECT chargeback.* EXCLUDE (sector_id), sectors.sector_id, sector_name, controller
+FROM chargeback LEFT JOIN sectors USING (sector_id) JOIN (SELECT app_id, controller FROM app) USING (app_id)""",
+    "chargeback", "sectors", "app")
+
+NAMED = {"controller", "sector_name", "owner_name", "h_code", "architecture_name"}
+
+
+def total(c: str, kind: str = "DOUBLE") -> str:
+    return f"CAST(SUM({c}) AS {kind})"
+
+
+def mean(c: str) -> str:
+    return f"{total(c)} / COUNT({c})"
+
+
+def report_sql(rows: str, keys: str, measures: dict[str, str], where: str = "TRUE", extra: str = "") -> str:
+    """Rows of ``rows`` grouped by ``keys``; ``extra`` holds columns computed from the measures."""
+    names = [k.split(" AS ")[-1] for k in keys.split(", ")]
+    label = ", ".join(f"COALESCE({k}, 'Unknown') AS {k}" for k in names if k in NAMED)
+    made = ", ".join(f"{e} AS {n}" for n, e in measures.items())
+    shown = f"* REPLACE ({label})" if label else "*"
+    return (f"\nSELECT {shown}{', ' + extra if extra else ''}\n"
+            f"FROM (SELECT {keys}, {made}\n      FROM {rows} WHERE {where} GROUP BY ALL) g")
+
+
+COST = {"total_cost": total("usd_cost"), "avg_cost": mean("usd_cost"),
+        "record_count": "COUNT(*)", "app_count": "COUNT(DISTINCT app_id)"}
+cte("v1", report_sql("cost_wide", "cost_date, controller, tier", COST, f"ts >= {T180}"), "cost_wide")
+cte("v2", report_sql("usage_wide", "usage_date, capability_code, capability_name, controller, tier", {
+    "total_units": total("units_consumed"), "avg_units": mean("units_consumed"),
+    "total_nodes": total("nodes_count", "BIGINT"), "avg_nodes": mean("nodes_count"),
+    "app_count": "COUNT(DISTINCT app_id)", "record_count": "COUNT(*)"}, f"ts >= {T180}"), "usage_wide")
+cte("v3", report_sql("cost_wide", "cost_date, sector_name, sector_id, controller, tier", COST, f"ts >= {T180}"), "cost_wide")
+cte("v4", report_sql("cost_wide", "cost_date, owner_name, owner_id, controller, tier", COST, f"ts >= {T180}"), "cost_wide")
+
+
+def _v5(same: str) -> str:
+    """Usage rows, each with every cost row that ``same`` calls its own (or none), by architecture."""
+    pairs = f"""(
+  SELECT u.app_id, u.capability_id, c.tier, u.units_consumed, u.nodes_count, c.usd_cost
+  FROM (SELECT * FROM usage WHERE ts >= {T90}) u LEFT JOIN (SELECT * FROM cost WHERE ts >= {T90}) c ON {same})
+  JOIN (SELECT app_id, controller, architecture_id FROM app) USING (app_id)
+  LEFT JOIN (SELECT architecture_id, pattern_name AS architecture_name FROM architectures) USING (architecture_id)
+  LEFT JOIN capabilities USING (capability_id)"""
+    return report_sql(pairs, "architecture_name, architecture_id, controller, capability_code, capability_name, tier", {
+        "app_count": "COUNT(DISTINCT app_id)",
+        "total_units": total("units_consumed"), "avg_units_per_day": mean("units_consumed"),
+        "total_nodes": total("nodes_count", "BIGINT"), "avg_nodes": mean("nodes_count"),
+        "total_cost": total("usd_cost"), "avg_cost_per_day": f"{total('usd_cost')} / NULLIF(COUNT(usd_cost), 0)"},
+        extra="IF(avg_nodes > 0, total_units / avg_nodes, 0) AS units_per_node, "
+              "IF(avg_nodes > 0, total_cost / avg_nodes, 0) AS cost_per_node")
+
+
+_V5_NEEDS = ("app", "architectures", "usage", "cost", "capabilities")
+cte("v5", _v5("u.app_id = c.app_id AND CAST(u.ts AS DATE) = CAST(c.ts AS DATE)"), *_V5_NEEDS)
+cte("v5_exact", _v5("(u.ts, u.app_id, u.capability_id, u.tier) = (c.ts, c.app_id, c.capability_id, c.tier)"), *_V5_NEEDS)
+
+# the rank by its definition: one more than the number of greater sums of that month and controller
+cte("v6_sums", """
+SELECT month_start, app_id, app_name, monitoring_id, controller, sector_name, owner_name, license_tier,
+  tier AS cost_tier, SUM(usd_cost) AS spent, COUNT(usd_cost) AS n_costs, COUNT(*) AS days_active
+FROM cost_wide WHERE ts >= """ + T13M + """ AND app_name IS NOT NULL GROUP BY ALL""", "cost_wide")
+cte("v6", """
+SELECT a.* EXCLUDE (spent, n_costs) REPLACE (COALESCE(a.controller, 'Unknown') AS controller,
+    COALESCE(a.sector_name, 'Unknown') AS sector_name, COALESCE(a.owner_name, 'Unknown') AS owner_name),
+  CAST(a.spent AS DOUBLE) AS total_cost, CAST(a.spent AS DOUBLE) / a.n_costs AS avg_daily_cost,
+  1 + COALESCE(b.above, 0) AS cost_rank
+FROM v6_sums a LEFT JOIN (
+  SELECT x.month_start, x.controller, x.spent, COUNT(*) AS above
+  FROM (SELECT DISTINCT month_start, controller, spent FROM v6_sums) x
+  JOIN v6_sums y ON y.month_start = x.month_start AND y.controller IS NOT DISTINCT FROM x.controller AND y.spent > x.spent
+  GROUP BY ALL) b
+ON b.month_start = a.month_start AND b.controller IS NOT DISTINCT FROM a.controller AND b.spent = a.spent""", "v6_sums")
+
+cte("v7", report_sql("ledger_wide", "month_start, controller, sector_name, sector_id, h_code", {
+    "total_amount": total("usd_amount"), "avg_amount": mean("usd_amount"),
+    "app_count": "COUNT(DISTINCT app_id)", "chargeback_records": "COUNT(*)"}, f"month_start >= {M24}"), "ledger_wide")
+# a third of the peak cost could be saved (33 of 100)
 cte("v8", f"""
-WITH pk AS (
-  SELECT CAST(lc.ts AS DATE) AS cost_date, a.app_id, a.app_name, a.controller, SUM(lc.usd_cost) AS peak_cost
-  FROM cost lc JOIN app a ON lc.app_id = a.app_id
-  WHERE lc.tier = 'Peak' AND lc.ts >= {T90}
-  GROUP BY 1, 2, 3, 4),
-pr AS (
-  SELECT CAST(lc.ts AS DATE) AS cost_date, a.app_id, a.app_name, a.controller, SUM(lc.usd_cost) AS pro_cost
-  FROM cost lc JOIN app a ON lc.app_id = a.app_id
-  WHERE lc.tier = 'Pro' AND lc.ts >= {T90}
-  GROUP BY 1, 2, 3, 4)
-SELECT COALESCE(pk.cost_date, pr.cost_date) AS cost_date, COALESCE(pk.app_id, pr.app_id) AS app_id,
-  COALESCE(pk.app_name, pr.app_name) AS app_name, COALESCE(pk.controller, pr.controller) AS controller,
-  CAST(COALESCE(pk.peak_cost, 0) AS DOUBLE) AS peak_cost, CAST(COALESCE(pr.pro_cost, 0) AS DOUBLE) AS pro_cost,
-  CAST(COALESCE(pk.peak_cost, 0) + COALESCE(pr.pro_cost, 0) AS DOUBLE) AS total_cost,
-  CAST(CASE WHEN pk.peak_cost > 0 THEN pk.peak_cost - pk.peak_cost * 0.67 ELSE 0 END AS DOUBLE) AS potential_savings
-FROM pk FULL OUTER JOIN pr ON pk.cost_date = pr.cost_date AND pk.app_id = pr.app_id""", "cost", "app")
+SELECT cost_date, app_id, app_name, controller, CAST(peak AS DOUBLE) AS peak_cost, CAST(pro AS DOUBLE) AS pro_cost,
+  CAST(peak + pro AS DOUBLE) AS total_cost, CAST(greatest(peak, 0) * 0.33 AS DOUBLE) AS potential_savings
+FROM (SELECT cost_date, app_id, app_name, controller,
+        COALESCE(SUM(usd_cost) FILTER (tier = 'Peak'), 0) AS peak, COALESCE(SUM(usd_cost) FILTER (tier = 'Pro'), 0) AS pro
+      FROM cost_wide WHERE ts >= {T90} AND tier IN ('Peak', 'Pro') GROUP BY ALL) d""", "cost_wide")
 
 
 def build(body: str, *needs: str) -> str:
@@ -256,10 +251,9 @@ def cents_sql(x: str) -> str:
 
 
 cte("shared", """
-SELECT a.app_id, COALESCE(a.app_name, a.cmdb_name) AS app_name, a.h_code, a.sector_id, s.sector_name
-FROM app a JOIN sectors s ON s.sector_id = a.sector_id
-WHERE s.sector_name IN ('Corporate/Shared Services', 'Global IT')
-   OR a.h_code ILIKE '%PLATFORM%' OR a.h_code ILIKE '%SHARED%' OR a.h_code ILIKE '%GLOBAL%'""", "app", "sectors")
+SELECT app_id, COALESCE(app_name, cmdb_name) AS app_name, h_code, sector_id, sector_name FROM app_wide
+WHERE sector_name IS NOT NULL AND (list_contains(['Corporate/Shared Services', 'Global IT'], sector_name)
+  OR COALESCE(regexp_matches(h_code, 'platform|shared|global', 'i'), FALSE))""", "app_wide")
 cte("rule_sel", """
 SELECT app_id, own_sector_id, rule_id, distribution_method FROM (
   SELECT sh.app_id, sh.sector_id AS own_sector_id, r.rule_id, r.distribution_method,
