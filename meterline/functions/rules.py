@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # --- fixed values ------------------------------------------------------------
 # Licence tier keywords (case-insensitive substring; "prod" also covers "production").
-PEAK_KEYWORDS = ("production", "prod", "critical", "enterprise", "premium")
 PEAK_PATTERN = "prod|critical|enterprise|premium"
 # Tag names that may carry the cost code, in priority order.
 HCODE_TAG_NAMES = ("h-code", "h_code", "hcode")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.timeutil import add_months, as_date, since, ts_lit
@@ -44,13 +44,14 @@ def shared_services(app: DataFrame, sectors: DataFrame) -> DataFrame:
 
 def select_rules(shared: DataFrame, rules: DataFrame) -> DataFrame:
     """First active rule (by rule_id) whose code is a case-sensitive substring of h_code."""
-    r = bounded_broadcast(rules.where(F.col("is_active"))
-                         .select("rule_id", "distribution_method", "shared_service_code"), rules)
-    m = shared.join(r, F.col("h_code").isNotNull() & (F.instr(F.col("h_code"), F.col("shared_service_code")) > 0))
-    return (m.groupBy("app_id", "sector_id")
-             .agg(F.min_by(F.struct("rule_id", "distribution_method"), F.col("rule_id")).alias("r"))
-             .select("app_id", F.col("sector_id").alias("own_sector_id"),
-                     F.col("r.rule_id").alias("rule_id"), F.col("r.distribution_method").alias("distribution_method")))
+    # the rules, hand-written configuration, are one sorted array; no join, no shuffle
+    active = rules.where(F.col("is_active") & F.col("shared_service_code").isNotNull()).agg(
+        F.array_sort(F.collect_list(F.struct("rule_id", "distribution_method", "shared_service_code")))).scalar()
+    fits = F.filter("_rules", lambda r: F.contains(F.col("h_code"), r["shared_service_code"]))
+    return (shared.where(F.col("h_code").isNotNull()).withColumn("_rules", active)
+                  .withColumn("r", F.get(fits, 0)).where(F.col("r").isNotNull())
+                  .select("app_id", F.col("sector_id").alias("own_sector_id"),
+                          F.col("r.rule_id").alias("rule_id"), F.col("r.distribution_method").alias("distribution_method")))
 
 
 def _in_months(fact: DataFrame, months) -> DataFrame:
@@ -70,14 +71,17 @@ def _app_month_cost(cost: DataFrame, selected: DataFrame, months) -> DataFrame:
     return c.join(selected, "app_id").where(F.col("total_cost") != 0)
 
 
-def _sector_month_usage(usage: DataFrame, app: DataFrame, months) -> DataFrame:
+def _month_sectors(usage: DataFrame, app: DataFrame, months) -> DataFrame:
+    """One row per month: the sectors with usage, as an array (target_sector_id, sector_usage) bounded by their number."""
     u = usage
     if months is not None:
         u = _in_months(u, months)
     pre = u.groupBy(F.trunc("ts", "MM").alias("month_start"), "app_id").agg(F.sum("units_consumed").alias("_u"))
-    return (pre.join(app.select("app_id", "sector_id").where(F.col("sector_id").isNotNull()), "app_id")
-               .groupBy("month_start", F.col("sector_id").alias("target_sector_id"))
-               .agg(F.sum("_u").alias("sector_usage")))
+    by_sector = (pre.join(app.select("app_id", "sector_id").where(F.col("sector_id").isNotNull()), "app_id")
+                    .groupBy("month_start", F.col("sector_id").alias("target_sector_id"))
+                    .agg(F.sum("_u").cast("decimal(38,2)").alias("sector_usage")))
+    return by_sector.groupBy("month_start").agg(
+        F.collect_list(F.struct("target_sector_id", "sector_usage")).alias("sectors"))
 
 
 def _post(df: DataFrame, amount_cents: str, method: str) -> DataFrame:
@@ -99,15 +103,16 @@ def allocate_shared_costs(cost: DataFrame, usage: DataFrame, app: DataFrame, sec
     methods = set(methods or CYCLE_BY_METHOD)
     selected = select_rules(shared_services(app, sectors), rules)
     amc = _app_month_cost(cost, selected, months)
-    smu = _sector_month_usage(usage, app, months)
-
-    # usage-based methods: sectors (other than own) with usage that month
+    # usage-based methods: sectors (other than own) with usage that month.  The months' sectors are one
+    # small row each, so totals come from that row and the fan-out is never shuffled.
+    others = F.filter("sectors", lambda x: x["target_sector_id"] != F.col("own_sector_id"))
     by_usage = (amc.where(F.col("distribution_method").isin("proportional_usage", "custom_formula"))
-                   .join(smu, "month_start")
-                   .where(F.col("target_sector_id") != F.col("own_sector_id")))
-    w = Window.partitionBy("month_start", "app_id")
-    by_usage = (by_usage.withColumn("total_usage", F.sum("sector_usage").over(w))
-                        .withColumn("n_sectors", F.count(F.lit(1)).over(w)))
+                   .join(_month_sectors(usage, app, months), "month_start")
+                   .withColumn("sectors", others)
+                   .withColumn("total_usage", F.aggregate("sectors", F.lit(0).cast("decimal(38,2)"), lambda a, x: (
+                       a + F.coalesce(x["sector_usage"], F.lit(0))).cast("decimal(38,2)")))
+                   .withColumn("n_sectors", F.size("sectors").cast("long"))
+                   .select("*", F.inline("sectors")).drop("sectors"))
     C, u, U, n = cents(F.col("total_cost")), cents(F.col("sector_usage")), cents(F.col("total_usage")), F.col("n_sectors")
 
     prop = by_usage.where((F.col("distribution_method") == "proportional_usage") & (F.col("total_usage") != 0))
@@ -123,15 +128,13 @@ def allocate_shared_costs(cost: DataFrame, usage: DataFrame, app: DataFrame, sec
     if "proportional_usage" in methods:
         parts.append(_post(prop, "_amt", "proportional_usage"))
     if "equal_split" in methods:
-        # equal split: every distinct sector of the app dimension other than own
-        all_sectors = (app.where(F.col("sector_id").isNotNull())
-                          .select(F.col("sector_id").alias("target_sector_id")).distinct())
-        # one row per distinct sector (a dimension): checked, then broadcast for the non-equi join
-        all_sectors = bounded_broadcast(all_sectors)
-        eq = (amc.where(F.col("distribution_method") == "equal_split")
-                 .join(all_sectors, F.col("target_sector_id") != F.col("own_sector_id")))
-        eq = (eq.withColumn("n_sectors", F.count(F.lit(1)).over(w))
-                .withColumn("_amt", round_half_even_ratio(cents(F.col("total_cost")), F.col("n_sectors"))))
+        # equal split: every distinct sector of the app dimension other than own (one array, bounded by their number)
+        known = app.agg(F.array_sort(F.collect_set("sector_id")).alias("s")).scalar()
+        eq = (amc.where(F.col("distribution_method") == "equal_split").withColumn("_known", known)
+                 .withColumn("_known", F.filter("_known", lambda x: x != F.col("own_sector_id")))
+                 .withColumn("n_sectors", F.size("_known").cast("long"))
+                 .withColumn("target_sector_id", F.explode("_known"))
+                 .withColumn("_amt", round_half_even_ratio(cents(F.col("total_cost")), F.col("n_sectors"))))
         parts.append(_post(eq, "_amt", "equal_split"))
     if "custom_formula" in methods:
         parts.append(_post(cust, "_amt", "custom_formula"))

@@ -11,6 +11,8 @@ NULL and a literal 'Unknown' stay two rows (as in the reference).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,6 +168,14 @@ def v5_architecture_metrics_exact(usage, cost, app, architectures, capabilities,
     return _v5_finish(j, app, architectures, capabilities)
 
 
+def _band(c):
+    """Integer that never falls as ``c`` grows: 64 bands to each doubling of the amount; null is highest."""
+    x = c.cast("double")
+    wide = F.floor(F.log2(F.abs(x)) * 64)
+    return (F.when(x.isNull(), F.lit(1 << 20)).when(x > 0, wide).when(x == 0, F.lit(-(1 << 20)))
+             .otherwise(-(1 << 21) - wide))
+
+
 def v6_app_cost_rankings_monthly(cost, app, sectors, owners, as_of, months: int = 13) -> DataFrame:
     pre = (since(cost, months_before(as_of, months))
                .groupBy(F.trunc("ts", "MM").alias("month_start"), "app_id", F.col("tier").alias("cost_tier"))
@@ -178,14 +188,24 @@ def v6_app_cost_rankings_monthly(cost, app, sectors, owners, as_of, months: int
     j = (pre.join(a, "app_id")
             .join(s, F.col("sector_id") == F.col("_sk"), "left")
             .join(o, F.col("owner_id") == F.col("_ok"), "left"))
-    w = Window.partitionBy("month_start", "controller").orderBy(F.col("_s").desc_nulls_first())
+    # a band holds about 1 % of the value range, so no task sorts a whole controller-month;
+    # the rows above a band are counted in a table of some thousand bands per controller-month
+    j = j.withColumn("_band", _band(F.col("_s")))
+    band = ["month_start", "controller", "_band"]
+    above = Window.partitionBy("month_start", "controller").orderBy(F.col("_band").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    bands = (j.groupBy(*band).agg(F.count(F.lit(1)).alias("_in"))
+              .withColumn("_above", F.coalesce(F.sum("_in").over(above), F.lit(0)))
+              .select(*[F.col(c).alias(f"{c}_b") for c in band], "_above"))
+    j = j.join(bands, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"{c}_b")) for c in band]))
+    w = Window.partitionBy(*band).orderBy(F.col("_s").desc_nulls_first())
     return j.select(
         "month_start", "app_id", "app_name", "monitoring_id",
         _unknown("controller").alias("controller"), _unknown("sector_name").alias("sector_name"),
         _unknown("owner_name").alias("owner_name"), "license_tier", "cost_tier",
         _dbl("_s").alias("total_cost"), _avg("_s", "_c").alias("avg_daily_cost"),
         F.col("_n").cast("bigint").alias("days_active"),
-        F.rank().over(w).cast("bigint").alias("cost_rank"))
+        (F.col("_above") + F.rank().over(w)).cast("bigint").alias("cost_rank"))
 
 
 def v7_monthly_chargeback_summary(chargeback, app, sectors, as_of, months: int = 24) -> DataFrame:

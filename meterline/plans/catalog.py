@@ -8,3 +8,4 @@ from meterline.plans import queries_ingest  # noqa: F401
 from meterline.plans import queries_sinks  # noqa: F401
 from meterline.plans import queries_quality  # noqa: F401
 from meterline.plans import queries_extra  # noqa: F401
+from meterline.plans import queries_reports  # noqa: F401

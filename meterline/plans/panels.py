@@ -70,10 +70,9 @@ def _pick(df: DataFrame, p: PanelParams, col: str) -> DataFrame:
     return df.where((F.col(col) >= F.lit(p.time_from)) & (F.col(col) <= F.lit(p.time_to)))
 
 
-def _pick_months(df: DataFrame, p: PanelParams, col: str) -> DataFrame:
-    lo = month_start(p.time_from)
-    hi = add_months(month_start(p.time_to), 1)
-    return df.where((F.col(col) >= F.lit(lo)) & (F.col(col) < F.lit(hi)))
+def _picked_chargeback(src, p: PanelParams) -> DataFrame:
+    """Direct chargeback of the picker's months."""
+    return src.chargeback_from(month_start(p.time_from), add_months(month_start(p.time_to), 1))
 
 
 def _latest_month(v7: DataFrame) -> Column:
@@ -199,7 +198,7 @@ def d12(src, p):
 
 def _cycles(src, p):
     lo = month_start(add_months(p.as_of, -12))
-    cb = src.chargeback_all.where(F.col("month_start") >= F.lit(lo))
+    cb = src.chargeback_all_from(lo)
     return _ctl(cb.join(src.app.select("app_id", "controller"), "app_id"), p)
 
 
@@ -385,7 +384,7 @@ def d28(src, p):
 # --- Executive -------------------------------------------------------------------
 @panel("d29_monthly_spend")
 def d29(src, p):
-    cb = _pick_months(src.chargeback, p, "month_start")
+    cb = _picked_chargeback(src, p)
     if p.controller is not None:
         on_ctl = src.app.where(F.col("controller") == p.controller).select("app_id")
         cb = cb.join(on_ctl, "app_id", "left_semi")
@@ -438,7 +437,7 @@ def d33(src, p):
 
 @panel("d34_distribution_by_sector")
 def d34(src, p):
-    cb = _pick_months(src.chargeback, p, "month_start")
+    cb = _picked_chargeback(src, p)
     s = bounded_broadcast(src.sectors.select(F.col("sector_id").alias("_sk"), "sector_name"), src.sectors)
     j = _ctl(cb.join(s, F.col("sector_id") == F.col("_sk"), "left")
                .join(src.app.select("app_id", "controller"), "app_id"), p)
@@ -636,7 +635,9 @@ def d60(src, p):
 
 @panel("d61_sector_picker")
 def d61(src, p):
-    s = src.sectors.where(F.col("sector_name").isNotNull()).select("sector_name")
+    # the sectors that applications are in
+    s = (src.sectors.where(F.col("sector_name").isNotNull())
+            .join(src.app.select("sector_id"), "sector_id", "left_semi").select("sector_name"))
     return _ordered(src.spark.createDataFrame([("All",)], "sector_name string").union(s).distinct(), "sector_name")
 
 

@@ -3,13 +3,15 @@
 Steps (each a Spark job; statuses come back as a small DataFrame):
   usage      usage fact -> Parquet partitioned by ``month``
   cost       C01 on the usage not yet costed (anti-join), appended to open months only
-  chargeback C03 upsert-replace into the touched months
-  allocation C06-C09 posted with upsert-replace (R4 ruling)
+  chargeback C03: the ``direct`` cycle of the touched months is replaced
+  allocation C06-C09: the ``allocated...`` cycles of the touched months are replaced (R4 ruling)
   forecast   F06 ensemble forecast (events star) -> Parquet
   views      V1-V8 published into versioned directories (V9)
   checks     Q01 / Q04 / Q07 / Q15 results
-Tables live under ``root`` (default: the shared checkpoint folder of the session).
-Re-running is idempotent: cost inserts only missing keys and the upserts replace.
+Tables live under ``root``, a folder that all executors share.  Re-running is idempotent: usage and
+cost insert only missing keys, postings replace, and months without new usage or cost are
+not computed again.  A changed rule or application dimension is applied to the months given as ``months``.
+Every step is written to the run log ``root/run_log``.
 """
 
 from __future__ import annotations
@@ -20,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions.timeutil import PARTITION_COL
-from meterline.operators.allocation import allocate_shared_costs
-from meterline.operators.chargeback import CHARGEBACK_KEY, direct_chargeback
+from meterline.operators.allocation import CYCLE_BY_METHOD, allocate_shared_costs
+from meterline.operators.chargeback import direct_chargeback
 from meterline.operators.cost import USAGE_KEY, calculate_costs, price_overlaps
 from meterline.plans import quality as Q
-from meterline.session import checkpoint_dir
 from meterline.sources import seeds, sinks
+from meterline.sources.runlog import RunLog
 from meterline.sources.star import Star
 
 
@@ -37,39 +39,68 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if sinks.table_exists(spark, path) else None
 
 
+VIEWS = tuple(f"v{i}" for i in range(1, 9))
+
+
 class TableStar(Star):
-    """A Star whose facts are read back from the pipeline's Parquet tables."""
+    """A Star whose facts are read back from the pipeline's Parquet tables, and its views, if
+    ``use_published``, from their current published versions."""
 
-    def __init__(self, base: Star, root: str):
+    def __init__(self, base: Star, root: str, use_published: bool = True):
         super().__init__(base.spark, base.sf_dir, base.as_of, base.source)
         self._root = root.rstrip("/")
-        self.__dict__["usage"] = base.spark.read.parquet(f"{self._root}/license_usage_fact")
-        self.__dict__["cost"] = base.spark.read.parquet(f"{self._root}/license_cost_fact")
-        self.__dict__["chargeback"] = base.spark.read.parquet(f"{self._root}/chargeback_fact") \
-            .where(F.col("chargeback_cycle") == "direct")
-        self.__dict__["chargeback_all"] = base.spark.read.parquet(f"{self._root}/chargeback_fact")
-
-    def chargeback_from(self, month) -> DataFrame:
-        return self.chargeback.where(F.col("month_start") >= F.lit(month))
-
-
-def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> DataFrame:
-    root = (root or f"{checkpoint_dir(spark).rstrip('/')}/meterline-warehouse").rstrip("/")
+        read = base.spark.read
+        self.__dict__["usage"] = read.parquet(f"{self._root}/license_usage_fact")
+        self.__dict__["cost"] = read.parquet(f"{self._root}/license_cost_fact")
+        self.__dict__["chargeback_all"] = read.parquet(f"{self._root}/chargeback_fact")
+        self.__dict__["chargeback"] = self.chargeback_all.where(F.col("chargeback_cycle") == "direct")
+        if use_published:
+            self.__dict__.update(sinks.published(base.spark, f"{self._root}/views"))
+
+    def chargeback_from(self, month, until=None) -> DataFrame:
+        return self._months(self.chargeback, month, until)
+
+    def chargeback_all_from(self, month, until=None) -> DataFrame:
+        return self._months(self.chargeback_all, month, until)
+
+    @staticmethod
+    def _months(table: DataFrame, month, until) -> DataFrame:
+        table = table.where(F.col("month_start") >= F.lit(month))
+        return table if until is None else table.where(F.col("month_start") < F.lit(until))
+
+
+def run_pipeline(spark: SparkSession, sf_dir: str, root: str, months: list | None = None,
+                 rules: DataFrame | None = None) -> DataFrame:
+    """Run all steps; ``months`` (first days) are posted again besides those with new usage or cost."""
+    root = root.rstrip("/")
     base = Star(spark, sf_dir)
+    rules = seeds.allocation_rules(spark) if rules is None else rules
+    log = RunLog(spark, f"{root}/run_log")
     status: list[tuple] = []
+    touched: set = set(months or [])
 
     def step(name, fn):
         t0 = time.perf_counter()
+        run = log.start(name)
         try:
             info = fn()
+            log.end(run, "success", metadata={"info": str(info)} if info else None)
             status.append((name, "success", round(time.perf_counter() - t0, 3), str(info) if info else None))
-        except Exception as e:  # noqa: BLE001 - record, keep the remaining independent steps going
+        except Exception as e:  # noqa: BLE001 - recorded, then raised
+            log.end(run, "failed", error=str(e)[:500])
             status.append((name, "failed", round(time.perf_counter() - t0, 3), str(e)[:500]))
             raise
 
     usage_path, cost_path = f"{root}/license_usage_fact", f"{root}/license_cost_fact"
     cb_path, fc_path = f"{root}/chargeback_fact", f"{root}/forecast_fact"
 
+    def append(rows, path):
+        """Append to a fact and remember the months that got rows."""
+        before = sinks.row_counts_by(spark, path, PARTITION_COL)
+        sinks.write_table(rows, path, [PARTITION_COL], mode="append", cluster_by=["app_id"])
+        after = sinks.row_counts_by(spark, path, PARTITION_COL)
+        touched.update(m for m, n in after.items() if n != before.get(m, 0))
+
     def usage_step():
         # S07a insert-if-absent: only usage keys not loaded yet are appended
         fresh = _with_month(base.usage)
@@ -83,7 +114,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> D
                 e = F.col(k).eqNullSafe(F.col(f"_o_{k}"))
                 cond = e if cond is None else cond & e
             fresh = fresh.join(old, cond, "left_anti")
-        sinks.write_table(fresh, usage_path, [PARTITION_COL], mode="append", cluster_by=["app_id"])
+        append(fresh, usage_path)
 
     def cost_step():
         usage = spark.read.parquet(usage_path)
@@ -92,40 +123,47 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None) -> D
             raise RuntimeError(f"{overlaps} overlapping price windows: usage would be costed twice")
         existing = _read(spark, cost_path)
         new = calculate_costs(usage, base.price, existing, extra_keys=[PARTITION_COL])
-        sinks.write_table(_with_month(new), cost_path, [PARTITION_COL], mode="append", cluster_by=["app_id"])
+        append(_with_month(new), cost_path)
+
+    def of_touched(path):
+        return spark.read.parquet(path).where(F.col(PARTITION_COL).isin(*touched))       # prunes partitions
+
+    def post(rows, cycles):
+        sinks.replace_slices(spark, cb_path, rows, "month_start", sorted(touched), "chargeback_cycle", cycles,
+                             cluster_by=["app_id"])
 
     def chargeback_step():
-        cost = spark.read.parquet(cost_path)
-        cb = direct_chargeback(cost, base.app)
-        sinks.merge_into_parquet(spark, cb_path, cb, CHARGEBACK_KEY, "month_start", how="replace")
+        if touched:
+            post(direct_chargeback(of_touched(cost_path), base.app), ["direct"])
+        return {"months": len(touched)}
 
     def allocation_step():
-        cost, usage = spark.read.parquet(cost_path), spark.read.parquet(usage_path)
-        alloc = allocate_shared_costs(cost, usage, base.app, base.sectors, seeds.allocation_rules(spark))
-        sinks.merge_into_parquet(spark, cb_path, alloc, CHARGEBACK_KEY, "month_start", how="replace")
+        if touched:
+            post(allocate_shared_costs(of_touched(cost_path), of_touched(usage_path), base.app, base.sectors, rules),
+                 sorted(CYCLE_BY_METHOD.values()))
+        return {"months": len(touched)}
 
     def forecast_step():
         ev = Star.events(spark, sf_dir)
-        sinks.write_table(ev.forecast, fc_path, ["month_start"], mode="overwrite", small=True)
-
-    tables = {}
+        sinks.write_table(ev.forecast, fc_path, ["month_start"], mode="overwrite", cluster_by=["app_id"])
 
     def views_step():
-        ts = TableStar(base, root)
-        tables["star"] = ts
-        views = {f"v{i}": (lambda i=i: getattr(ts, f"v{i}")) for i in range(1, 9)}
-        st = sinks.publish_views(spark, views, f"{root}/views").collect()
+        ts = TableStar(base, root, use_published=False)
+        st = sinks.publish_views(spark, {v: (lambda v=v: getattr(ts, v)) for v in VIEWS}, f"{root}/views").collect()
         failed = [r.view for r in st if r.status != "success"]
         if failed:
             raise RuntimeError(f"views failed: {failed}")
-        return {r.view: r.rows for r in st}
+        return {r.view: (r.rows_before, r.rows) for r in st}
 
     def checks_step():
-        ts = tables["star"]
+        ts = TableStar(base, root)
         q1 = Q.row_counts({"license_usage": ts.usage, "license_cost": ts.cost, "chargeback": ts.chargeback_all})
         q4 = Q.orphan_usage(ts.usage, ts.cost, ts.as_of)
         q7 = Q.cost_variance(ts.usage, ts.cost, ts.price, ts.as_of)
-        q15 = Q.constraint_checks(ts.app, ts.usage, ts.cost, ts.chargeback_all, ts.price)
+        q15 = Q.constraint_checks({"app": ts.app, "usage": ts.usage, "cost": ts.cost, "chargeback": ts.chargeback_all,
+                                   "price": ts.price, "sectors": ts.sectors, "owners": ts.owners,
+                                   "capabilities": ts.capabilities, "forecast": spark.read.parquet(fc_path),
+                                   "runs": log.state()})
         bad = [r.check_name for r in q15.collect() if not r.ok]
         return {"row_counts_ok": all(r.ok for r in q1.collect()), "orphans": q4.collect()[0].orphan_rows,
                 "variance_pct": q7.collect()[0].variance_pct, "constraint_violations": bad}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.timeutil import since, add_months, as_date, date_lit, days_before, month_start, ts_lit
 from meterline.session import bounded_broadcast
+from meterline.sources.runlog import STATUSES
 
 # --- fixed values: pass thresholds ----------------------------------------------
 MIN_APP_MATCH_RATE = 80.0
@@ -22,16 +23,30 @@ MIN_FORECAST_COVERAGE = 70.0
 MAX_COST_VARIANCE_PCT = 1.0
 MIN_CAPABILITIES = 2
 MIN_ACTIVE_PRICES = 2
-MIN_HCODE_COVERAGE = 90.0
-JOB_STATUSES = ("running", "success", "failed")
+MIN_HCODE_COVERAGE = 80.0
+CRITICAL_TABLES = ("applications", "run_log")     # must not be empty
+READY_HCODE_COVERAGE = 90.0
 # -----------------------------------------------------------------------------------
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Q01: row count per table and the must-not-be-empty rule."""
+def row_counts(tables: dict[str, DataFrame], critical: tuple[str, ...] = CRITICAL_TABLES) -> DataFrame:
+    """Q01: row count per table; the critical ones must not be empty."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
              for n, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts).withColumn("ok", F.col("row_count") > 0)
+    return reduce(DataFrame.unionByName, parts).withColumn(
+        "ok", (F.col("row_count") > 0) | ~F.col("table_name").isin(*critical))
+
+
+def one_row(*parts: DataFrame) -> DataFrame:
+    """One-row frames side by side, without a join."""
+    columns = [c for p in parts for c in p.columns]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts).agg(*[F.max(c).alias(c) for c in columns])
+
+
+def idle_apps(app: DataFrame, usage: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """Applications without usage in the last ``days`` days."""
+    recent = since(usage, days_before(as_of, days)).select("app_id")
+    return app.join(recent, "app_id", "left_anti").select("app_id", "app_name", "controller")
 
 
 def match_rates(app: DataFrame) -> DataFrame:
@@ -63,9 +78,8 @@ def freshness(runs: DataFrame) -> DataFrame:
 
 def orphan_usage(usage: DataFrame, cost: DataFrame, as_of, days: int = 90) -> DataFrame:
     """Q04: usage rows in the window with no cost row on (ts, app, capability)."""
-    since = ts_lit(days_before(as_of, days))
-    u = usage.where(F.col("ts") >= since)
-    c = cost.select("ts", "app_id", "capability_id")
+    u = since(usage, days_before(as_of, days))
+    c = since(cost, days_before(as_of, days)).select("ts", "app_id", "capability_id")
     n = u.join(c, ["ts", "app_id", "capability_id"], "left_anti").agg(F.count(F.lit(1)).alias("orphan_rows"))
     return n.withColumn("ok", F.col("orphan_rows") <= MAX_ORPHAN_ROWS)
 
@@ -95,9 +109,8 @@ def reconciliation_status(log: DataFrame) -> DataFrame:
 def cost_variance(usage: DataFrame, cost: DataFrame, prices: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Q07: sum(units x effective rate) vs sum(stored cost) over the window (< 1 %)."""
     from meterline.operators.cost import price_window_join
-    since = ts_lit(days_before(as_of, days))
-    u = usage.where(F.col("ts") >= since)
-    c = cost.where(F.col("ts") >= since).select("ts", "app_id", "capability_id", "tier", "usd_cost")
+    u = since(usage, days_before(as_of, days)).select("ts", "app_id", "capability_id", "tier", "units_consumed")
+    c = since(cost, days_before(as_of, days)).select("ts", "app_id", "capability_id", "tier", "usd_cost")
     priced = price_window_join(u.join(c, ["ts", "app_id", "capability_id", "tier"]), prices)
     g = priced.agg(F.sum(F.col("units_consumed") * F.col("unit_rate")).alias("_exp"),
                    F.sum("usd_cost").alias("_act"))
@@ -107,7 +120,7 @@ def cost_variance(usage: DataFrame, cost: DataFrame, prices: DataFrame, as_of, d
 
 
 def reference_completeness(capabilities: DataFrame, prices: DataFrame, sectors: DataFrame, as_of) -> DataFrame:
-    """Q08: enough capabilities, active prices and sectors."""
+    """Q08: enough capabilities, active prices and sectors (of those handed in)."""
     d = date_lit(as_of)
     caps = capabilities.agg(F.count(F.lit(1)).alias("capabilities"))
     act = prices.where((F.col("start_date") <= d) & (d <= F.coalesce(F.col("end_date"), d))) \
@@ -122,25 +135,41 @@ def reference_completeness(capabilities: DataFrame, prices: DataFrame, sectors:
 
 
 def chargeback_coverage(cost: DataFrame, chargeback: DataFrame, as_of) -> DataFrame:
-    """Q09: apps costed vs charged over the last two months, and h-code coverage of charged apps."""
+    """Q09: apps with costs since last month and those charged in the same month; h-code share of the
+    direct records of the newest month."""
     lo = month_start(add_months(as_date(as_of), -1))
-    c = cost.where(F.col("ts") >= ts_lit(dt.datetime.combine(lo, dt.time()))).select("app_id").distinct()
-    cb = chargeback.where(F.col("month_start") >= F.lit(lo))
-    ca = cb.groupBy("app_id").agg(F.max(F.col("h_code") != "Unknown").alias("has_h"))
-    a = c.agg(F.count(F.lit(1)).alias("apps_costed"))
-    b = ca.agg(F.count(F.lit(1)).alias("apps_charged"), F.count_if("has_h").alias("apps_with_h_code"))
-    j = a.unionByName(b, allowMissingColumns=True).agg(*[F.max(x).alias(x) for x in
-                                                         ("apps_costed", "apps_charged", "apps_with_h_code")])
-    cov = F.round(F.try_divide(F.col("apps_with_h_code") * 100.0, F.col("apps_charged")), 6)
-    return j.select("apps_costed", "apps_charged", "apps_with_h_code", cov.alias("h_code_coverage"),
-                    F.coalesce(cov >= MIN_HCODE_COVERAGE, F.lit(False)).alias("ok"))
+    costed = since(cost, dt.datetime.combine(lo, dt.time())).select(
+        "app_id", F.trunc("ts", "MM").alias("month_start")).distinct()
+    charged = (chargeback.where(F.col("month_start") >= F.lit(lo)).select("app_id", "month_start").distinct()
+                         .withColumn("hit", F.lit(True)))
+    apps = (costed.join(charged, ["app_id", "month_start"], "left").groupBy("app_id").agg(F.max("hit").alias("hit"))
+                  .agg(F.count(F.lit(1)).alias("apps_with_costs"), F.count("hit").alias("apps_with_chargeback")))
+    known = F.col("h_code") != "Unknown"
+    records = _newest_direct(chargeback).agg(F.count(F.lit(1)).alias("records"), F.count_if(known).alias("with_h_code"))
+    share = F.round(F.try_divide(F.col("with_h_code") * 100.0, F.col("records")), 6)
+    return one_row(apps, records).select(
+        "apps_with_costs", "apps_with_chargeback", (F.col("apps_with_costs") - F.col("apps_with_chargeback")).alias("missing"),
+        "records", "with_h_code", (F.col("records") - F.col("with_h_code")).alias("without_h_code"),
+        share.alias("h_code_coverage"), F.coalesce(share >= MIN_HCODE_COVERAGE, F.lit(False)).alias("ok"))
+
+
+def _newest_direct(chargeback: DataFrame) -> DataFrame:
+    newest = chargeback.select(F.max("month_start")).scalar()
+    return chargeback.where((F.col("month_start") == newest) & (F.col("chargeback_cycle") == "direct"))
+
+
+def chargeback_sector_distribution(chargeback: DataFrame, sectors: DataFrame) -> DataFrame:
+    """Q09 (sector part): direct records of the newest month by sector."""
+    s = bounded_broadcast(sectors.select("sector_id", "sector_name"), sectors)
+    return (_newest_direct(chargeback).join(s, "sector_id", "left")
+            .groupBy(F.coalesce(F.col("sector_name"), F.lit("Unknown")).alias("sector_name"))
+            .agg(F.count(F.lit(1)).alias("record_count")))
 
 
 def chargeback_summary(chargeback: DataFrame, sectors: DataFrame) -> DataFrame:
     """Q11: direct chargeback of the latest month by sector, plus a TOTAL row."""
-    latest = chargeback.select(F.max("month_start")).scalar()
     s = bounded_broadcast(sectors.select("sector_id", "sector_name"), sectors)
-    cur = chargeback.where((F.col("month_start") == latest) & (F.col("chargeback_cycle") == "direct")).join(s, "sector_id")
+    cur = _newest_direct(chargeback).join(s, "sector_id")
     by = cur.groupBy("sector_name").agg(F.countDistinct("app_id").alias("apps"),
                                         F.sum("usd_amount").cast("double").alias("total_amount"))
     tot = cur.agg(F.countDistinct("app_id").alias("apps"), F.sum("usd_amount").cast("double").alias("total_amount")) \
@@ -148,59 +177,95 @@ def chargeback_summary(chargeback: DataFrame, sectors: DataFrame) -> DataFrame:
     return by.unionByName(tot)
 
 
-def pipeline_summary(app: DataFrame, usage: DataFrame, cost: DataFrame) -> DataFrame:
-    """Q13/Q14: one-row summary of volumes, cost total, date range and coverage."""
-    a = app.agg(F.count(F.lit(1)).alias("apps"), F.count_if(F.col("monitoring_id").isNotNull()).alias("monitored_apps"),
-                F.count_if(F.col("h_code").isNotNull()).alias("apps_with_h_code"))
-    u = usage.agg(F.count(F.lit(1)).alias("usage_rows"), F.min("ts").alias("first_usage"),
-                  F.max("ts").alias("last_usage"))
+def _rows(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def pipeline_summary(app: DataFrame, usage: DataFrame, cost: DataFrame, chargeback: DataFrame,
+                     forecast: DataFrame) -> DataFrame:
+    """Q13: applications, volumes, cost total and range, h-code share of the monitored applications."""
+    mon, cm, h = (F.col(c).isNotNull() for c in ("monitoring_id", "cmdb_id", "h_code"))
+    a = app.agg(F.count(F.lit(1)).alias("apps"), F.count_if(mon).alias("monitored_apps"), F.count_if(cm).alias("cmdb_apps"),
+                F.count_if(mon & cm).alias("matched_apps"), F.count_if(mon & h).alias("monitored_with_h_code"))
     c = cost.agg(F.count(F.lit(1)).alias("cost_rows"), F.sum("usd_cost").cast("double").alias("total_cost"),
                  F.min(F.trunc("ts", "MM")).alias("first_month"), F.max(F.trunc("ts", "MM")).alias("last_month"))
-    cols = a.columns + u.columns + c.columns
-    j = a.unionByName(u, allowMissingColumns=True).unionByName(c, allowMissingColumns=True) \
-         .agg(*[F.max(x).alias(x) for x in cols])
-    return j.withColumn("h_code_coverage", F.round(F.try_divide(F.col("apps_with_h_code") * 100.0, F.col("apps")), 6))
-
-
-def constraint_checks(app: DataFrame, usage: DataFrame, cost: DataFrame, chargeback: DataFrame,
-                      prices: DataFrame) -> DataFrame:
-    """Q15: unique keys, foreign keys and value sets the DDL declares (Spark enforces none)."""
-    def dup(df, keys, name):
-        nn = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
-        return (df.where(nn).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-                  .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"))
-                  .select(F.lit(name).alias("check_name"), F.col("violations").cast("long")))
-
-    def orphans(df, col, ref, ref_col, name):
-        return (df.where(F.col(col).isNotNull()).join(ref.select(F.col(ref_col).alias(col)), col, "left_anti")
-                  .agg(F.count(F.lit(1)).cast("long").alias("violations"))
-                  .select(F.lit(name).alias("check_name"), "violations"))
-
-    def bad_values(df, col, allowed, name):
-        return (df.where(F.col(col).isNotNull() & ~F.col(col).isin(*allowed))
-                  .agg(F.count(F.lit(1)).cast("long").alias("violations"))
-                  .select(F.lit(name).alias("check_name"), "violations"))
-
-    parts = [
-        dup(usage, ["ts", "app_id", "capability_id", "tier"], "usage_key_unique"),
-        dup(cost, ["ts", "app_id", "capability_id", "tier"], "cost_key_unique"),
-        dup(chargeback, ["month_start", "app_id", "sector_id"], "chargeback_key_unique"),
-        dup(app, ["monitoring_id", "controller"], "app_monitoring_key_unique"),
-        dup(app, ["cmdb_id"], "app_cmdb_id_unique"),
-        dup(prices, ["capability_id", "tier", "start_date"], "price_key_unique"),
-        orphans(usage, "app_id", app, "app_id", "usage_app_fk"),
-        orphans(cost, "app_id", app, "app_id", "cost_app_fk"),
-        orphans(cost, "price_id", prices, "price_id", "cost_price_fk"),
-        bad_values(usage, "tier", ("Peak", "Pro"), "usage_tier_values"),
-        bad_values(cost, "tier", ("Peak", "Pro"), "cost_tier_values"),
-    ]
+    share = F.round(F.try_divide(F.col("monitored_with_h_code") * 100.0, F.col("monitored_apps")), 6)
+    return (one_row(a, _rows(usage, "usage_rows"), c, _rows(chargeback, "chargeback_rows"), _rows(forecast, "forecast_rows"))
+            .withColumn("h_code_coverage", share)
+            .withColumn("ready", F.coalesce(share >= READY_HCODE_COVERAGE, F.lit(False))))
+
+
+def dataset_summary(app, servers, edges, usage, cost, chargeback, forecast, log) -> DataFrame:
+    """Q14: rows of every table, ranges of usage and forecast, h-code and match share of all applications, total cost."""
+    a = app.agg(F.count(F.lit(1)).alias("apps"), F.count("h_code").alias("apps_with_h_code"), F.count("cmdb_id").alias("matched_apps"))
+    u = usage.agg(F.count(F.lit(1)).alias("usage_rows"), F.min("ts").alias("first_usage"), F.max("ts").alias("last_usage"))
+    c = cost.agg(F.count(F.lit(1)).alias("cost_rows"), F.sum("usd_cost").cast("double").alias("total_cost"))
+    f = forecast.agg(F.count(F.lit(1)).alias("forecast_rows"), F.min("month_start").alias("first_forecast"),
+                     F.max("month_start").alias("last_forecast"))
+    wide = one_row(a, _rows(servers, "servers"), _rows(edges, "app_server_edges"), u, c, _rows(chargeback, "chargeback_rows"),
+                   f, _rows(log, "reconciliation_rows"))
+    for name, part in (("h_code_coverage", "apps_with_h_code"), ("match_rate", "matched_apps")):
+        wide = wide.withColumn(name, F.round(F.try_divide(F.col(part) * 100.0, F.col("apps")), 6))
+    return wide
+
+
+#: Q15: table -> unique keys, foreign keys (column, table, its column), value sets, columns that must not be null
+CONSTRAINTS = {
+    "app": dict(keys=[("monitoring_id", "controller"), ("cmdb_id",)],
+                refs=[("sector_id", "sectors", "sector_id"), ("owner_id", "owners", "owner_id")],
+                values={"license_tier": ("Peak", "Pro", "Unknown")}, required=["app_id"]),
+    "servers": dict(keys=[("sys_id",)], required=["sys_id"]),
+    "edges": dict(keys=[("app_id", "server_sys_id")], refs=[("app_id", "app", "app_id"), ("server_sys_id", "servers", "sys_id")],
+                  required=["app_id", "server_sys_id"]),
+    "usage": dict(keys=[("ts", "app_id", "capability_id", "tier")],
+                  refs=[("app_id", "app", "app_id"), ("capability_id", "capabilities", "capability_id")],
+                  values={"tier": ("Peak", "Pro")}, required=["ts"]),
+    "cost": dict(keys=[("ts", "app_id", "capability_id", "tier")],
+                 refs=[("app_id", "app", "app_id"), ("price_id", "price", "price_id")], values={"tier": ("Peak", "Pro")},
+                 required=["ts"]),
+    "chargeback": dict(keys=[("month_start", "app_id", "sector_id")],
+                       refs=[("app_id", "app", "app_id"), ("sector_id", "sectors", "sector_id"), ("owner_id", "owners", "owner_id")],
+                       required=["month_start"]),
+    "forecast": dict(keys=[("month_start", "app_id", "capability_id", "tier")],
+                     refs=[("app_id", "app", "app_id"), ("capability_id", "capabilities", "capability_id")],
+                     required=["month_start"]),
+    "price": dict(keys=[("capability_id", "tier", "start_date")], refs=[("capability_id", "capabilities", "capability_id")],
+                  required=["tier", "unit_rate", "start_date"]),
+    "runs": dict(keys=[("run_id",)], values={"status": STATUSES}, required=["job_name", "started_at", "status"]),
+    "overrides": dict(refs=[("app_id", "app", "app_id")], required=["app_id", "field_name"]),
+}
+
+
+def constraint_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Q15: unique keys, foreign keys, value sets and not-null columns the DDL declares (Spark enforces none).
+
+    Of each table all checks but the keys take one pass; a referenced key column, unique itself, is
+    joined as a flag.  Every key takes one grouping.  Tables left out of ``tables`` are not checked.
+    """
+    from meterline.operators.cost import price_overlaps
+    parts = []
+    for table, df in tables.items():
+        rule = CONSTRAINTS.get(table)
+        if rule is None:
+            continue
+        checks = {f"{table}_{c}_not_null": F.col(c).isNull() for c in rule.get("required", [])}
+        checks |= {f"{table}_{c}_values": F.col(c).isNotNull() & ~F.col(c).isin(*v) for c, v in rule.get("values", {}).items()}
+        flagged = df
+        for col, other, key in rule.get("refs", []):
+            if other in tables:
+                ref = tables[other].select(F.col(key).alias(f"_k_{col}"), F.lit(True).alias(f"_has_{col}"))
+                ref = bounded_broadcast(ref, tables[other])
+                flagged = flagged.join(ref, F.col(col) == F.col(f"_k_{col}"), "left")
+                checks[f"{table}_{col}_fk"] = F.col(col).isNotNull() & F.col(f"_has_{col}").isNull()
+        sums = flagged.agg(*[F.count_if(e).alias(n) for n, e in checks.items()])
+        parts.append(sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("violations"))
+                                                    for n in checks]))))
+        for keys in rule.get("keys", []):
+            full = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+            parts.append(df.where(full).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                           .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("violations"))
+                           .select(F.lit(f"{table}_{'_'.join(keys)}_unique").alias("check_name"), "violations"))
+    if "price" in tables:
+        parts.append(price_overlaps(tables["price"]).agg(F.count(F.lit(1)).alias("violations"))
+                     .select(F.lit("price_windows_overlap").alias("check_name"), "violations"))
     return reduce(DataFrame.unionByName, parts).withColumn("ok", F.col("violations") == 0)
-
-
-def chargeback_sector_distribution(chargeback: DataFrame, sectors: DataFrame, as_of) -> DataFrame:
-    """Q09 (sector part): apps and amount per sector over the last two months of chargeback."""
-    lo = month_start(add_months(as_date(as_of), -1))
-    s = bounded_broadcast(sectors.select("sector_id", "sector_name"), sectors)
-    cb = chargeback.where(F.col("month_start") >= F.lit(lo)).join(s, "sector_id", "left")
-    return (cb.groupBy(F.coalesce(F.col("sector_name"), F.lit("Unknown")).alias("sector_name"))
-              .agg(F.countDistinct("app_id").alias("apps"), F.sum("usd_amount").cast("double").alias("total_amount")))

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from meterline.functions.timeutil import month_start, sql_date
+from meterline.functions.timeutil import add_months, month_start, sql_date
 from meterline.operators import allocation as AL
 from meterline.operators import chargeback as CB
 from meterline.operators import cost as CO
@@ -108,7 +108,8 @@ FROM chargeback_all c JOIN sectors s ON s.sector_id = c.sector_id
 WHERE month_start = {sql_date(_SUMMARY_MONTH)} GROUP BY s.sector_name""", "chargeback_all", "sectors"))
 def q_alloc_summary(spark, sf_dir):
     s = star(spark, sf_dir)
-    return AL.allocation_summary(s.chargeback_all, s.sectors, _SUMMARY_MONTH)
+    bounded = s.chargeback_all_from(_SUMMARY_MONTH, add_months(_SUMMARY_MONTH, 1))
+    return AL.allocation_summary(bounded, s.sectors, _SUMMARY_MONTH)
 
 
 @register("alloc_residual", O.build("""

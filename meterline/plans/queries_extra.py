@@ -84,17 +84,6 @@ SELECT o_orderkey AS run_id, o_orderpriority AS job_name, o_orderdate AS started
 FROM orders""")
 
 
-@register("l03_latest_runs", O.build("""
-SELECT run_id, job_name, started_at, status FROM runs_state
-WHERE started_at >= (SELECT MAX(started_at) FROM runs_state) - INTERVAL 1 DAY
-ORDER BY started_at DESC, run_id DESC LIMIT 5""", "runs_state"))
-def q_latest_runs(spark, sf_dir):
-    runs = Q.run_state(run_events(spark, sf_dir)).select("run_id", "job_name", "started_at", "status")
-    latest = runs.select(F.max("started_at")).scalar()
-    return (runs.where(F.col("started_at") >= latest - F.expr("INTERVAL 1 DAY"))
-                .orderBy(F.col("started_at").desc(), F.col("run_id").desc()).limit(5))
-
-
 @register("a12_active_tools", O.build("""
 SELECT string_agg(r.r_name, ', ' ORDER BY r.r_name) AS active_tools, COUNT(*) AS active_count
 FROM region r WHERE EXISTS (SELECT 1 FROM nation n JOIN supplier s ON s.s_nationkey = n.n_nationkey

@@ -14,14 +14,13 @@ from meterline.plans import oracle as O
 from meterline.plans.registry import register, star
 from meterline.sources import ingest as IG
 from meterline.sources import seeds
-from meterline.sources.star import LINEITEM_AS_OF
+from meterline.sources.star import LINEITEM_AS_OF, account_count
 from meterline.sources.tables import read
 
 # --- fixed values: how driver events are packed into usage payload documents ------
 EVENT_USAGE_TYPE = {"click": "APM_APP_AGENT", "error": "MACHINE_AGENT", "purchase": "ANALYTICS_AGENT",
                     "signup": "BROWSER_RUM_AGENT", "view": "SYNTHETIC_AGENT"}
 POINTS_PER_DOCUMENT = 50
-ACCOUNTS = 10
 # ---------------------------------------------------------------------------------------
 
 
@@ -29,7 +28,7 @@ def usage_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events re-packed as nested usage documents (<= 50 points each, so no group is unbounded)."""
     ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     m = F.create_map(*[x for k, v in EVENT_USAGE_TYPE.items() for x in (F.lit(k), F.lit(v))])
-    p = ev.select((F.col("user_id") % ACCOUNTS + 1).alias("account"),
+    p = ev.select((F.col("user_id") % account_count(spark, sf_dir) + 1).alias("account"),
                   F.floor(F.col("event_id") / POINTS_PER_DOCUMENT).alias("doc"),
                   F.when(F.col("user_id") % 2 == 0, F.lit("APM_PEAK")).otherwise(F.lit("APM_PRO")).alias("package"),
                   F.element_at(m, F.col("event_type")).alias("usage_type"),
@@ -47,7 +46,7 @@ def usage_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("usage_flatten", O.build("""
-SELECT user_id % 10 + 1 AS account_id, date_trunc('day', ts) AS ts,
+SELECT user_id % (SELECT greatest(10, COUNT(*) // 10) FROM supplier) + 1 AS account_id, date_trunc('day', ts) AS ts,
   CASE event_type WHEN 'click' THEN 'APM' WHEN 'error' THEN 'INFRA' WHEN 'purchase' THEN 'ANALYTICS'
                   WHEN 'signup' THEN 'MRUM' END AS capability_code,
   CASE WHEN user_id % 2 = 0 THEN 'Peak' ELSE 'Pro' END AS tier, value AS units
@@ -58,11 +57,11 @@ def q_flatten(spark, sf_dir):
 
 
 @register("usage_flatten_rejects", O.build("""
-SELECT user_id % 10 + 1 AS account_id, 'SYNTHETIC_AGENT' AS usage_type, date_trunc('day', ts) AS ts,
+SELECT user_id % (SELECT greatest(10, COUNT(*) // 10) FROM supplier) + 1 AS account_id, 'SYNTHETIC_AGENT' AS usage_type, date_trunc('day', ts) AS ts,
   COALESCE(value, 0) AS units, 'unmapped_usage_type' AS reason
 FROM events WHERE event_type = 'view'
 UNION ALL
-SELECT user_id % 10 + 1, CASE event_type WHEN 'click' THEN 'APM_APP_AGENT' WHEN 'error' THEN 'MACHINE_AGENT'
+SELECT user_id % (SELECT greatest(10, COUNT(*) // 10) FROM supplier) + 1, CASE event_type WHEN 'click' THEN 'APM_APP_AGENT' WHEN 'error' THEN 'MACHINE_AGENT'
   WHEN 'purchase' THEN 'ANALYTICS_AGENT' WHEN 'signup' THEN 'BROWSER_RUM_AGENT' END, date_trunc('day', ts),
   0.0, 'zero_usage'
 FROM events WHERE event_type IN ('click', 'error', 'purchase', 'signup') AND COALESCE(value, 0) = 0"""))
@@ -181,13 +180,13 @@ def q_hcode(spark, sf_dir):
 
 @register("account_usage_by_nodes", O.build(f"""
 WITH acct AS (
-  SELECT user_id % 10 + 1 AS account_id, date_trunc('day', ts) AS ts,
+  SELECT user_id % (SELECT greatest(10, COUNT(*) // 10) FROM supplier) + 1 AS account_id, date_trunc('day', ts) AS ts,
     CASE event_type WHEN 'click' THEN 'APM' WHEN 'error' THEN 'INFRA' WHEN 'purchase' THEN 'ANALYTICS'
                     WHEN 'signup' THEN 'MRUM' END AS capability_code,
     CASE WHEN user_id % 2 = 0 THEN 'Peak' ELSE 'Pro' END AS tier, SUM(CAST(value AS DECIMAL(12,2))) AS units
   FROM events WHERE event_type IN ('click', 'error', 'purchase', 'signup') AND COALESCE(value, 0) <> 0
   GROUP BY 1, 2, 3, 4),
-nodes AS (SELECT (app_id - 1) % 10 + 1 AS account_id, app_id, node_count FROM inventory),
+nodes AS (SELECT (app_id - 1) % (SELECT greatest(10, COUNT(*) // 10) FROM supplier) + 1 AS account_id, app_id, node_count FROM inventory),
 tot AS (SELECT account_id, SUM(node_count) AS total FROM nodes GROUP BY 1 HAVING SUM(node_count) > 0)
 SELECT a.ts, n.app_id, a.capability_code, a.tier,
   CAST({O.half_up(O.cents_sql("a.units") + " * n.node_count", "t.total")} AS DOUBLE) / 100 AS units_consumed,
@@ -197,7 +196,7 @@ def q_account_usage(spark, sf_dir):
     good, _ = IG.flatten_usage_payload(usage_payloads(spark, sf_dir), seeds.capabilities(spark))
     acct = (good.groupBy("account_id", "ts", "capability_code", "tier")
                 .agg(F.sum(F.col("units").cast("decimal(12,2)")).alias("units")))
-    nodes = inventory(spark, sf_dir).select(((F.col("app_id") - 1) % ACCOUNTS + 1).alias("account_id"),
+    nodes = inventory(spark, sf_dir).select(((F.col("app_id") - 1) % account_count(spark, sf_dir) + 1).alias("account_id"),
                                             "app_id", "node_count")
     out = CO.distribute_account_usage(acct, nodes)
     return out.withColumn("units_consumed", F.col("units_consumed").cast("double"))

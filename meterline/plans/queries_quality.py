@@ -47,19 +47,6 @@ SELECT o_orderkey AS run_id, o_orderpriority AS job_name, o_orderdate AS started
 FROM orders""")
 
 
-@register("q01_row_counts", O.build("""
-SELECT 'applications' AS table_name, COUNT(*) AS row_count, COUNT(*) > 0 AS ok FROM app
-UNION ALL SELECT 'license_usage', COUNT(*), COUNT(*) > 0 FROM usage
-UNION ALL SELECT 'license_cost', COUNT(*), COUNT(*) > 0 FROM cost
-UNION ALL SELECT 'chargeback', COUNT(*), COUNT(*) > 0 FROM chargeback
-UNION ALL SELECT 'price_config', COUNT(*), COUNT(*) > 0 FROM price
-UNION ALL SELECT 'sectors', COUNT(*), COUNT(*) > 0 FROM sectors""", "app", "usage", "cost", "chargeback", "price", "sectors"))
-def q01(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return Q.row_counts({"applications": s.app, "license_usage": s.usage, "license_cost": s.cost,
-                         "chargeback": s.chargeback, "price_config": s.price, "sectors": s.sectors})
-
-
 @register("q02_match_rates", O.build("""
 SELECT matched, monitoring_apps, cmdb_records, ROUND(matched * 100.0 / NULLIF(monitoring_apps, 0), 6) AS app_match_rate,
   ROUND(matched * 100.0 / NULLIF(cmdb_records, 0), 6) AS cmdb_match_rate,
@@ -131,29 +118,18 @@ def q07(spark, sf_dir):
 
 
 @register("q08_reference_data", O.build(f"""
-SELECT 'capabilities' AS "check", COUNT(*) AS n, COUNT(*) >= 2 AS ok FROM capabilities
-UNION ALL SELECT 'active_prices', COUNT(*), COUNT(*) >= 2 FROM price
+SELECT 'capabilities' AS "check", COUNT(*) AS n, COUNT(*) >= 2 AS ok FROM capabilities SEMI JOIN usage USING (capability_id)
+UNION ALL SELECT 'active_prices', COUNT(*), COUNT(*) >= 2 FROM price SEMI JOIN usage USING (capability_id, tier)
   WHERE start_date <= {sql_date(AS)} AND {sql_date(AS)} <= COALESCE(end_date, {sql_date(AS)})
-UNION ALL SELECT 'sectors', COUNT(*), COUNT(*) > 0 FROM sectors""", "capabilities", "price", "sectors"))
+UNION ALL SELECT 'sectors', COUNT(*), COUNT(*) > 0 FROM sectors SEMI JOIN app USING (sector_id)""",
+    "capabilities", "price", "sectors", "usage", "app"))
 def q08(spark, sf_dir):
+    """Of the reference data, what usage and applications refer to."""
     s = star(spark, sf_dir)
-    return Q.reference_completeness(s.capabilities, s.price, s.sectors, s.as_of)
-
-
-_M1 = month_start(add_months(AS, -1))
-
-
-@register("q09_chargeback_coverage", O.build(f"""
-WITH c AS (SELECT COUNT(DISTINCT app_id) AS apps_costed FROM cost WHERE ts >= {sql_ts(dt.datetime.combine(_M1, dt.time()))}),
-b AS (SELECT COUNT(*) AS apps_charged, COUNT(*) FILTER (WHERE has_h) AS apps_with_h_code
-      FROM (SELECT app_id, MAX(h_code <> 'Unknown') AS has_h FROM chargeback WHERE month_start >= {sql_date(_M1)}
-            GROUP BY app_id) x)
-SELECT apps_costed, apps_charged, apps_with_h_code,
-  ROUND(apps_with_h_code * 100.0 / NULLIF(apps_charged, 0), 6) AS h_code_coverage,
-  COALESCE(apps_with_h_code * 100.0 / NULLIF(apps_charged, 0) >= 90, FALSE) AS ok FROM c, b""", "cost", "chargeback"))
-def q09(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return Q.chargeback_coverage(s.cost, s.chargeback, s.as_of)
+    used = s.usage.select("capability_id", "tier").distinct()
+    return Q.reference_completeness(s.capabilities.join(used, "capability_id", "left_semi"),
+                                    s.price.join(used, ["capability_id", "tier"], "left_semi"),
+                                    s.sectors.join(s.app.select("sector_id"), "sector_id", "left_semi"), s.as_of)
 
 
 @register("q11_chargeback_summary", O.build("""
@@ -166,61 +142,3 @@ SELECT 'TOTAL', COUNT(DISTINCT app_id), CAST(SUM(usd_amount) AS DOUBLE) FROM cur
 def q11(spark, sf_dir):
     s = star(spark, sf_dir)
     return Q.chargeback_summary(s.chargeback, s.sectors)
-
-
-_SUMMARY_SQL = """
-SELECT a.apps, a.monitored_apps, a.apps_with_h_code, u.usage_rows, u.first_usage, u.last_usage,
-  c.cost_rows, c.total_cost, c.first_month, c.last_month,
-  ROUND(a.apps_with_h_code * 100.0 / NULLIF(a.apps, 0), 6) AS h_code_coverage
-FROM (SELECT COUNT(*) AS apps, COUNT(monitoring_id) AS monitored_apps, COUNT(h_code) AS apps_with_h_code FROM app) a,
-     (SELECT COUNT(*) AS usage_rows, MIN(ts) AS first_usage, MAX(ts) AS last_usage FROM {u}) u,
-     (SELECT COUNT(*) AS cost_rows, CAST(SUM(usd_cost) AS DOUBLE) AS total_cost,
-             MIN(CAST(date_trunc('month', ts) AS DATE)) AS first_month,
-             MAX(CAST(date_trunc('month', ts) AS DATE)) AS last_month FROM {c}) c"""
-
-
-@register("q13_pipeline_summary", O.build(_SUMMARY_SQL.format(u="usage", c="cost"), "app", "usage", "cost"))
-def q13(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return Q.pipeline_summary(s.app, s.usage, s.cost)
-
-
-@register("q14_dataset_summary", O.build(_SUMMARY_SQL.format(u="ev_usage", c="ev_cost"), "app", "ev_usage", "ev_cost"))
-def q14(spark, sf_dir):
-    s = Star.events(spark, sf_dir)
-    return Q.pipeline_summary(s.app, s.usage, s.cost)
-
-
-def _dup(table, keys, name):
-    nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
-    return (f"SELECT '{name}' AS check_name, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS violations FROM "
-            f"(SELECT COUNT(*) AS n FROM {table} WHERE {nn} GROUP BY {', '.join(keys)} HAVING COUNT(*) > 1) x")
-
-
-@register("q15_constraints", O.build("SELECT *, violations = 0 AS ok FROM (" + " UNION ALL ".join([
-    _dup("usage", ["ts", "app_id", "capability_id", "tier"], "usage_key_unique"),
-    _dup("cost", ["ts", "app_id", "capability_id", "tier"], "cost_key_unique"),
-    _dup("chargeback", ["month_start", "app_id", "sector_id"], "chargeback_key_unique"),
-    _dup("app", ["monitoring_id", "controller"], "app_monitoring_key_unique"),
-    _dup("app", ["cmdb_id"], "app_cmdb_id_unique"),
-    _dup("price", ["capability_id", "tier", "start_date"], "price_key_unique"),
-    "SELECT 'usage_app_fk', COUNT(*) FROM usage WHERE app_id IS NOT NULL AND app_id NOT IN (SELECT app_id FROM app)",
-    "SELECT 'cost_app_fk', COUNT(*) FROM cost WHERE app_id IS NOT NULL AND app_id NOT IN (SELECT app_id FROM app)",
-    "SELECT 'cost_price_fk', COUNT(*) FROM cost WHERE price_id IS NOT NULL AND price_id NOT IN (SELECT price_id FROM price)",
-    "SELECT 'usage_tier_values', COUNT(*) FROM usage WHERE tier IS NOT NULL AND tier NOT IN ('Peak', 'Pro')",
-    "SELECT 'cost_tier_values', COUNT(*) FROM cost WHERE tier IS NOT NULL AND tier NOT IN ('Peak', 'Pro')",
-]) + ") t", "usage", "cost", "chargeback", "app", "price"))
-def q15(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return Q.constraint_checks(s.app, s.usage, s.cost, s.chargeback, s.price)
-
-
-@register("q09_sector_distribution", O.build(f"""
-SELECT COALESCE(s.sector_name, 'Unknown') AS sector_name, COUNT(DISTINCT c.app_id) AS apps,
-  CAST(SUM(c.usd_amount) AS DOUBLE) AS total_amount
-FROM chargeback c LEFT JOIN sectors s ON s.sector_id = c.sector_id
-WHERE c.month_start >= {sql_date(_M1)}
-GROUP BY 1""", "chargeback", "sectors"))
-def q09_sectors(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return Q.chargeback_sector_distribution(s.chargeback, s.sectors, s.as_of)

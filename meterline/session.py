@@ -72,27 +72,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 # --- bounded broadcasts -------------------------------------------------------------
-BROADCAST_MAX_ROWS = 200_000
+#: most literal rows that a configuration table may have to be broadcast by hint
+CONFIG_MAX_ROWS = 10_000
 
 
-def mark_bounded(df: DataFrame) -> DataFrame:
-    """Flag a DataFrame built from a literal, bounded row list (seed/config tables)."""
-    df._meterline_bounded = True  # noqa: SLF001
+def config_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A DataFrame of literal rows, flagged as small if there are at most ``CONFIG_MAX_ROWS``."""
+    df = spark.createDataFrame(rows, schema)
+    df._meterline_bounded = len(rows) <= CONFIG_MAX_ROWS  # noqa: SLF001
     return df
 
 
-def bounded_broadcast(df: DataFrame, source: DataFrame | None = None,
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only behind a proven size bound.
+def bounded_broadcast(df: DataFrame, source: DataFrame) -> DataFrame:
+    """``df``, broadcast if ``source`` (the frame it is a projection of) is a small literal table.
 
-    ``source`` is the DataFrame the caller received (``df`` may be a projection of it).
-    A literal seed table is bounded by construction; anything else is checked with a
-    ``limit(max_rows + 1).count()`` (reads at most max_rows + 1 rows). Beyond the bound
-    no hint is given and the planner's size-checked choice (sort-merge / AQE) applies.
+    No job is run to find out.  Any other frame gets no hint: AQE decides by its bytes.
     """
-    src = source if source is not None else df
-    if getattr(src, "_meterline_bounded", False):
-        return F.broadcast(df)
-    if src.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if getattr(source, "_meterline_bounded", False) else df

@@ -215,14 +215,6 @@ def usage_estimate(apps: DataFrame, as_of, capabilities: DataFrame) -> DataFrame
                                                       F.col("units").alias("units_consumed"), "nodes_count")
 
 
-def calendar(start, end, fiscal_start_month: int = 1) -> DataFrame:
-    """One row per date in [start, end] with calendar and fiscal attributes."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    base = spark.range(1).select(F.explode(F.sequence(F.lit(as_date(start)), F.lit(as_date(end)))).alias("date_value"))
-    return calendar_of(base, fiscal_start_month)
-
-
 def calendar_of(dates: DataFrame, fiscal_start_month: int = 1) -> DataFrame:
     """S09 from a column of dates (e.g. a sequence exploded from data bounds)."""
     d = F.col("date_value")

@@ -11,7 +11,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from meterline.session import mark_bounded
+from meterline.session import config_table
 
 # --- fixed values: seed rows of the dimension tables -----------------------
 OWNERS = [
@@ -59,35 +59,25 @@ ALLOCATION_RULES = [
 ]
 SHARED_SECTOR_NAMES = ("Corporate/Shared Services", "Global IT")
 SHARED_HCODE_MARKERS = ("PLATFORM", "SHARED", "GLOBAL")
-FORECAST_MODELS = [
-    (1, "linear_trend", "linear", '{"window_days": 90}'),
-    (2, "exponential_smoothing", "exp_smoothing", '{"alpha": 0.3}'),
-    (3, "ensemble", "ensemble", '{"weights": {"linear": 0.6, "exp": 0.4}}'),
-    (4, "seasonal", "seasonal_arima", '{"season_length": 12}'),
-]
 DEFAULT_UNIT_RATE = Decimal("0.50")
 # ---------------------------------------------------------------------------
 
 
 def owners(spark: SparkSession) -> DataFrame:
-    return mark_bounded(spark.createDataFrame(
-        OWNERS, "owner_id int, owner_name string, email string, department string"))
+    return config_table(spark, OWNERS, "owner_id int, owner_name string, email string, department string")
 
 
 def sectors(spark: SparkSession) -> DataFrame:
-    return mark_bounded(spark.createDataFrame(
-        SECTORS, "sector_id int, sector_name string, description string"))
+    return config_table(spark, SECTORS, "sector_id int, sector_name string, description string")
 
 
 def architectures(spark: SparkSession) -> DataFrame:
-    return mark_bounded(spark.createDataFrame(
-        ARCHITECTURES, "architecture_id int, pattern_name string, description string"))
+    return config_table(spark, ARCHITECTURES, "architecture_id int, pattern_name string, description string")
 
 
 def capabilities(spark: SparkSession) -> DataFrame:
-    return mark_bounded(spark.createDataFrame(
-        CAPABILITIES,
-        "capability_id int, capability_code string, capability_name string, description string"))
+    return config_table(spark, CAPABILITIES,
+        "capability_id int, capability_code string, capability_name string, description string")
 
 
 def prices(spark: SparkSession, rows=None) -> DataFrame:
@@ -95,18 +85,11 @@ def prices(spark: SparkSession, rows=None) -> DataFrame:
     data = [(pid, cap, tier, Decimal(rate), dt.date.fromisoformat(s),
              dt.date.fromisoformat(e) if e else None)
             for pid, cap, tier, rate, s, e in rows]
-    return mark_bounded(spark.createDataFrame(
-        data, "price_id int, capability_id int, tier string, unit_rate decimal(10,4), "
-              "start_date date, end_date date"))
+    return config_table(spark, data, "price_id int, capability_id int, tier string, unit_rate decimal(10,4), "
+              "start_date date, end_date date")
 
 
 def allocation_rules(spark: SparkSession, rows=None) -> DataFrame:
-    return mark_bounded(spark.createDataFrame(
-        ALLOCATION_RULES if rows is None else rows,
+    return config_table(spark, ALLOCATION_RULES if rows is None else rows,
         "rule_id int, rule_name string, distribution_method string, "
-        "shared_service_code string, applies_to_sector_id int, is_active boolean"))
-
-
-def forecast_models(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        FORECAST_MODELS, "model_id int, model_name string, model_type string, parameters string")
+        "shared_service_code string, applies_to_sector_id int, is_active boolean")

@@ -66,42 +66,67 @@ def upsert_tally(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite",
-                small: bool = False, cluster_by: list[str] | None = None):
+                cluster_by: list[str] | None = None):
     """Write Parquet, optionally partitioned.
 
-    ``small`` tables (monthly grain: chargeback, forecasts) are clustered by the
-    partition value first, giving one file per partition. Large facts are only
-    sorted within each task: a month holding a third of the data is still
-    written by many tasks, each streaming one file per month it holds. With
-    ``cluster_by`` a large fact is range-partitioned on (partition, cluster)
-    columns: sampled range bounds split a hot month across tasks, each task
-    writes few files, and files are clustered for min/max skipping.
+    With ``cluster_by`` the table is range-partitioned on (partition, cluster) columns: sampled
+    range bounds split a hot month across tasks, each task writes few files, and files are
+    clustered for min/max skipping. Without it rows are only sorted within each task. No
+    partition value is ever sent to one task as a whole.
     """
     if partition_by:
-        if small:
-            df = df.repartition(*partition_by)
-        elif cluster_by:
-            df = df.repartitionByRange(*partition_by, *cluster_by).sortWithinPartitions(*partition_by, *cluster_by)
-        else:
-            df = df.sortWithinPartitions(*partition_by)
+        if cluster_by:
+            df = df.repartitionByRange(*partition_by, *cluster_by)
+        df = df.sortWithinPartitions(*partition_by, *(cluster_by or []))
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is there (asked of its file system, so that no read error passes for absence)."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def _swap(spark: SparkSession, path: str, rows: DataFrame, partition_col: str, partitions=None,
+          cluster_by: list[str] | None = None) -> None:
+    """Put ``rows`` (which may be read from ``path`` itself) in place of its partitions.
+
+    Rows go to a stage table first, so no plan overwrites what it reads.  Of the ``partitions``
+    (their values), those without rows are emptied.
+    """
+    stage = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
+    try:
+        write_table(rows, stage, [partition_col], cluster_by=cluster_by)
+        staged = spark.read.schema(rows.schema).parquet(stage).select(*rows.columns)
+        write_table(staged, path, [partition_col], mode="overwrite")        # dynamic: partitions with rows only
+        if partitions is not None:
+            full = {r[0] for r in staged.select(partition_col).distinct().collect()}       # at most ``partitions``
+            for value in partitions:
+                if value not in full:
+                    _remove(spark, f"{path}/{partition_col}={value}")
+    finally:
+        _remove(spark, stage)
 
 
 def merge_into_parquet(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
                        partition_col: str, how: str = "replace", measures: list[str] | None = None,
-                       small: bool = True) -> None:
+                       cluster_by: list[str] | None = None) -> None:
     """Apply a merge to the partitions of ``path`` that the batch touches."""
     if not table_exists(spark, path):
-        write_table(batch, path, [partition_col], mode="overwrite", small=small)
+        write_table(batch, path, [partition_col], mode="overwrite", cluster_by=cluster_by)
         return
     current = spark.read.parquet(path)          # any failure to read stops the merge
     # the batch is usually a whole job (e.g. the allocation): compute it once, reliably
@@ -116,26 +141,73 @@ def merge_into_parquet(spark: SparkSession, path: str, batch: DataFrame, keys: l
         merged = insert_if_absent(old, batch.select(*current.columns), keys)
     else:
         raise ValueError(how)
-    stage = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-    write_table(merged, stage, [partition_col], small=small)
-    staged = spark.read.parquet(stage).select(*current.columns)
-    write_table(staged, path, [partition_col], mode="overwrite", small=small)   # dynamic: touched partitions only
+    _swap(spark, path, merged, partition_col, cluster_by=cluster_by)
+
+
+def replace_slices(spark: SparkSession, path: str, batch: DataFrame, partition_col: str, partitions: list,
+                   slice_col: str, slices: list, cluster_by: list[str] | None = None) -> None:
+    """C09 (R4): in ``partitions``, the rows whose ``slice_col`` is one of ``slices`` become exactly the batch's.
+
+    A posting job owns its slices (cycles), so rows that it no longer makes, after a change of a rule or of an
+    application's sector, go; rows of other slices stay.  The filter on the partition column reaches the scan.
+    """
+    if not partitions:
+        return
+    here = F.col(partition_col).isin(*partitions)
+    batch = batch.where(here)
+    if not table_exists(spark, path):
+        write_table(batch, path, [partition_col], mode="overwrite", cluster_by=cluster_by)
+        return
+    current = spark.read.parquet(path)          # any failure to read stops the posting
+    kept = current.where(here & ~F.coalesce(F.col(slice_col).isin(*slices), F.lit(False)))
+    _swap(spark, path, kept.unionByName(batch.select(*current.columns)), partition_col, partitions, cluster_by)
+
+
+def row_counts_by(spark: SparkSession, path: str, partition_col: str) -> dict:
+    """Rows of each partition of a table; empty if there is none yet. Reads no column of the files."""
+    if not table_exists(spark, path):
+        return {}
+    return {r[0]: r[1] for r in spark.read.parquet(path).groupBy(partition_col).count().collect()}
+
+
+VERSION_SCHEMA = "view string, status string, rows_before long, rows long, seconds double, path string, error string, published_ns long"
 
 
 def publish_views(spark: SparkSession, views: dict, root: str) -> DataFrame:
-    """V9: rebuild every reporting table into a new version directory; one failure does
-    not stop the rest. Returns a status DataFrame (name, status, rows, seconds, path, error)."""
+    """V9: rebuild every reporting table into a new version directory; one failure does not stop the rest.
+
+    The outcome of every table is appended to ``root/_versions``; the newest success there is the
+    table's current version (``published``). Returns the status rows.
+    """
+    root = root.rstrip("/")
     version = time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
+    before = {r.view: r.rows for r in _current(spark, root).collect()} if table_exists(spark, f"{root}/_versions") else {}
     status = []
     for name, build in views.items():
         t0 = time.perf_counter()
-        out = f"{root.rstrip('/')}/{name}/v={version}"
+        out = f"{root}/{name}/v={version}"
         try:
-            df = build()
-            df.write.mode("errorifexists").parquet(out)
+            build().write.mode("errorifexists").parquet(out)
             rows = spark.read.parquet(out).count()
-            status.append((name, "success", rows, round(time.perf_counter() - t0, 3), out, None))
+            outcome = ("success", before.get(name, 0), rows, round(time.perf_counter() - t0, 3), out, None)
         except Exception as e:  # noqa: BLE001 - report and carry on
-            status.append((name, "failed", None, round(time.perf_counter() - t0, 3), None, str(e)[:500]))
-    return spark.createDataFrame(status, "view string, status string, rows long, seconds double, "
-                                         "path string, error string")
+            outcome = ("failed", before.get(name, 0), None, round(time.perf_counter() - t0, 3), None, str(e)[:500])
+        status.append((name, *outcome, time.time_ns()))
+    made = spark.createDataFrame(status, VERSION_SCHEMA).coalesce(1)
+    made.write.mode("append").parquet(f"{root}/_versions")
+    return made
+
+
+def _current(spark: SparkSession, root: str) -> DataFrame:
+    """(view, path, rows) of each table's newest good version."""
+    log = spark.read.schema(VERSION_SCHEMA).parquet(f"{root}/_versions").where("status = 'success'")
+    return (log.groupBy("view").agg(F.max_by(F.struct("path", "rows"), "published_ns").alias("c"))
+               .select("view", "c.path", "c.rows"))
+
+
+def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The current version of every published table, by name."""
+    root = root.rstrip("/")
+    if not table_exists(spark, f"{root}/_versions"):
+        return {}
+    return {r.view: spark.read.parquet(r.path) for r in _current(spark, root).collect()}       # one row a table

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions import rules
-from meterline.functions.timeutil import add_months, as_date, month_start, since
+from meterline.functions.timeutil import add_months, as_date, month_start, since, ts_lit
 from meterline.sources import seeds
 from meterline.sources.tables import read
 
@@ -78,6 +78,12 @@ def usage_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.count(F.lit(1)).cast("int").alias("nodes_count")))
 
 
+def account_count(spark: SparkSession, sf_dir: str):
+    """Apps that the events belong to, a tenth of all (10 at least), as a scalar subquery: they grow with the data."""
+    s = read(spark, sf_dir, "supplier")
+    return s.agg(F.greatest(F.lit(10), F.floor(F.count(F.lit(1)) / 10)).alias("n")).scalar()
+
+
 def event_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> usage rows (ts keeps its time of day)."""
     ev = read(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
@@ -85,7 +91,7 @@ def event_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.col("event_type")).cast("int")
     return ev.select(
         "ts",
-        (F.col("user_id") % 10 + 1).alias("app_id"),
+        (F.col("user_id") % account_count(spark, sf_dir) + 1).alias("app_id"),
         F.when(cap > 0, cap).alias("capability_id"),
         F.when(F.col("user_id") % 2 == 0, F.lit("Peak")).otherwise(F.lit("Pro")).alias("tier"),
         F.col("value").cast("decimal(12,2)").alias("units_consumed"),
@@ -202,10 +208,23 @@ class Star:
         return V.v7_monthly_chargeback_summary(self.chargeback_from(month_start(add_months(as_date(self.as_of), -months))),
                                                self.app, self.sectors, self.as_of, months)
 
-    def chargeback_from(self, month) -> DataFrame:
-        """Direct chargeback from ``month`` (its first day) on; the bound reaches the fact scan as a ``ts`` literal."""
+    def chargeback_from(self, month, until=None) -> DataFrame:
+        """Direct chargeback of the months from ``month`` to before ``until`` (first days); the bounds reach
+        the fact scan as ``ts`` literals."""
         from meterline.operators.chargeback import direct_chargeback
-        return direct_chargeback(since(self.cost, dt.datetime(month.year, month.month, 1)), self.app)
+        return direct_chargeback(self._between(self.cost, month, until), self.app)
+
+    def chargeback_all_from(self, month, until=None) -> DataFrame:
+        """``chargeback_all`` of those months, bounded in the same way."""
+        from meterline.operators.allocation import allocate_shared_costs
+        alloc = allocate_shared_costs(self._between(self.cost, month, until), self._between(self.usage, month, until),
+                                      self.app, self.sectors, seeds.allocation_rules(self.spark))
+        return self.chargeback_from(month, until).unionByName(alloc)
+
+    @staticmethod
+    def _between(fact: DataFrame, month, until) -> DataFrame:
+        fact = since(fact, dt.datetime(month.year, month.month, 1))
+        return fact if until is None else fact.where(F.col("ts") < ts_lit(dt.datetime(until.year, until.month, 1)))
 
     @cached_property
     def v8(self):

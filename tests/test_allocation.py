@@ -3,6 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from meterline.operators import views as V
 from meterline.operators.allocation import allocate_shared_costs, allocation_residuals, select_rules, shared_services
 from meterline.sources import seeds
 
@@ -60,3 +61,16 @@ def test_case_sensitive_rule_match(spark):
     app, cost, use = _frames(spark, apps, [(1, "1.00")], [(2, "1")])
     assert shared_services(app, seeds.sectors(spark)).count() == 1          # ILIKE identifies it
     assert select_rules(shared_services(app, seeds.sectors(spark)), seeds.allocation_rules(spark)).count() == 0
+
+
+def test_monthly_ranks_cross_value_bands(spark):
+    """Ranks of one controller's month over amounts of several magnitudes, with ties."""
+    amounts = [0.01, 0.01, 0.02, 5.0, 5.0, 5.01, 5.02, 80.0, 79.99, 1_000_000.0, 0.0, -3.0, -3.01]
+    cost = spark.createDataFrame([(dt.datetime(2001, 10, 2), i, "Peak", Decimal(str(a))) for i, a in enumerate(amounts)],
+                                 "ts timestamp_ntz, app_id long, tier string, usd_cost decimal(12,2)")
+    app = spark.createDataFrame([(i, f"a{i}", f"m-{i}", None, 1, 1, "Peak") for i in range(len(amounts))],
+                                "app_id long, app_name string, monitoring_id string, controller string, sector_id int, "
+                                "owner_id int, license_tier string")
+    got = {r.app_id: r.cost_rank for r in V.v6_app_cost_rankings_monthly(
+        cost, app, seeds.sectors(spark), seeds.owners(spark), dt.date(2001, 11, 5)).collect()}
+    assert got == {i: 1 + sum(b > a for b in amounts) for i, a in enumerate(amounts)}

@@ -1,7 +1,9 @@
 from meterline.plans.pipeline import TableStar, run_pipeline
+from meterline.sources import seeds
+from meterline.sources.runlog import RunLog
 from meterline.sources.star import Star
 
-from conftest import SF_MID
+from conftest import SF_MID, SF_SMALL
 
 
 def _rows(df):
@@ -22,3 +24,23 @@ def test_pipeline_tables_reproduce_views_and_rerun_is_idempotent(spark, tmp_path
     assert spark.read.parquet(f"{root}/license_cost_fact").count() == base.cost.count()
     assert spark.read.parquet(f"{root}/license_usage_fact").count() == base.usage.count()
     assert _rows(TableStar(Star(spark, SF_MID), root).v2) == _rows(base.v2)
+
+
+def test_a_changed_rule_leaves_no_stale_posting_and_untouched_months_are_not_posted(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    run_pipeline(spark, SF_SMALL, root)
+    path = f"{root}/chargeback_fact"
+    posted = spark.read.parquet(path).where("chargeback_cycle like 'allocated%'")
+    months = sorted(r[0] for r in posted.select("month_start").distinct().collect())
+    assert months
+    again = {r.step: r for r in run_pipeline(spark, SF_SMALL, root).collect()}
+    assert again["allocation"].info == again["chargeback"].info == "{'months': 0}"
+    direct = _rows(spark.read.parquet(path).where("chargeback_cycle = 'direct'"))
+    off = seeds.allocation_rules(spark, [(*r[:-1], False) for r in seeds.ALLOCATION_RULES])
+    st = run_pipeline(spark, SF_SMALL, root, months=months[:1], rules=off).collect()
+    assert all(r.status == "success" for r in st), [(r.step, r.info) for r in st]
+    left = spark.read.parquet(path).where("chargeback_cycle like 'allocated%'")
+    assert sorted(r[0] for r in left.select("month_start").distinct().collect()) == months[1:]
+    assert _rows(spark.read.parquet(path).where("chargeback_cycle = 'direct'")) == direct
+    log = RunLog(spark, f"{root}/run_log")
+    assert log.last_success("allocation") is not None and not log.is_active("allocation")
