@@ -143,8 +143,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, months: list | Non
                  sorted(CYCLE_BY_METHOD.values()))
         return {"months": len(touched)}
 
+    ev = Star.events(spark, sf_dir)
+
     def forecast_step():
-        ev = Star.events(spark, sf_dir)
         sinks.write_table(ev.forecast, fc_path, ["month_start"], mode="overwrite", cluster_by=["app_id"])
 
     def views_step():
@@ -162,7 +163,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, months: list | Non
         q7 = Q.cost_variance(ts.usage, ts.cost, ts.price, ts.as_of)
         q15 = Q.constraint_checks({"app": ts.app, "usage": ts.usage, "cost": ts.cost, "chargeback": ts.chargeback_all,
                                    "price": ts.price, "sectors": ts.sectors, "owners": ts.owners,
-                                   "capabilities": ts.capabilities, "forecast": spark.read.parquet(fc_path),
+                                   "capabilities": ts.capabilities, "forecast": spark.read.schema(ev.forecast.schema).parquet(fc_path),
                                    "runs": log.state()})
         bad = [r.check_name for r in q15.collect() if not r.ok]
         return {"row_counts_ok": all(r.ok for r in q1.collect()), "orphans": q4.collect()[0].orphan_rows,

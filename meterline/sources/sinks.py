@@ -76,7 +76,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     """
     if partition_by:
         if cluster_by:
-            df = df.repartitionByRange(*partition_by, *cluster_by)
+            tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))      # a set number is not coalesced
+            df = df.repartitionByRange(tasks, *partition_by, *cluster_by)
         df = df.sortWithinPartitions(*partition_by, *(cluster_by or []))
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
