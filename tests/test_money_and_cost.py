@@ -53,19 +53,11 @@ def test_seed_prices_do_not_overlap(spark):
     assert price_overlaps(seeds.prices(spark)).count() == 0
 
 
-def test_bounded_broadcast_checks_size(spark):
-    from meterline.session import bounded_broadcast
-    small = spark.range(10)
-    big = spark.range(50)
-    hinted = bounded_broadcast(small, max_rows=20)
-    plain = bounded_broadcast(big, max_rows=20)
-    j1 = spark.range(1000).join(hinted, "id")
-    j2 = spark.range(1000).join(plain, "id")
-    import io, contextlib
-    def plan(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        return buf.getvalue()
-    assert "broadcast" in plan(j1).lower()
-    assert j2.count() == 50 and hinted is not small and plain is big
+def test_only_small_literal_tables_are_broadcast_by_hint(spark):
+    from meterline.session import CONFIG_MAX_ROWS, bounded_broadcast, config_table
+    small = config_table(spark, [(1,), (2,)], "id long")
+    big = config_table(spark, [(i,) for i in range(CONFIG_MAX_ROWS + 1)], "id long")
+    assert bounded_broadcast(small, small) is not small
+    assert bounded_broadcast(big, big) is big
+    table = spark.range(10)
+    assert bounded_broadcast(table, table) is table
