@@ -6,10 +6,12 @@ stands (partial counts before the shuffle, so a host with a third of all pages i
 group).  ``extract``: every page is parsed again next to its host's recurring hashes, those
 subtrees are deleted, and the remaining blocks become the text.
 
-A subtree is template when it recurs on ``SHARE`` of its host's pages and on ``LEAST_PAGES`` at
-least.  Copies of an article on one host are not a template: prose blocks (paragraphs,
-headings, lists items, quotes, tables) inside a declared ``article`` or ``main`` are
-never counted.
+A subtree is template when it recurs on ``SHARE`` of its host's different pages and on
+``LEAST_PAGES`` at least; pages with the same text outside menus, scripts and the like are one page.
+Only blocks are counted, never inline elements, line breaks or rules.  Copies of an article on one
+host are not a template: prose blocks (paragraphs, headings, lists items, quotes, tables) inside a declared
+``article`` or ``main`` are never counted, nor is any block with half of the page's article text; other
+blocks inside are counted over different articles, known by their longest string outside the block.
 
 Besides templates, these go by their tag or by a word of their class, id or role: menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.  If an
@@ -44,6 +46,9 @@ BLOCKS = frozenset("address article blockquote body caption center dd details di
                    "h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li ul ol dl dd dt table tbody thead tr td th "
                   "figcaption b i em strong a span br code sub sup u s small mark q cite abbr".split())
+#: may be template outside of a declared article, and inside
+COUNTED = BLOCKS - {"html", "body", "article", "main", "hr"}
+COUNTED_INSIDE = COUNTED - PROSE
 #: an opening tag closes these when they are open in the same container
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -130,30 +135,55 @@ def dropped(node: Node) -> bool:
     return False
 
 
-def hashes(root: Node) -> list[tuple[int, Node]]:
-    """(hash of tags and text, node) of each element that may be template, outermost first."""
-    order = []                                  # (node, may be template)
-    stack = [(root, False)]
+def hashes(root: Node) -> tuple[int, list[tuple[int, int, Node]]]:
+    """Hash of the page's text, and (hash of tags and text, key, node) of each element that may be template, outermost first.
+
+    The key is 0 outside of articles; inside it stands for the article.
+    """
+    order = []                                  # (node, in an article, not in a dropped tag)
+    stack = [(root, False, True)]
     while stack:                                # no recursion: pages may nest deeply
-        node, inside = stack.pop()
-        order.append((node, node is not root and node.tag != "body" and not (inside and node.tag in PROSE)
-                      and node.tag not in ("article", "main")))
+        node, inside, seen = stack.pop()
+        order.append((node, inside, seen))
+        inside = inside or node.tag in ("article", "main")
+        stack.extend((c, inside, seen and c.tag not in DROPPED_TAGS) for c in reversed(node.children) if not isinstance(c, str))
+    value: dict[int, tuple[int, int, int]] = {}     # hash, elements, length of text in articles
+    strings = []                                # (length, hash, place) of the articles' strings
+    page, page_low = 0, 0
+    for at in range(len(order) - 1, -1, -1):    # children before parents
+        node, inside, seen = order[at]
         inside = inside or node.tag in ("article", "main")
-        stack.extend((c, inside) for c in reversed(node.children) if not isinstance(c, str))
-    value: dict[int, int] = {}
-    for node, _ in reversed(order):             # children before parents
         h = crc32(node.tag.encode())
         low = crc32(b"/", h)
+        size, length = 1, 0
         for c in node.children:
-            part = _SPACE.sub(" ", c).strip().encode("utf-8", "replace") if isinstance(c, str) else b"<%d>" % value[id(c)]
+            if isinstance(c, str):
+                part = _SPACE.sub(" ", c).strip().encode("utf-8", "replace")
+                if seen and part:
+                    page, page_low = crc32(part, page), crc32(part, page_low ^ 0x5BD1E995)
+                    if inside:
+                        length += len(part)
+                        strings.append((len(part), crc32(part), at))
+            else:
+                v, n, m = value[id(c)]
+                part, size, length = b"<%d>" % v, size + n, length + m
             h, low = crc32(part, h), crc32(part, low ^ 0x5BD1E995)
-        value[id(node)] = h << 31 ^ low
-    return [(value[id(node)], node) for node, may in order if may]
+        value[id(node)] = h << 31 ^ low, size, length
+    total = value[id(root)][2]
+    strings.sort(key=lambda x: -x[0])
+    out = []
+    for at, (node, inside, seen) in enumerate(order):
+        if seen and node.tag in (COUNTED_INSIDE if inside else COUNTED):
+            h, size, length = value[id(node)]
+            if not length or 2 * length < total:
+                key = next((x + 2 for _, x, i in strings if not at <= i < at + size), 1) if inside else 0
+                out.append((h, key, node))
+    return page << 31 ^ page_low, out
 
 
 def text_of(root: Node, templates: frozenset[int] = frozenset()) -> str:
     """Blocks of the main text, one a line."""
-    gone = {id(n) for h, n in hashes(root) if h in templates} if templates else set()
+    gone = {id(n) for h, _, n in hashes(root)[1] if h in templates} if templates else set()
 
     def walk(top):
         """Yields nodes and strings in page order, None at the borders of blocks; skips what is no main text."""
@@ -164,6 +194,8 @@ def text_of(root: Node, templates: frozenset[int] = frozenset()) -> str:
                 yield x
                 continue
             if x is not top and (id(x) in gone or dropped(x)):
+                if x.tag == "br":
+                    yield " "
                 continue
             yield x
             border = x.tag in BLOCKS
@@ -218,14 +250,31 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
     A page holds n subtrees and a template stands on ``share`` of the pages, so a host has at
     most n / share templates, n being its mean number of subtrees.
     """
-    @F.pandas_udf("array<long>")
-    def subtrees(html: pd.Series) -> pd.Series:
-        return pd.Series([sorted({h for h, _ in hashes(parse(x))}) if x else [] for x in html])
+    @F.pandas_udf("struct<page: long, outside: array<long>, inside: array<long>, keys: array<long>>")
+    def subtrees(html: pd.Series) -> pd.DataFrame:
+        out = []
+        for x in html:
+            page, found = hashes(parse(x)) if x else (0, [])
+            inside = sorted({(h, key) for h, key, _ in found if key})
+            out.append((page, sorted({h for h, key, _ in found if not key}), [h for h, _ in inside], [key for _, key in inside]))
+        return pd.DataFrame(out, columns=["page", "outside", "inside", "keys"])
 
     rows = pages.select(host_of().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+    # rows with the same text are one page
+    rows = (rows.select("host", subtrees("html").alias("s")).groupBy("host", "s.page")
+                .agg(F.min(F.struct("s.outside", "s.inside", "s.keys")).alias("s")))
+
+    def pair(h, key):
+        return F.struct(h.alias("hash"), key.alias("key"))
+
     # one pass: hash 0 counts the host's pages, the others the pages with that subtree
-    found = rows.select("host", F.explode(F.concat(F.array(F.lit(0).cast("long")), subtrees("html"))).alias("hash"))
-    counts = found.groupBy("host", "hash").agg(F.count("*").alias("pages")).where((F.col("pages") >= least) | (F.col("hash") == 0))
+    none = F.lit(0).cast("long")
+    found = rows.select("host", F.inline(F.concat(
+        F.array(pair(none, none)), F.transform("s.outside", lambda h: pair(h, none)),
+        F.zip_with("s.inside", "s.keys", pair))))
+    counts = (found.groupBy("host", "hash", "key").agg(F.count("*").alias("n"))
+                   .groupBy("host", "hash").agg(F.sum(F.when(F.col("key") == 0, F.col("n")).otherwise(1)).alias("pages"))
+                   .where((F.col("pages") >= least) | (F.col("hash") == 0)))
     # a host's subtrees that stand on ``least`` pages are counted against the host's pages
     total = counts.where("hash = 0").select("host", F.col("pages").alias("total"))
     return (counts.where("hash != 0").join(total, "host").where(F.col("pages") >= share * F.col("total"))

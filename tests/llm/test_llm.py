@@ -213,6 +213,20 @@ def test_main_text(spark):
     assert maintext.main_text(pages.limit(0)).count() == 0
 
 
+def test_main_text_keeps_prose_that_recurs(spark):
+    inline = "<body><div><p>it was <em>not</em> one<br>two, see <a>here</a> {0}</p></div><hr><p>Site of all</p>"
+    copied = "<body><p>shelf {0}</p><article><h1>Copied</h1><div class=body><p>the first lines</p><p>and more of them</p></div><section><p>{0} at the end</p></section></article>"
+    parts = "<body><p>shelf {0}</p><article><h1>Copied</h1><section><p>the first part</p></section><section><p>the second part</p></section><p>{0}</p></article>"
+    boxed = "<body><article><p>a long text of its own, number {0}</p><div>box on all</div></article>"
+    equal = "<body><div><p>One page</p></div><p>crawled <time>often</time></p><script>{0}</script>"
+    layouts = [(inline, "it was not one two, see here {0}"), (copied, "Copied\nthe first lines\nand more of them\n{0} at the end"),
+               (parts, "Copied\nthe first part\nthe second part\n{0}"), (boxed, "a long text of its own, number {0}"),
+               (equal, "One page\ncrawled often")]
+    rows = [(100 * n + i, f"http://h{n}.example.org/{i}", page.format(i)) for n, (page, _) in enumerate(layouts) for i in range(6)]
+    got = {r.page_id: r.text for r in maintext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {100 * n + i: text.format(i) for n, (_, text) in enumerate(layouts) for i in range(6)}
+
+
 def test_quality(spark, none, docs):
     good = [(i, f"a quiet text number {i} about rain, fields and the {['sea', 'sky', 'sun'][i % 3]}. It goes on.") for i in range(300)]
     bad = [(300 + i, "BUY!! NOW!! " * (5 + i % 7)) for i in range(300)]
