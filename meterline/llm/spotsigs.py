@@ -5,8 +5,10 @@ not common; the start of the text counts as an anchor.  A run of common words is
 anchor, its last word.  A text's fingerprint is the sorted set of its signatures' 32-bit
 hashes, in hex.  Likeness of two fingerprints is the Jaccard measure of the sets.
 
-A text with fewer than ``LEAST_CHAINS`` chains has its single words as signatures besides; a text
-without words has none, and two such texts are alike (1.0).
+Texts with few common words, or none, need signatures too: every ``RUN`` words in a row whose first
+has a hash divisible by ``RUN_MOD`` are one as well, and so are the first ones of the text.  All
+texts have the same kinds, so a set changes only as much as its text.  A text without words has no
+signature, and two such texts are alike (1.0).
 
 ``edited_likeness`` compares every document with its edited self and with the next
 document.  Documents are dealt by id into blocks of about ``BLOCK_ROWS`` rows (bounds from approximate
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 from meterline.llm.common import components, text_or_empty
 
 CHAIN = 2
-LEAST_CHAINS = 4
+RUN = 3
+RUN_MOD = 4
 BLOCK_ROWS = 64
 MOST_BLOCKS = 65_536
 LIKENESS = 0.8
@@ -64,13 +67,17 @@ def signatures(text: Column) -> Column:
             (i + CHAIN <= F.size(t)) & ((i == 0) | F.contains(w, F.lit("|"))) & ~F.endswith(F.get(t, i + CHAIN - 1), F.lit("|")),
             hash32(F.substring_index(w, "|", -2), *[F.substring_index(F.get(t, i + k), "|", -1) for k in range(1, CHAIN)]))),
             lambda h: h.isNotNull())
-        return F.array_sort(F.array_distinct(full))
+        return full
+
+    def runs(t):
+        return F.filter(F.transform(t, lambda w, i: F.when(
+            (i == 0) | (i + RUN <= F.size(t)) & (F.pmod(F.xxhash64(w), F.lit(RUN_MOD)) == 0),
+            hash32(w, *[F.get(t, i + k) for k in range(1, RUN)]))), lambda h: h.isNotNull())
 
     # one-element transforms name what is used twice, so that it is computed once
     made = F.get(F.transform(F.array(F.split(F.trim(marked), " ")), chains), 0)
-    return F.get(F.transform(F.array(F.struct(words.alias("w"), made.alias("s"))), lambda x: F.when(
-        x["w"] == "", F.array().cast("array<bigint>")).when(F.size(x["s"]) >= LEAST_CHAINS, x["s"]).otherwise(
-        F.array_sort(F.array_union(x["s"], F.transform(F.split(x["w"], " "), lambda w: hash32(w)))))), 0)
+    plain = F.get(F.transform(F.array(F.split(words, " ")), runs), 0)
+    return F.when(words == "", F.array().cast("array<bigint>")).otherwise(F.array_sort(F.array_union(made, plain)))
 
 
 def fingerprint(sigs: Column) -> Column:

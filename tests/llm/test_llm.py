@@ -180,6 +180,25 @@ def test_spotsigs(docs, none):
     assert spotsigs.edited_likeness(none).count() == 0
 
 
+def test_spotsigs_of_near_texts_are_near(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("bcdfgklmnprstvwz"), 5)) for _ in range(120)]     # none of them an anchor
+    texts = []
+    for anchors in range(6):                    # edits add or remove chains on both sides of any limit
+        w = list(words)
+        for i in range(anchors):
+            w.insert(7 + 11 * i, "the")
+        texts += [" ".join(w), " ".join([*w, "and", "zebra", "lion"])]
+    texts += [words[0], words[1], " ".join(words[:2])]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    sigs = [set(r[0]) for r in df.orderBy("id").select(spotsigs.signatures(df["text"])).collect()]
+
+    def near(a, b):
+        return len(sigs[a] & sigs[b]) / len(sigs[a] | sigs[b])
+    assert all(near(i, i + 1) > 0.85 for i in range(11))
+    assert all(sigs) and near(12, 13) == 0
+
+
 def test_spotsigs_search_equals_all_pairs(spark):
     rng = np.random.default_rng(3)
     sets = [sorted({int(x) for x in rng.integers(0, 60, n)}) for n in rng.integers(1, 25, 60)]
