@@ -18,8 +18,10 @@ as the k-th best so far would have been met before r with probability ``SURE``.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components take no part, as
 queries or candidates; vectors of different lengths are never neighbours (each length is a
-table of its own); a query with fewer than k candidates gets them all; a repeated id is no
-neighbour of itself; ties go to the smaller id; an empty table gives an empty result; extra columns are ignored.
+table of its own); a query with fewer than k candidates gets them all; equal rows count once, as queries
+and as candidates; an id with several vectors of one length is one query and one candidate, whose score is the
+least distance between a vector of one id and one of the other; a repeated id is no neighbour of itself, and
+a neighbour stands once in a list; ties go to the smaller id; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -120,7 +122,10 @@ def best_of(q: np.ndarray, qid: int, ids: np.ndarray, x: np.ndarray, near: np.nd
         d = np.sqrt((d * d).sum(1))
         if len(best) == k:
             rows, d = rows[d <= best[-1][0]], d[d <= best[-1][0]]
-        best = sorted(best + [(float(s), int(i)) for s, i in zip(d, ids[rows]) if i != qid])[:k]
+        least: dict[int, float] = {}            # an id may have several vectors
+        for s, i in sorted(best + [(float(s), int(i)) for s, i in zip(d, ids[rows]) if i != qid]):
+            least.setdefault(i, s)
+        best = [(s, i) for i, s in least.items()][:k]
     return best
 
 
@@ -141,18 +146,18 @@ def search(vectors: DataFrame, k: int = K, query_mod: int = QUERY_MOD, id_col: s
 
 
 def _search(rows: DataFrame, count: int, k: int, query_mod: int) -> DataFrame:
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).toPandas()     # bounded
+    sample = rows.distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).toPandas()     # bounded
     tree = build(np.array(sample["v"].tolist(), float), count)
 
     @F.pandas_udf("int")
     def cell_of(v: pd.Series) -> pd.Series:
         return pd.Series(tree.cell(tree.project(np.array(v.tolist(), float))).astype(np.int32))
 
-    placed = cut_lineage(rows.withColumn("cell", cell_of("v")))
+    placed = cut_lineage(rows.distinct().withColumn("cell", cell_of("v")))
     sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}    # at most MOST_CELLS rows
     cells = np.array(sorted(sizes))
     blocks = np.array([-(-sizes[c] // CELL_ROWS) for c in cells])
-    queries = rows.where(F.col("id") % query_mod == 0)
+    queries = rows.where(F.col("id") % query_mod == 0).distinct()
     parts = max(1, -(-queries.count() // QUERY_ROWS))
     spread = F.create_map(*[F.lit(int(x)) for c, b in zip(cells, blocks) for x in (c, b)])
     table = (placed.withColumn("block", F.pmod(F.xxhash64("id"), F.get(F.array(spread), 0)[F.col("cell")]).cast("int"))
@@ -191,6 +196,7 @@ def _search(rows: DataFrame, count: int, k: int, query_mod: int) -> DataFrame:
         go = asked.withColumn("at", F.explode(visits(first)("v", "bound"))).select("id", "v", "part", "at.cell", "at.block")
         keys = ["cell", "block", "part"]
         found = table.groupBy(*keys).cogroup(go.groupBy(*keys)).applyInPandas(verify, "query_id long, vec_id long, score double")
+        found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
         order = Window.partitionBy("query_id").orderBy("score", "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

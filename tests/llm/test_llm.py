@@ -313,6 +313,28 @@ def test_neighbours(spark):
     assert neighbours.search(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((400, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [rows[100]] * 12 + [rows[int(i)] for i in rng.integers(0, 400, 300)]       # repeated queries and candidates
+    extra = {200: rng.standard_normal(8), 7: x[200] + 0.01, 8: x[300] + 0.01}          # a second vector
+    rows += [(i, v.tolist()) for i, v in extra.items()] * 2
+    got = {}
+    for r in neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    vectors = {i: [v, extra[i]] if i in extra else [v] for i, v in enumerate(x)}
+    assert sorted(got) == [0, 100, 200, 300]
+    hit = 0
+    for q, found in got.items():
+        found.sort()
+        want = sorted((min(float(np.linalg.norm(a - b)) for a in vectors[q] for b in vs), i) for i, vs in vectors.items() if i != q)[:10]
+        assert [f[0] for f in found] == list(range(1, 11)) and len({f[1] for f in found}) == 10
+        hit += len({f[1] for f in found} & {i for _, i in want})
+    assert hit >= 36
+    assert got[200][0][1] == 7 and got[300][0][1] == 8
+
+
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_duplicates", "packing"]
