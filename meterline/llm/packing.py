@@ -14,7 +14,8 @@
 4. Spark numbers the pieces by length, and every piece finds its run by its number.
 
 Edge cases: null and empty texts are documents of one token (the closing id); a text of any
-length is cut into full pieces after a shorter first one; repeated rows and ids are packed
+length is cut into full pieces after a shorter first one; an added token of the tokenizer file (say
+<|endoftext|>) in a text is one id; repeated rows and ids are packed
 each on its own; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -69,10 +70,29 @@ def byte_encoder(tokenizer_json: str):
                              special_tokens={}).encode_ordinary
 
 
+def text_encoder(tokenizer_json: str):
+    """Encoder (text -> ids) equal to ``tokenizers`` at its defaults: the file's added tokens get their ids.
+
+    Texts without an added token go to ``byte_encoder``, the others to ``tokenizers`` itself.
+    """
+    from tokenizers import Tokenizer
+
+    with open(tokenizer_json, encoding="utf-8") as f:
+        added = [t["content"] for t in json.load(f).get("added_tokens", [])]
+    fast, whole = byte_encoder(tokenizer_json), Tokenizer.from_file(tokenizer_json)
+
+    def encode(text: str) -> list[int]:
+        if any(x in text for x in added):
+            return whole.encode(text, add_special_tokens=False).ids
+        return fast(text)
+
+    return encode
+
+
 def pieces(docs: DataFrame, tokenizer_json: str, window: int = WINDOW) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document's pieces."""
     def cut(batches):
-        encode = byte_encoder(tokenizer_json)
+        encode = text_encoder(tokenizer_json)
         for b in batches:
             out = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):

@@ -120,6 +120,20 @@ def test_encoder_equals_tokenizers_on_odd_texts():
     assert [list(encode(t)) for t in odd] == [tok.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_packing_keeps_added_tokens(spark):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(JSON)                     # at its defaults
+    texts = ["hello <|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|> b <|endoftext", "plain", "é <|endoftext|>\n" * 900]
+    encode = packing.text_encoder(JSON)
+    assert list(encode(texts[0])) == [31373, 220, 50256, 2124]
+    assert [list(encode(t)) for t in texts] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    got = packing.pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), JSON)
+    want = {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n for r in got.groupBy("doc_id").agg({"length": "sum"}).toDF("doc_id", "n").collect()} == want
+    crcs = {r.doc_id: r.ids_crc32 for r in got.where("start = 0").collect()}
+    assert crcs[0] == zlib.crc32(array("I", [31373, 220, 50256, 2124, 0]).tobytes())
+
+
 @pytest.mark.parametrize("chunk, overlap", [(64, 16), (32_768, 1_024)])
 def test_bpe_equals_whole_text_encoding(docs, none, chunk, overlap):
     encode, _ = bpe.load(RANKS, public_tokenizers.PATTERN)
