@@ -14,8 +14,11 @@ host are not a template: prose blocks (paragraphs, headings, lists items, quotes
 blocks inside are counted over different articles, known by their longest string outside the block.
 
 Besides templates, these go by their tag or by a word of their class, id or role: menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.  If an
-``article`` or ``main`` is left, only what lies in it is text, else the body is.
+headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.  A word does not
+count behind a modifier (``has-sidebar``), nor on an element that holds a ``main``, a headline (``h1``) or
+half of the page's article text, or of all its text; for adverts, pop-ups and comments a headline or
+text counts only if it is nearly all of the page's (for comments, with a headline).  If
+an ``article`` or ``main`` is left, only what lies in it is text, else the body is.
 
 Edge cases: null and empty html give an empty text; broken markup (unclosed or crossed tags,
 cut-off pages) is read as far as it goes; a null url counts as one host of its own; equal
@@ -26,6 +29,7 @@ table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from functools import cache
 from html.parser import HTMLParser
 from zlib import crc32
 
@@ -64,6 +68,14 @@ DROPPED_WORDS = frozenset("""
     notice notices cookie cookies consent gdpr alert popup modal newsletter subscribe subscription signup login
     comment comments respond reply replies disqus share sharing social toolbar pagination pager search form
     """.split())
+#: a dropped word behind one of these says nothing of the element itself
+MODIFIERS = frozenset("has no with without".split())
+READERS = frozenset("comment comments respond reply replies disqus".split())
+#: a headline or half of the text does not speak against these
+STRONG = READERS | frozenset("""
+    ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr
+    popup modal newsletter subscribe subscription signup login share sharing social
+    """.split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
@@ -121,18 +133,65 @@ def parse(html: str) -> Node:
     return b.root
 
 
-def dropped(node: Node) -> bool:
-    """By tag, or by a word of class, id or role.  A declared article, main or body is not dropped by class words."""
-    if node.tag in DROPPED_TAGS:
-        return True
+def words_of(node: Node) -> set[str]:
+    """The dropped words of class, id and role, without those behind a modifier."""
+    out = set()
     for name, value in node.attrs:
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id", "role") and value and node.tag not in ("body", "main"):
-            words = _SPLIT.split(value.lower())
-            if not DROPPED_WORDS.isdisjoint(words) and not (node.tag == "article" and "comment" not in words and "comments" not in words):
-                return True
-    return False
+        if name in ("class", "id", "role") and value:
+            for part in value.lower().split():
+                before = ""
+                for word in _SPLIT.split(part):
+                    if word in DROPPED_WORDS and before not in MODIFIERS:
+                        out.add(word)
+                    before = word
+    return out
+
+
+def hidden(node: Node) -> bool:
+    return node.tag in DROPPED_TAGS or any(n == "hidden" or n == "aria-hidden" and v == "true" for n, v in node.attrs)
+
+
+def holds(top: Node) -> tuple[bool, bool, int, int]:
+    """Whether a main and an h1 are in or under ``top``; length of text in its articles, and of all its text."""
+    main, headline, article, length = False, False, 0, 0
+    stack = [(top, False)]
+    while stack:
+        node, inside = stack.pop()
+        main, headline = main or node.tag == "main", headline or node.tag == "h1"
+        inside = inside or node.tag == "article" and READERS.isdisjoint(words_of(node))
+        for c in node.children:
+            if isinstance(c, str):
+                n = len(c.strip())
+                length += n
+                article += n * inside
+            elif not hidden(c):
+                stack.append((c, inside))
+    return main, headline, article, length
+
+
+def dropped(node: Node, page) -> bool:
+    """By tag, or by a word of class, id or role.  A declared article, main or body is not dropped by class words,
+    nor is what holds the page's text; ``page`` gives what holds() has of the page."""
+    if hidden(node):
+        return True
+    if node.tag in ("body", "main"):
+        return False
+    words = words_of(node)
+    if node.tag == "article":
+        return not words.isdisjoint(("comment", "comments"))
+    if not words:
+        return False
+    main, headline, article, length = holds(node)
+    if main:
+        return False
+    if headline and words.isdisjoint(STRONG):
+        return False
+    _, _, all_article, all_length = page()
+    if article and 2 * article >= all_article:
+        return False
+    if words.isdisjoint(STRONG):
+        return not length or 2 * length < all_length
+    return 10 * length < 9 * all_length or not length or not words.isdisjoint(READERS) and not headline
 
 
 def hashes(root: Node) -> tuple[int, list[tuple[int, int, Node]]]:
@@ -184,6 +243,8 @@ def hashes(root: Node) -> tuple[int, list[tuple[int, int, Node]]]:
 def text_of(root: Node, templates: frozenset[int] = frozenset()) -> str:
     """Blocks of the main text, one a line."""
     gone = {id(n) for h, _, n in hashes(root)[1] if h in templates} if templates else set()
+    page = cache(lambda: holds(root))
+    verdict = cache(lambda x: dropped(x, page))
 
     def walk(top):
         """Yields nodes and strings in page order, None at the borders of blocks; skips what is no main text."""
@@ -193,7 +254,7 @@ def text_of(root: Node, templates: frozenset[int] = frozenset()) -> str:
             if x is None or isinstance(x, str):
                 yield x
                 continue
-            if x is not top and (id(x) in gone or dropped(x)):
+            if x is not top and (id(x) in gone or verdict(x)):
                 if x.tag == "br":
                     yield " "
                 continue

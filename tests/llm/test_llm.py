@@ -260,6 +260,24 @@ def test_main_text_keeps_prose_that_recurs(spark):
     assert got == {100 * n + i: text.format(i) for n, (_, text) in enumerate(layouts) for i in range(6)}
 
 
+def test_main_text_of_wrappers_named_like_side_matter():
+    text = "the text of the page, with some words to it"
+    pages = [
+        (f"<body><div class='layout has-sidebar'><article><p>{text}</p></article><div class=sidebar>links</div></div>", text),
+        (f"<body><div class=no-sidebar><p>{text}</p></div>", text),
+        (f"<body><div id=search-results><p>{text}</p></div><p>end</p>", f"{text}\nend"),
+        (f"<body><article><div class=post-header><h1>Title</h1></div><p>{text}</p></article>", f"Title\n{text}"),
+        (f"<body><h1 class=page-header>Title</h1><p>{text}</p>", f"Title\n{text}"),
+        (f"<body><div class=form-page><main><p>{text}</p></main></div>", text),
+        (f"<body><div class='post comments-open'><article><p>{text}</p></article></div>", text),
+        # and what is side matter goes as before
+        (f"<body><article><p>{text}</p><div class=ad><h1>Buy</h1></div></article><div class=related><article>other</article></div>", text),
+        (f"<body><p>short</p><div id=comments><p>{text}</p></div><div class=sidebar>x</div>", "short"),
+    ]
+    for html, want in pages:
+        assert maintext.text_of(maintext.parse(html)) == want, html
+
+
 def test_quality(spark, none, docs):
     good = [(i, f"a quiet text number {i} about rain, fields and the {['sea', 'sky', 'sun'][i % 3]}. It goes on.") for i in range(300)]
     bad = [(300 + i, "BUY!! NOW!! " * (5 + i % 7)) for i in range(300)]
