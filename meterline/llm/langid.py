@@ -51,7 +51,9 @@ CHAIN = 200_000         # words labelled at once
 CACHE = 200_000         # words whose emissions a task remembers
 UNKNOWN = "und"
 
-_WORD = re.compile(r"[^\W\d_]+")
+LONGEST = 48            # letters of a word; longer runs, as in scripts without spaces, are cut into such words
+
+_WORD = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
 
 
 def words_of(text: str) -> list[str]:
@@ -71,9 +73,9 @@ def features(words: list[str]):
     """Feature buckets of many words at once: (letter grams, their words' starts, affixes).
 
     Letter grams: [(buckets by letter, valid)]; affixes: [(buckets by word, valid)].  Words are read with
-    a border mark on both sides; very long ones are described by their first and last 24 letters.
+    a border mark on both sides.
     """
-    marked = [f"^{w}$" if len(w) <= 48 else f"^{w[:24]}{w[-24:]}$" for w in words]
+    marked = [f"^{w}$" for w in words]
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
     ends = np.cumsum(sizes)
     starts = ends - sizes

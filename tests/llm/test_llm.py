@@ -321,6 +321,15 @@ def test_language_marginals_equal_plain_forward_backward():
         at += len(c)
 
 
+def test_language_reads_long_runs_whole():
+    words = [("en", "the cat and the dog".split()), ("fr", "le chat et la table".split())] * 6
+    run = "thecatandthedogthecatand" + "lechatetlatable" * 40 + "thecatandthedogthecatand"
+    assert "".join(langid.words_of(run)) == run and max(map(len, langid.words_of(run))) == 48
+    assert langid.words_of("the cat" + "x" * 41) == ["the", "cat" + "x" * 41]
+    names, _ = langid.train(words).predict([run])
+    assert names == ["fr"]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((900, 8))
