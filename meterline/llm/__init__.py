@@ -1,5 +1,6 @@
 """Training-data operators: quality, packing, language, fingerprints, near-duplicates,
-main text, sharding, byte-level BPE, licences and nearest neighbours.
+main text, sharding, byte-level BPE, licences, nearest neighbours, context-tree scores, filter
+audit and centroid clusters.
 
 Every module is one operator with a general interface (DataFrame in,
 DataFrame out); ``queries`` registers one query per operator.  Nothing

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.sources.tables import read
 
-from meterline.llm import (bpe, langid, licenses, maintext, neighbours, packing, quality, sharding,
-                           simhash, spotsigs)
+from meterline.llm import (bitplanes, bpe, contexttree, filteraudit, langid, licenses, maintext, neighbours, packing,
+                           quality, sharding, simhash, spotsigs)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -72,6 +72,24 @@ def op10_neighbours(spark, sf_dir):
     return neighbours.search(read(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_context_tree(spark, sf_dir):
+    return contexttree.score_documents(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    return filteraudit.audit_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op13_bitplane_clusters(spark, sf_dir):
+    return bitplanes.cluster(read(spark, sf_dir, "embeddings"))
+
+
+ORACLE |= {"op12_filter_audit": filteraudit.SQL, "op13_bitplane_clusters": bitplanes.SQL}
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
