@@ -1,9 +1,8 @@
 """Application name reconciliation by exact keys (J12, R-M4 to R-M7).
 
-Applications without a CMDB link meet CMDB-only records on a normalised name: an equi join
-on (lower-cased name without its instance digit).  Both sides are reduced to one row per key or
-keep their rows, so no name pair is ever scored; a hot name costs one row on the record
-side, and AQE splits the application side.
+Applications without a CMDB link meet CMDB-only records of the same name, whatever its case and
+the blanks around it: an equi join.  Names that differ otherwise never match.  The record side
+is reduced to one row per name, so no pair is ever scored; AQE splits a hot name's applications.
 """
 
 from __future__ import annotations
@@ -19,8 +18,8 @@ SOURCE_B = "cmdb"
 
 
 def name_key(c: str) -> Column:
-    """Name in lower case, without blanks around it and without the instance digit at its end."""
-    return F.regexp_replace(F.lower(F.trim(F.col(c))), "[0-9]$", "")
+    """Name in lower case, without blanks around it."""
+    return F.lower(F.trim(F.col(c)))
 
 
 def unmatched_sides(app: DataFrame):

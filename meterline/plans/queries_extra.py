@@ -178,13 +178,13 @@ def q_inventory(spark, sf_dir):
 
 @register("recon_repointed_cost", O.build("""
 SELECT COALESCE(p.a_id, c.app_id) AS app_id, CAST(SUM(c.usd_cost) AS DOUBLE) AS usd_cost, COUNT(*) AS cost_rows
-FROM cost c LEFT JOIN recon_pairs p ON p.b_id = c.app_id AND p.place = 1 AND p.holder IS NULL
-GROUP BY 1""", "cost", "app", "recon_pairs"))
+FROM recon_cost c LEFT JOIN recon_pairs p ON p.b_id = c.app_id AND p.place = 1 AND p.holder IS NULL
+GROUP BY 1""", "recon_cost", "recon_pairs"))
 def q_repointed(spark, sf_dir):
     """R-M4: cost per app after the merged CMDB-only rows' facts move to the surviving app."""
     from meterline.operators import reconcile as R
-    s = star(spark, sf_dir)
-    _, id_map = R.reconcile(s.app)
-    moved = R.repoint_fact(s.cost, id_map)
+    from meterline.sources.star import recon_applications, recon_cost
+    _, id_map = R.reconcile(recon_applications(spark, sf_dir))
+    moved = R.repoint_fact(recon_cost(star(spark, sf_dir).cost), id_map)
     return (moved.groupBy("app_id").agg(F.sum("usd_cost").cast("double").alias("usd_cost"),
                                         F.count(F.lit(1)).alias("cost_rows")))

@@ -12,7 +12,7 @@ from meterline.operators import reconcile as R
 from meterline.plans import oracle as O
 from meterline.plans import quality as Q
 from meterline.plans.registry import register, star
-from meterline.sources.star import EVENTS_AS_OF, LINEITEM_AS_OF, Star
+from meterline.sources.star import EVENTS_AS_OF, LINEITEM_AS_OF, Star, recon_applications
 from meterline.sources.tables import read
 
 AS = LINEITEM_AS_OF
@@ -94,9 +94,9 @@ def q05(spark, sf_dir):
 SELECT COUNT(*) FILTER (WHERE place = 1 AND holder IS NULL) AS auto_matched, CAST(0 AS BIGINT) AS needs_review,
   COUNT(*) FILTER (WHERE place > 1 OR holder IS NOT NULL) AS conflict, COUNT(*) AS total,
   ROUND(COUNT(*) FILTER (WHERE place = 1 AND holder IS NULL) * 100.0 / NULLIF(COUNT(*), 0), 6) AS auto_match_rate
-FROM recon_pairs""", "app", "recon_pairs"))
+FROM recon_pairs""", "recon_pairs"))
 def q06(spark, sf_dir):
-    log, _ = R.reconcile(star(spark, sf_dir).app)
+    log, _ = R.reconcile(recon_applications(spark, sf_dir))
     return Q.reconciliation_status(log)
 
 

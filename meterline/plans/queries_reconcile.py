@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from meterline.operators import reconcile as R
 from meterline.plans import oracle as O
 from meterline.plans.registry import register, star
+from meterline.sources.star import COPY_IDS, RECORD_IDS, STALE_IDS, recon_applications
 from meterline.sources.tables import read
 
 
@@ -61,16 +62,34 @@ def q_report(spark, sf_dir):
     return R.reconciliation_report(star(spark, sf_dir).app)
 
 
-# R-M4/R-M5 from the star's own applications: the lowest record of a name key against its applications
+# the dimension before reconciliation: every supplier's further rows beside its application
+O.cte("recon_app", f"""
+SELECT app_id, monitoring_id, app_name, controller, cmdb_id, cmdb_name, h_code, sector_id, owner_id, architecture_id FROM app
+UNION ALL
+SELECT s_suppkey + {RECORD_IDS}, NULL, NULL, NULL, 'd-' || CAST(s_suppkey AS VARCHAR),
+  CASE s_suppkey % 10 WHEN 7 THEN upper(s_name) ELSE ' ' || lower(s_name) || '  ' END,
+  'HD' || CAST(s_suppkey AS VARCHAR), sector_id, CAST(s_suppkey % 2 + 1 AS INTEGER), 1
+FROM supplier JOIN app ON app_id = s_suppkey + 1 WHERE s_suppkey % 10 IN (7, 8)
+UNION ALL
+SELECT s_suppkey + {COPY_IDS}, 'm2-' || CAST(s_suppkey AS VARCHAR), s_name, controller, NULL, NULL, h_code, sector_id, owner_id, architecture_id
+FROM supplier JOIN app ON app_id = s_suppkey + 1 WHERE s_suppkey % 4 = 0 AND s_suppkey % 10 <> 9
+UNION ALL
+SELECT s_suppkey + {STALE_IDS}, NULL, NULL, NULL, 'c-' || CAST(s_suppkey AS VARCHAR), s_name, NULL, sector_id, owner_id, architecture_id
+FROM supplier JOIN app ON app_id = s_suppkey + 1 WHERE s_suppkey % 10 = 6""", "app")
+O.cte("recon_cost", f"""
+SELECT * REPLACE (CASE WHEN (app_id - 1) % 10 IN (7, 8) AND capability_id = 2 THEN app_id - 1 + {RECORD_IDS} ELSE app_id END AS app_id)
+FROM cost""", "cost")
+
+# R-M4/R-M5: of each name the lowest CMDB-only record against the unlinked applications of that name
 O.cte("recon_pairs", """
 SELECT x.app_id AS a_id, x.app_name AS a_name, r.app_id AS b_id, r.cmdb_name AS b_name,
-  (SELECT min(h.app_id) FROM app h WHERE h.monitoring_id IS NOT NULL AND h.cmdb_id = r.cmdb_id) AS holder,
+  (SELECT min(h.app_id) FROM recon_app h WHERE h.monitoring_id IS NOT NULL AND h.cmdb_id = r.cmdb_id) AS holder,
   row_number() OVER (PARTITION BY r.app_id ORDER BY x.app_id) AS place
-FROM app x
-JOIN app r ON regexp_replace(lower(trim(r.cmdb_name)), '[0-9]$', '') = regexp_replace(lower(trim(x.app_name)), '[0-9]$', '')
+FROM recon_app x
+JOIN recon_app r ON lower(trim(r.cmdb_name)) = lower(trim(x.app_name))
 WHERE x.cmdb_id IS NULL AND r.monitoring_id IS NULL
-  AND NOT EXISTS (SELECT 1 FROM app s WHERE s.monitoring_id IS NULL AND s.app_id < r.app_id
-    AND regexp_replace(lower(trim(s.cmdb_name)), '[0-9]$', '') = regexp_replace(lower(trim(r.cmdb_name)), '[0-9]$', ''))""")
+  AND NOT EXISTS (SELECT 1 FROM recon_app s WHERE s.monitoring_id IS NULL AND s.app_id < r.app_id
+    AND lower(trim(s.cmdb_name)) = lower(trim(r.cmdb_name)))""", "recon_app")
 
 
 @register("recon_match_log", O.build("""
@@ -79,12 +98,12 @@ SELECT 'monitoring' AS source_a, 'cmdb' AS source_b, p.a_name AS match_key_a, p.
   CASE WHEN p.place = 1 AND p.holder IS NULL THEN 'auto_matched' ELSE 'conflict' END AS match_status,
   CASE WHEN p.place = 1 AND p.holder IS NULL THEN p.a_id END AS resolved_app_id,
   CASE WHEN p.place > 1 OR p.holder IS NOT NULL THEN 'CMDB record already matched to ' ||
-    COALESCE((SELECT h.app_name FROM app h WHERE h.app_id = p.holder),
+    COALESCE((SELECT h.app_name FROM recon_app h WHERE h.app_id = p.holder),
              (SELECT f.a_name FROM recon_pairs f WHERE f.b_id = p.b_id AND f.place = 1), '?') END AS notes
-FROM recon_pairs p""", "app", "recon_pairs"))
+FROM recon_pairs p""", "recon_app", "recon_pairs"))
 def q_log(spark, sf_dir):
-    """R-M5: the reconciliation log of the exact-key matching."""
-    log, _ = R.reconcile(star(spark, sf_dir).app)
+    """R-M5: the reconciliation log of the matching by equal names."""
+    log, _ = R.reconcile(recon_applications(spark, sf_dir))
     return log.withColumn("confidence_score", F.col("confidence_score").cast("double"))
 
 
@@ -96,13 +115,13 @@ SELECT x.app_id, x.monitoring_id, x.app_name, x.controller,
   CASE WHEN p.b_id IS NULL THEN x.sector_id ELSE r.sector_id END AS sector_id,
   CASE WHEN p.b_id IS NULL THEN x.architecture_id ELSE r.architecture_id END AS architecture_id,
   CASE WHEN p.b_id IS NULL THEN x.h_code ELSE r.h_code END AS h_code
-FROM app x
+FROM recon_app x
 LEFT JOIN (SELECT a_id, b_id FROM recon_pairs WHERE place = 1 AND holder IS NULL) p ON p.a_id = x.app_id
-LEFT JOIN app r ON r.app_id = p.b_id
-WHERE x.app_id NOT IN (SELECT b_id FROM recon_pairs WHERE place = 1 AND holder IS NULL)""", "app", "recon_pairs"))
+LEFT JOIN recon_app r ON r.app_id = p.b_id
+WHERE x.app_id NOT IN (SELECT b_id FROM recon_pairs WHERE place = 1 AND holder IS NULL)""", "recon_app", "recon_pairs"))
 def q_merged(spark, sf_dir):
     """R-M4: application dimension after merging matched CMDB records."""
-    app = star(spark, sf_dir).app
+    app = recon_applications(spark, sf_dir)
     _, id_map = R.reconcile(app)
     return R.merge_matches(app, id_map).select("app_id", "monitoring_id", "app_name", "controller", "cmdb_id", "cmdb_name",
                                                "owner_id", "sector_id", "architecture_id", "h_code")

@@ -20,7 +20,7 @@ from meterline.plans.registry import register, star
 from meterline.session import checkpoint_dir
 from meterline.sources import ingest as IG
 from meterline.sources import sinks as SK
-from meterline.sources.star import LINEITEM_AS_OF, Star
+from meterline.sources.star import LINEITEM_AS_OF, Star, recon_applications
 
 AS = LINEITEM_AS_OF
 RUNS_AS_OF = dt.date(2001, 8, 1)       # fixed value: last day of the run log derived from orders
@@ -61,7 +61,7 @@ def q01(spark, sf_dir):
     return Q.row_counts({
         "applications": s.app, "servers": servers, "app_server_mapping": _edges(spark, sf_dir, s.app, servers),
         "license_usage": s.usage, "license_cost": s.cost, "chargeback": s.chargeback,
-        "forecast": Star.events(spark, sf_dir).forecast, "reconciliation_log": R.reconcile(s.app)[0],
+        "forecast": Star.events(spark, sf_dir).forecast, "reconciliation_log": R.reconcile(recon_applications(spark, sf_dir))[0],
         "run_log": _runs(spark, sf_dir)})
 
 
@@ -124,7 +124,7 @@ def q14(spark, sf_dir):
     s = Star.events(spark, sf_dir)
     servers = _servers(spark, sf_dir)
     return Q.dataset_summary(s.app, servers, _edges(spark, sf_dir, s.app, servers), s.usage, s.cost, s.chargeback,
-                             s.forecast, R.reconcile(s.app)[0])
+                             s.forecast, R.reconcile(recon_applications(spark, sf_dir))[0])
 
 
 #: the oracle's name of each checked table

@@ -61,6 +61,44 @@ def applications(spark: SparkSession, sf_dir: str) -> DataFrame:
              ))
 
 
+# first ids of the rows that the reconciliation's dimension has besides the applications
+RECORD_IDS, COPY_IDS, STALE_IDS = 1_000_000_000, 2_000_000_000, 3_000_000_000
+
+
+def recon_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The application dimension before reconciliation: applications, and what else the feeds know of them.
+
+    Besides ``applications``: a CMDB-only record, its name in another case or with blanks around it, of
+    each supplier that the dimension has unlinked; a second, unlinked monitored copy of every fourth
+    supplier; and a stale CMDB-only row of some whose CMDB id an application holds already.
+    """
+    app = applications(spark, sf_dir)
+    s = read(spark, sf_dir, "supplier").select((F.col("s_suppkey") + 1).alias("app_id"), F.col("s_suppkey").alias("k"), "s_name")
+    own = app.join(s, "app_id")
+    k, null = F.col("k"), F.lit(None).cast("string")
+    unlinked = own.where((k % 10).isin(7, 8)).withColumns({
+        "app_id": k + RECORD_IDS, "cmdb_id": F.concat(F.lit("d-"), k.cast("string")),
+        "cmdb_name": F.when(k % 10 == 7, F.upper("s_name")).otherwise(F.concat(F.lit(" "), F.lower("s_name"), F.lit("  "))),
+        "monitoring_id": null, "app_name": null, "controller": null, "h_code": F.concat(F.lit("HD"), k.cast("string")),
+        "owner_id": (k % 2 + 1).cast("int"), "architecture_id": F.lit(1), "support_group": F.lit("CMDB")})
+    copies = own.where((k % 4 == 0) & F.col("app_name").isNotNull()).withColumns({
+        "app_id": k + COPY_IDS, "monitoring_id": F.concat(F.lit("m2-"), k.cast("string")), "cmdb_id": null, "cmdb_name": null,
+        "support_group": null})
+    stale = own.where(k % 10 == 6).withColumns({
+        "app_id": k + STALE_IDS, "monitoring_id": null, "app_name": null, "controller": null, "h_code": null})
+    out = app
+    for more in (unlinked, copies, stale):
+        out = out.unionAll(more.select(*app.columns))
+    return out
+
+
+def recon_cost(cost: DataFrame) -> DataFrame:
+    """The cost fact while the CMDB-only records are apart: some applications' second capability is posted to theirs."""
+    k = F.col("app_id") - 1
+    return cost.withColumn("app_id", F.when((k % 10).isin(7, 8) & (F.col("capability_id") == 2), k + RECORD_IDS)
+                           .otherwise(F.col("app_id")))
+
+
 def usage_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ts, app_id, capability_id, tier) -> units_consumed, nodes_count."""
     li = read(spark, sf_dir, "lineitem").select(
