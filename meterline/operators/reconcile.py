@@ -87,6 +87,36 @@ def repoint_fact(fact: DataFrame, id_map: DataFrame) -> DataFrame:
                 .drop("_old", "_new"))
 
 
+def repointed(fact: DataFrame, id_map: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """``repoint_fact`` with a unique key afterwards: rows that meet on ``keys`` become one.
+
+    Measures add up; of other columns the row that stood under the surviving id wins.  Rows of applications
+    that no merge names pass by the grouping.
+    """
+    ids = id_map.select(F.explode(F.array("old_app_id", "new_app_id")).alias("app_id")).distinct()
+    moved = repoint_fact(fact.join(ids, "app_id", "left_semi").withColumn("_came", F.col("app_id")), id_map)
+    moved = moved.withColumn("_came", F.col("_came") != F.col("app_id"))
+    others = [c for c in fact.columns if c not in keys and c not in measures]
+    joined = moved.groupBy(*keys).agg(*[F.sum(c).cast(fact.schema[c].dataType).alias(c) for c in measures],
+                                      *[F.min_by(c, F.struct("_came", c)).alias(c) for c in others])
+    return fact.join(ids, "app_id", "left_anti").unionByName(joined.select(*fact.columns))
+
+
+def repoint_table(table, id_map: DataFrame, keys: list[str], measures: list[str]) -> list:
+    """R-M4 on a stored fact (a ``versions.Table``): rewrites the partitions that hold a dropped id, and no other.
+
+    Returns those partitions.  They are found by the id column alone; the new version shows all of them at once.
+    """
+    from meterline.session import cut_lineage
+    id_map = cut_lineage(id_map.select("old_app_id", "new_app_id"))
+    by = table.partition_by
+    holding = table.read().select("app_id", by).join(id_map.select(F.col("old_app_id").alias("app_id")), "app_id", "left_semi")
+    parts = [r[0] for r in holding.select(by).distinct().collect()]                       # partition values
+    if parts:
+        table.rewrite(parts, lambda fact: repointed(fact, id_map, keys, measures))
+    return sorted(parts, key=str)
+
+
 def exact_match(app: DataFrame, services: DataFrame) -> DataFrame:
     """J12 / R-M7: case-insensitive exact name match of apps to CMDB service records.
 
@@ -117,3 +147,37 @@ def reconciliation_report(app: DataFrame) -> DataFrame:
                     F.round(F.try_divide(F.col("matched") * 100.0, F.col("_mon")), 6).alias("monitoring_match_rate"),
                     F.round(F.try_divide(F.col("matched") * 100.0, F.col("_cmdb")), 6).alias("cmdb_match_rate"),
                     F.round(F.try_divide(F.col("matched") * 100.0, F.col("total")), 6).alias("overall_match_rate"))
+
+
+#: what the enrichment writes on a matched application
+ENRICHED = ("cmdb_id", "cmdb_name", "support_group")
+LOG_SCHEMA = ("source_a string, source_b string, match_key_a string, match_key_b string, confidence_score decimal(5,2), "
+              "match_status string, resolved_app_id long, state_hash long")
+
+
+def enrich(app: DataFrame, services: DataFrame, log: DataFrame | None = None):
+    """R-M7: (enriched applications, new log rows, match rate) of the exact name match.
+
+    A matched application takes the record's id, name and support group; the others stay as they are.
+    Its log entry carries a hash of all that; only entries whose hash differs from the newest one
+    of the application are new, so that a run that changes nothing logs nothing.  ``log``: the entries so
+    far with ``logged_at`` (any ordered type), or None.
+    """
+    m = exact_match(app, services).select("app_id", *[F.col(c).alias(f"_m_{c}") for c in ENRICHED], "confidence_score")
+    j = app.join(m, "app_id", "left")
+    hit = F.col("confidence_score").isNotNull()
+    enriched = j.select(*[F.when(hit, F.col(f"_m_{c}")).otherwise(F.col(c)).alias(c) if c in ENRICHED else F.col(c)
+                          for c in app.columns])
+    entries = j.where(hit).select(
+        F.lit(SOURCE_A).alias("source_a"), F.lit(SOURCE_B).alias("source_b"), F.col("app_name").alias("match_key_a"),
+        F.col("_m_cmdb_name").alias("match_key_b"), F.col("confidence_score").cast("decimal(5,2)").alias("confidence_score"),
+        F.lit("auto_matched").alias("match_status"), F.col("app_id").cast("long").alias("resolved_app_id"),
+        F.xxhash64("app_name", *[f"_m_{c}" for c in ENRICHED]).alias("state_hash"))
+    if log is not None:
+        last = (log.where((F.col("match_status") == "auto_matched") & F.col("state_hash").isNotNull())
+                   .groupBy("resolved_app_id").agg(F.max_by("state_hash", "logged_at").alias("state_hash")))
+        entries = entries.join(last, ["resolved_app_id", "state_hash"], "left_anti").select(*entries.columns)
+    monitored = F.col("monitoring_id").isNotNull()
+    rate = j.agg(F.count_if(monitored).alias("applications"), F.count_if(hit).alias("enriched"))
+    rate = rate.withColumn("match_rate", F.round(F.try_divide(F.col("enriched") * 100.0, F.col("applications")), 6))
+    return enriched, entries, rate

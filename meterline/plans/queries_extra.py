@@ -10,7 +10,7 @@ from meterline.functions import rules
 from meterline.plans import oracle as O
 from meterline.plans import quality as Q
 from meterline.plans.queries_quality import run_events
-from meterline.plans.registry import register, star
+from meterline.plans.registry import ORACLE, register, star
 from meterline.sources import ingest as IG
 from meterline.sources.tables import read
 
@@ -176,6 +176,52 @@ def q_inventory(spark, sf_dir):
                       "owner_id", "sector_id")
 
 
+def inventory_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension that knows two of three suppliers, enriched (owner and sector set), and a CMDB-only row of each fifth."""
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    k = F.col("s_suppkey")
+    j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    known = j.where(k % 3 != 0).select(
+        (k + 1).alias("app_id"), k.cast("string").alias("monitoring_id"), F.col("r_name").alias("controller"),
+        F.concat(F.lit("old "), F.col("s_name")).alias("app_name"), F.lit("Unknown").alias("architecture"),
+        F.lit("Pro").alias("license_tier"), F.lit("H-OLD").alias("h_code"),
+        (k % 3 + 2).cast("int").alias("owner_id"), F.when(k % 7 != 0, (k % 7).cast("int")).alias("sector_id"),
+        F.concat(F.lit("c-"), k.cast("string")).alias("cmdb_id"),
+        F.struct(F.lit("old").alias("description"), F.lit(9).alias("tier_count"), F.lit(9).alias("node_count")).alias("metadata"))
+    only = j.where(k % 5 == 0).select(
+        (k + 1_000_000).alias("app_id"), *[F.lit(None).cast("string").alias(c) for c in ("monitoring_id", "controller", "app_name", "architecture",
+                                                                                       "license_tier", "h_code")],
+        F.lit(3).alias("owner_id"), F.lit(2).alias("sector_id"), F.concat(F.lit("d-"), k.cast("string")).alias("cmdb_id"),
+        F.lit(None).cast("struct<description:string,tier_count:int,node_count:int>").alias("metadata"))
+    return known.unionByName(only)
+
+
+@register("app_inventory_upsert", O.build(f"""
+WITH feed AS ({ORACLE["app_inventory"]}),
+fresh AS (SELECT *, row_number() OVER (ORDER BY monitoring_id, controller) AS place FROM feed WHERE CAST(monitoring_id AS BIGINT) % 3 = 0),
+top AS (SELECT greatest(max(s_suppkey + 1) FILTER (WHERE s_suppkey % 3 <> 0), max(s_suppkey + 1000000) FILTER (WHERE s_suppkey % 5 = 0)) AS id FROM supplier)
+SELECT CAST(monitoring_id AS BIGINT) + 1 AS app_id, monitoring_id, controller, app_name, architecture, license_tier, h_code,
+  CAST(CAST(monitoring_id AS BIGINT) % 3 + 2 AS INTEGER) AS owner_id, CAST(NULLIF(CAST(monitoring_id AS BIGINT) % 7, 0) AS INTEGER) AS sector_id,
+  'c-' || monitoring_id AS cmdb_id, metadata_description, node_count
+FROM feed WHERE CAST(monitoring_id AS BIGINT) % 3 <> 0
+UNION ALL
+SELECT top.id + place, monitoring_id, controller, app_name, architecture, license_tier, h_code, 1, 1, NULL, metadata_description, node_count
+FROM fresh, top
+UNION ALL
+SELECT s_suppkey + 1000000, NULL, NULL, NULL, NULL, NULL, NULL, 3, 2, 'd-' || CAST(s_suppkey AS VARCHAR), NULL, NULL
+FROM supplier WHERE s_suppkey % 5 = 0"""))
+def q_inventory_upsert(spark, sf_dir):
+    """The feed over an enriched dimension; set owners and sectors stay, new applications get the next ids."""
+    from meterline.operators.inventory import upsert_inventory
+    apps, nodes = inventory_sources(spark, sf_dir)
+    out = upsert_inventory(inventory_before(spark, sf_dir), IG.application_inventory(apps, nodes))
+    return out.select("app_id", "monitoring_id", "controller", "app_name", "architecture", "license_tier", "h_code", "owner_id",
+                      "sector_id", "cmdb_id", F.col("metadata.description").alias("metadata_description"),
+                      F.col("metadata.node_count").cast("long").alias("node_count"))
+
+
 @register("recon_repointed_cost", O.build("""
 SELECT COALESCE(p.a_id, c.app_id) AS app_id, CAST(SUM(c.usd_cost) AS DOUBLE) AS usd_cost, COUNT(*) AS cost_rows
 FROM recon_cost c LEFT JOIN recon_pairs p ON p.b_id = c.app_id AND p.place = 1 AND p.holder IS NULL

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.functions.timeutil import PARTITION_COL
 from meterline.operators import reconcile as R
+from meterline.operators.cost import USAGE_KEY
 from meterline.plans import oracle as O
 from meterline.plans.registry import register, star
-from meterline.sources.star import COPY_IDS, RECORD_IDS, STALE_IDS, recon_applications
+from meterline.session import cut_lineage, scratch_path
+from meterline.sources.star import COPY_IDS, RECORD_IDS, STALE_IDS, recon_applications, recon_cost
 from meterline.sources.tables import read
+from meterline.sources.versions import Table
 
 
 def cmdb_services(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +83,8 @@ UNION ALL
 SELECT s_suppkey + {STALE_IDS}, NULL, NULL, NULL, 'c-' || CAST(s_suppkey AS VARCHAR), s_name, NULL, sector_id, owner_id, architecture_id
 FROM supplier JOIN app ON app_id = s_suppkey + 1 WHERE s_suppkey % 10 = 6""", "app")
 O.cte("recon_cost", f"""
-SELECT * REPLACE (CASE WHEN (app_id - 1) % 10 IN (7, 8) AND capability_id = 2 THEN app_id - 1 + {RECORD_IDS} ELSE app_id END AS app_id)
-FROM cost""", "cost")
+SELECT * FROM cost UNION ALL
+SELECT * REPLACE (app_id - 1 + {RECORD_IDS} AS app_id) FROM cost WHERE (app_id - 1) % 10 IN (7, 8) AND capability_id = 2""", "cost")
 
 # R-M4/R-M5: of each name the lowest CMDB-only record against the unlinked applications of that name
 O.cte("recon_pairs", """
@@ -125,3 +131,49 @@ def q_merged(spark, sf_dir):
     _, id_map = R.reconcile(app)
     return R.merge_matches(app, id_map).select("app_id", "monitoring_id", "app_name", "controller", "cmdb_id", "cmdb_name",
                                                "owner_id", "sector_id", "architecture_id", "h_code")
+
+
+@register("recon_stored_cost", O.build("""
+SELECT c.ts, COALESCE(p.a_id, c.app_id) AS app_id, c.capability_id, c.tier, CAST(SUM(c.usd_cost) AS DOUBLE) AS usd_cost,
+  MIN(c.price_id) AS price_id
+FROM recon_cost c LEFT JOIN recon_pairs p ON p.b_id = c.app_id AND p.place = 1 AND p.holder IS NULL
+GROUP BY 1, 2, 3, 4""", "recon_cost", "recon_pairs"))
+def q_stored(spark, sf_dir):
+    """R-M4 on a stored table: the months with merged records are rewritten, colliding keys add up."""
+    table = Table(spark, scratch_path(spark, f"recon-cost-{uuid.uuid4().hex}"), PARTITION_COL, ["app_id"])
+    table.append(recon_cost(star(spark, sf_dir).cost).withColumn(PARTITION_COL, F.trunc("ts", "MM")))
+    _, id_map = R.reconcile(recon_applications(spark, sf_dir))
+    R.repoint_table(table, id_map, [PARTITION_COL, *USAGE_KEY], ["usd_cost"])
+    return table.read().select(*USAGE_KEY, F.col("usd_cost").cast("double").alias("usd_cost"), "price_id")
+
+
+@register("enrichment_log", O.build("""
+WITH dedup AS (SELECT lower(name) AS k, max(sys_id) AS sys_id FROM cmdb_services GROUP BY 1),
+m AS (SELECT a.app_id, a.app_name, c.name, row_number() OVER (PARTITION BY c.sys_id ORDER BY a.app_id) AS place
+      FROM app a JOIN dedup d ON lower(a.app_name) = d.k JOIN cmdb_services c USING (sys_id) WHERE a.monitoring_id IS NOT NULL)
+SELECT app_name AS match_key_a, name AS match_key_b, app_id AS resolved_app_id,
+  CASE WHEN (app_id - 1) % 4 = 0 THEN 2 ELSE 1 END AS entries FROM m WHERE place = 1""", "app", "cmdb_services"))
+def q_enrichment_log(spark, sf_dir):
+    """R-M7: the log after three runs; every fourth application gets another support group before the second."""
+    app, feed = star(spark, sf_dir).app, cmdb_services(spark, sf_dir)
+    other = feed.withColumn("support_group", F.when(F.substring("sys_id", 3, 20).cast("long") % 4 == 0, F.lit("moved"))
+                            .otherwise(F.col("support_group")))
+    log = None
+    for run, services in enumerate((feed, other, other)):
+        app, entries, _ = R.enrich(app, services, log)
+        app, entries = cut_lineage(app), cut_lineage(entries.withColumn("logged_at", F.lit(run)))
+        log = entries if log is None else log.unionAll(entries)
+    return (log.groupBy("resolved_app_id").agg(F.min("match_key_a").alias("match_key_a"), F.min("match_key_b").alias("match_key_b"),
+                                               F.count("*").cast("int").alias("entries"))
+               .select("match_key_a", "match_key_b", "resolved_app_id", "entries"))
+
+
+@register("enrichment_rate", O.build("""
+WITH dedup AS (SELECT lower(name) AS k, max(sys_id) AS sys_id FROM cmdb_services GROUP BY 1),
+m AS (SELECT MIN(a.app_id) AS app_id FROM app a JOIN dedup d ON lower(a.app_name) = d.k WHERE a.monitoring_id IS NOT NULL GROUP BY d.sys_id)
+SELECT COUNT(*) FILTER (WHERE monitoring_id IS NOT NULL) AS applications, COUNT(m.app_id) AS enriched,
+  ROUND(COUNT(m.app_id) * 100.0 / NULLIF(COUNT(*) FILTER (WHERE monitoring_id IS NOT NULL), 0), 6) AS match_rate
+FROM app LEFT JOIN m ON m.app_id = app.app_id""", "app", "cmdb_services"))
+def q_enrichment_rate(spark, sf_dir):
+    """R-M7: applications, enriched ones and the match rate."""
+    return R.enrich(star(spark, sf_dir).app, cmdb_services(spark, sf_dir))[2]

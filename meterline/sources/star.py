@@ -93,10 +93,9 @@ def recon_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recon_cost(cost: DataFrame) -> DataFrame:
-    """The cost fact while the CMDB-only records are apart: some applications' second capability is posted to theirs."""
+    """The cost fact while the CMDB-only records are apart: their applications' second capability is posted to both."""
     k = F.col("app_id") - 1
-    return cost.withColumn("app_id", F.when((k % 10).isin(7, 8) & (F.col("capability_id") == 2), k + RECORD_IDS)
-                           .otherwise(F.col("app_id")))
+    return cost.unionAll(cost.where((k % 10).isin(7, 8) & (F.col("capability_id") == 2)).withColumn("app_id", k + RECORD_IDS))
 
 
 def usage_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
