@@ -1,21 +1,24 @@
 """The batch pipeline: materialise the facts once, then derive everything from them.
 
 Steps (each a Spark job; statuses come back as a small DataFrame):
-  usage      usage fact -> Parquet partitioned by ``month``
+  usage      usage fact -> versioned table partitioned by ``month``
   cost       C01 on the usage not yet costed (anti-join), appended to open months only
   chargeback C03: the ``direct`` cycle of the touched months is replaced
   allocation C06-C09: the ``allocated...`` cycles of the touched months are replaced (R4 ruling)
-  forecast   F06 ensemble forecast (events star) -> Parquet
-  views      V1-V8 published into versioned directories (V9)
-  checks     Q01 / Q04 / Q07 / Q15 results
-Tables live under ``root``, a folder that all executors share.  Re-running is idempotent: usage and
-cost insert only missing keys, postings replace, and months without new usage or cost are
-not computed again.  A changed rule or application dimension is applied to the months given as ``months``.
-Every step is written to the run log ``root/run_log``.
+  forecast   F06 ensemble forecast (events star) -> versioned table
+  views      V1-V8 brought up to date from the changed months (V9)
+  checks     Q01 / Q04 / Q07 / Q15 results, Q04, Q07 and the facts' Q15 by changed months
+Tables (``sources.versions``) live under ``root``, a folder that all executors share; each write becomes
+visible by one atomic change, so a failure at any step leaves every table as it was or as it was to be.
+Re-running is idempotent: usage and cost insert only missing keys, postings replace, and months without
+new usage or cost are not computed again.  A changed rule or application dimension is applied to the
+months given as ``months``.  Every step is written to the run log ``root/run_log``; a lease keeps
+a second run from starting meanwhile.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,47 +29,25 @@ from meterline.operators.allocation import CYCLE_BY_METHOD, allocate_shared_cost
 from meterline.operators.chargeback import direct_chargeback
 from meterline.operators.cost import USAGE_KEY, calculate_costs, price_overlaps
 from meterline.plans import quality as Q
-from meterline.sources import seeds, sinks
+from meterline.plans.refresh import Facts, StoredChecks, StoredStar, published, refresh_views
+from meterline.sources import seeds
 from meterline.sources.runlog import RunLog
 from meterline.sources.star import Star
+from meterline.sources.versions import NULL_PARTITION, Table
 
 
 def _with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.trunc("ts", "MM"))
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if sinks.table_exists(spark, path) else None
-
-
-VIEWS = tuple(f"v{i}" for i in range(1, 9))
-
-
-class TableStar(Star):
-    """A Star whose facts are read back from the pipeline's Parquet tables, and its views, if
+class TableStar(StoredStar):
+    """A Star whose facts are read back from the pipeline's tables, and its views, if
     ``use_published``, from their current published versions."""
 
     def __init__(self, base: Star, root: str, use_published: bool = True):
-        super().__init__(base.spark, base.sf_dir, base.as_of, base.source)
-        self._root = root.rstrip("/")
-        read = base.spark.read
-        self.__dict__["usage"] = read.parquet(f"{self._root}/license_usage_fact")
-        self.__dict__["cost"] = read.parquet(f"{self._root}/license_cost_fact")
-        self.__dict__["chargeback_all"] = read.parquet(f"{self._root}/chargeback_fact")
-        self.__dict__["chargeback"] = self.chargeback_all.where(F.col("chargeback_cycle") == "direct")
+        super().__init__(Facts(base, root))
         if use_published:
-            self.__dict__.update(sinks.published(base.spark, f"{self._root}/views"))
-
-    def chargeback_from(self, month, until=None) -> DataFrame:
-        return self._months(self.chargeback, month, until)
-
-    def chargeback_all_from(self, month, until=None) -> DataFrame:
-        return self._months(self.chargeback_all, month, until)
-
-    @staticmethod
-    def _months(table: DataFrame, month, until) -> DataFrame:
-        table = table.where(F.col("month_start") >= F.lit(month))
-        return table if until is None else table.where(F.col("month_start") < F.lit(until))
+            self.__dict__.update(published(base.spark, root))
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, root: str, months: list | None = None,
@@ -91,83 +72,81 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, months: list | Non
             status.append((name, "failed", round(time.perf_counter() - t0, 3), str(e)[:500]))
             raise
 
-    usage_path, cost_path = f"{root}/license_usage_fact", f"{root}/license_cost_fact"
-    cb_path, fc_path = f"{root}/chargeback_fact", f"{root}/forecast_fact"
+    facts = Facts(base, root)
+    usage_table, cost_table, posted = (facts.tables[n] for n in ("usage", "cost", "chargeback"))
+    forecast_table = Table(spark, f"{root}/forecast_fact", "month_start", ["app_id"])
 
-    def append(rows, path):
+    def append(rows, table):
         """Append to a fact and remember the months that got rows."""
-        before = sinks.row_counts_by(spark, path, PARTITION_COL)
-        sinks.write_table(rows, path, [PARTITION_COL], mode="append", cluster_by=["app_id"])
-        after = sinks.row_counts_by(spark, path, PARTITION_COL)
-        touched.update(m for m, n in after.items() if n != before.get(m, 0))
+        touched.update(dt.date.fromisoformat(m) for m in table.append(rows) if m != NULL_PARTITION)
 
     def usage_step():
         # S07a insert-if-absent: only usage keys not loaded yet are appended
         fresh = _with_month(base.usage)
-        existing = _read(spark, usage_path)
-        if existing is not None:
+        if usage_table.exists():
             # null-safe key equality: a reload must not re-append rows whose key has a NULL part
             keys = USAGE_KEY + [PARTITION_COL]
-            old = existing.select(*[F.col(k).alias(f"_o_{k}") for k in keys])
+            old = usage_table.read().select(*[F.col(k).alias(f"_o_{k}") for k in keys])
             cond = None
             for k in keys:
                 e = F.col(k).eqNullSafe(F.col(f"_o_{k}"))
                 cond = e if cond is None else cond & e
             fresh = fresh.join(old, cond, "left_anti")
-        append(fresh, usage_path)
+        append(fresh, usage_table)
 
     def cost_step():
-        usage = spark.read.parquet(usage_path)
         overlaps = price_overlaps(base.price).count()
         if overlaps:
             raise RuntimeError(f"{overlaps} overlapping price windows: usage would be costed twice")
-        existing = _read(spark, cost_path)
-        new = calculate_costs(usage, base.price, existing, extra_keys=[PARTITION_COL])
-        append(_with_month(new), cost_path)
-
-    def of_touched(path):
-        return spark.read.parquet(path).where(F.col(PARTITION_COL).isin(*touched))       # prunes partitions
+        existing = cost_table.read() if cost_table.exists() else None
+        new = calculate_costs(usage_table.read(), base.price, existing, extra_keys=[PARTITION_COL])
+        append(_with_month(new), cost_table)
 
     def post(rows, cycles):
-        sinks.replace_slices(spark, cb_path, rows, "month_start", sorted(touched), "chargeback_cycle", cycles,
-                             cluster_by=["app_id"])
+        """C09 (R4): in the touched months the rows of ``cycles`` become exactly ``rows``; other cycles stay."""
+        def slices(old):
+            return old.where(~F.coalesce(F.col("chargeback_cycle").isin(*cycles), F.lit(False))).unionByName(rows.select(*old.columns))
+        if posted.exists():
+            posted.rewrite(touched, slices)
+        else:
+            posted.append(rows)
 
     def chargeback_step():
         if touched:
-            post(direct_chargeback(of_touched(cost_path), base.app), ["direct"])
+            post(direct_chargeback(cost_table.read(touched), base.app), ["direct"])
         return {"months": len(touched)}
 
     def allocation_step():
         if touched:
-            post(allocate_shared_costs(of_touched(cost_path), of_touched(usage_path), base.app, base.sectors, rules),
+            post(allocate_shared_costs(cost_table.read(touched), usage_table.read(touched), base.app, base.sectors, rules),
                  sorted(CYCLE_BY_METHOD.values()))
         return {"months": len(touched)}
 
     ev = Star.events(spark, sf_dir)
 
     def forecast_step():
-        sinks.write_table(ev.forecast, fc_path, ["month_start"], mode="overwrite", cluster_by=["app_id"])
+        forecast_table.replace(ev.forecast)
 
     def views_step():
-        ts = TableStar(base, root, use_published=False)
-        st = sinks.publish_views(spark, {v: (lambda v=v: getattr(ts, v)) for v in VIEWS}, f"{root}/views").collect()
+        st = refresh_views(facts).collect()
         failed = [r.view for r in st if r.status != "success"]
         if failed:
             raise RuntimeError(f"views failed: {failed}")
-        return {r.view: (r.rows_before, r.rows) for r in st}
+        return {r.view: (r.mode, r.rows_before, r.rows) for r in st}
 
     def checks_step():
         ts = TableStar(base, root)
+        kept = StoredChecks(facts)
+        months = kept.refresh()
         q1 = Q.row_counts({"license_usage": ts.usage, "license_cost": ts.cost, "chargeback": ts.chargeback_all})
-        q4 = Q.orphan_usage(ts.usage, ts.cost, ts.as_of)
-        q7 = Q.cost_variance(ts.usage, ts.cost, ts.price, ts.as_of)
-        q15 = Q.constraint_checks({"app": ts.app, "usage": ts.usage, "cost": ts.cost, "chargeback": ts.chargeback_all,
+        q15 = Q.constraint_checks({"app": ts.app, "chargeback": ts.chargeback_all,
                                    "price": ts.price, "sectors": ts.sectors, "owners": ts.owners,
-                                   "capabilities": ts.capabilities, "forecast": spark.read.schema(ev.forecast.schema).parquet(fc_path),
-                                   "runs": log.state()})
+                                   "capabilities": ts.capabilities, "forecast": forecast_table.read(),
+                                   "runs": log.state()}).unionByName(kept.violations())
         bad = [r.check_name for r in q15.collect() if not r.ok]
-        return {"row_counts_ok": all(r.ok for r in q1.collect()), "orphans": q4.collect()[0].orphan_rows,
-                "variance_pct": q7.collect()[0].variance_pct, "constraint_violations": bad}
+        return {"row_counts_ok": all(r.ok for r in q1.collect()), "orphans": kept.orphan_usage().first().orphan_rows,
+                "variance_pct": kept.cost_variance().first().variance_pct, "constraint_violations": bad,
+                "months_checked": len(months)}
 
     try:
         for name, fn in (("usage", usage_step), ("cost", cost_step), ("chargeback", chargeback_step),
