@@ -148,6 +148,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, months: list | Non
                 "variance_pct": kept.cost_variance().first().variance_pct, "constraint_violations": bad,
                 "months_checked": len(months)}
 
+    lease = log.acquire("pipeline")          # JobActive: another run of this root is on
     try:
         for name, fn in (("usage", usage_step), ("cost", cost_step), ("chargeback", chargeback_step),
                          ("allocation", allocation_step), ("forecast", forecast_step),
@@ -155,4 +156,6 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str, months: list | Non
             step(name, fn)
     except Exception:  # noqa: BLE001 - the status frame says which step failed
         pass
+    finally:
+        log.release("pipeline", lease)
     return spark.createDataFrame(status, "step string, status string, seconds double, info string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,13 @@ from meterline.functions import rules
 from meterline.functions.timeutil import days_before, sql_date, ts_lit
 from meterline.operators import cost as CO
 from meterline.plans import oracle as O
-from meterline.plans.registry import register, star
+from meterline.plans.registry import ORACLE, register, star
+from meterline.session import scratch_path
 from meterline.sources import ingest as IG
 from meterline.sources import seeds
 from meterline.sources.star import LINEITEM_AS_OF, account_count
 from meterline.sources.tables import read
+from meterline.sources.versions import Table, load_new_files
 
 # --- fixed values: how driver events are packed into usage payload documents ------
 EVENT_USAGE_TYPE = {"click": "APM_APP_AGENT", "error": "MACHINE_AGENT", "purchase": "ANALYTICS_AGENT",
@@ -24,9 +27,9 @@ POINTS_PER_DOCUMENT = 50
 # ---------------------------------------------------------------------------------------
 
 
-def usage_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def usage_payloads(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """Events re-packed as nested usage documents (<= 50 points each, so no group is unbounded)."""
-    ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = read(spark, sf_dir, "events").where(where).select("event_id", "ts", "user_id", "event_type", "value")
     m = F.create_map(*[x for k, v in EVENT_USAGE_TYPE.items() for x in (F.lit(k), F.lit(v))])
     p = ev.select((F.col("user_id") % account_count(spark, sf_dir) + 1).alias("account"),
                   F.floor(F.col("event_id") / POINTS_PER_DOCUMENT).alias("doc"),
@@ -56,6 +59,32 @@ def q_flatten(spark, sf_dir):
     return good
 
 
+#: days of the feed that each load finds in new files; the last day of one load is delivered again with the next
+LOADS = ("ts < DATE '2024-01-11'", "ts >= DATE '2024-01-10' AND ts < DATE '2024-01-21'", "ts >= DATE '2024-01-20'")
+
+
+@register("usage_incremental_load", O.build(f"""
+SELECT account_id, ts, capability_code, tier, SUM(units) AS units,
+  CASE WHEN ts < DATE '2024-01-11' THEN 1 WHEN ts < DATE '2024-01-21' THEN 2 ELSE 3 END AS load
+FROM ({ORACLE["usage_flatten"]}) f GROUP BY account_id, ts, capability_code, tier"""))
+def q_incremental(spark, sf_dir):
+    """S01 + S07a: usage files that come in three deliveries; each load reads the new files only, the last finds none."""
+    root = scratch_path(spark, f"usage-feed-{uuid.uuid4().hex}")
+    table = Table(spark, f"{root}/usage", "month")
+    keys = ["account_id", "ts", "capability_code", "tier"]
+
+    def parse(paths, load):
+        good, _ = IG.flatten_usage_payload(spark.read.text(paths).withColumnRenamed("value", "payload"), seeds.capabilities(spark))
+        return (good.groupBy(*keys).agg(F.sum("units").alias("units"))
+                    .withColumn("load", F.lit(load)).withColumn("month", F.trunc("ts", "MM")))
+
+    for load, days in enumerate([*LOADS, None], 1):
+        if days:
+            usage_payloads(spark, sf_dir, days).write.mode("append").text(f"{root}/feed")
+        load_new_files(table, f"{root}/feed", lambda paths, load=load: parse(paths, load), keys, "*.txt")
+    return table.read().drop("month")
+
+
 @register("usage_flatten_rejects", O.build("""
 SELECT user_id % (SELECT greatest(10, COUNT(*) // 10) FROM supplier) + 1 AS account_id, 'SYNTHETIC_AGENT' AS usage_type, date_trunc('day', ts) AS ts,
   COALESCE(value, 0) AS units, 'unmapped_usage_type' AS reason

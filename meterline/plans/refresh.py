@@ -22,7 +22,7 @@ from meterline.functions.timeutil import add_months, as_date, days_before, month
 from meterline.operators import views as V
 from meterline.plans import quality as Q
 from meterline.sources.star import Star
-from meterline.sources.versions import Table
+from meterline.sources.versions import NULL_PARTITION, Table
 
 MONTH = "refresh_month"
 
@@ -109,19 +109,15 @@ def month_of(name: str) -> dt.date:
     return dt.date.fromisoformat(name)
 
 
-def changed_months(old: dict | None, now: dict, start: dt.date, whole: bool, moved: bool) -> tuple[list[dt.date], list[dt.date]]:
-    """(months to make again, months to drop): by the stamps noted in ``old`` and those of ``now``.
+def changed_months(old: dict | None, now: dict, start: dt.date, whole: bool, moved: bool) -> list[dt.date]:
+    """Months from ``start`` on to make again, by the stamps noted in ``old`` and those of ``now``.
 
     ``whole``: all months; ``moved``: the window's start has moved, so its first month is cut elsewhere.
     """
-    first = month_start(start)
-    here = {m for stamps in now.values() for m in stamps if m[:1].isdigit() and month_of(m) >= first}
-    before = {m for stamps in (old or {}).values() for m in stamps if m[:1].isdigit()}
-    again = {m for m in here | {b for b in before if month_of(b) >= first}
-             if whole or any((old or {}).get(f, {}).get(m) != now[f].get(m) for f in now)}
-    if moved:
-        again |= {m for m in here if month_of(m) == first}
-    return sorted(map(month_of, again)), sorted(month_of(m) for m in before if month_of(m) < first)
+    first, old = month_start(start), old or {}
+    months = {m for stamps in (*old.values(), *now.values()) for m in stamps if m != NULL_PARTITION and month_of(m) >= first}
+    return sorted(month_of(m) for m in months if whole or (moved and month_of(m) == first)
+                  or any(old.get(f, {}).get(m) != now[f].get(m) for f in now))
 
 
 def refresh_view(name: str, facts: Facts, dims: str) -> tuple[str, list[dt.date]]:
@@ -133,11 +129,12 @@ def refresh_view(name: str, facts: Facts, dims: str) -> tuple[str, list[dt.date]
     now = facts.stamps(view.facts)
     start = view.start(as_of)
     whole = last is None or notes.get("dims") != dims or (view.day is None and notes.get("as_of") != str(as_of))
-    again, gone = changed_months(notes.get("stamps"), now, start, whole, notes.get("as_of") not in (None, str(as_of)))
+    again = changed_months(notes.get("stamps"), now, start, whole, notes.get("as_of") not in (None, str(as_of)))
+    gone = [] if last is None or view.day is None else [month_of(m) for m in last.parts if month_of(m) < month_start(start)]
     if not again and not gone and last is not None:
         return "unchanged", []
     if view.day is None:                             # an aggregate of the window: made from its months, as one partition
-        again = sorted({month_of(m) for stamps in now.values() for m in stamps if m[:1].isdigit() and month_of(m) >= month_start(start)})
+        again = changed_months(None, now, start, True, False)
         parts = None
     else:
         parts = None if last is None else [*again, *gone]
@@ -229,7 +226,7 @@ class StoredChecks:
         last = self.table.manifest()
         notes = {} if last is None else last.notes
         now, dims = self.facts.stamps(("usage", "cost")), digest(self.facts.base.app, self.facts.base.price)
-        again, _ = changed_months(notes.get("stamps"), now, dt.date(1, 1, 1), notes.get("dims") != dims, False)
+        again = changed_months(notes.get("stamps"), now, dt.date(1, 1, 1), notes.get("dims") != dims, False)
         if again:
             self.table.replace(month_checks(self.facts.star(again)), None if last is None else again, {"stamps": now, "dims": dims}, last)
         return again
