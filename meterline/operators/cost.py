@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions.money import cents, from_cents, round_half_up_ratio
@@ -13,7 +13,7 @@ from meterline.session import bounded_broadcast
 USAGE_KEY = ["ts", "app_id", "capability_id", "tier"]
 
 
-def price_window_join(usage: DataFrame, prices: DataFrame) -> DataFrame:
+def price_window_join(usage: DataFrame, prices: DataFrame, how: str = "inner") -> DataFrame:
     """Temporal price join.
 
     Equi keys (capability, tier) first so the effective-date range is a
@@ -26,7 +26,17 @@ def price_window_join(usage: DataFrame, prices: DataFrame) -> DataFrame:
     day = F.to_date(F.col("ts"))
     cond = ((F.col("capability_id") == F.col("_p_cap")) & (F.col("tier") == F.col("_p_tier"))
             & (day >= F.col("start_date")) & (day <= F.coalesce(F.col("end_date"), day)))
-    return usage.join(p, cond, "inner").drop("_p_cap", "_p_tier")
+    return usage.join(p, cond, how).drop("_p_cap", "_p_tier")
+
+
+def row_cost() -> Column:
+    """Cost of one usage row: units by rate, to the cent."""
+    return F.round(F.col("units_consumed") * F.col("unit_rate"), 2).cast("decimal(12,2)")
+
+
+def priced_usage(usage: DataFrame, prices: DataFrame) -> DataFrame:
+    """Usage rows with their cost beside them, null where no price holds."""
+    return price_window_join(usage, prices, "left").withColumn("usd_cost", row_cost())
 
 
 def price_overlaps(prices: DataFrame) -> DataFrame:
@@ -64,7 +74,7 @@ def calculate_costs(usage: DataFrame, prices: DataFrame, existing_cost: DataFram
     priced = price_window_join(todo, prices)
     return priced.select(
         "ts", "app_id", "capability_id", "tier",
-        F.round(F.col("units_consumed") * F.col("unit_rate"), 2).cast("decimal(12,2)").alias("usd_cost"),
+        row_cost().alias("usd_cost"),
         "price_id")
 
 

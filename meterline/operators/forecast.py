@@ -66,6 +66,8 @@ def runrate_forecast(usage: DataFrame, prices: DataFrame, as_of, existing: DataF
                         .cast("decimal(12,2)").alias("confidence_interval_low"),
                        F.round((F.col("avg_units") + F.coalesce(F.col("sd"), F.lit(0.0))) * 30, 2)
                         .cast("decimal(12,2)").alias("confidence_interval_high"),
+                       *[F.round((F.col("avg_units") + sign * F.coalesce(F.col("sd"), F.lit(0.0))) * 30 * F.col("unit_rate").cast("double"), 2)
+                         .cast("decimal(12,2)").alias(c) for c, sign in (("cost_low", -1), ("cost_high", 1))],
                        F.lit(METHOD_RUNRATE).alias("method")))
     if existing is not None:
         f = f.join(existing.select("month_start", *KEY), ["month_start", *KEY], "left_anti")
@@ -141,6 +143,9 @@ def ensemble_forecast(usage: DataFrame, prices: DataFrame, as_of, days: int = WI
          .cast("decimal(12,2)").alias("projected_cost"),
         F.round(F.col("ensemble_low") * DAYS_PER_MONTH, 2).cast("decimal(12,2)").alias("confidence_interval_low"),
         F.round(F.col("ensemble_high") * DAYS_PER_MONTH, 2).cast("decimal(12,2)").alias("confidence_interval_high"),
+        # The bounds above are units; these are the same in money
+        *[F.round(F.col(f"ensemble_{b}") * DAYS_PER_MONTH * F.col("unit_rate").cast("double"), 2).cast("decimal(12,2)").alias(f"cost_{b}")
+          for b in ("low", "high")],
         F.lit(METHOD_ENSEMBLE).alias("method"))
 
 

@@ -130,26 +130,27 @@ def d05(src, p):
 
 @panel("d06_top5_sector_trend")
 def d06(src, p):
-    v7 = src.v7
-    latest = _latest_month(v7)
-    top5 = (v7.where(F.col("month_start") == latest).groupBy("sector_name")
-              .agg(F.sum("total_amount").alias("_t"))
-              .orderBy(F.col("_t").desc_nulls_first(), F.col("sector_name").asc_nulls_last()).limit(5)
-              .select(F.col("sector_name").alias("_top")))
-    lo = F.trunc(F.add_months(latest, -12), "MM")
-    d = _ctl(v7.where(F.col("month_start") >= lo), p)
-    d = d.join(top5, F.col("sector_name") == F.col("_top"), "left_semi")
-    return _ordered((d.groupBy("month_start", "sector_name")
-             .agg(money(F.sum("total_amount")).alias("value"))
-             .select(F.col("month_start").alias("time"), F.col("sector_name").alias("metric"), "value")), "time", "metric")
-
+    """One pass over V7: its sums by month and sector (25 months, few sectors) hold the newest month, the best
+    sectors in it and their trend."""
+    mine = F.lit(True) if p.controller is None else F.col("controller") == p.controller
+    sums = src.v7.groupBy("month_start", "sector_name").agg(
+        F.sum("total_amount").alias("_all"), F.sum(F.when(mine, F.col("total_amount"))).alias("_own"), F.count_if(mine).alias("_rows"))
+    # a window over all of these few sums
+    sums = sums.withColumn("_newest", F.max("month_start").over(Window.partitionBy(F.lit(0))))
+    now = F.col("month_start") == F.col("_newest")
+    sectors = (sums.groupBy("sector_name").agg(
+        F.max(F.when(now, F.col("_all"))).alias("_t"), F.count_if(now).alias("_here"), F.first("_newest").alias("_newest"),
+        F.collect_list(F.struct("month_start", "_own", "_rows")).alias("_months")))              # 25 at most
+    top5 = (sectors.where(F.col("_here") > 0).orderBy(F.col("_t").desc_nulls_first(), F.col("sector_name").asc_nulls_last()).limit(5)
+            .select("sector_name", "_newest", F.inline("_months")))
+    trend = top5.where((F.col("_rows") > 0) & (F.col("month_start") >= F.trunc(F.add_months("_newest", -12), "MM")))
+    return _ordered(trend.select(F.col("month_start").alias("time"), F.col("sector_name").alias("metric"), money(F.col("_own")).alias("value")),
+                    "time", "metric")
 
 
 @panel("d07_top20_apps")
 def d07(src, p):
-    latest = _latest_month(src.v7)
-    cb = src.chargeback.where(F.col("month_start") == latest)
-    j = _ctl(cb.join(src.app.select("app_id", "app_name", "controller"), "app_id"), p)
+    j = _ctl(src.newest_chargeback().join(src.app.select("app_id", "app_name", "controller"), "app_id"), p)
     g = j.groupBy("app_name").agg(money(F.sum("usd_amount").cast("double")).alias("cost"))
     return _top(g, 20, F.col("cost").desc_nulls_first(), F.col("app_name").asc_nulls_last())
 

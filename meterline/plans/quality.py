@@ -119,18 +119,20 @@ def cost_variance(usage: DataFrame, cost: DataFrame, prices: DataFrame, as_of, d
                     var.alias("variance_pct"), F.coalesce(var < MAX_COST_VARIANCE_PCT, F.lit(False)).alias("ok"))
 
 
-def reference_completeness(capabilities: DataFrame, prices: DataFrame, sectors: DataFrame, as_of) -> DataFrame:
-    """Q08: enough capabilities, active prices and sectors (of those handed in)."""
+def reference_completeness(capabilities: DataFrame, prices: DataFrame, sectors: DataFrame, as_of, usage: DataFrame,
+                           app: DataFrame) -> DataFrame:
+    """Q08: enough capabilities, active prices and sectors; ``used`` is how many of them usage and applications refer to."""
     d = date_lit(as_of)
-    caps = capabilities.agg(F.count(F.lit(1)).alias("capabilities"))
-    act = prices.where((F.col("start_date") <= d) & (d <= F.coalesce(F.col("end_date"), d))) \
-                .agg(F.count(F.lit(1)).alias("active_prices"))
-    sec = sectors.agg(F.count(F.lit(1)).alias("sectors"))
-    parts = [caps.select(F.lit("capabilities").alias("check"), F.col("capabilities").alias("n"),
-                         (F.col("capabilities") >= MIN_CAPABILITIES).alias("ok")),
-             act.select(F.lit("active_prices").alias("check"), F.col("active_prices").alias("n"),
-                        (F.col("active_prices") >= MIN_ACTIVE_PRICES).alias("ok")),
-             sec.select(F.lit("sectors").alias("check"), F.col("sectors").alias("n"), (F.col("sectors") > 0).alias("ok"))]
+    active = prices.where((F.col("start_date") <= d) & (d <= F.coalesce(F.col("end_date"), d)))
+    metered = usage.select("capability_id", "tier").distinct()
+    billed = app.select("sector_id").distinct()
+    parts = []
+    for name, rows, least, facts, keys in (("capabilities", capabilities, MIN_CAPABILITIES, metered, ["capability_id"]),
+                                           ("active_prices", active, MIN_ACTIVE_PRICES, metered, ["capability_id", "tier"]),
+                                           ("sectors", sectors, 1, billed, ["sector_id"])):
+        hit = facts.select(*keys).distinct().withColumn("_hit", F.lit(True))
+        parts.append(rows.join(hit, keys, "left").agg(F.count(F.lit(1)).alias("n"), F.count("_hit").alias("used"))
+                         .select(F.lit(name).alias("check"), "n", "used", (F.col("n") >= least).alias("ok")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -181,16 +183,29 @@ def _rows(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def latest_runs(runs: DataFrame, as_of, days: int = 1, n: int = 5) -> DataFrame:
+    """Of the runs started within ``days``, the ``n`` that finished last (running ones first)."""
+    return (runs.where(F.col("started_at") > ts_lit(days_before(as_of, days)))
+                .select("run_id", "job_name", "status", "finished_at")
+                .orderBy(F.col("finished_at").desc_nulls_first(), F.col("run_id").desc()).limit(n))
+
+
 def pipeline_summary(app: DataFrame, usage: DataFrame, cost: DataFrame, chargeback: DataFrame,
-                     forecast: DataFrame) -> DataFrame:
-    """Q13: applications, volumes, cost total and range, h-code share of the monitored applications."""
+                     forecast: DataFrame, last_runs: DataFrame) -> DataFrame:
+    """Q13: applications, volumes, cost total and range, h-code share of the monitored applications, and the
+    ``last_runs`` (a few rows) with their states, newest first."""
     mon, cm, h = (F.col(c).isNotNull() for c in ("monitoring_id", "cmdb_id", "h_code"))
     a = app.agg(F.count(F.lit(1)).alias("apps"), F.count_if(mon).alias("monitored_apps"), F.count_if(cm).alias("cmdb_apps"),
                 F.count_if(mon & cm).alias("matched_apps"), F.count_if(mon & h).alias("monitored_with_h_code"))
     c = cost.agg(F.count(F.lit(1)).alias("cost_rows"), F.sum("usd_cost").cast("double").alias("total_cost"),
                  F.min(F.trunc("ts", "MM")).alias("first_month"), F.max(F.trunc("ts", "MM")).alias("last_month"))
     share = F.round(F.try_divide(F.col("monitored_with_h_code") * 100.0, F.col("monitored_apps")), 6)
-    return (one_row(a, _rows(usage, "usage_rows"), c, _rows(chargeback, "chargeback_rows"), _rows(forecast, "forecast_rows"))
+    newest = F.sort_array(F.collect_list(F.struct(
+        F.col("finished_at").isNull().alias("on"), "finished_at", "run_id",
+        F.concat_ws(" ", "job_name", "status").alias("text"))), asc=False)
+    runs = last_runs.agg(F.array_join(F.transform(newest, lambda r: r["text"]), ", ").alias("last_runs"))
+    runs = runs.select(F.nullif("last_runs", F.lit("")).alias("last_runs"))
+    return (one_row(a, _rows(usage, "usage_rows"), c, _rows(chargeback, "chargeback_rows"), _rows(forecast, "forecast_rows"), runs)
             .withColumn("h_code_coverage", share)
             .withColumn("ready", F.coalesce(share >= READY_HCODE_COVERAGE, F.lit(False))))
 

@@ -22,7 +22,8 @@ def _dbl(df, *cols):
     return df
 
 
-_AMOUNTS = ("projected_units", "projected_cost", "confidence_interval_low", "confidence_interval_high")
+_AMOUNTS = ("projected_units", "projected_cost", "confidence_interval_low", "confidence_interval_high", "cost_low",
+            "cost_high")
 
 
 @register("forecast_runrate", forecast_sql.SQL["forecast_runrate"])

@@ -118,18 +118,15 @@ def q07(spark, sf_dir):
 
 
 @register("q08_reference_data", O.build(f"""
-SELECT 'capabilities' AS "check", COUNT(*) AS n, COUNT(*) >= 2 AS ok FROM capabilities SEMI JOIN usage USING (capability_id)
-UNION ALL SELECT 'active_prices', COUNT(*), COUNT(*) >= 2 FROM price SEMI JOIN usage USING (capability_id, tier)
-  WHERE start_date <= {sql_date(AS)} AND {sql_date(AS)} <= COALESCE(end_date, {sql_date(AS)})
-UNION ALL SELECT 'sectors', COUNT(*), COUNT(*) > 0 FROM sectors SEMI JOIN app USING (sector_id)""",
-    "capabilities", "price", "sectors", "usage", "app"))
+WITH active AS (FROM price WHERE {sql_date(AS)} BETWEEN start_date AND COALESCE(end_date, {sql_date(AS)}))
+SELECT 'capabilities' AS "check", COUNT(*) AS n, COUNT(*) FILTER (capability_id IN (SELECT capability_id FROM usage)) AS used,
+  COUNT(*) >= 2 AS ok FROM capabilities
+UNION ALL SELECT 'active_prices', COUNT(*), (SELECT COUNT(*) FROM active SEMI JOIN usage USING (capability_id, tier)), COUNT(*) >= 2 FROM active
+UNION ALL SELECT 'sectors', COUNT(*), COUNT(*) FILTER (sector_id IN (SELECT sector_id FROM app WHERE sector_id IS NOT NULL)), COUNT(*) > 0
+  FROM sectors""", "capabilities", "price", "sectors", "usage", "app"))
 def q08(spark, sf_dir):
-    """Of the reference data, what usage and applications refer to."""
     s = star(spark, sf_dir)
-    used = s.usage.select("capability_id", "tier").distinct()
-    return Q.reference_completeness(s.capabilities.join(used, "capability_id", "left_semi"),
-                                    s.price.join(used, ["capability_id", "tier"], "left_semi"),
-                                    s.sectors.join(s.app.select("sector_id"), "sector_id", "left_semi"), s.as_of)
+    return Q.reference_completeness(s.capabilities, s.price, s.sectors, s.as_of, s.usage, s.app)
 
 
 @register("q11_chargeback_summary", O.build("""
@@ -141,4 +138,4 @@ UNION ALL
 SELECT 'TOTAL', COUNT(DISTINCT app_id), CAST(SUM(usd_amount) AS DOUBLE) FROM cur""", "chargeback", "sectors"))
 def q11(spark, sf_dir):
     s = star(spark, sf_dir)
-    return Q.chargeback_summary(s.chargeback, s.sectors)
+    return Q.chargeback_summary(s.newest_chargeback(), s.sectors)

@@ -78,7 +78,8 @@ SELECT *, apps_with_costs - apps_with_chargeback AS missing, records - with_h_co
   COALESCE(with_h_code * 100.0 / NULLIF(records, 0) >= 80, FALSE) AS ok FROM facts""", "cost", "chargeback"))
 def q09(spark, sf_dir):
     s = star(spark, sf_dir)
-    return Q.chargeback_coverage(s.cost, s.chargeback, s.as_of)
+    cost, charged = s.recent_chargeback()
+    return Q.chargeback_coverage(cost, charged, s.as_of)
 
 
 @register("q09_sector_distribution", O.build("""
@@ -88,10 +89,10 @@ WHERE chargeback_cycle = 'direct' AND month_start = (SELECT MAX(month_start) FRO
     "chargeback", "sectors"))
 def q09_sectors(spark, sf_dir):
     s = star(spark, sf_dir)
-    return Q.chargeback_sector_distribution(s.chargeback, s.sectors)
+    return Q.chargeback_sector_distribution(s.newest_chargeback(), s.sectors)
 
 
-@register("q13_pipeline_summary", O.build("""
+@register("q13_pipeline_summary", O.build(f"""
 WITH w AS (SELECT * FROM
   (SELECT COUNT(*) AS apps, COUNT(monitoring_id) AS monitored_apps, COUNT(cmdb_id) AS cmdb_apps,
           COUNT(*) FILTER (monitoring_id IS NOT NULL AND cmdb_id IS NOT NULL) AS matched_apps,
@@ -99,13 +100,16 @@ WITH w AS (SELECT * FROM
   (SELECT COUNT(*) AS usage_rows FROM usage),
   (SELECT COUNT(*) AS cost_rows, CAST(SUM(usd_cost) AS DOUBLE) AS total_cost,
           CAST(date_trunc('month', MIN(ts)) AS DATE) AS first_month, CAST(date_trunc('month', MAX(ts)) AS DATE) AS last_month FROM cost),
-  (SELECT COUNT(*) AS chargeback_rows FROM chargeback), (SELECT COUNT(*) AS forecast_rows FROM ev_forecast))
+  (SELECT COUNT(*) AS chargeback_rows FROM chargeback), (SELECT COUNT(*) AS forecast_rows FROM ev_forecast),
+  (SELECT string_agg(job_name || ' ' || status, ', ' ORDER BY finished_at DESC NULLS FIRST, run_id DESC) AS last_runs FROM
+    (FROM runs WHERE started_at > {sql_ts(days_before(RUNS_AS_OF, 1))} ORDER BY finished_at DESC NULLS FIRST, run_id DESC LIMIT 5)))
 SELECT *, ROUND(monitored_with_h_code * 100.0 / NULLIF(monitored_apps, 0), 6) AS h_code_coverage,
   COALESCE(monitored_with_h_code * 100.0 / NULLIF(monitored_apps, 0) >= 90, FALSE) AS ready FROM w""",
-    "app", "usage", "cost", "chargeback", "ev_forecast"))
+    "app", "usage", "cost", "chargeback", "ev_forecast", "runs"))
 def q13(spark, sf_dir):
     s = star(spark, sf_dir)
-    return Q.pipeline_summary(s.app, s.usage, s.cost, s.chargeback, Star.events(spark, sf_dir).forecast)
+    return Q.pipeline_summary(s.app, s.usage, s.cost, s.chargeback, Star.events(spark, sf_dir).forecast,
+                              Q.latest_runs(_runs(spark, sf_dir), RUNS_AS_OF))
 
 
 @register("q14_dataset_summary", O.build("""
@@ -174,9 +178,7 @@ SELECT run_id, job_name, status, finished_at FROM runs
 WHERE started_at > {sql_ts(days_before(RUNS_AS_OF, 1))} ORDER BY finished_at DESC NULLS FIRST, run_id DESC LIMIT 5""", "runs"))
 def q_latest_runs(spark, sf_dir):
     """Of the runs started within a day, the five that finished last (running ones first)."""
-    runs = _runs(spark, sf_dir).where(F.col("started_at") > F.lit(days_before(RUNS_AS_OF, 1)).cast("timestamp_ntz"))
-    return (runs.select("run_id", "job_name", "status", "finished_at")
-                .orderBy(F.col("finished_at").desc_nulls_first(), F.col("run_id").desc()).limit(5))
+    return Q.latest_runs(_runs(spark, sf_dir), RUNS_AS_OF)
 
 
 @register("j04_idle_apps", O.build(f"""

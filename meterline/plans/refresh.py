@@ -50,6 +50,7 @@ class StoredStar(Star):
     def __init__(self, facts: Facts, months: list | None = None):
         base = facts.base
         super().__init__(base.spark, base.sf_dir, base.as_of, base.source)
+        self.facts = facts
         for name, table in facts.tables.items():
             if table.exists():
                 self.__dict__["chargeback_all" if name == "chargeback" else name] = table.read(months)
@@ -62,6 +63,12 @@ class StoredStar(Star):
     def chargeback_all_from(self, month, until=None) -> DataFrame:
         return self._months(self.chargeback_all, month, until)
 
+    def newest_chargeback(self) -> DataFrame:
+        """Direct chargeback of the newest month, found by the partitions' names."""
+        table = self.facts.tables["chargeback"]
+        months = [m for m in table.stamps() if m != NULL_PARTITION]
+        return table.read(sorted(months)[-1:]).where(F.col("chargeback_cycle") == "direct")
+
     @staticmethod
     def _months(table: DataFrame, month, until) -> DataFrame:
         table = table.where(F.col("month_start") >= F.lit(month))

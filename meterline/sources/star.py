@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions import rules
 from meterline.functions.timeutil import add_months, as_date, month_start, since, ts_lit
+from meterline.session import cut_lineage
 from meterline.sources import seeds
 from meterline.sources.tables import read
 
@@ -252,11 +253,37 @@ class Star:
         return direct_chargeback(self._between(self.cost, month, until), self.app)
 
     def chargeback_all_from(self, month, until=None) -> DataFrame:
-        """``chargeback_all`` of those months, bounded in the same way."""
+        """``chargeback_all`` of those months, from one reading of the facts."""
         from meterline.operators.allocation import allocate_shared_costs
-        alloc = allocate_shared_costs(self._between(self.cost, month, until), self._between(self.usage, month, until),
-                                      self.app, self.sectors, seeds.allocation_rules(self.spark))
-        return self.chargeback_from(month, until).unionByName(alloc)
+        from meterline.operators.chargeback import direct_chargeback
+        sums = self.monthly(month, until)
+        cost = sums.where(F.col("usd_cost").isNotNull())
+        alloc = allocate_shared_costs(cost, sums, self.app, self.sectors, seeds.allocation_rules(self.spark))
+        return direct_chargeback(cost, self.app).unionByName(alloc)
+
+    def monthly(self, month, until=None) -> DataFrame:
+        """(ts, app_id, units_consumed, usd_cost): sums by month (ts is its first day) and application, kept.
+
+        What is posted by the month needs no more than these sums; they are written once to the shared
+        checkpoint folder, so that the reports below read the facts once.
+        """
+        from meterline.operators.cost import priced_usage
+        rows = priced_usage(self._between(self.usage, month, until), self.price)
+        return cut_lineage(rows.groupBy(F.trunc("ts", "MM").alias("m"), "app_id")
+                               .agg(F.sum("units_consumed").alias("units_consumed"), F.sum("usd_cost").alias("usd_cost"))
+                               .select(F.col("m").cast("timestamp_ntz").alias("ts"), "app_id", "units_consumed", "usd_cost"))
+
+    def recent_chargeback(self) -> tuple[DataFrame, DataFrame]:
+        """(monthly costs, direct chargeback) of the V7 window (24 months), from one reading of the facts."""
+        from meterline.operators.chargeback import direct_chargeback
+        sums = self.monthly(month_start(add_months(as_date(self.as_of), -24)))
+        cost = sums.where(F.col("usd_cost").isNotNull())
+        return cost, direct_chargeback(cost, self.app)
+
+    def newest_chargeback(self) -> DataFrame:
+        """Direct chargeback of the newest month of that window."""
+        _, charged = self.recent_chargeback()
+        return charged.where(F.col("month_start") == charged.select(F.max("month_start")).scalar())
 
     @staticmethod
     def _between(fact: DataFrame, month, until) -> DataFrame:
