@@ -21,13 +21,14 @@ from __future__ import annotations
 
 import base64
 from array import array
+from functools import partial
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import text_or_empty
+from meterline.llm.common import encode_any, text_or_empty
 
 CHUNK = 32_768
 OVERLAP = 1_024
@@ -42,7 +43,7 @@ def load(rank_file: str, pattern: str):
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
     encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     token_of = {rank: token for token, rank in ranks.items()}
-    return encoding.encode_ordinary, lambda ids: b"".join(map(token_of.__getitem__, ids))
+    return partial(encode_any, encoding), lambda ids: b"".join(map(token_of.__getitem__, ids))
 
 
 def starts(text: str, pattern) -> list[int]:
@@ -108,8 +109,9 @@ def encoded(docs: DataFrame, rank_file: str, pattern: str, chunk: int = CHUNK, o
                   .repartition(F.col("key"), F.col("n")))
     done = parts.mapInArrow(encode, "key struct<doc_id: long, sha: string>, copies long, n int, ids binary, decoded binary")
 
-    def joined(c):
-        return F.aggregate(F.col(c), F.lit(b""), lambda a, x: F.concat(a, x))
+    @F.pandas_udf("binary")
+    def joined(parts: pd.Series) -> pd.Series:
+        return pd.Series([b"".join(p) for p in parts])
 
     out = (done.groupBy("key", "copies").agg(F.array_sort(F.collect_list(F.struct("n", "ids", "decoded"))).alias("p"))
                .select("key.doc_id", "copies", F.col("p.ids").alias("ids"), F.col("p.decoded").alias("decoded"))

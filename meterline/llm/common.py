@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,26 @@ def doc_crc(c: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary"))
 
 
+# fixed values: the characters of Unicode's White_Space property
+_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
+
+def encode_any(encoding, text: str) -> list[int]:
+    """Ids of a whole text by a byte-level BPE ``tiktoken.Encoding``, with runs of white space of any length.
+
+    The engine's matcher fails on a run of some 100,000 white spaces.  By the pre-token rule, such a run
+    starts a pre-token, which ends before its last character if other text follows, and that last character
+    belongs to what follows; so long runs are cut out and merged by themselves.
+    """
+    ids, at = [], 0
+    for run in _BLANKS.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoding.encode_ordinary(text[at:run.start()])
+        ids += encoding._encode_single_piece(text[run.start():end].encode())  # noqa: SLF001 - merges without matching
+        at = end
+    return encoding.encode_ordinary(text) if not at else ids + encoding.encode_ordinary(text[at:])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

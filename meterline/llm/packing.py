@@ -25,6 +25,7 @@ import json
 import zlib
 from array import array
 from bisect import bisect_left, insort
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import cut_lineage, numbered, text_or_empty
+from meterline.llm.common import cut_lineage, encode_any, numbered, text_or_empty
 
 WINDOW = 2048
 CLOSING_ID = 0
@@ -66,8 +67,8 @@ def byte_encoder(tokenizer_json: str):
     ids = [spec["model"]["vocab"][m] for m in made]
     if ids != sorted(ids):
         raise ValueError("the ids are not in merge order")
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens={}).encode_ordinary
+    return partial(encode_any, tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                                 special_tokens={}))
 
 
 def text_encoder(tokenizer_json: str):
