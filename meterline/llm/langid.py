@@ -27,6 +27,7 @@ table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
@@ -53,7 +54,9 @@ UNKNOWN = "und"
 
 LONGEST = 48            # letters of a word; longer runs, as in scripts without spaces, are cut into such words
 
-_WORD = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
+# word characters that are neither digits nor letters (fractions, superscripts, letter-like numbers)
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(r"[^\W\d_%s]{1,%d}" % (_NUMBERS, LONGEST))
 
 
 def words_of(text: str) -> list[str]:
@@ -293,7 +296,9 @@ def fit(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Field:
     rows = rows.where("lang is not null and text is not null and id is not null").where(~held_out("id"))
     order = F.struct(F.xxhash64("id"), "id")
     # first salted parts of each language, then the languages: a language may hold most rows
-    ids = rows.select("id", "lang", F.pmod(F.xxhash64("id"), F.lit(16)).alias("salt"))
+    # one row an id, so that repeated rows neither crowd out other ids nor multiply below
+    ids = (rows.groupBy("id").agg(F.min("lang").alias("lang"))
+               .select("id", "lang", F.pmod(F.xxhash64("id"), F.lit(16)).alias("salt")))
     for keys in (["lang", "salt"], ["lang"]):
         ids = (ids.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
                   .where(F.col("nth") <= per_language).drop("nth"))
@@ -308,9 +313,11 @@ def fit(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Field:
             out.append([w[a:a + WINDOW] for a in at])
         return pd.Series(out)
 
-    sample = (rows.join(F.broadcast(ids.select("id")), "id")       # at most per_language ids of each language
-                  .select("id", "lang", windows("text").alias("w")).collect())
-    return train([(r["lang"], list(w)) for r in {(r["id"], r["lang"]): r for r in sample}.values() for w in r["w"]])
+    # at most per_language ids of each language; of an id's texts the one with the smallest hash (then the smallest) counts
+    sample = (rows.join(F.broadcast(ids.select("id", "lang")), ["id", "lang"])
+                  .groupBy("id", "lang").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+                  .select("lang", windows("t.text").alias("w"), "id").collect())
+    return train([(r["lang"], list(w)) for r in sorted(sample, key=lambda r: r["id"]) for w in r["w"]])
 
 
 def predictor(model: Field):

@@ -177,10 +177,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     def stats(text: pd.Series) -> pd.Series:
         return pd.Series(list(_matrix(text)))
 
+    # at most ``rows`` ids; of an id's texts the one with the smallest hash (then the smallest) counts
     sample = (docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("text"))
-                  .join(F.broadcast(chosen), "id")                     # at most ``rows`` ids
-                  .select("id", "quality", stats("text").alias("x")).toPandas()
-                  .drop_duplicates("id").sort_values("id"))
+                  .join(F.broadcast(chosen), "id")
+                  .groupBy("id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+                  .select("id", "quality", stats("t.text").alias("x")).toPandas().sort_values("id"))
     x = np.array(sample["x"].tolist(), float).reshape(-1, N_STATISTICS)
     return train(x, (sample["quality"].to_numpy() > 0).astype(float))
 
