@@ -14,7 +14,8 @@ host are not a template: prose blocks (paragraphs, headings, lists items, quotes
 blocks inside are counted over different articles, known by their longest string outside the block.
 
 Besides templates, these go by their tag or by a word of their class, id or role: menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments.  A word does not
+headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments; by tag only if they
+do not hold the page's text (``settle``), and an article's header keeps its headings.  A word does not
 count behind a modifier (``has-sidebar``), nor on an element that holds a ``main``, a headline (``h1``) or
 half of the page's article text, or of all its text; for adverts, pop-ups and comments a headline or
 text counts only if it is nearly all of the page's (for comments, with a headline).  If
@@ -44,7 +45,7 @@ SALTS = 64              # a host's pages are dealt over so many keys when they m
 
 # fixed values: HTML element names
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED_TAGS = frozenset("head title script style noscript template svg math iframe object canvas audio video "
+DROPPED_TAGS = frozenset("head title script style noscript template svg iframe object canvas audio video "
                          "nav header footer aside form button select textarea input label dialog menu".split())
 BLOCKS = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption figure "
                    "h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -59,6 +60,12 @@ CLOSED_BY = {
     "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"},
 }
 CLOSES_P = BLOCKS - {"body", "html", "tbody", "td", "tfoot", "th", "thead", "tr", "caption", "li", "dd", "dt"} | {"li", "dd", "dt"}
+#: of the dropped tags, those that may be wrapped round a page's text
+WRAPPERS = frozenset("form aside header footer".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("p blockquote pre".split())
+#: in a sentence of these the words of a button or label belong to it
+SENTENCES = frozenset("p li dd td th blockquote em strong b i q cite figcaption h1 h2 h3 h4 h5 h6".split())
 SCOPES = frozenset("table td th ul ol dl article main section div body html blockquote".split())
 #: words of a class, id or role that mark what is no main text
 DROPPED_WORDS = frozenset("""
@@ -130,9 +137,60 @@ def parse(html: str) -> Node:
     b = _Builder()
     b.feed(html)
     b.close()
+    settle(b.root)
     return b.root
 
 
+def settle(root: Node) -> None:
+    """Give elements that stand for something else than their tag says the tag of what they are.
+
+    A form, sidebar, header or footer round a ``main``, round half of the page's article text, or (of a page without
+    declared articles; forms and sidebars only) round half of its paragraphs is a plain block.  A header inside an article keeps
+    its headings.  A button or label amid a sentence is inline.
+    """
+    order, stack = [], [(root, None, False)]
+    while stack:
+        node, parent, inside = stack.pop()
+        order.append((node, parent, inside))
+        inside = inside or node.tag in ("article", "main")
+        stack.extend((c, node, inside) for c in node.children if not isinstance(c, str))
+    facts: dict[int, tuple[bool, int, int, int]] = {}       # main, text in articles, in paragraphs, in all
+    for node, _, _ in reversed(order):                      # children before parents
+        main, article, prose, length = node.tag == "main", 0, 0, 0
+        for c in node.children:
+            if isinstance(c, str):
+                length += len(c.strip())
+            elif c.tag in WRAPPERS or not hidden(c):
+                m, a, p, n = facts[id(c)]
+                main, article, prose, length = main or m, article + a, prose + p, length + n
+        if node.tag == "article" and READERS.isdisjoint(words_of(node)):
+            article = length
+        facts[id(node)] = main, article, length if node.tag in PARAGRAPHS else prose, length
+    _, all_article, all_prose, _ = facts[id(root)]
+    for node, parent, inside in order:
+        if node.tag in WRAPPERS and not any(n == "hidden" for n, _ in node.attrs):
+            main, article, prose, _ = facts[id(node)]
+            if main or article and 2 * article >= all_article:
+                node.tag = "div"
+            elif node.tag in ("form", "aside") and not all_article and not facts[id(root)][0] and prose and 2 * prose >= all_prose:
+                node.tag = "div"
+            elif node.tag == "header" and inside:
+                found, below = [], list(reversed(node.children))
+                while below:
+                    c = below.pop()
+                    if isinstance(c, str) or hidden(c):
+                        continue
+                    if c.tag in HEADINGS:
+                        found.append(c)
+                    else:
+                        below.extend(reversed(c.children))
+                if found:
+                    node.tag, node.attrs, node.children = "div", [], found
+        elif node.tag in ("button", "label") and parent is not None and parent.tag in SENTENCES:
+            if any(isinstance(c, str) and c.strip() for c in parent.children):
+                node.tag = "span"
+
+
 def words_of(node: Node) -> set[str]:
     """The dropped words of class, id and role, without those behind a modifier."""
     out = set()
@@ -151,27 +209,31 @@ def hidden(node: Node) -> bool:
     return node.tag in DROPPED_TAGS or any(n == "hidden" or n == "aria-hidden" and v == "true" for n, v in node.attrs)
 
 
-def holds(top: Node) -> tuple[bool, bool, int, int]:
-    """Whether a main and an h1 are in or under ``top``; length of text in its articles, and of all its text."""
-    main, headline, article, length = False, False, 0, 0
-    stack = [(top, False)]
+def holds(root: Node) -> dict[int, tuple[bool, bool, int, int]]:
+    """Of every element, in one pass: whether a main and an h1 are it or in it; length of text in its articles, and of all its text."""
+    order, stack = [], [root]
     while stack:
-        node, inside = stack.pop()
-        main, headline = main or node.tag == "main", headline or node.tag == "h1"
-        inside = inside or node.tag == "article" and READERS.isdisjoint(words_of(node))
+        node = stack.pop()
+        order.append(node)
+        stack.extend(c for c in node.children if not isinstance(c, str))
+    out: dict[int, tuple[bool, bool, int, int]] = {}
+    for node in reversed(order):                # children before parents
+        main, headline, article, length = node.tag == "main", node.tag == "h1", 0, 0
         for c in node.children:
             if isinstance(c, str):
-                n = len(c.strip())
-                length += n
-                article += n * inside
+                length += len(c.strip())
             elif not hidden(c):
-                stack.append((c, inside))
-    return main, headline, article, length
+                m, h, a, n = out[id(c)]
+                main, headline, article, length = main or m, headline or h, article + a, length + n
+        if node.tag == "article" and READERS.isdisjoint(words_of(node)):
+            article = length
+        out[id(node)] = main, headline, article, length
+    return out
 
 
 def dropped(node: Node, page) -> bool:
     """By tag, or by a word of class, id or role.  A declared article, main or body is not dropped by class words,
-    nor is what holds the page's text; ``page`` gives what holds() has of the page."""
+    nor is what holds the page's text; ``page`` gives holds() of the page, and its root."""
     if hidden(node):
         return True
     if node.tag in ("body", "main"):
@@ -181,12 +243,13 @@ def dropped(node: Node, page) -> bool:
         return not words.isdisjoint(("comment", "comments"))
     if not words:
         return False
-    main, headline, article, length = holds(node)
+    facts, root = page()
+    main, headline, article, length = facts[id(node)]
     if main:
         return False
     if headline and words.isdisjoint(STRONG):
         return False
-    _, _, all_article, all_length = page()
+    _, _, all_article, all_length = facts[id(root)]
     if article and 2 * article >= all_article:
         return False
     if words.isdisjoint(STRONG):
@@ -243,7 +306,7 @@ def hashes(root: Node) -> tuple[int, list[tuple[int, int, Node]]]:
 def text_of(root: Node, templates: frozenset[int] = frozenset()) -> str:
     """Blocks of the main text, one a line."""
     gone = {id(n) for h, _, n in hashes(root)[1] if h in templates} if templates else set()
-    page = cache(lambda: holds(root))
+    page = cache(lambda: (holds(root), root))
     verdict = cache(lambda x: dropped(x, page))
 
     def walk(top):
