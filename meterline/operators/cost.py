@@ -16,10 +16,11 @@ USAGE_KEY = ["ts", "app_id", "capability_id", "tier"]
 def price_window_join(usage: DataFrame, prices: DataFrame, how: str = "inner") -> DataFrame:
     """Temporal price join.
 
-    Equi keys (capability, tier) first so the effective-date range is a
-    residual predicate of a broadcast hash join; the price list is a bounded
-    configuration table.
+    Of a small literal price list: equi keys (capability, tier) first so the effective-date range is a
+    residual predicate of a broadcast hash join.  Any other price list goes by ``price_day_join``.
     """
+    if not getattr(prices, "_meterline_bounded", False):
+        return price_day_join(usage, prices, how)
     p = bounded_broadcast(prices.select(
         F.col("price_id"), F.col("capability_id").alias("_p_cap"), F.col("tier").alias("_p_tier"),
         "unit_rate", "start_date", "end_date"), prices)
@@ -29,6 +30,32 @@ def price_window_join(usage: DataFrame, prices: DataFrame, how: str = "inner") -
     return usage.join(p, cond, how).drop("_p_cap", "_p_tier")
 
 
+def price_day_join(usage: DataFrame, prices: DataFrame, how: str = "inner") -> DataFrame:
+    """J01 for a price list of any size: usage meets its price by equality on (capability, tier, day).
+
+    Price windows are cut into months, open ones up to the last day of usage.  The days on which a capability and
+    tier are used at all meet the windows of their month, so that a window is compared with at most
+    31 days and never with the usage rows of a hot (capability, tier).
+    """
+    keys = [F.col("capability_id").alias("_p_cap"), F.col("tier").alias("_p_tier")]
+    days = usage.select(*keys, F.to_date("ts").alias("_p_day")).where("_p_day is not null").distinct()
+    last = days.agg(F.max("_p_day")).scalar()
+    windows = (prices.select(*keys, "price_id", "unit_rate", "start_date", F.coalesce("end_date", last).alias("_end"))
+                     .where(F.col("start_date") <= F.col("_end"))
+                     .withColumn("_p_month", F.explode(_months("start_date", F.least(F.col("_end"), last)))))
+    day_prices = (days.withColumn("_p_month", F.trunc("_p_day", "MM")).join(windows, ["_p_cap", "_p_tier", "_p_month"])
+                      .where(F.col("_p_day").between(F.col("start_date"), F.col("_end")))
+                      .select("_p_cap", "_p_tier", "_p_day", "price_id", "unit_rate", "start_date", F.col("_end").alias("end_date")))
+    same = ((F.col("capability_id") == F.col("_p_cap")) & (F.col("tier") == F.col("_p_tier")) & (F.to_date("ts") == F.col("_p_day")))
+    return usage.join(day_prices, same, how).drop("_p_cap", "_p_tier", "_p_day")
+
+
+def _months(start: str, end: Column) -> Column:
+    """First days of the months from ``start`` to ``end``; none if the window begins after ``end``."""
+    first, last = F.trunc(start, "MM"), F.trunc(end, "MM")
+    return F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month"))).otherwise(F.array().cast("array<date>"))
+
+
 def row_cost() -> Column:
     """Cost of one usage row: units by rate, to the cent."""
     return F.round(F.col("units_consumed") * F.col("unit_rate"), 2).cast("decimal(12,2)")

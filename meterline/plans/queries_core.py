@@ -151,3 +151,51 @@ for _name in PANELS:
 
 # Q12 of the survey is the allocation summary; registered under its quality key as well.
 register("q12_allocation_summary", ORACLE["alloc_summary"])(q_alloc_summary)
+
+
+# --- J01 with a price list that is no small literal ------------------------------------------
+def weekly_prices(spark, sf_dir):
+    """A price row for each capability, tier and week in which there are orders: the listed rate plus a weekly surcharge."""
+    from meterline.sources.tables import read
+    weeks = read(spark, sf_dir, "orders").select(F.to_date(F.date_trunc("week", "o_orderdate")).alias("w")).distinct()
+    listed = star(spark, sf_dir).price
+    days = F.datediff("w", F.lit("1990-01-01").cast("date"))
+    return (weeks.join(listed, F.col("w").between(F.col("start_date"), F.coalesce("end_date", "w")))
+                 .select((F.col("price_id") * 100000 + days).cast("int").alias("price_id"), "capability_id", "tier",
+                         (F.col("unit_rate") + (days % 5).cast("decimal(10,4)") / 100).cast("decimal(10,4)").alias("unit_rate"),
+                         F.col("w").alias("start_date"), F.date_add("w", 6).alias("end_date")))
+
+
+O.cte("weekly_price", """
+SELECT CAST(price_id * 100000 + date_diff('day', DATE '1990-01-01', w) AS INTEGER) AS price_id, capability_id, tier,
+  CAST(unit_rate + CAST(date_diff('day', DATE '1990-01-01', w) % 5 AS DECIMAL(10,4)) / 100 AS DECIMAL(10,4)) AS unit_rate,
+  w AS start_date, w + 6 AS end_date
+FROM (SELECT DISTINCT CAST(date_trunc('week', o_orderdate) AS DATE) AS w FROM orders) o
+JOIN price ON w BETWEEN start_date AND COALESCE(end_date, w)""", "price")
+
+
+@register("cost_fact_weekly_prices", O.build("""
+SELECT u.ts, u.app_id, u.capability_id, u.tier, CAST(ROUND(u.units_consumed * p.unit_rate, 2) AS DOUBLE) AS usd_cost, p.price_id
+FROM usage u JOIN weekly_price p USING (capability_id, tier) WHERE CAST(u.ts AS DATE) BETWEEN p.start_date AND p.end_date""",
+    "usage", "weekly_price"))
+def q_weekly_cost(spark, sf_dir):
+    """J01 / C01 by day keys: some thousand price windows."""
+    from meterline.operators.cost import calculate_costs
+    c = calculate_costs(star(spark, sf_dir).usage, weekly_prices(spark, sf_dir))
+    return c.withColumn("usd_cost", F.col("usd_cost").cast("double"))
+
+
+@register("a02_monthly_apps", O.build(f"""
+SELECT CAST(date_trunc('month', ts) AS DATE) AS month, COUNT(DISTINCT app_id) AS apps, TRUE AS estimate_holds
+FROM cost SEMI JOIN app USING (app_id) WHERE ts >= {O.T180} GROUP BY ALL""", "cost", "app"))
+def q_monthly_apps(spark, sf_dir):
+    """Applications with costs in each month, exactly, and whether V1's merged sketches tell them within three standard errors."""
+    from meterline.operators import views as V
+    from meterline.functions.timeutil import days_before, since
+    s = star(spark, sf_dir)
+    view = V.v1_daily_cost_by_controller(s.cost, s.app, s.as_of, sketches=True)
+    estimate = V.apps_of(view, F.trunc("cost_date", "MM").alias("month")).withColumnRenamed("apps", "estimate")
+    exact = (since(s.cost, days_before(s.as_of, 180)).join(s.app.select("app_id"), "app_id", "left_semi")
+             .groupBy(F.trunc("ts", "MM").alias("month")).agg(F.countDistinct("app_id").alias("apps")))
+    held = F.abs(F.col("estimate") - F.col("apps")) <= F.greatest(F.lit(1.0), 3 * V.SKETCH_ERROR * F.col("apps"))
+    return exact.join(estimate, "month").select("month", "apps", held.alias("estimate_holds"))

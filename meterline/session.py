@@ -52,8 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="meterline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = tempfile.mkdtemp(prefix="meterline-ckpt-")         # the setting itself cannot be changed any more
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -106,20 +106,19 @@ def _swap(spark: SparkSession, path: str, rows: DataFrame, partition_col: str, p
     """Put ``rows`` (which may be read from ``path`` itself) in place of its partitions.
 
     Rows go to a stage table first, so no plan overwrites what it reads.  Of the ``partitions``
-    (their values), those without rows are emptied.
+    (their values), those without rows are emptied.  A failure keeps the stage.  Tables that must change
+    in one step are ``versions.Table``s.
     """
     stage = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
-    try:
-        write_table(rows, stage, [partition_col], cluster_by=cluster_by)
-        staged = spark.read.schema(rows.schema).parquet(stage).select(*rows.columns)
-        write_table(staged, path, [partition_col], mode="overwrite")        # dynamic: partitions with rows only
-        if partitions is not None:
-            full = {r[0] for r in staged.select(partition_col).distinct().collect()}       # at most ``partitions``
-            for value in partitions:
-                if value not in full:
-                    _remove(spark, f"{path}/{partition_col}={value}")
-    finally:
-        _remove(spark, stage)
+    write_table(rows, stage, [partition_col], cluster_by=cluster_by)
+    staged = spark.read.schema(rows.schema).parquet(stage).select(*rows.columns)
+    write_table(staged, path, [partition_col], mode="overwrite")        # dynamic: partitions with rows only
+    if partitions is not None:
+        full = {r[0] for r in staged.select(partition_col).distinct().collect()}       # at most ``partitions``
+        for value in partitions:
+            if value not in full:
+                _remove(spark, f"{path}/{partition_col}={value}")
+    _remove(spark, stage)           # only now: after a failure above it is the one complete copy
 
 
 def merge_into_parquet(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
@@ -129,7 +128,7 @@ def merge_into_parquet(spark: SparkSession, path: str, batch: DataFrame, keys: l
     if not table_exists(spark, path):
         write_table(batch, path, [partition_col], mode="overwrite", cluster_by=cluster_by)
         return
-    current = spark.read.parquet(path)          # any failure to read stops the merge
+    current = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)     # any failure to read stops the merge
     # the batch is usually a whole job (e.g. the allocation): compute it once, reliably
     batch = cut_lineage(batch)
     touched = batch.select(partition_col).distinct()
@@ -159,7 +158,7 @@ def replace_slices(spark: SparkSession, path: str, batch: DataFrame, partition_c
     if not table_exists(spark, path):
         write_table(batch, path, [partition_col], mode="overwrite", cluster_by=cluster_by)
         return
-    current = spark.read.parquet(path)          # any failure to read stops the posting
+    current = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)     # any failure to read stops the posting
     kept = current.where(here & ~F.coalesce(F.col(slice_col).isin(*slices), F.lit(False)))
     _swap(spark, path, kept.unionByName(batch.select(*current.columns)), partition_col, partitions, cluster_by)
 

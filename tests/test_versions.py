@@ -258,3 +258,59 @@ def test_refresh_equals_a_rebuild_and_reads_changed_months_only(spark, tmp_path)
     full = {r.check_name: r.violations for r in Q.constraint_checks({"usage": base.usage, "cost": base.cost, "app": base.app}).collect()}
     got = {r.check_name: r.violations for r in kept.violations().collect()}
     assert {k: got.get(k, 0) for k in full if k in got or full[k]} == {k: v for k, v in full.items() if k in got or v}
+
+
+def test_a_failed_swap_keeps_the_stage(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "cb")
+    SK.write_table(frame(spark, [(JAN, 1, 1, "a")]), path, ["month"])
+    kept, real = [], SK.write_table
+
+    def broken(rows, where, *a, **b):
+        if where == path:
+            raise OSError("forced")
+        kept.append(where)
+        return real(rows, where, *a, **b)
+
+    monkeypatch.setattr(SK, "write_table", broken)
+    with pytest.raises(OSError):
+        SK.merge_into_parquet(spark, path, frame(spark, [(JAN, 2, 2, "b")]), ["month", "app_id"], "month")
+    assert spark.read.parquet(path).count() == 1 and spark.read.parquet(kept[0]).count() == 2
+    monkeypatch.undo()
+    none = str(tmp_path / "none")
+    SK.merge_into_parquet(spark, none, frame(spark, []), ["month", "app_id"], "month")
+    SK.merge_into_parquet(spark, none, frame(spark, [(JAN, 2, 2, "b")]), ["month", "app_id"], "month")
+    assert spark.read.parquet(none).count() == 1
+
+
+def test_prices_by_day_equal_the_range_join(spark):
+    from meterline.operators import cost as CO
+    from meterline.session import config_table
+    schema = "price_id int, capability_id int, tier string, unit_rate decimal(10,4), start_date date, end_date date"
+    d = dt.date
+    rows = [(1, 1, "Peak", __import__("decimal").Decimal("0.5"), d(2024, 1, 5), d(2024, 3, 1)), (2, 1, "Peak", __import__("decimal").Decimal("0.7"), d(2024, 3, 2), None),
+            (3, 1, "Pro", __import__("decimal").Decimal("0.2"), d(2024, 2, 10), d(2024, 2, 10)), (4, 2, "Peak", __import__("decimal").Decimal("1"), d(2030, 1, 1), None),
+            (5, 2, "Pro", __import__("decimal").Decimal("1"), d(2024, 5, 1), d(2024, 4, 1))]
+    days = [d(2024, 1, 4), d(2024, 1, 5), d(2024, 2, 10), d(2024, 2, 29), d(2024, 3, 1), d(2024, 3, 2), d(2024, 7, 9)]
+    usage = spark.createDataFrame([(dt.datetime.combine(x, dt.time(13)), 1, c, t, 2.0) for x in days for c in (1, 2, 3) for t in ("Peak", "Pro", None)]
+                                  + [(None, 1, 1, "Peak", 1.0)],
+                                  "ts timestamp_ntz, app_id long, capability_id int, tier string, units_consumed double")
+    for how in ("inner", "left"):
+        small = CO.price_window_join(usage, config_table(spark, rows, schema), how)
+        large = CO.price_window_join(usage, spark.createDataFrame(rows, schema), how)
+
+        def keys(df):
+            return sorted(((str(r.ts), r.capability_id, r.tier, r.price_id) for r in df.collect()), key=repr)
+        assert keys(small) == keys(large) and len(keys(large)) >= 7
+    assert CO.price_window_join(usage, spark.createDataFrame(rows, schema).limit(0)).count() == 0
+
+
+def test_merged_sketches_count_different_applications(spark):
+    from meterline.operators import views as V
+    cost = spark.createDataFrame([(dt.datetime(2024, 1, 1 + i % 20), i % 700, "Peak", 1.0) for i in range(3000)],
+                                 "ts timestamp_ntz, app_id long, tier string, usd_cost double")
+    app = spark.createDataFrame([(i, f"c{i % 3}") for i in range(700)], "app_id long, controller string")
+    view = V.v1_daily_cost_by_controller(cost, app, dt.date(2024, 2, 1), sketches=True)
+    got = V.apps_of(view).first().apps
+    assert abs(got - 700) <= 3 * V.SKETCH_ERROR * 700 and view.agg(F.sum("app_count")).first()[0] > 700
+    by = {r.controller: r.apps for r in V.apps_of(view, "controller").collect()}
+    assert all(abs(n - 233) <= 10 for n in by.values())
