@@ -8,8 +8,8 @@ patterns of ``NAMES`` and the sentence forms of ``FORMS``.
 Per row, without a shuffle: one test asks whether any keyword occurs at all; only then each rule whose
 own keyword and context word occur marks its matches in the text, and the marks' word places give
 intervals.  Intervals are read by start, longest first, then by priority: one that lies inside
-what has been accepted is suppressed, and so is one that overlaps the last accepted interval with a
-lesser priority.  What stays gives the labels.  The phrases of ``BASE`` are rules as well; their
+the last accepted is suppressed; of two that overlap in part the one with the better priority stays, whichever
+comes first, and both stay if they rank alike.  What stays gives the labels.  The phrases of ``BASE`` are rules as well; their
 places are all counted and their labels never suppressed.
 
 Edge cases: null and empty texts have no words and no labels; a text of any length is read whole;
@@ -128,7 +128,7 @@ def rules() -> list[dict]:
 RULE_TYPE = ("array<struct<label:string,keyword:string,context:string,priority:int,score:double,"
              "pattern:string,base:boolean>>")
 _HIT = "array<struct<start:int,less:int,priority:int,label:string,score:double,base:boolean>>"
-_STATE = "struct<end:int,priority:int,labels:array<string>,score:double>"
+_STATE = "struct<end:int,priority:int,label:string,score:double,labels:array<string>,best:double>"
 
 
 def word_text(text: Column) -> Column:
@@ -177,17 +177,32 @@ def scan(docs: DataFrame, rule_list: list[dict] | None = None) -> DataFrame:
     rows = docs.select("doc_id", F.get(F.transform(F.array(word_text(text_or_empty())), read), 0).alias("r"))
     rows = rows.select("doc_id", "r.n_words", "r.hits")
 
+    def settled(a):
+        """Labels and best score with the last interval's."""
+        return (F.when(a["label"].isNull(), a["labels"]).otherwise(F.array_union(a["labels"], F.array(a["label"]))),
+                F.greatest(a["best"], a["score"]))
+
     def step(a, h):
+        # sorted by start, longest first: a match inside the last one is suppressed; of two that overlap in part the
+        # better rule stays alone, and both stay if the rules rank alike
         end = -h["less"]
-        stays = (end > a["end"]) & ((h["start"] >= a["end"]) | (h["priority"] <= a["priority"]))
-        return F.when(stays, F.struct(end.alias("end"), h["priority"].alias("priority"),
-                                      F.array_union(a["labels"], F.array(h["label"])).alias("labels"),
-                                      F.greatest(a["score"], h["score"]).alias("score")).cast(_STATE)).otherwise(a)
+        apart = h["start"] >= a["end"]
+        replaces = ~apart & (end > a["end"]) & (h["priority"] < a["priority"])
+        joins = apart | ((end > a["end"]) & (h["priority"] == a["priority"]))
+        labels, best = settled(a)
+        return F.when(replaces | joins, F.struct(
+            end.alias("end"), h["priority"].alias("priority"), h["label"].alias("label"), h["score"].alias("score"),
+            F.when(joins, labels).otherwise(a["labels"]).alias("labels"), F.when(joins, best).otherwise(a["best"]).alias("best")).cast(_STATE)).otherwise(a)
+
+    start = F.struct(F.lit(0).alias("end"), F.lit(99).alias("priority"), F.lit(None).cast("string").alias("label"), F.lit(0.0).alias("score"),
+                     F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("best")).cast(_STATE)
+
+    def finish(a):
+        labels, best = settled(a)
+        return F.struct(labels.alias("labels"), best.alias("score"))
 
-    start = F.struct(F.lit(0).alias("end"), F.lit(99).alias("priority"), F.array().cast("array<string>").alias("labels"),
-                     F.lit(0.0).alias("score")).cast(_STATE)
     rows = rows.select("doc_id", "n_words", F.filter("hits", lambda h: h["base"]).alias("base"),
-                       F.aggregate("hits", start, step).alias("kept"))
+                       F.aggregate("hits", start, step, finish).alias("kept"))
     return rows.select(
         "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
         F.array_min(F.transform("base", lambda h: h["start"])).cast("long").alias("first_word"),

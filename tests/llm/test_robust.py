@@ -117,3 +117,56 @@ def test_deep_nesting_takes_linear_time():
     began = time.time()
     text(f"<body><h1>t</h1>{deep}</body>")
     assert time.time() - began < 5
+
+
+def scanned_by_rows(text, rule_list):
+    """(labels, score) of a text of words, with Python's matcher and plain loops."""
+    import re
+    words = f" {' '.join(re.findall(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+', text.lower()))} "
+    found = []
+    for r in rule_list:
+        if r["keyword"] in words and r["context"] in words:
+            for m in re.finditer(r["pattern"], words):
+                start = words[:m.start()].count(" ") - 1
+                found.append((start, -(start + len(m.group().split())), r["priority"], r["label"], r["score"], r["base"]))
+    labels, best, last = {h[3] for h in found if h[5]}, 0.0, None
+    for h in sorted(found):
+        if last is None or h[0] >= -last[1]:
+            kept = True
+        elif -h[1] <= -last[1]:
+            continue
+        elif h[2] < last[2]:
+            last = h
+            continue
+        else:
+            kept = h[2] == last[2]
+        if kept:
+            if last:
+                labels.add(last[3])
+                best = max(best, last[4])
+            last = h
+    if last:
+        labels.add(last[3])
+        best = max(best, last[4])
+    return ",".join(sorted(labels)), 1.0 if any(h[5] for h in found) else best
+
+
+def test_license_labels_equal_plain_loops(spark):
+    import random
+
+    from meterline.llm import licenses
+    rule = {"keyword": " ", "context": " ", "score": 0.5, "base": False}
+    few = [rule | {"label": "long", "priority": 5, "pattern": "(?<= )a b c(?= )"}, rule | {"label": "best", "priority": 1, "pattern": "(?<= )c d(?= )", "score": 0.9},
+           rule | {"label": "inner", "priority": 0, "pattern": "(?<= )b(?= )"}, rule | {"label": "late", "priority": 7, "pattern": "(?<= )d e f(?= )"},
+           rule | {"label": "peer", "priority": 1, "pattern": "(?<= )d e(?= )", "base": True}]
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abcdefg", k=rng.randint(0, 25))) for _ in range(150)] + ["a b c d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs, few).collect()}
+    assert got == {i: scanned_by_rows(t, few) for i, t in enumerate(texts)} and got[150] == ("best", 0.9)
+    real = licenses.rules()
+    words = "licensed under the mit license apache version 2 0 gnu general public gpl v3 or later cc by nc sa bsd 3 clause see terms of spdx identifier".split()
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 60))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs).collect()}
+    assert got == {i: scanned_by_rows(t, real) for i, t in enumerate(texts)}
