@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the las
 rows of ``docs`` that they keep, with the columns of ``docs``; the last returns one row per
 packed piece.  ``run`` applies them to ``documents``, each result written as Parquet in the
 shared checkpoint folder and read again as the next stage's input, so that a lost
-executor never costs more than the stage at hand.
+executor never costs more than the stage at hand.  A stage's files go when the next stage's are
+written; those of the last but one stay, since the result is read from them.
 
 Edge cases are those of the operators: null and empty texts are scored, have no language and
 go in the second stage; an empty table passes through all stages.
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.llm import langid, packing, quality, simhash
 from meterline.session import checkpoint_dir
+from meterline.sources.sinks import remove
 from meterline.sources.tables import read
 
 
@@ -55,11 +57,15 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
+    before = ""
     base = f"{checkpoint_dir(spark).rstrip('/')}/corpus-pipeline-{uuid.uuid4().hex}"
     for n, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if n == len(STAGES) - 1:
             return out
-        out.write.parquet(f"{base}/{n}-{name}")
-        docs = spark.read.parquet(f"{base}/{n}-{name}")
+        made = f"{base}/{n}-{name}"
+        out.write.parquet(made)
+        if n:
+            remove(spark, before)
+        docs, before = spark.read.parquet(made), made
     return docs
