@@ -12,12 +12,13 @@ from meterline.operators import reconcile as R
 from meterline.plans import oracle as O
 from meterline.plans import panel_sql as P
 from meterline.plans import quality as Q
+from meterline.plans import refresh as RF
 from meterline.plans.panels import PANELS, PanelParams
 from meterline.plans.queries_extra import _matched, cmdb_relations, cmdb_servers
 from meterline.plans.queries_ingest import overrides
 from meterline.plans.queries_quality import run_events
 from meterline.plans.registry import register, star
-from meterline.session import checkpoint_dir
+from meterline.session import checkpoint_dir, cut_lineage
 from meterline.sources import ingest as IG
 from meterline.sources import sinks as SK
 from meterline.sources.star import LINEITEM_AS_OF, Star, recon_applications
@@ -215,6 +216,22 @@ def q_published_panel(spark, sf_dir):
     return PANELS["d06_top5_sector_trend"](s, PanelParams(as_of=s.as_of))
 
 
+@register("v9_incremental", O.view("v7"))
+def q_incremental_view(spark, sf_dir):
+    """V9: V7 published without one of its months, then brought up to date from that month's partition alone."""
+    s = star(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/meterline-views/{uuid.uuid4().hex}"
+    facts = RF.Facts(s, root)
+    late = F.col("month_start") == F.lit(add_months(month_start(AS), -3))
+    charged = cut_lineage(s.chargeback)
+    for some, mode in ((~late, "full"), (late, "incremental")):
+        facts.tables["chargeback"].append(charged.where(some))
+        done = RF.refresh_views(facts, ["v7"]).first()
+        if (done.status, done.mode) != ("success", mode):
+            raise RuntimeError(str(done))
+    return RF.published(spark, root)["v7"]
+
+
 # --- panels with a filter set ------------------------------------------------------------
 ONE, SOME = "ASIA", ("AMERICA", "EUROPE")          # controllers of the star are region names
 _PICKED = f"cost_date BETWEEN {sql_date(days_before(AS, 90))} AND {sql_date(AS)}"

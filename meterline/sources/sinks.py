@@ -96,7 +96,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder."""
     fs, p = _file_system(spark, path)
     fs.delete(p, True)
 
@@ -117,8 +118,8 @@ def _swap(spark: SparkSession, path: str, rows: DataFrame, partition_col: str, p
         full = {r[0] for r in staged.select(partition_col).distinct().collect()}       # at most ``partitions``
         for value in partitions:
             if value not in full:
-                _remove(spark, f"{path}/{partition_col}={value}")
-    _remove(spark, stage)           # only now: after a failure above it is the one complete copy
+                remove(spark, f"{path}/{partition_col}={value}")
+    remove(spark, stage)           # only now: after a failure above it is the one complete copy
 
 
 def merge_into_parquet(spark: SparkSession, path: str, batch: DataFrame, keys: list[str],
