@@ -14,8 +14,8 @@ How it runs, for texts and vocabularies of any size:
 1. Texts go into blocks of ``BLOCK_BYTES`` (texts over ``PIECE_BYTES`` are cut at white space, with the
    context carried over).  Each block writes its pieces, and its different words and
    byte strings of DEPTH + 1 (grams) with their training counts, once, to the shared checkpoint folder.
-2. Counts are summed over all blocks by joins on word or gram; a block has one row per word,
-   so no key is hot.  The context trees are built level by level by grouped sums, and read
+2. Counts are summed over all blocks by a window per word and a grouping per gram; a block has
+   one row per word, so no key is hot.  The context trees are built level by level by grouped sums, and read
    from the root down by joins; no table is collected or broadcast.
 3. Each block meets the values of its own words and grams (a co-group bounded by the block size)
    and adds them up.
@@ -28,6 +28,7 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections import Counter
@@ -44,19 +45,28 @@ from meterline.session import cut_lineage, scratch_path
 
 DEPTH = 4
 HELD_OUT_MOD = 10
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 32_000_000
 PIECE_BYTES = 250_000
+#: bytes of a block that are turned into grams at once, and that a pack holds
+RUN_BYTES = 4_000_000
+PACK_BYTES = 250_000
 #: bytes that UTF-8 never holds: before a text, and after it
 BEFORE, END = b"\xff", b"\xfe"
 #: the end as a word; words hold no white space
 END_WORD = b"\n"
 ADD = 0.1
 #: most cells of a lookup table over (string, next byte); longer ones are sorted instead
-CELLS = 64_000_000
+CELLS = 16_000_000
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
-LAYOUT = ("block long, at long, doc_id long, train boolean, last boolean, before binary, piece binary, slot int, word binary, gram long, n long")
-SCORES = "at long, doc_id long, train boolean, n_tokens long, n_known long, n_bytes long, base_score double, score double"
+LAYOUT = "block long, pack binary, slot int, word binary, gram long, n long"
+#: a pack: pieces of one block, as a compressed Arrow stream
+PACK = pa.schema([("at", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("before", pa.binary()), ("piece", pa.binary()),
+                  ("last", pa.bool_())])
+SCORES = ("at long, doc_id long, train boolean, n_tokens long, n_known long, n_bytes long, n_firsts long, counts_score double, "
+          "score double")
+#: rows that a block gets: log10 probability of a gram, training count of a word, and of a word that is counted in this block
+GRAM, WORD, FIRST_WORD = 0, 1, 2
 
 
 # --- one block ----------------------------------------------------------------------------------
@@ -113,20 +123,57 @@ def grams(parts: list[tuple[bytes, bytes, bool]], depth: int = DEPTH):
     return value, ids, sizes
 
 
+def runs(parts: list, piece: int, size: int) -> Iterator[list]:
+    """Consecutive parts (their bytes at place ``piece``) of about ``size`` bytes together."""
+    some, n = [], 0
+    for part in parts:
+        some.append(part)
+        n += len(part[piece])
+        if n >= size:
+            yield some
+            some, n = [], 0
+    if some:
+        yield some
+
+
+def block_grams(parts: list, depth: int):
+    """(gram values of all parts in ascending order, [(numbers of a run's grams in them, number of each position's gram in
+    the run, positions of each part)])."""
+    made = [grams(some, depth) for some in runs(parts, 1, RUN_BYTES)]
+    values = np.unique(np.concatenate([value for value, _, _ in made]))
+    return values, [(np.searchsorted(values, value), ids, sizes) for value, ids, sizes in made]
+
+
+def packed(parts: list) -> bytes:
+    """Parts (at, doc_id, train, before, piece, last) as a pack."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, PACK, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*parts), PACK)], schema=PACK))
+    return sink.getvalue().to_pybytes()
+
+
 def _column(rows: int, /, **columns) -> pa.RecordBatch:
     """A batch of the layout with the given columns, the others null."""
-    kinds = {"block": pa.int64(), "at": pa.int64(), "doc_id": pa.int64(), "train": pa.bool_(), "last": pa.bool_(), "before": pa.binary(),
-             "piece": pa.binary(), "slot": pa.int32(), "word": pa.binary(), "gram": pa.int64(), "n": pa.int64()}
+    kinds = {"block": pa.int64(), "pack": pa.binary(), "slot": pa.int32(), "word": pa.binary(), "gram": pa.int64(), "n": pa.int64()}
     return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(rows, t) for c, t in kinds.items()],
                                       names=list(kinds))
 
 
 def lay_out(block: int, parts: list, depth: int) -> Iterator[pa.RecordBatch]:
     """Rows of one block: its pieces, words (slots from 0) and grams (slots from 0)."""
-    for a in range(0, len(parts), 256):
-        some = parts[a:a + 256]
-        yield _column(len(some), block=[block] * len(some), at=[p[0] for p in some], doc_id=[p[1] for p in some],
-                      train=[p[2] for p in some], before=[p[3] for p in some], piece=[p[4] for p in some], last=[p[5] for p in some])
+    for some in runs(parts, 4, PACK_BYTES):
+        yield _column(1, block=[block], pack=[packed(some)])
+    values, made = block_grams([p[3:] for p in parts], depth)
+    train = np.array([p[2] for p in parts])
+    n, at = np.zeros(len(values), np.int64), 0
+    for numbers, ids, sizes in made:
+        n[numbers] += np.bincount(ids[np.repeat(train[at:at + len(sizes)], sizes)], minlength=len(numbers))
+        at += len(sizes)
+    for a in range(0, len(values), 100_000):
+        few = slice(a, a + 100_000)
+        yield _column(len(values[few]), block=np.full(len(values[few]), block), gram=values[few], n=n[few],
+                      slot=np.arange(a, a + len(values[few]), dtype=np.int32))
+    del values, made, n
     trained, met = Counter(), set()
     for _, _, train, _, piece, last in parts:
         words = piece.split()
@@ -134,13 +181,10 @@ def lay_out(block: int, parts: list, depth: int) -> Iterator[pa.RecordBatch]:
         if last:
             trained.update([END_WORD]) if train else met.add(END_WORD)
     words = sorted(met.union(trained))
-    if words:
-        yield _column(len(words), block=np.full(len(words), block), slot=np.arange(len(words), dtype=np.int32), word=words,
-                      n=[trained[w] for w in words])
-    value, ids, sizes = grams([p[3:] for p in parts], depth)
-    train = np.repeat(np.array([p[2] for p in parts]), sizes)
-    yield _column(len(value), block=np.full(len(value), block), slot=np.arange(len(value), dtype=np.int32), gram=value,
-                  n=np.bincount(ids[train], minlength=len(value)))
+    for a in range(0, len(words), 100_000):
+        few = words[a:a + 100_000]
+        yield _column(len(few), block=np.full(len(few), block), slot=np.arange(a, a + len(few), dtype=np.int32), word=few,
+                      n=[trained[w] for w in few])
 
 
 def _blocks(rows: DataFrame, depth: int, block_bytes: int, piece_bytes: int) -> DataFrame:
@@ -169,27 +213,42 @@ def _blocks(rows: DataFrame, depth: int, block_bytes: int, piece_bytes: int) ->
     return spark.read.schema(LAYOUT).parquet(path)
 
 
-def score_block(parts: pa.Table, values: pa.Table, depth: int, floor: float, scale: float) -> pa.Table:
-    """Scores of the pieces of one block; ``values``: (slot, value), words at -1 - slot, grams at slot."""
-    slot, value = values["slot"].to_numpy(), values["value"].to_numpy()
-    of_words = slot < 0
-    counts = np.zeros(int(of_words.sum()))
-    counts[-1 - slot[of_words]] = value[of_words]
-    of_grams = np.zeros(int((~of_words).sum()))
+def score_block(parts: pa.Table, rows: pa.Table, depth: int) -> pa.Table:
+    """Sums of the pieces of one block; ``parts``: its packs, ``rows``: (kind, slot, value) of its words and grams."""
+    parts = pa.concat_tables(pa.ipc.open_stream(p).read_all() for p in parts["pack"].to_pylist())
+    kind, slot, value = (rows[c].to_numpy() for c in ("kind", "slot", "value"))
+    of_words = kind != GRAM
+    counts, of_grams = np.zeros(int(of_words.sum())), np.zeros(int((~of_words).sum()))
+    counts[slot[of_words]] = value[of_words]
     of_grams[slot[~of_words]] = value[~of_words]
-    log_base = np.log10((counts + floor) / scale)
-    rows = list(zip(parts["before"].to_pylist(), parts["piece"].to_pylist(), parts["last"].to_pylist()))
-    split = [p.split() + [END_WORD] * last for _, p, last in rows]
-    number = {w: i for i, w in enumerate(sorted(set(chain.from_iterable(split))))}
-    base, known = [], []
-    for words in split:
+    pieces_ = list(zip(parts["before"].to_pylist(), parts["piece"].to_pylist(), parts["last"].to_pylist()))
+    score = []
+    made = block_grams(pieces_, depth)[1]
+    while made:
+        numbers, ids, sizes = made.pop(0)
+        score.append(np.add.reduceat(of_grams[numbers][ids], np.cumsum(sizes) - sizes))
+    del of_grams, value, slot
+
+    logs = np.log10(counts + ADD)
+    met = set()
+    for _, p, last in pieces_:
+        met.update(p.split())
+        if last:
+            met.add(END_WORD)
+    number = {w: i for i, w in enumerate(sorted(met))}
+    tokens, known, base = [], [], []
+    for _, p, last in pieces_:
+        words = p.split() + [END_WORD] * last
         i = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        base.append(float(log_base[i].sum()))
+        tokens.append(len(words))
         known.append(int((counts[i] > 0).sum()))
-    _, ids, sizes = grams(rows, depth)
-    score = np.add.reduceat(of_grams[ids], np.cumsum(sizes) - sizes)
-    return pa.table({"at": parts["at"], "doc_id": parts["doc_id"], "train": parts["train"], "n_tokens": pa.array([len(w) for w in split], pa.int64()), "n_known": pa.array(known, pa.int64()),
-                     "n_bytes": pa.array([len(p) for _, p, _ in rows], pa.int64()), "base_score": base, "score": score})
+        base.append(float(logs[i].sum()))
+
+    firsts = np.zeros(len(pieces_), np.int64)
+    firsts[0] = (kind == FIRST_WORD).sum()
+    return pa.table({"at": parts["at"], "doc_id": parts["doc_id"], "train": parts["train"], "n_tokens": pa.array(tokens, pa.int64()),
+                     "n_known": pa.array(known, pa.int64()), "n_bytes": pa.array([len(p) for _, p, _ in pieces_], pa.int64()),
+                     "n_firsts": firsts, "counts_score": pa.array(base, pa.float64()), "score": np.concatenate(score)})
 
 
 # --- the context trees --------------------------------------------------------------------------
@@ -283,25 +342,32 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOC
     layout = _blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~held_out()).alias("train"),
                                  text_or_empty().cast("binary").alias("raw")), depth, block_bytes, piece_bytes)
     words = layout.where("word is not null").select("block", "slot", "word", "n")
-    known = words.where("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
-    tokens, kinds = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    counts = words.select("block", (-1 - F.col("slot")).alias("slot"),
-                          F.sum("n").over(Window.partitionBy("word")).cast("double").alias("value"))
+    tokens = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    one = Window.partitionBy("word")
+    total = F.sum("n").over(one)
+    # a trained word counts as a kind of word in one block
+    kind = F.when((total > 0) & (F.min("block").over(one) == F.col("block")), F.lit(FIRST_WORD)).otherwise(F.lit(WORD))
+    counts = words.select("block", kind.cast("byte").alias("kind"), "slot", total.cast("double").alias("value"))
 
     strings = layout.where("gram is not null").select("block", "slot", "gram", "n")
     table = cut_lineage(strings.groupBy("gram").agg(F.sum("n").alias("n")))
-    chances = strings.join(gram_scores(table, depth), "gram").select("block", "slot", "value")
+    chances = (strings.select("block", "slot", "gram").join(gram_scores(table, depth), "gram")
+               .select("block", F.lit(GRAM).cast("byte").alias("kind"), "slot", "value"))
 
-    values = counts.unionAll(chances).withColumnRenamed("block", "of")
-    scale = tokens + ADD * (kinds + 1)
-    parts = layout.where("piece is not null").select("block", "at", "doc_id", "train", "last", "before", "piece")
+    rows = counts.unionAll(chances).withColumnRenamed("block", "of")
+    parts = layout.where("pack is not null").select("block", "pack")
 
     def run(key, left, right):
-        return score_block(left, right, depth, ADD, scale)
-
-    scored = (parts.groupBy("block").cogroup(values.groupBy("of")).applyInArrow(run, SCORES)
-              .groupBy("at").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("train").alias("train"),
-                                 *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "n_bytes", "base_score", "score")]))
+        return score_block(left, right, depth)
+
+    # one small row a text, kept: the number of kinds is known only once all blocks are through
+    scored = cut_lineage(parts.groupBy("block").cogroup(rows.groupBy("of")).applyInArrow(run, SCORES)
+                         .groupBy("at").agg(F.any_value("doc_id").alias("doc_id"), F.any_value("train").alias("train"),
+                                            *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "n_bytes", "n_firsts", "counts_score",
+                                                                          "score")]))
+    kinds = scored.agg(F.coalesce(F.sum("n_firsts"), F.lit(0))).first()[0]
+    scale = math.log10(tokens + ADD * (kinds + 1))
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
-                         F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score",
+                         F.lit(tokens).cast("long").alias("train_tokens"),
+                         (F.col("counts_score") - F.col("n_tokens") * F.lit(scale)).alias("base_score"), "score",
                          (-F.col("score") / F.log10(F.lit(2.0)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"))
