@@ -158,11 +158,9 @@ def _search(rows: DataFrame, count: int, k: int, query_mod: int) -> DataFrame:
     cells = np.array(sorted(sizes))
     blocks = np.array([-(-sizes[c] // CELL_ROWS) for c in cells])
     queries = rows.where(F.col("id") % query_mod == 0).distinct()
-    parts = max(1, -(-queries.count() // QUERY_ROWS))
     spread = F.create_map(*[F.lit(int(x)) for c, b in zip(cells, blocks) for x in (c, b)])
-    table = (placed.withColumn("block", F.pmod(F.xxhash64("id"), F.get(F.array(spread), 0)[F.col("cell")]).cast("int"))
-                   .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
-    queries = queries.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("bound", F.lit(float("inf")))
+    table = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.get(F.array(spread), 0)[F.col("cell")]).cast("int"))
+    queries = queries.withColumn("bound", F.lit(float("inf")))
 
     def visits(first: bool):
         @F.pandas_udf("array<struct<cell: int, block: int>>")
@@ -193,9 +191,13 @@ def _search(rows: DataFrame, count: int, k: int, query_mod: int) -> DataFrame:
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     def visit(asked: DataFrame, first: bool) -> DataFrame:
-        go = asked.withColumn("at", F.explode(visits(first)("v", "bound"))).select("id", "v", "part", "at.cell", "at.block")
+        go = asked.withColumn("at", F.explode(visits(first)("v", "bound"))).select("id", "v", "at.cell", "at.block")
+        # a block that very many queries visit meets them in parts; the others are not copied, unvisited ones do not go on
+        loads = cut_lineage(go.groupBy("cell", "block").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("parts")))
+        go = go.join(loads, ["cell", "block"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+        visited = table.join(loads, ["cell", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
         keys = ["cell", "block", "part"]
-        found = table.groupBy(*keys).cogroup(go.groupBy(*keys)).applyInPandas(verify, "query_id long, vec_id long, score double")
+        found = visited.groupBy(*keys).cogroup(go.groupBy(*keys)).applyInPandas(verify, "query_id long, vec_id long, score double")
         found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
         order = Window.partitionBy("query_id").orderBy("score", "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
