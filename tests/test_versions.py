@@ -306,7 +306,7 @@ def test_prices_by_day_equal_the_range_join(spark):
 
 def test_merged_sketches_count_different_applications(spark):
     from meterline.operators import views as V
-    cost = spark.createDataFrame([(dt.datetime(2024, 1, 1 + i % 20), i % 700, "Peak", 1.0) for i in range(3000)],
+    cost = spark.createDataFrame([(dt.datetime(2024, 1, 1 + i % 23), i % 700, "Peak", 1.0) for i in range(3000)],
                                  "ts timestamp_ntz, app_id long, tier string, usd_cost double")
     app = spark.createDataFrame([(i, f"c{i % 3}") for i in range(700)], "app_id long, controller string")
     view = V.v1_daily_cost_by_controller(cost, app, dt.date(2024, 2, 1), sketches=True)
