@@ -27,7 +27,6 @@ table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
@@ -54,13 +53,16 @@ UNKNOWN = "und"
 
 LONGEST = 48            # letters of a word; longer runs, as in scripts without spaces, are cut into such words
 
-# word characters that are neither digits nor letters (fractions, superscripts, letter-like numbers)
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_WORD = re.compile(r"[^\W\d_%s]{1,%d}" % (_NUMBERS, LONGEST))
+_WORD = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    text = text.lower()
+    words = _WORD.findall(text)
+    if all(map(str.isalpha, words)):
+        return words
+    # some word characters are neither digits nor letters: fractions, superscripts, letter-like numbers
+    return _WORD.findall("".join(c if c.isalpha() else " " for c in text))
 
 
 def _buckets(codes: np.ndarray, at: np.ndarray, k: int, kind: int) -> np.ndarray:
