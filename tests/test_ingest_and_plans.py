@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from meterline.operators.cost import apply_overrides
 from meterline.plans.panels import PANELS, PanelParams
+from meterline.sources import ingest as IG
 from meterline.sources import seeds
 from meterline.sources.ingest import flatten_usage_payload, usage_estimate
 from meterline.sources.sinks import publish_views
@@ -104,3 +105,30 @@ def test_unreadable_table_stops_a_merge(spark, tmp_path):
         sinks.merge_into_parquet(spark, path, batch, ["k"], "month")
     (tmp_path / "t" / "month=m1" / "part-9.parquet").unlink()
     assert [r.k for r in spark.read.parquet(path).collect()] == [1]
+
+
+def test_cmdb_fields_are_parsed_only_where_they_can_be_objects(spark):
+    texts = ["c-1", ' {"value": "c-2", "link": "x"}', '{"sys_id":"c-3"}', '{"link":"rel"}', "c-{4", "", None, "[1]", '"c-5"']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["f"] for r in df.select("i", IG.cmdb_field(F.col("t")).alias("f")).orderBy("i").collect()]
+    assert got == ["c-1", "c-2", "c-3", '{"link":"rel"}', "c-{4", "", None, "[1]", '"c-5"']
+    # a failed parse costs many times a good one: plain text must not reach the parser
+    plan = df.select(IG.cmdb_field(F.col("t")).alias("f"))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "contains(t" in plan
+
+
+def test_relations_resolve_without_parsing_below_the_join(spark):
+    wanted = IG.CMDB_RELATION_TYPE
+    rel = spark.createDataFrame(
+        [("c-1", '{"value":"s-1"}', wanted), ('{"value":"c-1"}', "s-2", f'{{"value":"{wanted}"}}'), (None, "s-1", wanted),
+         ("c-2", None, wanted), ("c-1", "s-3", "Runs on::Hosts"), ("c-1", "s-3", None), ("", "s-1", wanted)],
+        "parent string, child string, type string")
+    app = spark.createDataFrame([(1, "m", "c-1"), (2, "m", "c-2"), (3, "m", None)], "app_id long, monitoring_id string, cmdb_id string")
+    servers = spark.createDataFrame([(f"s-{i}", f"n{i}", "ip", "os", "true") for i in (1, 2, 3)],
+                                    "sys_id string, name string, ip_address string, os string, virtual string")
+    found = IG.servers_for_matched_apps(rel, servers, app)
+    assert sorted(r["sys_id"] for r in found.collect()) == ["s-1", "s-2"]
+    assert sorted(map(tuple, IG.app_server_edges(rel, app, found).collect())) == [(1, "s-1", wanted), (1, "s-2", wanted)]
+    plan = IG.resolved_relations(rel).join(app.select(F.col("cmdb_id").alias("parent")), "parent")
+    lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("Filter" in x and "get_json_object(parent" in x for x in lines)
