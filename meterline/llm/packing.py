@@ -80,10 +80,13 @@ def text_encoder(tokenizer_json: str):
 
     with open(tokenizer_json, encoding="utf-8") as f:
         added = [t["content"] for t in json.load(f).get("added_tokens", [])]
-    fast, whole = byte_encoder(tokenizer_json), Tokenizer.from_file(tokenizer_json)
+    fast, whole = byte_encoder(tokenizer_json), None
 
     def encode(text: str) -> list[int]:
+        nonlocal whole
         if any(x in text for x in added):
+            if whole is None:                   # most tasks never meet such a text, and it is large
+                whole = Tokenizer.from_file(tokenizer_json)
             return whole.encode(text, add_special_tokens=False).ids
         return fast(text)
 

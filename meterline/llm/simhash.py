@@ -44,7 +44,7 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
 #: generator polynomial of the (23,12) Golay code: x^11+x^9+x^7+x^6+x^5+x+1
 GOLAY = 0b101011100011
-BLOCK = 200_000     # shingle hashes whose bits are counted at once
+BLOCK = 16_384      # shingle hashes whose bits are counted at once; each takes 64 small and, summed, 64 wider numbers
 
 
 def shingle_hashes(text: Column, size: int = SHINGLE) -> Column:
@@ -79,7 +79,7 @@ def majority(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
             if j - i == 1:
                 counts[0] += bits.sum(0, dtype=np.int64)
             else:
-                counts += np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+                counts += np.add.reduceat(bits, starts, axis=0, dtype=np.int32)      # a block's sums are small
         won = 2 * counts > sizes[full[i:j], None]
         out[full[i:j]] = np.packbits(won, axis=1, bitorder="little").view(np.uint64).ravel()
         i = j

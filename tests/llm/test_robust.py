@@ -170,3 +170,54 @@ def test_license_labels_equal_plain_loops(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs).collect()}
     assert got == {i: scanned_by_rows(t, real) for i, t in enumerate(texts)}
+
+
+def test_bit_counts_take_little_memory():
+    import tracemalloc
+    import numpy as np
+    from meterline.llm import simhash
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(0, 400, 1_500)
+    sizes[700] = 3 * simhash.BLOCK + 7                      # one text over several blocks
+    values = rng.integers(0, 2**64, sizes.sum(), dtype=np.uint64)
+    tracemalloc.start()
+    got = simhash.majority(values, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+    at = np.r_[0, np.cumsum(sizes)]
+    for i in (0, 1, 699, 700, 701, 1_499):
+        own = [int(v) for v in values[at[i]:at[i + 1]]]
+        assert int(got[i]) == sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in own) > len(own))
+
+
+def test_large_tokenizer_is_read_only_for_texts_with_added_tokens(monkeypatch):
+    import tokenizers
+    read = []
+
+    class Counting:
+        @staticmethod
+        def from_file(path, of=tokenizers.Tokenizer.from_file):
+            read.append(path)
+            return of(path)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counting)
+    encode = packing.text_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    plain = encode("plain text")
+    assert plain and not read
+    marked = encode("plain text<|endoftext|>") + encode("<|endoftext|>")
+    assert len(read) == 1 and marked[:len(plain)] == plain and marked[-1] == marked[-2]
+
+
+def test_pipeline_bounds_its_batches(spark):
+    import corpus_pipeline
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    try:
+        for given, then in (("10000", "1000"), ("0", "1000"), ("64", "64")):
+            spark.conf.set(conf, given)
+            corpus_pipeline.near_duplicate_stage(
+                spark, spark.createDataFrame([(1, "a b c d"), (2, "a b c d")], "doc_id long, text string"), "")
+            assert spark.conf.get(conf) == then
+    finally:
+        spark.conf.set(conf, before)
