@@ -132,3 +132,40 @@ def test_relations_resolve_without_parsing_below_the_join(spark):
     plan = IG.resolved_relations(rel).join(app.select(F.col("cmdb_id").alias("parent")), "parent")
     lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert not any("Filter" in x and "get_json_object(parent" in x for x in lines)
+
+
+def test_flat_cmdb_objects_are_cut_as_the_parser_reads_them(spark):
+    texts = ['{"value":"c-1","link":"rel"}', '{"sys_id":"s-1"}', '{"value":""}', '{"sys_id":"s-1","value":"v"}', '{"value":"a\\"b"}',
+             '{"value":"v","value":"w"}', '{"value":"v","x":{"value":"w"}}', '{"value":null,"sys_id":"s"}', '{"value":"v"', '{"value":"v"} ',
+             '{"sys_id":"s","x":"value"}', '{"value":"v","sys_id":"s"}', '{"x":"y","value":"v"}', '{"value":5}', '{"value":"é{ü","a":"b","c":"d"}',
+             '{"value":"v",}', "{'value':'v'}", '{"value":"tab\there"}', '{"value":"v"}\n', '{"value" : "v"}', '{"value":"v","":"x"}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    parsed = F.coalesce(F.get_json_object("t", "$.value"), F.get_json_object("t", "$.sys_id"), F.col("t"))
+    rows = df.select("t", IG.cmdb_field(F.col("t")).alias("f"), parsed.alias("p")).collect()
+    assert [(r["t"], r["f"]) for r in rows] == [(r["t"], r["p"]) for r in rows]
+
+
+def _relation_rows(spark):
+    wanted = IG.CMDB_RELATION_TYPE
+    rel = spark.createDataFrame([("c-1", "s-1", wanted), ("c-1", '{"value":"s-1"}', wanted), ("c-1", '{"value":""}', wanted),
+                                 ("c-2", "s-2", wanted)], "parent string, child string, type string").distinct()
+    app = spark.createDataFrame([(1, "m", "c-1"), (2, None, "c-2"), (1, "m", "c-1")], "app_id long, monitoring_id string, cmdb_id string")
+    servers = spark.createDataFrame([("s-1", "n", "ip", "os", "true"), ("", "n", "ip", "os", "true"), ("s-2", "", "ip", "os", "true"),
+                                     ('{"sys_id":""}', "n", "ip", "os", "true")],
+                                    "sys_id string, name string, ip_address string, os string, virtual string")
+    return rel, app, IG.servers_for_matched_apps(rel, servers, app.where(F.col("monitoring_id").isNotNull()))
+
+
+def test_empty_server_ids_are_dropped_without_parsing_relations_below_their_distinct(spark):
+    rel, app, found = _relation_rows(spark)
+    edges = IG.app_server_edges(rel, app, found)
+    assert [r["sys_id"] for r in found.collect()] == ["s-1"]
+    assert list(map(tuple, edges.collect())) == [(1, "s-1", IG.CMDB_RELATION_TYPE)]
+    lines = edges._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("Filter" in x and "get_json_object(child" in x for x in lines)
+
+
+def test_edges_are_joined_and_made_distinct_without_sorting(spark):
+    rel, app, found = _relation_rows(spark)
+    edges = IG.app_server_edges(rel, app, found)
+    assert "Sort" not in edges._jdf.queryExecution().sparkPlan().toString()
