@@ -169,3 +169,15 @@ def test_edges_are_joined_and_made_distinct_without_sorting(spark):
     rel, app, found = _relation_rows(spark)
     edges = IG.app_server_edges(rel, app, found)
     assert "Sort" not in edges._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_chargeback_adds_no_null_check_to_the_facts(spark):
+    from meterline.operators.chargeback import direct_chargeback
+    cost = spark.sql("select timestamp_ntz'2001-01-05 00:00:00' as ts, app_id, cast(usd as decimal(12,2)) as usd_cost "
+                     "from values (1L, 2), (1L, 3), (cast(null as bigint), 5), (9L, 7) as t(app_id, usd)")
+    cost = spark.createDataFrame(cost.collect(), cost.schema)
+    app = spark.createDataFrame([(1, "H", None, 2), (None, "N", 1, 1)], "app_id long, h_code string, sector_id int, owner_id int")
+    charged = direct_chargeback(cost, app)
+    assert [(r["app_id"], r["h_code"], r["sector_id"], r["owner_id"], int(r["usd_amount"])) for r in charged.collect()] == [(1, "H", 1, 2, 5)]
+    # of the two frames only the applications are checked, so that the facts are shuffled as for other readers of the cost
+    assert charged._jdf.queryExecution().optimizedPlan().toString().count("isnotnull(app_id") == 1
