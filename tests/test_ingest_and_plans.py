@@ -171,6 +171,48 @@ def test_edges_are_joined_and_made_distinct_without_sorting(spark):
     assert "Sort" not in edges._jdf.queryExecution().sparkPlan().toString()
 
 
+def _cmdb_tables(spark, folder):
+    """Tables of two matched applications, 1 and 2, and one without a monitoring id, 9; rows repeat and hold nulls."""
+    tables = {"region": ("r_regionkey int, r_name string", [(0, "R")]),
+              "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "N", 0)]),
+              "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(k, f"S{k}", 0) for k in (1, 2, 9)]),
+              "part": ("p_partkey long, p_name string, p_brand string, p_size int", [(k, f"P{k}", "B", k) for k in (1, 2, 3, 7)]),
+              "lineitem": ("l_suppkey long, l_partkey long", [(1, 1), (1, 1), (1, 2), (2, 2), (9, 3), (1, 7), (2, 5), (None, 2), (None, 3),
+                                                              (1, None), (None, None)])}
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_relations_are_checked_for_null_ends_by_their_keys(spark, tmp_path):
+    from meterline.plans.catalog import queries_extra as QX
+    rel = QX.cmdb_relations(spark, _cmdb_tables(spark, tmp_path))
+    runs, wanted = "Runs on::Hosts", IG.CMDB_RELATION_TYPE
+
+    def obj(sid):
+        return f'{{"value":"{sid}","link":"rel"}}'
+    assert sorted(map(tuple, rel.collect()), key=str) == sorted([
+        ("c-1", obj("s-1"), wanted), (obj("c-1"), "s-2", wanted), (obj("c-2"), "s-2", wanted), ("c-9", obj("s-3"), wanted),
+        ("c-1", obj("s-7"), runs), ("c-2", obj("s-5"), wanted), ('{"link":"rel"}', "s-2", wanted), (None, obj("s-3"), wanted),
+        ("c-1", None, wanted), (None, None, wanted)], key=str)
+    lines = IG.resolved_relations(rel)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert [x for x in lines if "Filter" in x] and not any("Filter" in x and "concat" in x for x in lines)
+
+
+def test_a_plan_that_counts_servers_and_edges_makes_the_servers_once(spark, tmp_path):
+    from meterline.plans.catalog import queries_reports as QR
+    folder = _cmdb_tables(spark, tmp_path)
+    servers = QR._servers(spark, folder)
+    edges = QR._edges(spark, folder, Star(spark, folder).app, servers)
+    assert sorted(r["sys_id"] for r in servers.collect()) == ["s-1", "s-2"]
+    assert sorted((r["app_id"], r["server_sys_id"]) for r in edges.collect()) == [(2, "s-1"), (2, "s-2"), (3, "s-2")]
+    both = servers.agg(F.count(F.lit(1)).alias("n")).unionByName(edges.agg(F.count(F.lit(1)).alias("n")))
+    assert sorted(r["n"] for r in both.collect()) == [2, 3]
+    final = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    shared = [x for x in final if "REBALANCE_PARTITIONS_BY_COL" in x]
+    assert len(shared) == 2 and sum("ReusedExchange" in x for x in shared) == 1
+
+
 def test_chargeback_adds_no_null_check_to_the_facts(spark):
     from meterline.operators.chargeback import direct_chargeback
     cost = spark.sql("select timestamp_ntz'2001-01-05 00:00:00' as ts, app_id, cast(usd as decimal(12,2)) as usd_cost "
